@@ -7,9 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from lacunar.llm.ann import adaptive_scan
+from lacunar.llm.bitplane import encode_and_read_back
+from lacunar.llm.packing import pack
 from lacunar.llm.topk import exact_top_k
 
 
+def tokenizer_path(name: str) -> str:
+    """Where a public tokenizer's file lies; it stays there."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -18,12 +27,20 @@ def op1_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_scan(_table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+def op3_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_and_read_back(spark, _table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end=2)
+
+
+def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=1, tokens=2048).drop("loss")
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(_table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_adaptive_scan, op10_exact_top_k)}
+    return {f.__name__: f for f in (op1_adaptive_scan, op3_plane_files, op9_vector_packing, op10_exact_top_k)}
 
 
 OP10_SQL = """
