@@ -8,8 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lacunar.llm.ann import adaptive_scan
 from lacunar.llm.bitplane import encode_and_read_back
+from lacunar.llm.licenses import scan_licenses
+from lacunar.llm.mixing import mix
 from lacunar.llm.packing import pack
+from lacunar.llm.simhash import near_duplicates
 from lacunar.llm.topk import exact_top_k
+from lacunar.llm.toxicity import fit, score
 
 
 def tokenizer_path(name: str) -> str:
@@ -27,10 +31,27 @@ def op1_adaptive_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adaptive_scan(_table(spark, sf_dir, "embeddings"), k=20, every=20)
 
 
+def op2_ftrl_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return score(docs, fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op3_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read_back(spark, _table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end=2)
 
 
+def op5_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"))
+
+
+def op6_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op8_exponential_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix(_table(spark, sf_dir, "documents"))
+
+
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=1, tokens=2048).drop("loss")
 
@@ -40,7 +61,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_adaptive_scan, op3_plane_files, op9_vector_packing, op10_exact_top_k)}
+    return {f.__name__: f for f in (op1_adaptive_scan, op2_ftrl_toxicity, op3_plane_files, op5_anchor_simhash, op6_license_automaton, op8_exponential_mixing, op9_vector_packing, op10_exact_top_k)}
 
 
 OP10_SQL = """
