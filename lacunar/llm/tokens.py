@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -10,7 +11,8 @@ import regex
 
 from lacunar.llm.textops import pieces, ragged
 
-MAX_PIECES, MAX_PARTS = 800_000, 400_000  # held by a worker; when full, the cache starts again
+MAX_PIECES, MAX_PARTS = 1_000_000, 400_000  # held by a worker; when full, the cache starts again
+MARKS = frozenset(".,;:!?")
 
 
 class Encoder:
@@ -53,37 +55,51 @@ class Encoder:
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
+    def _part(self, part: str) -> list[int]:
+        if (ids := self.parts.get(part)) is None:
+            ids = [t.id for t in self.model.tokenize(part.encode("utf-8").decode("latin-1").translate(self.table))]
+            if len(self.parts) >= MAX_PARTS:
+                self.parts.clear()
+            self.parts[part] = ids
+        return ids
+
     def _ids(self, piece: bytes) -> list[int]:
         text = piece.decode("utf-8")
-        if not self.plain or max(text, default="") > "\xff" or any(s in text for s in self.special):
+        if not self.plain or not (piece.isascii() or max(text) <= "\xff") or (60 in piece and any(s in text for s in self.special)):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
+        if self.lower:
+            text = text.lower()
+        # a space and letters, perhaps one mark behind: what the pattern would find, without it
+        body, mark = (text[:-1], text[-1]) if text[-1:] in MARKS else (text, "")
+        if body[:1] == " " and body[1:].isalpha() and "'" not in text:
+            ids = self._part(body[1:] if self.lower else body)
+            return ids + self._part(mark) if mark else ids
         out: list[int] = []
-        for part in self.pattern.findall(text.lower() if self.lower else text):
-            if (ids := self.parts.get(part)) is None:
-                shown = part.encode("utf-8").decode("latin-1").translate(self.table)
-                ids = [t.id for t in self.model.tokenize(shown)]
-                if len(self.parts) >= MAX_PARTS:
-                    self.parts.clear()
-                self.parts[part] = ids
-            out += ids
+        for part in self.pattern.findall(text):
+            out += self._part(part)
         return out
 
     def _slots(self, distinct: list[bytes]) -> np.ndarray:
-        if len(self.slot) + len(distinct) > MAX_PIECES:
+        if len(self.slot) > MAX_PIECES:
             self.clear()
-        slot, out = self.slot, np.empty(len(distinct), np.int64)
-        for i, piece in enumerate(distinct):
-            if (k := slot.get(piece)) is None:
-                ids = self._ids(piece)
-                k = slot[piece] = len(slot)
-                if k == len(self.start):
-                    self.start, self.length = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.length))
-                while self.used + len(ids) > len(self.pool):
-                    self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-                self.pool[self.used : self.used + len(ids)] = ids
-                self.start[k], self.length[k] = self.used, len(ids)
-                self.used += len(ids)
-            out[i] = k
+        get, slot = self.slot.get, self.slot
+        out = np.fromiter([get(piece, -1) for piece in distinct], np.int64, len(distinct))
+        new = np.flatnonzero(out < 0)
+        if not len(new):
+            return out
+        ids = [self._ids(distinct[i]) for i in new.tolist()]
+        k = len(slot)
+        slot.update(zip([distinct[i] for i in new.tolist()], range(k, k + len(new)), strict=True))
+        out[new] = np.arange(k, k + len(new))
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
+        while k + len(new) > len(self.start):
+            self.start, self.length = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.length))
+        while self.used + len(flat) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + len(flat)] = flat
+        self.start[k : k + len(new)], self.length[k : k + len(new)] = self.used + np.cumsum(sizes) - sizes, sizes
+        self.used += len(flat)
         return out
 
     def encode(self, col: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
