@@ -12,6 +12,8 @@ from lacunar.llm.licenses import scan_licenses
 from lacunar.llm.mixing import mix
 from lacunar.llm.packing import pack
 from lacunar.llm.simhash import near_duplicates
+from lacunar.llm.substrings import repeated_spans
+from lacunar.llm.suffix_tree import suffix_tree_scores
 from lacunar.llm.topk import exact_top_k
 from lacunar.llm.toxicity import fit, score
 
@@ -40,6 +42,10 @@ def op3_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_and_read_back(spark, _table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"), end=2)
 
 
+def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree_scores(_table(spark, sf_dir, "documents"))
+
+
 def op5_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -48,6 +54,10 @@ def op6_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_licenses(_table(spark, sf_dir, "documents"))
 
 
+def op7_count_min_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(_table(spark, sf_dir, "documents"))
+
+
 def op8_exponential_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(_table(spark, sf_dir, "documents"))
 
@@ -61,7 +71,7 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_adaptive_scan, op2_ftrl_toxicity, op3_plane_files, op5_anchor_simhash, op6_license_automaton, op8_exponential_mixing, op9_vector_packing, op10_exact_top_k)}
+    return {f.__name__: f for f in (op1_adaptive_scan, op2_ftrl_toxicity, op3_plane_files, op4_suffix_tree, op5_anchor_simhash, op6_license_automaton, op7_count_min_substrings, op8_exponential_mixing, op9_vector_packing, op10_exact_top_k)}
 
 
 OP10_SQL = """
@@ -79,5 +89,29 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+OP7_SQL = """
+WITH t AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, len(w) AS n, unnest(generate_series(1, len(w) - 19)) AS a FROM t WHERE len(w) >= 20
+), k AS (
+  SELECT s.doc_id, s.a, row_number() OVER (PARTITION BY array_to_string(t.w[s.a : s.a + 19], ' ') ORDER BY s.doc_id, s.a) AS r
+  FROM s JOIN t USING (doc_id)
+), g AS (
+  SELECT DISTINCT doc_id, unnest(generate_series(a, a + 19)) AS i FROM k WHERE r > 1
+), h AS (
+  SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id
+), p AS (
+  SELECT t.doc_id, t.w, unnest(generate_series(1, len(t.w))) AS i FROM t JOIN h USING (doc_id)
+), q AS (
+  SELECT p.doc_id, string_agg(p.w[p.i], ' ' ORDER BY p.i) AS kept
+  FROM p LEFT JOIN g ON p.doc_id = g.doc_id AND p.i = g.i WHERE g.i IS NULL GROUP BY p.doc_id
+)
+SELECT t.doc_id, CAST(len(t.w) AS BIGINT) AS n_words, CAST(coalesce(len(h.gone), 0) AS BIGINT) AS n_removed,
+  sha256(CASE WHEN h.doc_id IS NULL THEN array_to_string(t.w, ' ') ELSE coalesce(q.kept, '') END) AS kept_sha256
+FROM t LEFT JOIN h USING (doc_id) LEFT JOIN q USING (doc_id)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op10_exact_top_k": OP10_SQL}
+    return {"op7_count_min_substrings": OP7_SQL, "op10_exact_top_k": OP10_SQL}
