@@ -31,21 +31,29 @@ INTERVALS = 4096
 BROADCAST_SOURCES = 50_000  # rows; beyond that the sources are joined by a shuffle
 
 
+_good = np.zeros(256, np.int64)
+_good[[*range(65, 91), *range(97, 123), 32, *range(128, 256)]] = 1
+MINE = ("_mix_size", "_mix_weight", "_mix_tag")
+
+
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words, and as quality weight the share of a text's bytes that are ASCII letters, spaces or beyond ASCII."""
-    good = np.zeros(256, np.int64)
-    good[[*range(65, 91), *range(97, 123), 32, *range(128, 256)]] = 1
+    """Each row with its words, its quality weight (the share of a text's bytes that are letters) and a hash of its text."""
     for batch in batches:
-        for part in slices(batch, "text"):
-            words = Words(part.column("text"))
+        for part in slices(batch, "_mix_text"):
+            words = Words(part.column("_mix_text"))
             bytes_in = np.diff(words.at[words.docs])
-            fine = np.concatenate([np.zeros(1, np.int64), np.cumsum(good[words.data])])[words.at[words.docs]]
-            share = (np.diff(fine) + 1.0) / (bytes_in + 1.0)
-            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "source": part.column("source"), "tag": part.column("tag"), "size": pa.array(np.diff(words.docs)), "weight": pa.array(share)})
+            fine = np.concatenate([np.zeros(1, np.int64), np.cumsum(_good[words.data])])[words.at[words.docs]]
+            new = (pa.array(np.diff(words.docs)), pa.array((np.diff(fine) + 1.0) / (bytes_in + 1.0)), part.column("_mix_tag"))
+            names = [n for n in part.schema.names if not n.startswith("_mix_")]
+            yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], *new], names=[*names, *MINE])
 
 
-def _plain(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), F.col("text").cast("string").alias("text"), F.xxhash64("text").alias("tag"))
+def measured(docs: DataFrame) -> DataFrame:
+    """docs with _mix_size, _mix_weight and _mix_tag."""
+    asked = docs.withColumns({"_mix_text": F.col("text").cast("string"), "_mix_tag": F.xxhash64("text")})
+    kinds = ("long", "double", "long")
+    schema = ", ".join([*[f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema], *[f"{n} {k}" for n, k in zip(MINE, kinds, strict=True)]])
+    return asked.mapInArrow(_measure, schema)
 
 
 def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = LIMIT, share: float = SHARE) -> DataFrame:
@@ -85,42 +93,60 @@ def sample_key(doc_id: Column, weight: Column, seed: int) -> Column:
     return -F.log(u) / F.greatest(F.when(F.isnan(weight), None).otherwise(weight), F.lit(1e-6))
 
 
-def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = LIMIT, share: float = SHARE, seed: int = 20, weight: str | None = None) -> DataFrame:
-    """doc_id, tag, size, source, source_size, target, epochs, part: how often each document is taken whole, and how many
-    of its first words once more. `weight`: a column of quality weights in place of the measured ones."""
-    rows = _plain(docs)
+def _keyed(docs: DataFrame, seed: int, weight: str | None) -> DataFrame:
+    """docs with _mix_size, _mix_tag, _mix_key and the key's interval."""
+    rows = measured(docs)
     if weight:
-        rows = rows.withColumn("own_weight", docs[weight].cast("double"))
-    sized = rows.mapInArrow(_measure, "doc_id long, source string, tag long, size long, weight double") if not weight else None
-    if sized is None:
-        sized = rows.select("doc_id", "source", "tag", F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")).cast("long").alias("size"), F.col("own_weight").alias("weight")).fillna(0, ["size"])
-    key = sample_key(F.col("doc_id"), F.col("weight"), seed)
+        rows = rows.withColumn("_mix_weight", F.col(weight).cast("double"))
+    key = sample_key(F.col("doc_id").cast("long"), F.col("_mix_weight"), seed)
     # -expm1(-key) grows with the key and lies in [0, 1], so its intervals need no look at the data
-    sized = sized.withColumn("key", key).withColumn("interval", F.least(F.lit(INTERVALS - 1), F.floor(-F.expm1(-F.col("key")) * INTERVALS)).cast("int"))
-    sized = materialize(sized.drop("weight"), "mix-sizes")
-    sources = targets(sized, weights, limit, share)
+    rows = rows.withColumn("_mix_key", key).withColumn("_mix_interval", F.least(F.lit(INTERVALS - 1), F.floor(-F.expm1(-F.col("_mix_key")) * INTERVALS)).cast("int"))
+    return rows.drop("_mix_weight")
+
+
+def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, limit: float = LIMIT, share: float = SHARE, seed: int = 20, weight: str | None = None, carry: bool = False) -> DataFrame:
+    """doc_id and source, or with `carry` all columns of docs, and _mix_size, _mix_source_size, _mix_target, _mix_epochs
+    (how often the document is taken whole) and _mix_part (its first words taken once more).
+
+    `weight`: a column of quality weights in place of the measured ones. With `carry` the texts are measured a second
+    time rather than shuffled: what decides is the table of sources, and only the interval where a budget ends is sorted.
+    """
+    docs = docs.withColumns({"source": F.col("source").cast("string")})
+    thin = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", "text", *([weight] if weight else []))
+    sized = materialize(_keyed(thin, seed, weight).drop("text"), "mix-sizes")
+    sources = targets(sized.select("source", F.col("_mix_size").alias("size")), weights, limit, share)
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size") + 1e-9)).otherwise(0).cast("long")
     sources = sources.withColumn("epochs", epochs).withColumn("budget", F.greatest(F.lit(0), F.round(F.col("target") - F.col("epochs") * F.col("source_size"))).cast("long"))
     sources = materialize(sources, "mix-targets")
     few = sources.count() <= BROADCAST_SOURCES
-    per = sized.groupBy("source", "interval").agg(F.sum("size").alias("words"))
+    per = sized.groupBy("source", F.col("_mix_interval").alias("interval")).agg(F.sum("_mix_size").alias("words"))
     upto = Window.partitionBy("source").orderBy("interval").rowsBetween(Window.unboundedPreceding, -1)
-    per = per.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0)))
-    per = _by_source(per, sources.select("source", "budget"), few)
+    per = _by_source(per.withColumn("before", F.coalesce(F.sum("words").over(upto), F.lit(0))), sources.select("source", "budget"), few)
     last = per.where((F.col("before") < F.col("budget")) & (F.col("before") + F.col("words") >= F.col("budget"))).select("source", F.col("interval").alias("last"), F.col("before").alias("below"))
-    ends = _by_source(sources, last, few)
-    marked = _by_source(sized, ends, few)
-    order = Window.partitionBy("source").orderBy("key", "doc_id", "size", "tag").rowsBetween(Window.unboundedPreceding, -1)
-    edge = marked.where(F.col("interval") == F.col("last")).withColumn("upto", F.col("below") + F.coalesce(F.sum("size").over(order), F.lit(0)))
-    edge = edge.withColumn("part", F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - F.col("upto"))))
-    rest = marked.where(~(F.coalesce(F.col("interval") == F.col("last"), F.lit(False))))
-    inside = (F.col("budget") > 0) & (F.col("last").isNull() | (F.col("interval") < F.col("last")))
-    rest = rest.withColumn("part", F.when(inside, F.col("size")).otherwise(0))
-    names = ["doc_id", "tag", "size", "source", "source_size", "target", "epochs", "part"]
+    ends = materialize(_by_source(sources, last, few).select("source", *[F.col(c).alias("_mix_" + c) for c in ("source_size", "target", "epochs", "budget", "last", "below")]), "mix-ends")
+    marked = _by_source(_keyed(docs, seed, weight) if carry else sized, ends, few)
+    at_edge = F.coalesce(F.col("_mix_interval") == F.col("_mix_last"), F.lit(False))
+    order = Window.partitionBy("source").orderBy("_mix_key", "doc_id", "_mix_size", "_mix_tag").rowsBetween(Window.unboundedPreceding, -1)
+    upto = F.col("_mix_below") + F.coalesce(F.sum("_mix_size").over(order), F.lit(0))
+    edge = marked.where(at_edge).withColumn("_mix_part", F.greatest(F.lit(0), F.least(F.col("_mix_size"), F.col("_mix_budget") - upto)))
+    inside = (F.col("_mix_budget") > 0) & (F.col("_mix_last").isNull() | (F.col("_mix_interval") < F.col("_mix_last")))
+    rest = marked.where(~at_edge).withColumn("_mix_part", F.when(inside, F.col("_mix_size")).otherwise(0))
+    names = [*[c for c in (docs.columns if carry else sized.columns) if not c.startswith("_mix_")], "_mix_size", "_mix_source_size", "_mix_target", "_mix_epochs", "_mix_part"]
     return rest.select(*names).unionByName(edge.select(*names))
 
 
 def mix(docs: DataFrame, **how) -> DataFrame:
     """doc_id, size, source_size, target, taken of every document."""
     p = plan(docs, **how)
-    return p.select("doc_id", "size", "source_size", "target", (F.col("epochs") * F.col("size") + F.col("part")).cast("long").alias("taken"))
+    taken = (F.col("_mix_epochs") * F.col("_mix_size") + F.col("_mix_part")).cast("long")
+    return p.select("doc_id", F.col("_mix_size").alias("size"), F.col("_mix_source_size").alias("source_size"), F.col("_mix_target").alias("target"), taken.alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, **how) -> DataFrame:
+    """The documents of the mix: a row for each time one is taken, a last part cut after its words. Columns of docs."""
+    p = plan(docs, carry=True, **how)
+    times = F.col("_mix_epochs") + (F.col("_mix_part") > 0).cast("long")
+    p = p.where(times > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    cut = (F.col("_mix_copy") > F.col("_mix_epochs")) & (F.col("_mix_part") < F.col("_mix_size"))
+    first = F.array_join(F.slice(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != ""), F.lit(1), F.col("_mix_part").cast("int")), " ")
+    return p.withColumn("text", F.when(cut, first).otherwise(F.col("text"))).select(*docs.columns)
