@@ -1,15 +1,320 @@
-"""Queries of the gap-filling engine and their SQL counterparts."""
+"""Queries of the gap-filling engine over grids that are derived from the driver's tables, and their SQL counterparts."""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lacunar.config import A1, A2, DEFAULT_LIMITS, Config, Despeckle, Job, Limits
+from lacunar.functions import flags as fl
+from lacunar.functions.calendar import composite_doy, doy_months
+from lacunar.operators import aggregate, clip, despeckle, fill_a1, fill_a2, grid, spiral, stats, tiles
+from lacunar.plans import pipeline
+from lacunar.sources import grids
+
+H, W = 30, 24
+LIMITS = Limits(ceiling=48.0, floor=2.0, z=0.9, absolute_zero=-10.0)
+SPECKLE = Despeckle(search=24, min_used=4, max_used=12, extreme_z=1.8, speckle_z=1.0, tolerance=0.4)
+SHORT = A1(search=8, min_used=2, max_used=8, trim=False)
+TRIM = A1(search=24, min_used=4, max_used=12, trim=True)
+RATIO = A1(search=8, min_used=2, max_used=8, ratio=True, max_ratio=2.0, trim=False)
+START = 1998
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _obs(spark: SparkSession, sf_dir: str, h: int = H, w: int = W) -> DataFrame:
+    li = _table(spark, sf_dir, "lineitem").where("l_discount < 0.02")
+    li = li.select(F.year("l_shipdate").alias("year"), (F.col("l_partkey") % h).cast("int").alias("y"), (F.col("l_suppkey") % w).cast("int").alias("x"), F.col("l_quantity").alias("q"))
+    li = li.where("NOT (year <= 1997 AND x BETWEEN 8 AND 14 AND y BETWEEN 10 AND 18) AND NOT (x % 11 = 5 AND y % 7 = 3)")
+    return li.groupBy("year", "y", "x").agg(F.round(F.avg("q"), 4).alias("value"))
+
+
+def _parts(spark: SparkSession, sf_dir: str, h: int = H, w: int = W) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(grid, stats, mask)."""
+    obs = _obs(spark, sf_dir, h, w)
+    s = stats.synoptic(obs).select("y", "x", F.when((F.col("x") * 5 + F.col("y")) % 41 != 0, F.round("mean", 4)).alias("mean"), F.round("sd", 4).alias("sd"))
+    cells = spark.range(h * w).select((F.col("id") / w).cast("int").alias("y"), (F.col("id") % w).cast("int").alias("x"))
+    mask = cells.withColumn("land", F.when((F.col("x") * 7 + F.col("y") * 3) % 17 == 0, 0).otherwise(1))
+    return grid.complete(obs, h, w), s, mask
+
+
+def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return despeckle.classify(*_parts(spark, sf_dir), LIMITS, SPECKLE)
+
+
+def _stack(spark: SparkSession, sf_dir: str, h: int = H, w: int = W) -> DataFrame:
+    """The plain stack that the A1 queries fill: no masks, flags 0."""
+    return grid.complete(_obs(spark, sf_dir, h, w), h, w).withColumn("flags", F.lit(0).cast("short"))
+
+
+def _rounded(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: F.round(c, 4) for c in columns})
+
+
+def _composites(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"), composite_doy(F.col("l_shipdate")).alias("doy"), (F.col("l_partkey") % 6).cast("int").alias("y"), (F.col("l_suppkey") % 5).cast("int").alias("x"), "l_quantity", "l_returnflag", "l_linestatus")
+    flag = F.max(F.when(F.col("l_returnflag") == "R", 16).when(F.col("l_returnflag") == "A", 1).otherwise(0)).cast("short")
+    return li.groupBy("year", "doy", "y", "x").agg(F.round(F.avg("l_quantity"), 4).alias("value"), flag.alias("flags"))
+
+
+def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    li = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate"), (F.col("l_partkey") % 12).cast("int").alias("y"), (F.col("l_suppkey") % 10).cast("int").alias("x"), F.col("l_quantity").alias("value"))
+    return stats.stats13(li, F.month("l_shipdate")).select("band", "y", "x", F.round("mean", 4).alias("mean"), F.round("sd", 4).alias("sd"), "n")
+
+
+def _hillshade(spark: SparkSession) -> DataFrame:
+    cells = spark.range(120).select((F.col("id") / 10).cast("int").alias("y"), (F.col("id") % 10).cast("int").alias("x"))
+    return cells.select("y", "x", ((F.col("x") * 31 + F.col("y") * 17) % 256).alias("north"), ((F.col("x") * 13 + F.col("y") * 29) % 256).alias("south"))
+
+
+# Queries. Each takes (spark, sf_dir).
+
+
+def grid_complete(spark, sf_dir):
+    return _parts(spark, sf_dir)[0]
+
+
+def aoi_filter(spark, sf_dir):
+    y0, y1, x0, x1 = grid.pixel_limits(80, 55, -175, -150, 1.25)
+    return grid.within(_parts(spark, sf_dir)[0], y0, y1, x0, x1)
+
+
+def start_filter(spark, sf_dir):
+    comps = _composites(spark, sf_dir)
+    return grid.on_days(comps, (1, 9, 121)).where(grid.is_target(START, 9)).select("year", "doy", "y", "x", "value")
+
+
+def stack_positions(spark, sf_dir):
+    return grid.with_position(_obs(spark, sf_dir).where("year <> 1998")).groupBy("year", "pos").agg(F.count("*").alias("cells"))
+
+
+def synoptic_stats(spark, sf_dir):
+    return _rounded(stats.synoptic(_obs(spark, sf_dir)), "mean", "sd")
+
+
+def monthly_stats(spark, sf_dir):
+    bands = _bands(spark, sf_dir)
+    months = bands.where("band <= 12 AND n > 2").withColumnRenamed("band", "month")
+    every = bands.where("band = 13").select("y", "x", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
+    joined = every.join(months, ["month", "y", "x"], "left").select("month", "y", "x", "mean", "sd")
+    return stats.month_or_all(joined, bands.where("band = 13"))
+
+
+def limits_lookup(spark, sf_dir):
+    names = _table(spark, sf_dir, "region").select(F.concat(F.lit("MOD_"), F.element_at(F.array(*map(F.lit, ("LST", "evi", "tcb", "TCW", "lst_evi"))), F.col("r_regionkey") + 1), F.lit("_Day.tif")).alias("name"))
+    rows = spark.createDataFrame([(k, v.ceiling, v.floor) for k, v in DEFAULT_LIMITS.items()], "variable string, ceiling double, floor double")
+    hits = names.join(F.broadcast(rows), F.upper("name").contains(F.col("variable")))
+    only = hits.groupBy("name").agg(F.count("*").alias("n"), F.first("variable").alias("variable"), F.first("ceiling").alias("ceiling"), F.first("floor").alias("floor"))
+    return only.where("n = 1").drop("n")
+
+
+def filename_parse(spark, sf_dir):
+    o = _table(spark, sf_dir, "orders")
+    day = F.lpad(F.dayofyear("o_orderdate").cast("string"), 3, "0")
+    old = F.concat(F.lit("/in/A"), F.year("o_orderdate").cast("string"), day, F.lit("_Filled_Data.tif"))
+    new = F.concat(F.lit("/in/LST_Day.v6."), F.lit("tif"))
+    new = F.concat(F.lit("/in/LST."), F.year("o_orderdate").cast("string"), F.lit("."), day, F.lit(".mean.1km.mean.tif"))
+    paths = o.select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, old).otherwise(new).alias("path"))
+    return paths.select("o_orderkey", grids.night_name(grids.base_name(F.col("path"))).alias("name"), *[c.alias(n) for n, c in grids.file_date(F.col("path")).items()])
+
+
+def doy_month_dim(spark, sf_dir):
+    return doy_months(spark)
+
+
+def ndv_to_null(spark, sf_dir):
+    li = _table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_quantity") > 40, -9999.0).otherwise(F.col("l_quantity")).alias("value"))
+    return grids.no_data(li, LIMITS).groupBy("l_linenumber").agg(F.count("*").alias("cells"), F.count("value").alias("present"))
+
+
+def ocean_neverdata_flags(spark, sf_dir):
+    return _marked(spark, sf_dir).select("year", "y", "x", fl.has(F.col("flags"), fl.OCEAN).alias("ocean"), fl.has(F.col("flags"), fl.FAILURE).alias("never"), F.col("value").isNotNull().alias("present"))
+
+
+def extreme_flags(spark, sf_dir):
+    return _marked(spark, sf_dir).where(fl.any_of(F.col("flags"), fl.EXTREME | fl.SPECKLE)).select("year", "y", "x", F.col("flags").cast("int").alias("flags"), "value")
+
+
+def zscore(spark, sf_dir):
+    return _rounded(_marked(spark, sf_dir).where("z IS NOT NULL").select("year", "y", "x", "z"), "z")
+
+
+def spiral_offsets(spark, sf_dir):
+    return _rounded(spiral.spiral_table(spark, 60), "dist")
+
+
+def despeckle_stack(spark, sf_dir):
+    return despeckle.despeckle(_marked(spark, sf_dir), SPECKLE).select("year", "y", "x", "value", F.col("flags").cast("int").alias("flags"))
+
+
+def despeckle_counts(spark, sf_dir):
+    return aggregate.despeckle_counts(despeckle.despeckle(_marked(spark, sf_dir), SPECKLE))
+
+
+def known_unfillable(spark, sf_dir):
+    return fill_a1.with_any_data(_stack(spark, sf_dir)).where("NOT any_data").select("y", "x").distinct()
+
+
+def a1_pairs(spark, sf_dir):
+    p = fill_a1.pairs(_stack(spark, sf_dir), SHORT, LIMITS)
+    return _rounded(p.select("year", "y", "x", F.col("rn").cast("int").alias("rn"), F.col("dz").cast("int").alias("dz"), "k", "dist", "diff", "fill", "weight"), "dist", "diff", "fill", "weight")
+
+
+def _filled(df: DataFrame) -> DataFrame:
+    return _rounded(df.select("year", "y", "x", "value", "dist", F.col("flags").cast("int").alias("flags")), "value", "dist")
+
+
+def a1_fill_diff(spark, sf_dir):
+    return _filled(fill_a1.fill(_stack(spark, sf_dir), SHORT, LIMITS))
+
+
+def a1_fill_trim(spark, sf_dir):
+    return _filled(fill_a1.fill(_stack(spark, sf_dir), TRIM, LIMITS))
+
+
+def a1_fill_ratio(spark, sf_dir):
+    return _filled(fill_a1.fill(_stack(spark, sf_dir), RATIO, LIMITS))
+
+
+def a1_start_year(spark, sf_dir):
+    return _filled(fill_a1.fill(_stack(spark, sf_dir), SHORT, LIMITS, targets=grid.is_target(START)).where(grid.is_target(START)))
+
+
+def a1_fill_tiles(spark, sf_dir):
+    plain = _stack(spark, sf_dir).withColumns({c: F.lit(None).cast("double") for c in ("mean", "sd", "z")})
+    return _filled(tiles.fill_tiles(plain, SPECKLE, TRIM, LIMITS, tile=12))
+
+
+def a1_counts(spark, sf_dir):
+    return aggregate.a1_counts(fill_a1.fill(_stack(spark, sf_dir), TRIM, LIMITS))
+
+
+def _clipped(spark, sf_dir):
+    filled = fill_a1.fill(_stack(spark, sf_dir), SHORT, LIMITS)
+    return filled.join(_parts(spark, sf_dir)[1], ["y", "x"], "left")
+
+
+def clip_a1(spark, sf_dir):
+    return _filled(clip.clip(_clipped(spark, sf_dir), LIMITS, fl.A1_FILLED))
+
+
+def clip_a2(spark, sf_dir):
+    df = _clipped(spark, sf_dir).withColumn("flags", F.when(fl.has(F.col("flags"), fl.A1_FILLED) & (F.col("x") % 2 == 0), fl.put(fl.drop(F.col("flags"), fl.A1_FILLED), fl.A2_FILLED)).otherwise(F.col("flags")))
+    return _filled(clip.clip(df, LIMITS, fl.A2_FILLED))
+
+
+def a2_anomaly(spark, sf_dir):
+    m = _marked(spark, sf_dir)
+    return _rounded(m.where(~fl.has(F.col("flags"), fl.OCEAN)).select("year", "y", "x", (F.col("value") - F.col("mean")).alias("anomaly")).where("anomaly IS NOT NULL"), "anomaly")
+
+
+def _left(spark, sf_dir):
+    """What A1 leaves of the masked stack."""
+    df = fill_a1.fill(despeckle.despeckle(_marked(spark, sf_dir), SPECKLE), SHORT, LIMITS)
+    return df.select("year", "y", "x", "value", "mean", "sd", "flags", "dist")
+
+
+def a2_pass(spark, sf_dir):
+    return _rounded(fill_a2.pass_values(_left(spark, sf_dir), A2(), LIMITS, tile=16), "pass_value", "pass_dist")
+
+
+def a2_fill(spark, sf_dir):
+    return _filled(fill_a2.fill(_left(spark, sf_dir), A2(), LIMITS, tile=16))
+
+
+def _passes(spark, sf_dir):
+    li = _table(spark, sf_dir, "lineitem").where("l_discount < 0.02")
+    return li.select(F.year("l_shipdate").alias("year"), (F.col("l_partkey") % H).cast("int").alias("y"), (F.col("l_suppkey") % W).cast("int").alias("x"), F.when(F.col("l_tax") > 0.01, F.col("l_quantity")).alias("pass_value"), F.col("l_discount").alias("pass_dist"))
+
+
+def a2_combine(spark, sf_dir):
+    return _rounded(fill_a2.combine(_passes(spark, sf_dir)), "a2_value", "a2_dist")
+
+
+def a2_combine_median(spark, sf_dir):
+    return _rounded(fill_a2.combine(_passes(spark, sf_dir), average="median"), "a2_value", "a2_dist")
+
+
+def _config() -> Config:
+    return Config(limits=LIMITS, job=Job(start_year=1996), despeckle=SPECKLE, a1=TRIM, a2=A2())
+
+
+def fill_pipeline(spark, sf_dir):
+    return _filled(pipeline.fill(*_parts(spark, sf_dir), _config()))
+
+
+def fill_counts(spark, sf_dir):
+    return aggregate.a2_counts(pipeline.fill(*_parts(spark, sf_dir), _config()))
+
+
+def monthly_mean(spark, sf_dir):
+    return _rounded(aggregate.monthly_mean(_composites(spark, sf_dir)), "value")
+
+
+def annual_mean(spark, sf_dir):
+    return _rounded(aggregate.annual_mean(_composites(spark, sf_dir)), "value")
+
+
+def fill_proportion(spark, sf_dir):
+    return _rounded(aggregate.fill_proportion(_composites(spark, sf_dir)), "value", "filled_percent")
+
+
+def month_and_year(spark, sf_dir):
+    return _rounded(aggregate.month_and_year(_composites(spark, sf_dir)), "value", "filled_percent")
+
+
+def diurnal_difference(spark, sf_dir):
+    li = _table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("doy"), (F.col("l_partkey") % 6).cast("int").alias("y"), (F.col("l_suppkey") % 5).cast("int").alias("x"), "l_quantity", "l_linestatus")
+    image = lambda s: li.where(F.col("l_linestatus") == s).groupBy("year", "doy", "y", "x").agg(F.round(F.avg("l_quantity"), 4).alias("value"))
+    return _rounded(aggregate.difference(image("O"), image("F")), "value")
+
+
+def occlusion_mask(spark, sf_dir):
+    return stats.occlusion(_hillshade(spark), 4, 8)
+
+
+def dilate8(spark, sf_dir):
+    sparse = stats.occlusion(_hillshade(spark), 4, 8, 40)
+    return stats.dilate8(sparse, times=2)
+
+
+def winter_min_cut(spark, sf_dir):
+    return _rounded(stats.winter_min_cut(_bands(spark, sf_dir), stats.occlusion(_hillshade(spark), 4, 8, 200), 4, 8), "mean", "sd")
+
+
+def grand_stats(spark, sf_dir):
+    return _rounded(stats.grand_stats(_bands(spark, sf_dir).where("band <= 12")), "mean", "sd")
+
+
+def flag_decode(spark, sf_dir):
+    df = clip.clip(_clipped(spark, sf_dir), LIMITS, fl.A1_FILLED)
+    return df.groupBy("year").agg(*[F.count_if(c).alias(n) for n, c in fl.decode(F.col("flags")).items()])
+
+
+ALL = (
+    grid_complete, aoi_filter, start_filter, stack_positions, synoptic_stats, monthly_stats, limits_lookup, filename_parse, doy_month_dim, ndv_to_null, ocean_neverdata_flags, extreme_flags, zscore, spiral_offsets,
+    despeckle_stack, despeckle_counts, known_unfillable, a1_pairs, a1_fill_diff, a1_fill_trim, a1_fill_ratio, a1_start_year, a1_fill_tiles, a1_counts, clip_a1, clip_a2, a2_anomaly, a2_pass, a2_fill, a2_combine,
+    a2_combine_median, fill_pipeline, fill_counts, monthly_mean, annual_mean, fill_proportion, month_and_year, diurnal_difference, occlusion_mask, dilate8, winter_min_cut, grand_stats, flag_decode,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for f in ALL}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from lacunar.oracles import SQL
+
+    return SQL
+
+
+def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fill a small stack: masks, limits, then gaps from other years."""
+    g, s, m = _parts(spark, sf_dir, 20, 10)
+    marked = despeckle.classify(g, s, m, LIMITS, SPECKLE)
+    return _filled(fill_a1.fill(marked, SHORT, LIMITS))
