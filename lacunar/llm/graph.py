@@ -1,37 +1,12 @@
-"""Connected components of edge tables, by alternating large and small stars."""
+"""Joining of linked nodes within a task; components over tables are those of the rest of the library."""
 
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from lacunar.llm.scratch import materialize, release
+from lacunar.operators.graph import components
 
-
-def components(edges: DataFrame, name: str = "edges") -> DataFrame:
-    """(node, root) for every node of edges (u, v); root: the smallest node of its component.
-
-    Each round moves every node's neighbours to its smallest one; all state is in tables, and rounds grow with the
-    logarithm of the longest path. A node with very many neighbours is one hot key of a join, which Spark splits.
-    """
-    now = materialize(edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), name)
-    seen = None
-    while True:
-        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = both.groupBy("u").agg(F.least(F.first("u"), F.min("v")).alias("m"))
-        large = both.join(lowest, "u").where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(lowest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        after = moved.union(lowest.select("u", F.col("m").alias("v"))).where("u <> v").distinct()
-        after = materialize(after, name)
-        mark = tuple(after.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-        release(now)
-        now = after
-        if mark == seen:
-            break
-        seen = mark
-    return now.select(F.col("u").alias("node"), F.col("v").alias("root"))
+__all__ = ["components", "local_roots"]
 
 
 def local_roots(n: int, a: np.ndarray, b: np.ndarray, root: np.ndarray) -> np.ndarray:

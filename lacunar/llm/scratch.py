@@ -1,42 +1,5 @@
-"""Intermediate tables in the folder that the driver and all executors share."""
+"""Intermediate tables of this subpackage lie where those of the rest do."""
 
-from __future__ import annotations
+from lacunar.sources.scratch import delete, materialize, new_path, release, shared_dir
 
-import tempfile
-import uuid
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where it is unset (tests), a folder of our own."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="lacunar-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lacunar/{name}-{uuid.uuid4().hex}"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write df once and read it back: lineage ends here and lost executors cost no recomputation."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def delete(spark: SparkSession, path: str) -> None:
-    """Remove a scratch path through Hadoop's file system, wherever it lives."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def release(df: DataFrame) -> None:
-    """Remove a materialized table once no later plan reads it."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/lacunar/" in path:
-            delete(df.sparkSession, path)
+__all__ = ["delete", "materialize", "new_path", "release", "shared_dir"]

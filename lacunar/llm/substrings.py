@@ -71,11 +71,11 @@ def _slot(key: np.ndarray, row: int, bits: int) -> np.ndarray:
     return (key if row == 0 else (key ^ (key >> np.uint64(31))) * _ROW) >> np.uint64(64 - bits)
 
 
-def _part(row: int, bits: int, shard: int) -> int:
-    return row * (1 << max(0, bits - SHARD_BITS)) + shard
+def _part(row: int, bits: int, shard_bits: int, shard: int) -> int:
+    return row * (1 << max(0, bits - shard_bits)) + shard
 
 
-def _sketch(bits: int):
+def _sketch(bits: int, shard_bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, rows, _ in answered(batch):
@@ -83,28 +83,31 @@ def _sketch(bits: int):
                 parts = {}
                 for row in range(DEPTH):
                     slot = np.unique(_slot(key, row, bits))
-                    shard = slot >> np.uint64(min(bits, SHARD_BITS))
+                    shard = slot >> np.uint64(min(bits, shard_bits))
                     cut = np.flatnonzero(np.diff(shard, prepend=np.uint64(1 << 63)))
                     for a, b in zip(cut, [*cut[1:], len(slot)], strict=True):
-                        gap = np.diff(slot[a:b] & np.uint64((1 << SHARD_BITS) - 1), prepend=np.uint64(0))
+                        gap = np.diff(slot[a:b] & np.uint64((1 << shard_bits) - 1), prepend=np.uint64(0))
                         kind = np.uint16 if gap.max() < 1 << 16 else np.uint32
                         low = gap.astype(kind).view(np.uint8).reshape(-1, kind().itemsize)
-                        parts[_part(row, bits, int(shard[a]))] = shrink(np.array([b - a], np.int64), low.T.ravel())
+                        parts[_part(row, bits, shard_bits, int(shard[a]))] = shrink(np.array([b - a], np.int64), low.T.ravel())
                 if parts:
                     yield sent(block, parts)
 
     return run
 
 
-def _merge(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
-    """Which counters of a shard reach two."""
-    once, twice = np.zeros(1 << SHARD_BITS, bool), np.zeros(1 << SHARD_BITS, bool)
-    for d in data:
-        slot = _unpack(d)
-        again = once[slot]
-        twice[slot[again]] = True
-        once[slot] = True
-    return [(block, bucket, shrink(np.packbits(twice[_unpack(d)]))) for block, d in zip(blocks, data, strict=True)]
+def _merge(shard_bits: int):
+    def run(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
+        """Which counters of a shard reach two."""
+        once, twice = np.zeros(1 << shard_bits, bool), np.zeros(1 << shard_bits, bool)
+        for d in data:
+            slot = _unpack(d)
+            again = once[slot]
+            twice[slot[again]] = True
+            once[slot] = True
+        return [(block, bucket, shrink(np.packbits(twice[_unpack(d)]))) for block, d in zip(blocks, data, strict=True)]
+
+    return run
 
 
 def _unpack(data: bytes) -> np.ndarray:
@@ -114,21 +117,21 @@ def _unpack(data: bytes) -> np.ndarray:
     return np.cumsum(gap)
 
 
-def _estimated(heads: np.ndarray, bits: int, answers: dict[int, bytes]) -> np.ndarray:
+def _estimated(heads: np.ndarray, bits: int, shard_bits: int, answers: dict[int, bytes]) -> np.ndarray:
     """Of a block's distinct keys, ascending: those whose counters all reach two."""
     alive = np.arange(len(heads))
     for row in range(DEPTH):
         slot, back = np.unique(_slot(heads[alive], row, bits), return_inverse=True)
         every = slot if row == 0 else np.unique(_slot(heads, row, bits))
-        shard = every >> np.uint64(min(bits, SHARD_BITS))
+        shard = every >> np.uint64(min(bits, shard_bits))
         keys, counts = np.unique(shard, return_counts=True)
-        flags = np.concatenate([np.zeros(0, np.uint8), *[np.unpackbits(grow(answers[_part(row, bits, int(k))])[0], count=int(n)) for k, n in zip(keys, counts, strict=True)]]).astype(bool)
+        flags = np.concatenate([np.zeros(0, np.uint8), *[np.unpackbits(grow(answers[_part(row, bits, shard_bits, int(k))])[0], count=int(n)) for k, n in zip(keys, counts, strict=True)]]).astype(bool)
         hit = flags if row == 0 else flags[np.searchsorted(every, slot)]
         alive = alive[hit[back]]
     return alive
 
 
-def _exact(bits: int, buckets: int):
+def _exact(bits: int, shard_bits: int, buckets: int):
     """Send the windows estimated repeated, once a block, with the place where they first begin in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,7 +150,7 @@ def _exact(bits: int, buckets: int):
                 heads = np.flatnonzero(new)
                 distinct, back = np.unique(key[heads], return_inverse=True)
                 flagged = np.zeros(len(distinct), bool)
-                flagged[_estimated(distinct, bits, answers)] = True
+                flagged[_estimated(distinct, bits, shard_bits, answers)] = True
                 heads = heads[flagged[back]]
                 place = order[heads]
                 row = np.searchsorted(w.words.docs, w.at[place], side="right") - 1
@@ -233,9 +236,9 @@ def _repeats(docs: DataFrame, name: str) -> DataFrame:
     total = blocks.agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("n")).first()
     windows = max(1, (total["bytes"] or 0) // 5)
     bits = max(16, (WIDTH_PER_WINDOW * windows - 1).bit_length())
-    flags = exchange(blocks.mapInArrow(_sketch(bits), SENT), _merge)
+    flags = exchange(blocks.mapInArrow(_sketch(bits, SHARD_BITS), SENT), _merge(SHARD_BITS))
     buckets = max(1, -(-total["n"] // 2))
-    sends = with_answers(blocks, flags).mapInArrow(_exact(bits, buckets), SENT)
+    sends = with_answers(blocks, flags).mapInArrow(_exact(bits, SHARD_BITS, buckets), SENT)
     return with_answers(blocks, exchange(sends, _first))
 
 
