@@ -267,7 +267,7 @@ def test_mixing_prefers_heavy_documents(spark):
 def test_suffix_tree(spark, rows, monkeypatch):
     monkeypatch.setattr(suffix_tree, "P_MIN", 2e-3)
     monkeypatch.setattr(suffix_tree, "pack_blocks", lambda *a: blocks.pack_blocks(*a, limit=3000))
-    rows = [*rows, (950, "p q r " * 120, "a"), (951, "s q u " * 120, "a")]
+    rows = [*rows, *((950 + i, ("p q r ", "s q u ")[i % 2] * 60, "a") for i in range(12))]
     end = b"\0end"
     texts = {i: [*split(t, True), end] for i, t, _ in rows}
     held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
