@@ -47,13 +47,9 @@ def is_target(start_year: int | None, start_doy: int | None = None) -> Column:
     return F.col("year") * 1000 + F.col("doy") >= start_year * 1000 + start_doy
 
 
-def stack_position(by: Sequence[str] = ()) -> Column:
-    """Position of a row's year among the years of its day; missing years leave no hole. One small window over dates."""
-    return F.dense_rank().over(Window.partitionBy(*by).orderBy("year"))
-
-
 def with_position(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
-    """df with `pos`, ranked on its distinct dates alone and joined back."""
+    """df with `pos`, the position of a row's year among the years of its day; missing years leave no hole. Ranked on the
+    distinct dates alone and joined back."""
     dates = df.select(*by, "year").distinct()
     dates = dates.withColumn("pos", F.dense_rank().over(Window.partitionBy(*by).orderBy("year")))
     return df.join(F.broadcast(dates), [*by, "year"])  # a row for each image of the archive

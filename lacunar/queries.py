@@ -122,7 +122,6 @@ def filename_parse(spark, sf_dir):
     o = _table(spark, sf_dir, "orders")
     day = F.lpad(F.dayofyear("o_orderdate").cast("string"), 3, "0")
     old = F.concat(F.lit("/in/A"), F.year("o_orderdate").cast("string"), day, F.lit("_Filled_Data.tif"))
-    new = F.concat(F.lit("/in/LST_Day.v6."), F.lit("tif"))
     new = F.concat(F.lit("/in/LST."), F.year("o_orderdate").cast("string"), F.lit("."), day, F.lit(".mean.1km.mean.tif"))
     paths = o.select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, old).otherwise(new).alias("path"))
     return paths.select("o_orderkey", grids.night_name(grids.base_name(F.col("path"))).alias("name"), *[c.alias(n) for n, c in grids.file_date(F.col("path")).items()])
