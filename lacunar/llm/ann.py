@@ -29,6 +29,7 @@ from lacunar.llm.vectors import common_length, distinct_top, matrix, merge_top
 
 TRAIN_ROWS, MAX_LISTS = 16_384, 1024
 PROBE_FRACTION = 0.65
+FIRST_FRACTION = 0.06  # of the lists, probed first; their k-th best bounds the rest
 EPSILON = 2.1  # of the hypothesis test: the larger, the fewer false rejections
 COLUMNS = 16  # in a block
 SHARD, BLOCK = 4096, 2048
@@ -70,13 +71,14 @@ class Space:
         for _ in range(8):
             if not len(points):
                 break
-            own = self.near(points, 1)[:, 0]
+            own = self.near(points)[:, 0]
             size = np.bincount(own, minlength=lists)
             total = np.zeros((lists, dim + 1))
             np.add.at(total, own, points)
             full = size > 0
             self.centroids[full] = (total[full] / size[full, None]).astype(np.float32)
         self.probes = max(1, math.ceil(PROBE_FRACTION * len(self.centroids)))
+        self.first = max(1, math.ceil(FIRST_FRACTION * len(self.centroids)))
 
     def place(self, x: np.ndarray, query: bool = False) -> np.ndarray:
         """Scaled by the largest norm, completed and rotated. A query is brought to length one, which keeps its order."""
@@ -88,9 +90,10 @@ class Space:
             rest = np.sqrt(np.clip(1 - (y * y).sum(1), 0, None))
         return np.concatenate([y, rest[:, None]], axis=1).astype(np.float32) @ self.rotation
 
-    def near(self, points: np.ndarray, probes: int) -> np.ndarray:
+    def near(self, points: np.ndarray, ranks: slice | None = None) -> np.ndarray:
+        """The nearest list of each point, or its lists at those ranks of nearness."""
         d = 0.5 * (self.centroids * self.centroids).sum(1) - points @ self.centroids.T
-        return np.argpartition(d, probes - 1, axis=1)[:, :probes] if probes < d.shape[1] else np.broadcast_to(np.arange(d.shape[1]), d.shape)
+        return np.argmin(d, axis=1)[:, None] if ranks is None else np.argsort(d, axis=1, kind="stable")[:, ranks]
 
     def nearest_in_sample(self, ids: np.ndarray, x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query the ids and scores of the k best of the sample, itself left out."""
@@ -101,11 +104,11 @@ class Space:
             out.append((self.sample_ids[top], (x[len(out)] * self.sample[top]).sum(1)))
         return out
 
-    def bounds(self, ids: np.ndarray, x: np.ndarray) -> np.ndarray:
-        """An upper bound of each query's k-th smallest squared distance: that within the sample."""
+    def bounds(self, ids: np.ndarray, x: np.ndarray, least: np.ndarray) -> np.ndarray:
+        """An upper bound of each query's k-th smallest squared distance: by the score `least` or within the sample."""
         length = np.sqrt((x * x).sum(1)) * math.sqrt(self.most)
-        last = [s[self.k - 1] if len(s) >= self.k else -np.inf for _, s in self.nearest_in_sample(ids, x)]
-        return (2 - 2 * np.array(last) / length).astype(np.float32)
+        last = np.array([s[self.k - 1] if len(s) >= self.k else -np.inf for _, s in self.nearest_in_sample(ids, x)])
+        return (2 - 2 * np.maximum(last, least) / length).astype(np.float32)
 
 
 def _seeds(space: Space, key: str, vec: str, dim: int):
@@ -120,22 +123,28 @@ def _seeds(space: Space, key: str, vec: str, dim: int):
     return run
 
 
-def _assign(space: Space, key: str, vec: str, dim: int, queries: bool):
+def _assign(space: Space, key: str, vec: str, dim: int, probes: slice | None = None):
+    """Rows of their nearest list or, as queries, of the lists at the ranks `probes`, packed by list. A query column
+    "least" holds the k-th best score so far."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         uid = TaskContext.get().partitionId() << 32
         for batch in batches:
             all_ids, all_x = _nonzero(batch, key, vec, dim)
+            if probes is not None:
+                known = dict(zip(batch.column(key).to_pylist(), batch.column("least").to_pylist(), strict=True))
+                least = np.array([-np.inf if known[i] is None else known[i] for i in all_ids.tolist()])
             for a in range(0, len(all_ids), BLOCK):
                 ids, x = all_ids[a : a + BLOCK], all_x[a : a + BLOCK]
-                points = space.place(x, queries)
-                lists = space.near(points, space.probes if queries else 1)
+                points = space.place(x, probes is not None)
+                lists = space.near(points, probes)
                 row = np.repeat(np.arange(len(ids)), lists.shape[1])
                 lists = lists.ravel()
                 order = np.argsort(lists, kind="stable")
                 lists, row = lists[order], row[order]
-                aux = space.bounds(ids, x) if queries else np.zeros(len(ids), np.float32)
+                aux = np.zeros(len(ids), np.float32) if probes is None else space.bounds(ids, x, least[a : a + BLOCK])
                 starts = np.flatnonzero(np.diff(lists, prepend=-1))
                 rows = [row[s:e] for s, e in zip(starts, [*starts[1:], len(lists)], strict=True)]
                 yield pa.RecordBatch.from_pydict({
@@ -220,18 +229,30 @@ def adaptive_scan(df: DataFrame, k: int = 20, every: int = 20, key: str = "vec_i
     space = Space(x, ids, most, n, k)
     space.sample, space.sample_ids = space.sample[:2048], space.sample_ids[:2048]
 
-    base = materialize(df.mapInArrow(_assign(space, key, vec, dim, False), PACKED), "ann-base")
-    asked = materialize(df.where(F.pmod(key, F.lit(every)) == 0).mapInArrow(_assign(space, key, vec, dim, True), PACKED), "ann-queries")
+    base = materialize(df.mapInArrow(_assign(space, key, vec, dim), PACKED), "ann-base")
     counts = lambda d, per: {r["list"]: -(-r["n"] // per) for r in d.groupBy("list").agg(F.sum("n").alias("n")).collect()}  # noqa: E731  at most MAX_LISTS rows
-    subs, blocks = counts(base, SHARD), counts(asked, BLOCK)
-
-    def spread(d: DataFrame, own: str, other: str) -> DataFrame:
-        sizes = spark.createDataFrame([(p, subs[p], blocks[p]) for p in sorted(subs.keys() & blocks.keys())], "list int, subs int, blocks int")
-        d = d.join(F.broadcast(sizes), "list").withColumn(own, F.pmod(F.xxhash64("uid"), F.col(own + "s")).cast("int"))
-        return d.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other + "s") - 1))).drop("subs", "blocks")
-
-    keys = ["list", "sub", "block"]
-    left, right = spread(asked, "block", "sub"), spread(base, "sub", "block")
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(space, dim), FOUND)
-    seeds = df.where(F.pmod(key, F.lit(every)) == 0).mapInArrow(_seeds(space, key, vec, dim), FOUND)
-    return merge_top(found.unionByName(seeds), k, len(space.centroids))
+    subs = counts(base, SHARD)
+    queries = df.where(F.pmod(key, F.lit(every)) == 0)
+
+    def probe(queries: DataFrame, ranks: slice) -> DataFrame:
+        asked = materialize(queries.mapInArrow(_assign(space, key, vec, dim, ranks), PACKED), "ann-queries")
+        blocks = counts(asked, BLOCK)
+        sizes = [(p, subs[p], blocks[p]) for p in sorted(subs.keys() & blocks.keys())]
+
+        def spread(d: DataFrame, own: str, other: str) -> DataFrame:
+            d = d.join(F.broadcast(spark.createDataFrame(sizes, "list int, subs int, blocks int")), "list").withColumn(own, F.pmod(F.xxhash64("uid"), F.col(own + "s")).cast("int"))
+            return d.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other + "s") - 1))).drop("subs", "blocks")
+
+        keys = ["list", "sub", "block"]
+        left, right = spread(asked, "block", "sub"), spread(base, "sub", "block")
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(space, dim), FOUND)
+
+    lists = len(space.centroids)
+    found = probe(queries.withColumn("least", F.lit(None).cast("double")), slice(0, space.first))
+    found = found.unionByName(queries.mapInArrow(_seeds(space, key, vec, dim), FOUND))
+    near = materialize(merge_top(found, k, lists), "ann-near")
+    if space.first >= space.probes:
+        return near
+    kth = near.where(F.col("rank") == k).select(F.col("query_id").alias(key), F.col("score").alias("least"))
+    rest = probe(queries.join(kth, key, "left").select(key, vec, "least"), slice(space.first, space.probes))
+    return merge_top(rest.unionByName(near.select("query_id", F.lit(0).cast("long").alias("grp"), "vec_id", "score")), k, lists)
