@@ -62,7 +62,8 @@ class A2:
 
 @dataclass(frozen=True)
 class Job:
-    """days: days of year to fill, none or a 0 for all. start_year: the first year to fill; earlier years give values."""
+    """days: days of year to fill, none or a 0 for all. start_year: the first year to fill; earlier years give values.
+    a2_years: years that A2 is run for, none for all."""
 
     days: tuple[int, ...] = ()
     start_year: int | None = None
@@ -71,6 +72,7 @@ class Job:
     west: float | None = None
     east: float | None = None
     run_a2: bool = True
+    a2_years: tuple[int, ...] = ()
     clip: bool = True
     tile: int = 256
 
@@ -130,8 +132,9 @@ def from_dict(sections: dict[str, dict[str, Any] | None]) -> Config:
         given = dict(sections.get(name) or {})
         if unknown := set(given) - {f.name for f in fields(kind)}:
             raise ValueError(f"unknown settings in {name}: {sorted(unknown)}")
-        if name == "job" and isinstance(given.get("days"), list | int):
-            given["days"] = tuple(given["days"]) if isinstance(given["days"], list) else (given["days"],)
+        for key in ("days", "a2_years") if name == "job" else ():
+            if isinstance(given.get(key), list | int):
+                given[key] = tuple(given[key]) if isinstance(given[key], list) else (given[key],)
         made[name] = kind(**given)
     if not sections.get("limits"):
         paths = made["paths"]
@@ -139,15 +142,20 @@ def from_dict(sections: dict[str, dict[str, Any] | None]) -> Config:
     return Config(**made)
 
 
-def load(*files: str) -> Config:
-    """A Config of one or more YAML files; sections of later files replace those of earlier ones."""
+def load_sections(*files: str) -> dict[str, Any]:
+    """Sections of YAML files; those of later files replace those of earlier ones."""
     import yaml
 
     sections: dict[str, Any] = {}
     for file in files:
         with open(file, encoding="utf-8") as f:
             sections |= yaml.safe_load(f) or {}
-    return from_dict(sections)
+    return sections
+
+
+def load(*files: str) -> Config:
+    """A Config of one or more YAML files."""
+    return from_dict(load_sections(*files))
 
 
 def sample(parts: tuple[str, ...] = tuple(PARTS)) -> str:

@@ -55,6 +55,18 @@ def with_position(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return df.join(F.broadcast(dates), [*by, "year"])  # a row for each image of the archive
 
 
+def shape(mask: DataFrame) -> tuple[int, int]:
+    """(height, width) of a table that holds every cell, such as the land mask."""
+    top = mask.agg(F.max("y").alias("y"), F.max("x").alias("x")).first()
+    return (top["y"] + 1, top["x"] + 1) if top["y"] is not None else (0, 0)
+
+
+def tile_size(memory: int, years: int, margin: int, cell_bytes: int = 64) -> int:
+    """The largest tile, in steps of 32 cells and 32 at least, whose stack with its halo fits into some bytes of a task."""
+    side = int((memory / (cell_bytes * max(1, years))) ** 0.5) - 2 * margin
+    return max(32, side // 32 * 32)
+
+
 def tiled(df: DataFrame, tile: int, halo: int) -> DataFrame:
     """Each row once for every tile (ty, tx) whose core or halo holds it; `core` tells the tile it belongs to."""
     first = lambda c: F.floor((F.col(c) - halo) / tile).cast("int")

@@ -1,4 +1,4 @@
-"""Command line: python -m lacunar.plans.cli -c run.yml [-p params.yml] --height H --width W."""
+"""Command line: python -m lacunar.plans.cli -c run.yml [-p params.yml]."""
 
 from __future__ import annotations
 
@@ -12,8 +12,8 @@ def main(args: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(description="Fill gaps of a gridded time series.")
     parser.add_argument("-c", "--config", required=True, help="YAML of a run, or SAMPLE to write sample_run.yml")
     parser.add_argument("-p", "--params", help="YAML of parameters, or SAMPLE to write sample_params.yml")
-    parser.add_argument("--height", type=int, default=21600)
-    parser.add_argument("--width", type=int, default=43200)
+    parser.add_argument("--height", type=int, help="rows of the grid; else those of the mask")
+    parser.add_argument("--width", type=int)
     got = parser.parse_args(args)
     samples = [(got.config, "sample_run.yml", ("paths", "limits", "job")), (got.params, "sample_params.yml", ("despeckle", "a1", "a2"))]
     wanted = [(name, parts) for given, name, parts in samples if given == "SAMPLE"]

@@ -11,7 +11,7 @@ from lacunar.config import Config
 from lacunar.functions import flags as fl
 from lacunar.operators import despeckle, fill_a1, fill_a2, tiles
 from lacunar.operators.clip import clip
-from lacunar.operators.grid import complete, is_target, on_days, pixel_limits, within
+from lacunar.operators.grid import complete, is_target, on_days, pixel_limits, shape, within
 from lacunar.sources.grids import no_data, read_obs
 from lacunar.sources.scratch import materialize
 from lacunar.sources.sinks import write_images
@@ -34,17 +34,23 @@ def fill(grid: DataFrame, stats: DataFrame, mask: DataFrame, config: Config, by:
         filled = clip(filled, config.limits, fl.A1_FILLED)
     filled = materialize(filled.select(*keys, "y", "x", "value", "flags", "dist", "mean", "sd"), "a1")
     if config.job.run_a2:
-        filled = fill_a2.fill(filled, config.a2, config.limits, keys)
+        chosen = F.col("year").isin(*config.job.a2_years) if config.job.a2_years else F.lit(True)
+        others = filled.where(~chosen)
+        filled = fill_a2.fill(filled.where(chosen), config.a2, config.limits, keys)
         if config.job.clip:
             filled = clip(filled, config.limits, fl.A2_FILLED)
+        filled = filled.unionByName(others)
     return filled.select(*keys, "y", "x", "value", "dist", "flags")
 
 
-def run(spark: SparkSession, config: Config, height: int, width: int) -> None:
-    """Read, fill and write the images of a job; days are independent of each other and share one plan."""
+def run(spark: SparkSession, config: Config, height: int | None = None, width: int | None = None) -> None:
+    """Read, fill and write the images of a job; days are independent of each other and share one plan. The size of the
+    grid is that of the mask unless it is given."""
     p, job = config.paths, config.job
     obs = no_data(on_days(read_obs(spark, p.data, p.variable or None), job.days), config.limits)
     stats, mask = no_data(spark.read.parquet(p.stats), config.limits, ("mean", "sd")), spark.read.parquet(p.mask)
+    if height is None or width is None:
+        height, width = shape(mask)
     grid = complete(obs.drop("variable"), height, width, ("doy", "year"))
     if None not in (job.north, job.south, job.west, job.east):
         box = pixel_limits(job.north, job.south, job.west, job.east)

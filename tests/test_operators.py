@@ -8,7 +8,7 @@ from lacunar import config
 from lacunar.config import A1, A2, Config, Despeckle, Job, Limits
 from lacunar.functions.calendar import month_of
 from lacunar.operators import clip, despeckle, fill_a1, fill_a2, grid, kernels, stats, tiles
-from lacunar.plans import pipeline
+from lacunar.plans import cli, pipeline
 from lacunar.sources import grids, sinks
 
 OPEN = Limits(None, None)
@@ -123,6 +123,17 @@ def test_area_and_names(spark):
     assert out == "EVI-FilledData.2015.009.Data.1km.Data"
 
 
+def test_tile_size():
+    assert grid.tile_size(1 << 30, 15, 33) == 960 and grid.tile_size(1, 15, 33) == 32
+
+
+def test_cli_samples(tmp_path, monkeypatch):
+    monkeypatch.chdir(tmp_path)
+    assert cli.main(["-c", "SAMPLE", "-p", "SAMPLE"]) == 1
+    sections = config.load_sections("sample_run.yml", "sample_params.yml")
+    assert set(sections) == set(config.PARTS)
+
+
 def test_config(tmp_path):
     assert config.limits_for("MOD_LST_Day").floor == -100
     for name in ("nothing", "LST_EVI"):
@@ -143,10 +154,11 @@ def test_run_writes_images(spark, stack, tmp_path):
     obs = table(spark, stack).where("value IS NOT NULL").withColumns({"variable": F.lit("EVI"), "doy": F.lit(9)})
     obs.write.partitionBy("variable", "doy", "year").parquet(str(tmp_path / "in"))
     stats.synoptic(table(spark, stack)).select("y", "x", "mean", "sd").write.parquet(str(tmp_path / "stats"))
-    obs.select("y", "x").distinct().withColumn("land", F.lit(1)).write.parquet(str(tmp_path / "mask"))
+    table(spark, stack).select("y", "x").distinct().withColumn("land", F.lit(1)).write.parquet(str(tmp_path / "mask"))
     paths = {"data": str(tmp_path / "in"), "stats": str(tmp_path / "stats"), "mask": str(tmp_path / "mask"), "output": str(tmp_path / "out"), "variable": "EVI"}
-    c = config.from_dict({"paths": paths, "job": {"days": [0], "tile": 8}, "limits": {"ceiling": 50, "floor": 0}, "despeckle": {"search": 8, "min_used": 2, "max_used": 8}, "a1": {"search": 8, "min_used": 2, "max_used": 8}})
-    pipeline.run(spark, c, 13, 14)
+    c = config.from_dict({"paths": paths, "job": {"days": [0], "tile": 8, "a2_years": [2, 3]}, "limits": {"ceiling": 50, "floor": 0}, "despeckle": {"search": 8, "min_used": 2, "max_used": 8}, "a1": {"search": 8, "min_used": 2, "max_used": 8}})
+    pipeline.run(spark, c)
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.count() == stack.size and out.where("value IS NOT NULL").count() > np.count_nonzero(~np.isnan(stack))
+    assert out.where("year < 2 AND flags & 64 <> 0").count() == 0 < out.where("year >= 2 AND flags & 64 <> 0").count()
     assert {f.name for f in out.schema} == {"variable", "doy", "year", "y", "x", "value", "dist", "flags"}
