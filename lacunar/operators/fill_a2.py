@@ -1,8 +1,8 @@
 """A2: fill what A1 left by smearing anomalies over the image in eight scan directions.
 
 During a pass information moves through gap cells only, so every 8-connected component of gaps, with the cells around
-it, is filled by itself. Components are labelled tile by tile and joined over tile borders; then each is a row of a
-grouped map, wherever it lies. One component is one task's array: the scan is sequential within it.
+it, is filled by itself. Components are labelled tile by tile and joined over tile borders; then many small ones
+are placed side by side in one task's array. A component is never cut: the scan is sequential within it.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from lacunar.operators.graph import components
 from lacunar.sources.scratch import materialize
 
 TILE = 512
+CELLS = 1 << 16  # gap cells in a task's group, but for a larger component
 WIDTH = 1 << 24  # cells of a row, at most: a cell's number is y * WIDTH + x
 
 
@@ -47,6 +48,25 @@ def _label(y: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def _atlas(component: np.ndarray, y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[int, int]]:
+    """Places of the cells in one array that holds all components side by side, a blank column or row between them."""
+    names, comp = np.unique(component, return_inverse=True)
+    low, high = np.full((2, len(names)), np.iinfo(np.int64).max), np.full((2, len(names)), -1)
+    for i, v in enumerate((y, x)):
+        np.minimum.at(low[i], comp, v)
+        np.maximum.at(high[i], comp, v)
+    tall, wide = high - low + 2
+    width = max(1024, int(wide.max()))
+    top, left = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
+    shelf = at = depth = 0
+    for c in np.argsort(-tall, kind="stable").tolist():
+        if at and at + wide[c] > width:
+            shelf, at, depth = shelf + depth, 0, 0
+        top[c], left[c] = shelf, at
+        at, depth = at + int(wide[c]), max(depth, int(tall[c]))
+    return y - low[0][comp] + top[comp], x - low[1][comp] + left[comp], (shelf + depth, width if shelf else at)
+
+
 def gap_components(df: DataFrame, by: Sequence[str], tile: int = TILE) -> DataFrame:
     """by..., y, x, component of every gap cell; components of an image are named by their smallest cell."""
     gaps = df.where(fl.has(F.col("flags"), fl.FAILURE) & F.col("mean").isNotNull() & ~fl.has(F.col("flags"), fl.OCEAN)).select(*by, "y", "x")
@@ -83,25 +103,24 @@ def pass_values(df: DataFrame, config: A2, limits: Limits, by: Sequence[str] = (
     cells = cells.join(own, [*by, "y", "x", "component"], "left").withColumn("own", F.coalesce("own", F.lit(False)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        y, x = pdf["y"].to_numpy(), pdf["x"].to_numpy()
-        y0, x0 = y.min(), x.min()
-        shape = (int(y.max() - y0 + 1), int(x.max() - x0 + 1))
+        row, col, shape = _atlas(pdf["component"].to_numpy(), pdf["y"].to_numpy(), pdf["x"].to_numpy())
 
         def dense(name: str, empty: float) -> np.ndarray:
             a = np.full(shape, empty)
-            a[y - y0, x - x0] = pdf[name].to_numpy(dtype=np.float64, na_value=empty)
+            a[row, col] = pdf[name].to_numpy(dtype=np.float64, na_value=empty)
             return a
 
-        flags = dense("flags", 0).astype(np.int64)
+        flags = dense("flags", fl.OCEAN).astype(np.int64)
         values, far, _ = kernels.fill_a2(dense("value", np.nan), dense("mean", np.nan), flags, dense("dist", np.nan), config, limits)
         mine = pdf["own"].to_numpy(dtype=bool)
-        spots = [(i, np.flatnonzero(mine & ~np.isnan(values[i, y - y0, x - x0]))) for i in range(8)]
-        parts = [pdf.iloc[at][[*by, "y", "x"]].assign(**{"pass": i, "pass_value": values[i, y[at] - y0, x[at] - x0], "pass_dist": far[i, y[at] - y0, x[at] - x0]}) for i, at in spots]
+        spots = [(i, np.flatnonzero(mine & ~np.isnan(values[i, row, col]))) for i in range(8)]
+        parts = [pdf.iloc[at][[*by, "y", "x"]].assign(**{"pass": i, "pass_value": values[i, row[at], col[at]], "pass_dist": far[i, row[at], col[at]]}) for i, at in spots]
         return pd.concat(parts)
 
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
     schema = ", ".join(f"{c} {kinds[c]}" for c in [*by, "y", "x"]) + ", `pass` int, pass_value double, pass_dist double"
-    return cells.groupBy(*by, "component").applyInPandas(run, schema)
+    buckets = max(1, -(-comps.count() // CELLS))
+    return cells.withColumn("bucket", F.pmod(F.xxhash64("component"), F.lit(buckets))).groupBy("bucket").applyInPandas(run, schema)
 
 
 def combine(passes: DataFrame, by: Sequence[str] = ("year",), average: str = "mean") -> DataFrame:
