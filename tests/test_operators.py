@@ -10,6 +10,7 @@ from lacunar.functions.calendar import month_of
 from lacunar.operators import clip, despeckle, fill_a1, fill_a2, grid, kernels, stats, tiles
 from lacunar.plans import cli, pipeline
 from lacunar.sources import grids, sinks
+from lacunar.streaming import incremental
 
 OPEN = Limits(None, None)
 
@@ -162,3 +163,19 @@ def test_run_writes_images(spark, stack, tmp_path):
     assert out.count() == stack.size and out.where("value IS NOT NULL").count() > np.count_nonzero(~np.isnan(stack))
     assert out.where("year < 2 AND flags & 64 <> 0").count() == 0 < out.where("year >= 2 AND flags & 64 <> 0").count()
     assert {f.name for f in out.schema} == {"variable", "doy", "year", "y", "x", "value", "dist", "flags"}
+
+
+def test_watch_refills_what_arrives(spark, stack, tmp_path):
+    obs = table(spark, stack).where("value IS NOT NULL").withColumns({"variable": F.lit("EVI"), "doy": F.lit(9)})
+    save = lambda df: df.write.mode("append").partitionBy("variable", "doy", "year").parquet(str(tmp_path / "in"))
+    save(obs.where("year < 3"))
+    stats.synoptic(table(spark, stack)).select("y", "x", "mean", "sd").write.parquet(str(tmp_path / "stats"))
+    table(spark, stack).select("y", "x").distinct().withColumn("land", F.lit(1)).write.parquet(str(tmp_path / "mask"))
+    paths = config.Paths(str(tmp_path / "in"), str(tmp_path / "stats"), str(tmp_path / "mask"), str(tmp_path / "out"), "EVI")
+    c = Config(paths=paths, limits=Limits(50, 0), despeckle=Despeckle(8, 2, 8), a1=A1(8, 2, 8), job=Job(run_a2=False))
+    incremental.watch(spark, c, str(tmp_path / "cp")).awaitTermination()
+    assert {r["year"] for r in spark.read.parquet(str(tmp_path / "out")).select("year").distinct().collect()} == {0, 1, 2}
+    save(obs.where("year = 3"))
+    incremental.watch(spark, c, str(tmp_path / "cp")).awaitTermination()
+    out = spark.read.parquet(str(tmp_path / "out"))
+    assert out.where("year = 3").count() == stack[0].size and out.count() == stack.size
