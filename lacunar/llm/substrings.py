@@ -84,8 +84,8 @@ def _sketch(bits: int, shard_bits: int):
                 for row in range(DEPTH):
                     slot = np.unique(_slot(key, row, bits))
                     shard = slot >> np.uint64(min(bits, shard_bits))
-                    cut = np.flatnonzero(np.diff(shard, prepend=np.uint64(1 << 63)))
-                    for a, b in zip(cut, [*cut[1:], len(slot)], strict=True):
+                    cut = [*np.flatnonzero(np.diff(shard, prepend=np.uint64(1 << 63))), len(slot)]
+                    for a, b in zip(cut, cut[1:], strict=False):
                         gap = np.diff(slot[a:b] & np.uint64((1 << shard_bits) - 1), prepend=np.uint64(0))
                         kind = np.uint16 if gap.max() < 1 << 16 else np.uint32
                         low = gap.astype(kind).view(np.uint8).reshape(-1, kind().itemsize)

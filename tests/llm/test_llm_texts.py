@@ -194,6 +194,11 @@ def test_substrings(spark, rows, monkeypatch, limit, width, bits):
             assert r["text"].encode() == want[i][2]
 
 
+def test_no_window_at_all(spark):
+    docs = frame(spark, [(1, "a b", "s"), (2, None, None), (3, "a b", "s")])
+    assert sorted((r["doc_id"], r["n_words"], r["n_removed"]) for r in substrings.repeated_spans(docs).collect()) == [(1, 2, 0), (2, 0, 0), (3, 2, 0)]
+
+
 def test_licenses(spark, rows):
     more = [*rows, (900, "Licensed under CC BY-NC 4.0. All rights reserved. all  RIGHTS-reserved", "a"), (901, "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by someone", "a")]
     got = by_id(licenses.scan_licenses(frame(spark, more)))
