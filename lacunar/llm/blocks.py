@@ -17,9 +17,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lacunar.llm.scratch import materialize
-from lacunar.llm.textops import slices
+from lacunar.llm.textops import slices, trim
 
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 SENT = "bucket long, block_id long, data binary"
 ANSWER = "block_id long, bucket long, data binary"
 
@@ -71,6 +71,7 @@ def pack_blocks(df: DataFrame, text: str, order: str, name: str, limit: int = BL
             batch = batch.take(pa.array(at))
             n_bytes = int(pa.compute.sum(pa.compute.binary_length(batch.column(text))).as_py() or 0)
             payload = freeze(convert(batch) if convert else batch)
+            trim()
             yield pa.RecordBatch.from_pydict({"block_id": pa.array([block], pa.int64()), "n_rows": pa.array([len(batch)], pa.int64()), "n_bytes": pa.array([n_bytes], pa.int64()), "payload": [payload]})
             block += 1
 
@@ -112,6 +113,7 @@ def exchange(sends: DataFrame, answer: Callable[[int, list[int], list[bytes]], l
         ids, data = table["block_id"].to_pylist(), table["data"].to_pylist()
         order = sorted(range(len(ids)), key=ids.__getitem__)
         rows = answer(table["bucket"][0].as_py(), [ids[i] for i in order], [data[i] for i in order])
+        trim()
         return pa.table({"block_id": pa.array([r[0] for r in rows], pa.int64()), "bucket": pa.array([r[1] for r in rows], pa.int64()), "data": pa.array([r[2] for r in rows], pa.binary())})
 
     return sends.groupBy("bucket").applyInArrow(run, ANSWER)
@@ -129,3 +131,4 @@ def answered(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Table, dict[int, b
     for i, block in enumerate(batch.column("block_id").to_pylist()):
         mine = got[i].as_py() if got is not None else None
         yield block, thaw(batch.column("payload")[i].as_py()), {a["bucket"]: a["data"] for a in mine or ()}
+        trim()

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lacunar.llm.scratch import materialize
-from lacunar.llm.textops import Words, slices
+from lacunar.llm.textops import Words, slices, trim
 
 WEIGHTS, LIMIT, SHARE = (5.0, 2.0, 1.0), 3.0, 1.0
 INTERVALS = 4096
@@ -39,13 +39,14 @@ MINE = ("_mix_size", "_mix_weight", "_mix_tag")
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row with its words, its quality weight (the share of a text's bytes that are letters) and a hash of its text."""
     for batch in batches:
-        for part in slices(batch, "_mix_text"):
+        for part in slices(batch, "_mix_text", 8 << 20):
             words = Words(part.column("_mix_text"))
             bytes_in = np.diff(words.at[words.docs])
             fine = np.concatenate([np.zeros(1, np.int64), np.cumsum(_good[words.data])])[words.at[words.docs]]
             new = (pa.array(np.diff(words.docs)), pa.array((np.diff(fine) + 1.0) / (bytes_in + 1.0)), part.column("_mix_tag"))
             names = [n for n in part.schema.names if not n.startswith("_mix_")]
             yield pa.RecordBatch.from_arrays([*[part.column(n) for n in names], *new], names=[*names, *MINE])
+    trim()
 
 
 def measured(docs: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.textops import slices
+from lacunar.llm.textops import slices, trim
 from lacunar.llm.tokens import Encoder
 
 LENGTH, SEGMENTS = 2048, 512
@@ -113,6 +113,7 @@ def _pack(tokenizer: str, end: int, tokens: int, segments: int, loss: int, promp
                 if np.count_nonzero(packer.left) > WAITING:
                     yield from out(LEFT)
         yield from out(0)
+        trim()
 
     return run
 

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lacunar.llm.graph import components, local_roots
 from lacunar.llm.scratch import materialize
-from lacunar.llm.textops import Words, slices
+from lacunar.llm.textops import Words, slices, trim
 
 SHINGLE, SEED, DISTANCE = 4, 42, 4
 SEGMENTS = ((0, 21), (21, 21), (42, 22))
@@ -72,8 +72,9 @@ def fingerprints(col: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
 
 def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text", 8 << 20):
+        for part in slices(batch, "text", 4 << 20):
             yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "fp": pa.array(fingerprints(part.column("text")).view(np.int64))})
+    trim()
 
 
 @cache

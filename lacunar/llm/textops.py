@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,15 @@ IS_WORD = (~np.isin(_bytes, SPACES)).astype(np.uint8)
 IS_ALNUM = (((_bytes >= 0x30) & (_bytes <= 0x39)) | ((_bytes >= 0x61) & (_bytes <= 0x7A)) | (_bytes >= 0x80)).astype(np.uint8)
 
 
+def trim() -> None:
+    """Give freed memory back, so that a reused worker doesn't keep the peak of its last task."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # not glibc
+        pass
+
+
 def slices(batch: pa.RecordBatch, text: str, limit: int = 16 << 20) -> Iterator[pa.RecordBatch]:
     """Runs of whole rows of about `limit` bytes of text; a longer text makes a run of its own."""
     if not batch.num_rows:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.textops import IS_ALNUM, Words, slices
+from lacunar.llm.textops import IS_ALNUM, Words, slices, trim
 
 TRAIN_ROWS = 12_000
 ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 12.0, 0.1, 4
@@ -89,12 +89,13 @@ def train(examples: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, n
 
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text"):
+        for part in slices(batch, "text", 8 << 20):
             row, f = features(part.column("text"))
             pairs = np.unique((row.astype(np.uint64) << np.uint64(32)) | f)
             at = np.searchsorted(pairs >> np.uint64(32), np.arange(len(part) + 1))
             low = (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "toxic": part.column("toxic"), "features": [low[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]})
+    trim()
 
 
 def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -103,6 +104,8 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         examples += [np.frombuffer(b, np.uint32) for b in batch.column("features").to_pylist()]
         labels += batch.column("toxic").to_pylist()
     names, weights, bias = train(examples, np.array(labels, dtype=np.int64))
+    del examples
+    trim()
     yield pa.RecordBatch.from_pydict({"names": [names.tobytes()], "weights": [weights.tobytes()], "bias": pa.array([bias], pa.float64())})
 
 
@@ -151,7 +154,7 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 8 << 20):
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "score": pa.array(model.scores(part.column("text")))})
 
     return run
@@ -170,7 +173,8 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", 8 << 20):
                 yield part.filter(pa.array(model.scores(part.column("text")) < threshold))
+        trim()
 
     return docs.mapInArrow(run, docs.schema)
