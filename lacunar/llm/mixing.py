@@ -147,7 +147,7 @@ def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The documents of the mix: a row for each time one is taken, a last part cut after its words. Columns of docs."""
     p = plan(docs, carry=True, **how)
     times = F.col("_mix_epochs") + (F.col("_mix_part") > 0).cast("long")
-    p = p.where(times > 0).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    p = p.where((times > 0) & (F.col("_mix_size") > 0)).withColumn("_mix_copy", F.explode(F.sequence(F.lit(1).cast("long"), times)))
     cut = (F.col("_mix_copy") > F.col("_mix_epochs")) & (F.col("_mix_part") < F.col("_mix_size"))
     first = F.array_join(F.slice(F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda x: x != ""), F.lit(1), F.col("_mix_part").cast("int")), " ")
     return p.withColumn("text", F.when(cut, first).otherwise(F.col("text"))).select(*docs.columns)
