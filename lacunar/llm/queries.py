@@ -43,7 +43,7 @@ def op3_plane_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_tree_scores(_table(spark, sf_dir, "documents"))
+    return suffix_tree_scores(_table(spark, sf_dir, "documents"), min_count=20, depth=4)
 
 
 def op5_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

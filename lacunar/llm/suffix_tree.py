@@ -1,16 +1,19 @@
 """Language-model scoring with a probabilistic suffix tree over words.
 
-The tree's contexts are the empty one, single words and pairs of words. A context is a candidate if it makes up at
-least P_MIN of the training tokens, so a level has at most 1 / P_MIN of them, whatever the corpus. It is retained if the
-distribution of the next symbol diverges from that of its suffix by MIN_DIVERGENCE nats or more (frequent words one by
-one, all others together, which can only understate the divergence). A token is scored in the state of the longest
-retained suffix of what precedes it; the text's start counts as the end mark.
+The tree's contexts are the empty one and runs of up to `depth` words. A context is a candidate if it occurs at least
+`min_count` times in training (without one: makes up at least P_MIN of the training tokens), so their number grows with
+the corpus. It is retained if the distribution of the next word diverges from that of its suffix by MIN_DIVERGENCE nats
+or more, or if it is the suffix of a retained one. A token is scored in the state of the longest retained suffix of what
+precedes it; the text's start counts as the end mark.
 
 Distributions are smoothed towards the suffix's: P(w|s) = (c(s,w) + T(s) P(w|suffix)) / (c(s) + T(s)), T: distinct
 followers; at the root P(w) = (c(w) + 1) / (N + V + 1), which leaves one share for unseen words. They sum to one.
 
-Counts of all words and of all followers of retained contexts are exact and over all training documents. They are
-gathered by hash bucket and answered block by block; only the bounded context lists go to every task.
+All counts are exact and over all training documents. They are gathered level by level: a context occurs as often as its
+last word follows the rest of it, so what a block was answered at one level tells it the candidates of the next. A
+context's followers meet in one hash bucket, which tests the divergence. Only contexts with HOT of the tokens or more (at
+most 1 / HOT a level, whatever the corpus) are spread over all buckets, summed on the driver and given to every task. A
+last exchange closes the set under suffixes.
 
 Defined cases: a null text is the end mark alone. Null ids count as training. An empty table gives no rows. Words are
 known by 64-bit hashes. Only doc_id and text are read.
@@ -18,7 +21,6 @@ known by 64-bit hashes. Only doc_id and text are read.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,32 +29,43 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.blocks import SENT, answered, exchange, grow, pack_blocks, sent, shrink, split, with_answers
+from lacunar.llm.blocks import SENT, answered, exchange, freeze, grow, pack_blocks, sent, shrink, split, thaw, with_answers
 from lacunar.llm.scratch import materialize
 from lacunar.llm.textops import Words
 from lacunar.llm.toxicity import fold
 
 P_MIN, MIN_DIVERGENCE = 1e-4, 0.02
+HOT = 1e-3
 END = np.uint64(0xE3D0_0000_0000_0001)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 FOLDS, HELD = 7, 2
 TALLY = -2  # block id of what buckets report to all
 
 
+def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of texts as blocks of word numbers: each text is split once."""
+    for batch in batches:
+        for block, rows, _ in answered(batch):
+            words = Words(rows["text"].combine_chunks(), lower=True)
+            index, distinct = words.coded()
+            hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()], dtype=np.uint64)
+            n = rows.num_rows
+            docs = words.docs + np.arange(n + 1)
+            at = np.full(len(words) + n, len(hashes), np.uint32)
+            at[np.arange(len(words)) + np.repeat(np.arange(n), np.diff(words.docs))] = index
+            ids, held = (freeze(rows.select([c]).combine_chunks()) for c in ("doc_id", "held_out"))
+            yield pa.RecordBatch.from_pydict({"block_id": pa.array([block], pa.int64()), "payload": [freeze(pa.table({"ids": [ids], "held": [held], "tokens": [shrink(np.concatenate([hashes, [END]]), docs, at)]}))]})
+
+
 class Tokens:
     """A block's words and end marks in order: `index` into `hash` (distinct), `docs` each row's first token."""
 
     def __init__(self, rows: pa.Table):
-        words = Words(rows["text"].combine_chunks(), lower=True)
-        index, distinct = words.coded()
-        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()], dtype=np.uint64)
-        self.hash = np.concatenate([hashes, [END]])
-        n = rows.num_rows
-        self.docs = words.docs + np.arange(n + 1)
-        self.index = np.full(len(words) + n, len(hashes), np.int64)
-        self.index[np.arange(len(words)) + np.repeat(np.arange(n), np.diff(words.docs))] = index
-        held = rows["held_out"].combine_chunks().to_numpy(zero_copy_only=False).astype(bool)
-        self.train = np.repeat(~held, np.diff(self.docs))
+        self.ids = thaw(rows["ids"][0].as_py())["doc_id"].combine_chunks()
+        self.held = thaw(rows["held"][0].as_py())["held_out"].combine_chunks()
+        self.hash, self.docs, index = grow(rows["tokens"][0].as_py())
+        self.index = index.astype(np.int64)
+        self.train = np.repeat(~self.held.to_numpy(zero_copy_only=False).astype(bool), np.diff(self.docs))
 
 
 def _planes(key: np.ndarray) -> np.ndarray:
@@ -68,211 +81,237 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
+def _parts(key: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
+    return split((_mix(key) % np.uint64(buckets)).astype(np.int64))
+
+
+def _least(x: np.ndarray) -> np.ndarray:
+    return x.astype(np.uint32) if x.max(initial=0) < 1 << 32 else x
+
+
+def _back(out: np.ndarray, sizes: list[int]):
+    ends = np.cumsum([0, *sizes])
+    return [out[a:b] for a, b in zip(ends, ends[1:], strict=False)]
+
+
 def _words(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, rows, _ in answered(batch):
                 t = Tokens(rows)
                 count = np.bincount(t.index, weights=t.train, minlength=len(t.hash)).astype(np.int64)
-                order = np.argsort(t.hash)
-                key, count = t.hash[order], count[order]
-                yield sent(block, {b: shrink(_planes(key[at]), count[at], np.zeros(len(at), np.uint16)) for b, at in split((_mix(key) % np.uint64(buckets)).astype(np.int64))})
+                yield sent(block, {b: shrink(_planes(t.hash[at]), _least(count[at])) for b, at in _parts(t.hash, buckets)})
 
     return run
 
 
 def _total(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
-    """Totals of each block's keys; to all: the bucket's keys that occur, their totals and contexts."""
+    """Totals of each block's words; to all: how many words occur in training, and how often."""
     got = [grow(d) for d in data]
     keys = [_keys(g[0]) for g in got]
     distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.bincount(back, weights=np.concatenate([g[1] for g in got]), minlength=len(distinct)).astype(np.int64)
-    context = np.zeros(len(distinct), np.int64)
-    context[back] = np.concatenate([g[2] for g in got])
-    ends = np.cumsum([0, *[len(k) for k in keys]])
-    kind = np.uint32 if total.max(initial=0) < 1 << 32 else np.int64
-    out = [(block, bucket, shrink(total[back[a:b]].astype(kind))) for block, a, b in zip(blocks, ends, ends[1:], strict=False)]
-    seen = total > 0
-    followers = np.bincount(context[seen]) if seen.any() else np.zeros(1, np.int64)
-    mass = np.bincount(context[seen], weights=total[seen]).astype(np.int64) if seen.any() else np.zeros(1, np.int64)
-    top = np.argsort(-total, kind="stable")[: 1 + int(1 / P_MIN)]
-    return [*out, (TALLY, bucket, shrink(followers, mass, distinct[top], total[top]))]
-
-
-def _contexts(frequent: np.ndarray):
-    """Counts of (w2, w1, next) over frequent words (position in `frequent`; -1: any other word or, for w2, no matter)."""
-    k = len(frequent)
+    out = [(block, bucket, shrink(_least(x))) for block, x in zip(blocks, _back(total[back], [len(k) for k in keys]), strict=True)]
+    return [*out, (TALLY, bucket, shrink(np.array([np.count_nonzero(total), total.sum()])))]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, rows, _ in answered(batch):
-                t = Tokens(rows)
-                code = _find(frequent, t.hash)[t.index]
-                one, two = _before(code, t.docs, 1), _before(code, t.docs, 2)
-                one_ok, two_ok = t.train & (one >= 0), t.train & (one >= 0) & (two >= 0)
-                c = np.concatenate([one[one_ok] * (k + 1) + code[one_ok] + 1, ((two[two_ok] + 1) * k + one[two_ok]) * (k + 1) + code[two_ok] + 1])
-                key, n = np.unique(c, return_counts=True)
-                yield pa.RecordBatch.from_pydict({"context": pa.array(key // (k + 1)), "next": pa.array(key % (k + 1) - 1), "n": pa.array(n, pa.int64())})
+
+def _followed(hot: float):
+    """Totals of each block's (context, word), and of their contexts T, negative if the context doesn't diverge; to all: sums of hot contexts."""
+
+    def run(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
+        got = [grow(d) for d in data]
+        keys, names = [_keys(g[0]) for g in got], [_keys(g[3]) for g in got]
+        distinct, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        total = np.bincount(back, weights=np.concatenate([g[1] for g in got]), minlength=len(distinct)).astype(np.int64)
+        name, name_first, name_back = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
+        mass = np.concatenate([g[4] for g in got])[name_first].astype(np.float64)
+        starts = np.cumsum([0, *[len(x) for x in names]])
+        context = name_back[np.concatenate([g[2].astype(np.int64) + a for g, a in zip(got, starts, strict=False)])[first]]
+        share = np.concatenate([g[5] for g in got])[first]
+        seen = total > 0
+        p = total[seen] / mass[context[seen]]
+        followers = np.bincount(context[seen], minlength=len(name))
+        gain = np.bincount(context[seen], weights=p * np.log(p / share[seen]), minlength=len(name))
+        signed = np.where(gain >= MIN_DIVERGENCE, followers, -followers).astype(np.int32)
+        each = zip(blocks, _back(total[back], [len(k) for k in keys]), _back(signed[name_back], [len(x) for x in names]), strict=True)
+        out = [(block, bucket, shrink(_least(x), s)) for block, x, s in each]
+        many = mass >= hot
+        return [*out, (TALLY, bucket, shrink(name[many], followers[many], gain[many]))]
 
     return run
 
 
-def _find(frequent: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-    """Position of each hash in the ascending `frequent`, else -1."""
-    if not len(frequent):
-        return np.full(len(hashes), -1, np.int64)
-    at = np.minimum(np.searchsorted(frequent, hashes), len(frequent) - 1)
-    return np.where(frequent[at] == hashes, at, -1)
-
-
-def _before(code: np.ndarray, docs: np.ndarray, steps: int) -> np.ndarray:
-    """The code `steps` tokens earlier; before a text's start stands the end mark, before that one nothing."""
-    out = np.full(len(code), -1, np.int64)
-    out[steps:] = code[:-steps]
-    end = code[docs[1:] - 1][0] if len(docs) > 1 else -1
-    starts = docs[:-1]
-    for i in range(steps):
-        at = starts + i
-        at = at[at < docs[1:]]
-        out[at] = end if i == steps - 1 else -1
-    return out
-
-
-class Tree:
-    """Retained contexts: single words (positions in `frequent`) and pairs; `followers`, `mass` by context number."""
-
-    def __init__(self, frequent: np.ndarray, singles: np.ndarray, pairs: np.ndarray):
-        self.frequent, self.singles, self.pairs = frequent, singles, pairs
-        self.number = np.full(len(frequent) + 1, -1, np.int64)
-        self.number[singles] = np.arange(len(singles))
-        names = frequent[singles] * _B
-        k = max(1, len(frequent))
-        pair_names = (frequent[pairs // k] * _C) ^ (frequent[pairs % k] * _B) if len(pairs) else np.zeros(0, np.uint64)
-        self.names = _mix(np.concatenate([names, pair_names]))
-        self.followers = self.mass = np.zeros(len(self.names), np.int64)
-
-    def states(self, t: Tokens) -> tuple[np.ndarray, np.ndarray]:
-        """Number of each token's one-word and two-word context, -1 if it isn't retained."""
-        code = _find(self.frequent, t.hash)[t.index]
-        one, two = _before(code, t.docs, 1), _before(code, t.docs, 2)
-        first = self.number[one]
-        second = np.full(len(one), -1, np.int64)
-        both = np.flatnonzero((one >= 0) & (two >= 0))
-        if len(both) and len(self.pairs):
-            key = two[both] * len(self.frequent) + one[both]
-            at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
-            second[both] = np.where(self.pairs[at] == key, at + len(self.singles), -1)
-        return first, second
-
-    def asked(self, t: Tokens) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
-        """(distinct keys, context of each, positions of the tokens with a context by level, their key by level)."""
-        places, keys, contexts = [], [], []
-        for state in self.states(t):
-            at = np.flatnonzero(state >= 0)
+def _closed(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
+    """Whether a longer context of each block's contexts diverges anywhere."""
+    got = [grow(d) for d in data]
+    names = [_keys(g[0]) for g in got]
+    distinct, back = np.unique(np.concatenate(names), return_inverse=True)
+    mark = np.zeros(len(distinct), np.uint8)
+    np.maximum.at(mark, back, np.concatenate([g[1] for g in got]))
+    return [(block, bucket, shrink(m)) for block, m in zip(blocks, _back(mark[back], [len(x) for x in names]), strict=True)]
+
+
+class Level:
+    """The tokens of a block (`at`) that follow a candidate context of one length."""
+
+    def __init__(self, t: Tokens, at: np.ndarray, name: np.ndarray, mass: np.ndarray, share: np.ndarray, buckets: int, hot: float):
+        self.at, self.name, self.mass = at, name, mass
+        self.key, first, self.back = np.unique(_mix(name ^ (t.hash[t.index[at]] * _A)), return_index=True, return_inverse=True)
+        self.key_name, self.key_mass, self.share = name[first], mass[first], share[first]
+        self.parts = _parts(np.where(self.key_mass >= hot, self.key, self.key_name), buckets)
+        self.train = t.train[at]
+
+    def sends(self) -> dict[int, bytes]:
+        count = np.bincount(self.back, weights=self.train, minlength=len(self.key)).astype(np.int64)
+        out = {}
+        for b, at in self.parts:
+            name, first, back = np.unique(self.key_name[at], return_index=True, return_inverse=True)
+            out[b] = shrink(_planes(self.key[at]), _least(count[at]), back.astype(np.uint32), _planes(name), _least(self.key_mass[at][first]), self.share[at].astype(np.float32))
+        return out
+
+    def take(self, answers: dict[int, bytes], shift: int, hot: tuple[np.ndarray, np.ndarray]) -> None:
+        """`total` of each token's (context, word), `followers` of its context and whether it diverges (`ok`)."""
+        total, signed = np.zeros(len(self.key), np.int64), np.zeros(len(self.key), np.int64)
+        for b, at in self.parts:
+            total[at], mine = grow(answers[b + shift])
+            signed[at] = mine[np.unique(self.key_name[at], return_inverse=True)[1]]
+        names, sums = hot
+        if len(names) and len(self.key):
+            where = np.minimum(np.searchsorted(names, self.key_name), len(names) - 1)
+            signed = np.where(names[where] == self.key_name, sums[where], signed)
+        self.total, signed = total[self.back], signed[self.back]
+        self.followers, self.ok = np.abs(signed), signed > 0
+
+
+class Plan:
+    """What all passes share: sizes, thresholds and the hot contexts of the levels that are known."""
+
+    def __init__(self, buckets: int, n: int, v: int, least: float):
+        self.buckets, self.n, self.v, self.least, self.hot_mass = buckets, n, v, max(1, least), max(1, HOT * n)
+        self.hot: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def levels(self, t: Tokens, answers: dict[int, bytes], ask: bool = False) -> tuple[np.ndarray, list[Level]]:
+        """Count of each distinct word; the known levels and, to `ask`, the next one."""
+        count = np.zeros(len(t.hash), np.int64)
+        for b, at in _parts(t.hash, self.buckets):
+            count[at] = grow(answers[b])[0]
+        word = t.hash[t.index]
+        k = np.arange(len(word)) - np.repeat(t.docs[:-1], np.diff(t.docs))
+        name, total = np.zeros(len(word), np.uint64), count[t.index]
+        share = total / max(1, self.n)
+        out: list[Level] = []
+        for d in range(1, len(self.hot) + 1 + ask):
+            mass, last = np.zeros(len(word), np.int64), np.full(len(word), END)
+            mass[1:], last[d:] = total[:-1], word[:-d]
+            mass[k < d - 1] = 0
+            last[k == d - 1] = END
+            if d == 1:
+                mass[k == 0] = count[-1]
+            name = _mix((name * _C) ^ (last * _B))
+            at = np.flatnonzero(mass >= self.least)
+            level = Level(t, at, name[at], mass[at], share[at], self.buckets, self.hot_mass)
+            out.append(level)
+            if d > len(self.hot):
+                break
+            level.take(answers, d * self.buckets, self.hot[d - 1])
+            total, share = np.zeros(len(word), np.int64), np.zeros(len(word))
+            total[at], share[at] = level.total, level.total / level.mass
+        return count, out
+
+    def open(self, t: Tokens, levels: list[Level]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
+        """(distinct contexts that don't diverge, whether a longer one here does; by level: their positions, their number)."""
+        longer = np.zeros(len(t.index), bool)
+        names, marks, places = [], [], []
+        for level in reversed(levels):
+            at = np.flatnonzero(~level.ok)
+            names.append(level.name[at])
+            marks.append(longer[level.at[at]])
             places.append(at)
-            contexts.append(state[at])
-            keys.append(_mix(self.names[state[at]] ^ (t.hash[t.index[at]] * _A)))
-        distinct, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        return distinct, np.concatenate(contexts)[first], places, [back[: len(keys[0])], back[len(keys[0]) :]]
+            longer[level.at[level.ok]] = True
+        distinct, back = np.unique(np.concatenate(names), return_inverse=True)
+        mark = np.zeros(len(distinct), np.uint8)
+        mark[back[np.concatenate(marks)]] = 1
+        return distinct, mark, places[::-1], _back(back, [len(x) for x in names])[::-1]
 
 
-def _followers(tree: Tree, buckets: int):
+def _ask(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, rows, _ in answered(batch):
-                t = Tokens(rows)
-                key, context, places, backs = tree.asked(t)
-                count = np.bincount(np.concatenate(backs), weights=np.concatenate([t.train[p] for p in places]), minlength=len(key)).astype(np.int64)
-                kind = np.uint32 if count.max(initial=0) < 1 << 32 else np.int64
-                parts = split((_mix(key) % np.uint64(buckets)).astype(np.int64))
-                yield sent(block, {b: shrink(_planes(key[at]), count[at].astype(kind), context[at].astype(np.uint16 if len(tree.names) < 1 << 16 else np.uint32)) for b, at in parts})
+            for block, rows, answers in answered(batch):
+                yield sent(block, plan.levels(Tokens(rows), answers, ask=True)[1][-1].sends())
 
     return run
 
 
-def _collected(key: np.ndarray, buckets: int, answers: dict[int, bytes], shift: int) -> np.ndarray:
-    total = np.zeros(len(key), np.float64)
-    for b, at in split((_mix(key) % np.uint64(buckets)).astype(np.int64)):
-        total[at] = grow(answers[b + shift])[0]
-    return total
+def _ask_closed(plan: Plan):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, rows, answers in answered(batch):
+                t = Tokens(rows)
+                name, mark, _, _ = plan.open(t, plan.levels(t, answers)[1])
+                yield sent(block, {b: shrink(_planes(name[at]), mark[at]) for b, at in _parts(name, plan.buckets)})
+
+    return run
 
 
-def _score(tree: Tree, buckets: int, n: int, v: int):
+def _score(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for _, rows, answers in answered(batch):
                 t = Tokens(rows)
-                order = np.argsort(t.hash)
-                count = np.empty(len(t.hash))
-                count[order] = _collected(t.hash[order], buckets, answers, 0)
-                base = ((count + 1) / (n + 1 * (v + 1)))[t.index]
-                key, _, places, backs = tree.asked(t)
-                seen = _collected(key, buckets, answers, buckets)
+                count, levels = plan.levels(t, answers)
+                name, _, places, numbers = plan.open(t, levels)
+                closed = np.zeros(len(name), bool)
+                for b, at in _parts(name, plan.buckets):
+                    closed[at] = grow(answers[b + (len(levels) + 1) * plan.buckets])[0] > 0
+                base = ((count + 1) / (plan.n + plan.v + 1))[t.index]
                 p = base.copy()
-                for at, back, state in zip(places, backs, tree.states(t), strict=True):
-                    s = state[at]
-                    p[at] = (seen[back] + tree.followers[s] * p[at]) / (tree.mass[s] + tree.followers[s])
+                for level, place, number in zip(levels, places, numbers, strict=True):
+                    use = level.ok.copy()
+                    use[place] = closed[number]
+                    at = level.at[use]
+                    p[at] = (level.total[use] + level.followers[use] * p[at]) / (level.mass[use] + level.followers[use])
                 known = (count > 0)[t.index]
                 add = lambda x: np.add.reduceat(x, t.docs[:-1])  # noqa: E731  each row has its end mark
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": rows["doc_id"].combine_chunks(), "held_out": rows["held_out"].combine_chunks(), "n_tokens": pa.array(np.diff(t.docs)), "n_known": pa.array(add(known.astype(np.int64))),
-                    "train_tokens": pa.array(np.full(rows.num_rows, n)), "base_score": pa.array(add(np.log10(base))), "score": pa.array(add(np.log10(p))),
+                    "doc_id": t.ids, "held_out": t.held, "n_tokens": pa.array(np.diff(t.docs)), "n_known": pa.array(add(known.astype(np.int64))),
+                    "train_tokens": pa.array(np.full(len(t.ids), plan.n)), "base_score": pa.array(add(np.log10(base))), "score": pa.array(add(np.log10(p))),
                 })
 
     return run
 
 
-def _tally(answers: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Sums of the buckets' reports: followers and mass by context; keys and totals that may be frequent."""
-    followers = mass = np.zeros(0, np.int64)
-    keys, totals = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-    keep = 1 + int(1 / P_MIN)
+def _reports(answers: DataFrame) -> Iterator[list[np.ndarray]]:
     for row in answers.where(F.col("block_id") == TALLY).select("data").toLocalIterator():
-        f, m, key, total = grow(row["data"])
-        size = max(len(f), len(followers))
-        followers, mass = (np.pad(a, (0, size - len(a))) + np.pad(b, (0, size - len(b))) for a, b in ((followers, f), (mass, m)))
-        keys, totals = np.concatenate([keys, key]), np.concatenate([totals, total])
-        top = np.argsort(-totals, kind="stable")[:keep]  # more than 1 / P_MIN can't reach P_MIN
-        keys, totals = keys[top], totals[top]
-    return followers, mass, keys, totals
-
-
-def _retained(counts: DataFrame, frequent: np.ndarray, totals: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Single words and pairs whose next symbol diverges enough from that of the suffix."""
-    k = len(frequent)
-    big = counts.groupBy("context").agg(F.sum("n").alias("mass")).where(F.col("mass") >= P_MIN * n)
-    spark = counts.sparkSession
-    root = spark.createDataFrame([(i, float(c) / n) for i, c in enumerate(totals.tolist())] + [(-1, max(1e-12, 1 - float(totals.sum()) / n))], "next long, p double")
-    c = counts.join(F.broadcast(big), "context")  # at most 2 / P_MIN contexts
-    single = c.where(F.col("context") < k).join(F.broadcast(root), "next")
-    test = lambda d: d.groupBy("context").agg((F.sum(F.col("n") / F.col("mass") * F.log(F.col("n") / F.col("mass") / F.col("p")))).alias("kl")).where(F.col("kl") >= MIN_DIVERGENCE).select("context").collect()
-    singles = np.sort(np.array([r["context"] for r in test(single)], dtype=np.int64))
-    parent = c.where(F.col("context") < k).select(F.col("context").alias("suffix"), "next", (F.col("n") / F.col("mass")).alias("p"))
-    pair = c.where(F.col("context") >= k).withColumn("suffix", F.col("context") % k).join(parent, ["suffix", "next"])
-    pairs = np.sort(np.array([r["context"] for r in test(pair)], dtype=np.int64) - k)
-    return singles, pairs[np.isin(pairs % max(1, k), singles)]
-
-
-def suffix_tree_scores(docs: DataFrame) -> DataFrame:
+        yield grow(row["data"])
+
+
+def _hot(answers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Names of the hot contexts, ascending, and their T, negative if the context doesn't diverge."""
+    names, followers, gain = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
+    for name, f, g in _reports(answers):
+        names, back = np.unique(np.concatenate([names, name]), return_inverse=True)
+        followers, gain = (np.bincount(back, weights=np.concatenate(x), minlength=len(names)) for x in ((followers, f), (gain, g)))
+    return names, np.where(gain >= MIN_DIVERGENCE, followers, -followers).astype(np.int64)
+
+
+def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("held_out", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD, F.lit(False)))
-    blocks = pack_blocks(docs, "text", "doc_id", "tree-blocks")
-    n_blocks = blocks.count()
-    buckets = max(1, -(-n_blocks // 2))
-    words = materialize(exchange(blocks.mapInArrow(_words(buckets), SENT), _total), "tree-words")
-    followers, mass, keys, totals = _tally(words)
-    n, v = int(mass.sum()), int(followers.sum())
-    often = totals >= P_MIN * n
-    order = np.argsort(keys[often])
-    frequent, totals = keys[often][order], totals[often][order]
-    counts = blocks.mapInArrow(_contexts(frequent), "context long, next long, n long").groupBy("context", "next").agg(F.sum("n").alias("n"))
-    counts = materialize(counts, "tree-contexts")
-    tree = Tree(frequent, *_retained(counts, frequent, totals, max(1, n)))
-    asked = materialize(exchange(blocks.mapInArrow(_followers(tree, buckets), SENT), _total), "tree-followers")
-    found, weight, _, _ = _tally(asked)
-    size = len(tree.names)
-    tree.followers, tree.mass = (np.pad(a, (0, max(0, size - len(a))))[:size] for a in (found, weight))
-    answers = words.unionByName(asked.withColumn("bucket", F.col("bucket") + buckets)).where(F.col("block_id") != TALLY)
+    texts = pack_blocks(docs, "text", "doc_id", "tree-blocks")
+    blocks = materialize(texts.mapInArrow(_coded, "block_id long, payload binary"), "tree-tokens")
+    buckets = max(1, -(-blocks.count() // 2))
+    answers = materialize(exchange(blocks.mapInArrow(_words(buckets), SENT), _total), "tree-words")
+    v, n = (int(x) for x in sum((r[0] for r in _reports(answers)), np.zeros(2, np.int64)))
+    plan = Plan(buckets, n, v, P_MIN * n if min_count is None else min_count)
+    gather = lambda run, answer, name: materialize(exchange(with_answers(blocks, answers).mapInArrow(run, SENT), answer), name)
+    shifted = lambda found, d: answers.unionByName(found.where(F.col("block_id") != TALLY).withColumn("bucket", F.col("bucket") + d * buckets))
+    answers = answers.where(F.col("block_id") != TALLY)
+    for d in range(1, depth + 1):
+        found = gather(_ask(plan), _followed(plan.hot_mass), f"tree-level-{d}")
+        plan.hot.append(_hot(found))
+        answers = shifted(found, d)
+    answers = shifted(gather(_ask_closed(plan), _closed, "tree-closed"), depth + 1)
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return with_answers(blocks, answers).mapInArrow(_score(tree, buckets, n, v), out)
+    return with_answers(blocks, answers).mapInArrow(_score(plan), out)

@@ -314,6 +314,46 @@ def test_suffix_tree(spark, rows, monkeypatch):
         assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(score)
 
 
+@pytest.mark.parametrize("hot", [1e-3, 2e-2])
+def test_suffix_tree_by_count(spark, rows, monkeypatch, hot):
+    """Contexts by an absolute count, longer than two words, and closed under suffixes."""
+    monkeypatch.setattr(suffix_tree, "HOT", hot)
+    monkeypatch.setattr(suffix_tree, "pack_blocks", lambda *a: blocks.pack_blocks(*a, limit=3000))
+    # "x q" tells no more than "q", but "p x q" and "s x q" do
+    rows = [*rows, *((950 + i, " ".join(f"{a} x q {b}" for a, b in [("p", "u"), ("s", "v")] * 20) + " f g h i j" * 3, "a") for i in range(12))]
+    end = b"\0end"
+    texts = {i: [*split(t, True), end] for i, t, _ in rows}
+    held = {i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2 for i in texts}
+    count = collections.Counter(w for i, t in texts.items() if not held[i] for w in t)
+    n, v = sum(count.values()), len(count)
+    after = collections.defaultdict(collections.Counter)
+    before = lambda t, k: [tuple(([end, *t])[k - d + 1 : k + 1]) for d in range(1, 4) if k - d + 1 >= 0]
+    for i, t in texts.items():
+        for k in range(len(t)) if not held[i] else ():
+            for s in before(t, k):
+                after[s][t[k]] += 1
+    after[()] = count
+    part = lambda c: {w: x / sum(c.values()) for w, x in c.items()}
+
+    def diverges(s):
+        q = part(after[s[1:]])
+        return sum(after[s].values()) >= 6 and sum(p * math.log(p / q[w]) for w, p in part(after[s]).items()) >= suffix_tree.MIN_DIVERGENCE
+
+    own = {s for s in list(after) if s and diverges(s)}
+    tree = {s[k:] for s in own for k in range(len(s))}
+    assert (b"x", b"q") in tree - own and (b"p", b"x", b"q") in own
+    for i, r in by_id(suffix_tree.suffix_tree_scores(frame(spark, rows), min_count=6, depth=3)).items():
+        t, score = texts[i], 0.0
+        for k, w in enumerate(t):
+            p = (count[w] + 1) / (n + v + 1)
+            for s in before(t, k):
+                if s in tree:
+                    c = after[s]
+                    p = (c[w] + len(c) * p) / (sum(c.values()) + len(c))
+            score += math.log10(p)
+        assert r["score"] == pytest.approx(score)
+
+
 def test_toxicity(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(300)]
