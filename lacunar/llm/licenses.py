@@ -3,7 +3,7 @@
 One automaton holds every template (words of letters and digits, A-Z lowered). A file's words are streamed through it,
 which gives at each word the longest template substring that ends there (matching statistics). Matches of at least
 MIN_MATCH words that cannot be longer are chained, template by template, over gaps of up to MAX_GAP words; a chain that
-covers MIN_COVER of its template is a labelled span. Base phrases are templates too: they are found, overlaps included,
+covers MIN_COVER of its template is a labelled span, and a template that starts anew after that starts another. Base phrases are templates too: they are found, overlaps included,
 where a phrase is a suffix of the present match.
 
 Words outside the templates break every match, so only runs of template words are streamed, and only those with a word
@@ -66,12 +66,14 @@ class Automaton:
             for w in words:
                 last = self._extend(last, self.vocab.setdefault(w, len(self.vocab)))
             ends.append(last)
+        self.ends: dict[tuple[int, int], tuple[int, int]] = {}  # by state and template: where its strings first and last end
         for k, (words, _) in enumerate(self.templates):  # each state: the templates that hold its strings
             s = 0
-            for w in words:
+            for i, w in enumerate(words, 1):
                 s = v = self.next[s][self.vocab[w]]
-                while v > 0 and not self.owners[v] >> k & 1:
+                while v > 0:
                     self.owners[v] |= 1 << k
+                    self.ends[v, k] = (self.ends.get((v, k), (i, i))[0], i)
                     v = self.link[v]
         own: dict[int, list[int]] = {}
         for b, (words, _) in enumerate(self.base):
@@ -142,21 +144,28 @@ class Automaton:
         return places, matches
 
     def chains(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """(label, start, end, covered share) of each template's best chain of matches."""
-        best: dict[str, tuple[float, int, int]] = {}
+        """(label, start, end, covered share) of every template's chains of matches, by label and place."""
+        out = []
         for k, (words, label) in enumerate(self.templates):
-            start = end = covered = 0
-            open_ = False
-            for a, b, state in [m for m in matches if self.owners[m[2]] >> k & 1]:
-                if open_ and a - end <= MAX_GAP:
+            mine = [m for m in matches if self.owners[m[2]] >> k & 1]
+            start = end = stop = covered = reached = 0
+            share = 0.0
+            for a, b, state in mine:
+                first, last = self.ends[state, k]
+                again = share >= MIN_COVER and last <= reached  # the template anew
+                if share and a - end <= MAX_GAP and not again:
                     covered += max(0, b - max(a, end))
+                    end = max(b, end)
                 else:
-                    start, covered, open_ = a, b - a, True
-                end = max(b, end) if open_ and start != a else b
-                share = min(1.0, covered / len(words))
-                if share > best.get(label, (0.0, 0, 0))[0]:
-                    best[label] = (share, start, end)
-        return [(label, a, b, share) for label, (share, a, b) in sorted(best.items())]
+                    if share:
+                        out.append((label, start, stop, share))
+                    start, end, covered, share, reached = a, b, b - a, 0.0, 0
+                if (now := min(1.0, covered / len(words))) > share:
+                    share, stop = now, end
+                reached = max(reached, first)
+            if share:
+                out.append((label, start, stop, share))
+        return sorted(out)
 
 
 SCAN = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<label: string, start: long, stop: long, covered: double>>"

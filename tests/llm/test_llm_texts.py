@@ -215,6 +215,18 @@ def test_licenses(spark, rows):
     assert got[200]["score"] == 0.0 and got[200]["labels"] == ""
 
 
+def test_every_license_span(spark):
+    long = next(t for label, t in licenses.TEMPLATES if label == "mit" and len(t) > 100)
+    short = "Released under the MIT license."
+    n = len(long.split())
+    other = "zebra " * 10
+    texts = {1: short + other + short + other + long, 2: long + " " + long, 3: f"{short} {short} {short}", 4: other, 5: " ".join(long.split()[:20])}
+    got = by_id(licenses.scan_licenses(frame(spark, [(i, t, "a") for i, t in texts.items()])))
+    whole = {i: [(x["start"], x["stop"]) for x in r["spans"] if x["covered"] == 1.0] for i, r in got.items()}
+    assert whole == {1: [(0, 5), (15, 20), (30, 30 + n)], 2: [(0, n), (n, 2 * n)], 3: [(0, 5), (5, 10), (10, 15)], 4: [], 5: []}
+    assert [got[i]["labels"] for i in range(1, 6)] == ["mit", "mit", "mit", "", ""] and got[5]["score"] == pytest.approx(20 / n) and not got[5]["spans"]
+
+
 def test_automaton_statistics():
     a = licenses.Automaton((("p", "a b c d a b e"), ("q", "c d a x")), (("a b", "ab"),), 2)
     rng = random.Random(0)
