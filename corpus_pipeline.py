@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacunar.llm import mixing, packing, simhash, substrings, toxicity
+from lacunar.llm import mixing, packing, similar, substrings, toxicity
 from lacunar.llm.queries import tokenizer_path
 from lacunar.llm.scratch import materialize
 
@@ -27,8 +27,8 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group, the one with the smallest id."""
-    groups = materialize(simhash.near_duplicates(docs).select("doc_id", "component_id"), "pipeline-groups")
+    """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more), the one with the smallest id."""
+    groups = materialize(similar.similar_documents(docs), "pipeline-groups")
     stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_stay")).distinct()
     kept = docs.join(stay, docs["doc_id"] == stay["_stay"], "left_semi")
     if groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
@@ -52,7 +52,7 @@ def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end=1, tokens=2048).drop("loss")
 
 
-STAGES = [("toxicity", clean), ("simhash", distinct), ("substrings", unrepeated), ("mixing", mixed), ("packing", packed)]
+STAGES = [("toxicity", clean), ("near-duplicates", distinct), ("substrings", unrepeated), ("mixing", mixed), ("packing", packed)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

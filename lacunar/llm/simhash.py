@@ -39,13 +39,12 @@ BUCKET = 40_000  # fingerprints a bucket
 _SPREAD = np.packbits(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").reshape(256, 8, 1) * np.ones((1, 1, 8), np.uint8) * np.array([1, 0, 0, 0, 0, 0, 0, 0], np.uint8), axis=2, bitorder="little").reshape(256, 8).copy().view(np.uint64).ravel()
 
 
-def fingerprints(col: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
-    """A 64-bit fingerprint of each row."""
+def shingles(col: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each shingle, one row after the other; how many each row has."""
     words = Words(col, lower=True)
     n = np.diff(words.docs)
-    out = np.zeros(len(col), np.uint64)
     if not len(words):
-        return out
+        return np.zeros(0, np.uint64), np.zeros(len(col), np.int64)
     spaced = np.full(len(words.data) + len(words), 32, np.uint8)
     spaced[np.arange(len(words.data)) + np.repeat(np.arange(len(words)), np.diff(words.at))] = words.data
     at = words.at + np.arange(len(words) + 1)
@@ -54,7 +53,16 @@ def fingerprints(col: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     first = np.arange(int(ends[-1])) + np.repeat(words.docs[:-1] - (ends - count), count)
     last = np.minimum(first + shingle, np.repeat(words.docs[1:], count))
     text, digest = spaced.tobytes(), xxhash.xxh64_intdigest
-    h = np.fromiter([digest(text[a:b], SEED) for a, b in zip(at[first].tolist(), (at[last] - 1).tolist(), strict=True)], np.uint64, len(first))
+    return np.fromiter([digest(text[a:b], SEED) for a, b in zip(at[first].tolist(), (at[last] - 1).tolist(), strict=True)], np.uint64, len(first)), count
+
+
+def fingerprints(col: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
+    """A 64-bit fingerprint of each row."""
+    h, count = shingles(col, shingle)
+    out = np.zeros(len(col), np.uint64)
+    if not len(h):
+        return out
+    ends = np.cumsum(count)
     # runs of at most 255 shingles of a document: eight one-byte counters fit a 64-bit number
     starts = ends - count
     runs = -(-count // 255)

@@ -10,7 +10,7 @@ import numpy as np
 import pytest
 import xxhash
 
-from lacunar.llm import bitplane, blocks, licenses, mixing, packing, simhash, substrings, suffix_tree, toxicity
+from lacunar.llm import bitplane, blocks, licenses, mixing, packing, similar, simhash, substrings, suffix_tree, toxicity
 from lacunar.llm.queries import tokenizer_path
 from lacunar.llm.tokens import Encoder
 
@@ -163,6 +163,46 @@ def test_simhash_links(spark, monkeypatch, code, owners, copies):
     assert sorted(map(sorted, a.values())) == sorted(map(sorted, b.values()))
 
 
+@pytest.mark.parametrize("part", [2048, 3])
+def test_similar_documents(spark, rows, monkeypatch, part):
+    """Groups of similarity 0.8 or more against brute force; op5's rule leaves most of these near copies."""
+    monkeypatch.setattr(similar, "PART", part)
+    rng = random.Random(9)
+    docs = [(i, t) for i, t, _ in rows]
+    for k in range(120):
+        w = [f"v{rng.randrange(5000)}" for _ in range(rng.randint(60, 300))]
+        docs.append((1000 + 4 * k, " ".join(w)))
+        for copy in range(1, 3):
+            for _ in range(max(1, len(w) * copy // 60)):
+                w[rng.randrange(len(w))] = f"n{rng.randrange(10**6)}"
+            docs.append((1000 + 4 * k + copy, " ".join(w)))
+    sets = []
+    for _, t in docs:
+        w = split(t, True)
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    root = list(range(len(docs)))
+
+    def find(a):
+        while root[a] != a:
+            a = root[a]
+        return a
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if sets[i] == sets[j] or 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j]):
+                root[find(i)] = find(j)
+    least = {}
+    for i, (d, _) in enumerate(docs):
+        if d is not None:
+            least[find(i)] = min(d, least.get(find(i), d))
+    want = sorted((str(d), str(least.get(find(i)))) for i, (d, _) in enumerate(docs))
+    got = similar.similar_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in got) == want
+    copies = {i for i, c in want if i != c and i != "None" and int(i) >= 1000}
+    loose = {str(r["doc_id"]) for r in simhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect() if r["doc_id"] != r["component_id"]}
+    assert len(copies) > 100 and len(copies & loose) < len(copies) / 2
+
+
 def kept(rows):
     seen, out = set(), {}
     for i, t, _ in sorted(rows, key=lambda r: (r[0] is None, r[0])):
