@@ -2,9 +2,11 @@
 
 One automaton holds every template (words of letters and digits, A-Z lowered). A file's words are streamed through it,
 which gives at each word the longest template substring that ends there (matching statistics). Matches of at least
-MIN_MATCH words that cannot be longer are chained, template by template, over gaps of up to MAX_GAP words; a chain that
-covers MIN_COVER of its template is a labelled span, and a template that starts anew after that starts another. Base phrases are templates too: they are found, overlaps included,
-where a phrase is a suffix of the present match.
+MIN_MATCH words that cannot be longer are chained, template by template, with the places they have in the template: a
+chain goes on in the text, over gaps of up to MAX_GAP words, and in the template, and counts each word of the template
+once, so repeated or shuffled fragments don't add up. A chain that covers MIN_COVER of its template is a labelled span;
+the best come first and spans of a template don't overlap. Base phrases are templates too: they are found, overlaps
+included, where a phrase is a suffix of the present match.
 
 Words outside the templates break every match, so only runs of template words are streamed, and only those with a word
 that every match must hold (RARE: checked against the templates when the automaton is built). The automaton is a few
@@ -58,7 +60,7 @@ class Automaton:
         self.templates = [(tuple(t.split()), label) for label, t in templates]
         self.min_match = min_match
         self.next: list[dict[int, int]] = [{}]
-        self.link, self.length, self.owners = [-1], [0], [0]
+        self.link, self.length = [-1], [0]
         self.vocab: dict[str, int] = {}
         ends = []
         for k, (words, _) in enumerate([*self.templates, *self.base]):
@@ -66,14 +68,13 @@ class Automaton:
             for w in words:
                 last = self._extend(last, self.vocab.setdefault(w, len(self.vocab)))
             ends.append(last)
-        self.ends: dict[tuple[int, int], tuple[int, int]] = {}  # by state and template: where its strings first and last end
-        for k, (words, _) in enumerate(self.templates):  # each state: the templates that hold its strings
+        self.ends: list[dict[int, list[int]]] = [{} for _ in self.next]  # of each state, by template: where its strings end
+        for k, (words, _) in enumerate(self.templates):
             s = 0
             for i, w in enumerate(words, 1):
                 s = v = self.next[s][self.vocab[w]]
                 while v > 0:
-                    self.owners[v] |= 1 << k
-                    self.ends[v, k] = (self.ends.get((v, k), (i, i))[0], i)
+                    self.ends[v].setdefault(k, []).append(i)
                     v = self.link[v]
         own: dict[int, list[int]] = {}
         for b, (words, _) in enumerate(self.base):
@@ -101,7 +102,6 @@ class Automaton:
             self.next.append(dict(self.next[q]))
             self.link.append(self.link[q])
             self.length.append(self.length[p] + 1)
-            self.owners.append(0)
             while p != -1 and self.next[p].get(c) == q:
                 self.next[p][c] = n
                 p = self.link[p]
@@ -114,7 +114,6 @@ class Automaton:
         self.next.append({})
         self.link.append(0)
         self.length.append(self.length[last] + 1)
-        self.owners.append(0)
         p = last
         while p != -1 and c not in self.next[p]:
             self.next[p][c] = new
@@ -144,29 +143,50 @@ class Automaton:
         return places, matches
 
     def chains(self, matches: list[tuple[int, int, int]]) -> list[tuple[str, int, int, float]]:
-        """(label, start, end, covered share) of every template's chains of matches, by label and place."""
+        """(label, start, end, covered share) of every template's chains of matches that cover MIN_COVER, the best first
+        and none over another, or else of its best chain; by label and place."""
+        anchors: dict[int, list[tuple[int, int, int]]] = {}
+        for a, b, state in matches:
+            for k, ends in self.ends[state].items():
+                anchors.setdefault(k, []).extend((a, b, e) for e in ends)
         out = []
-        for k, (words, label) in enumerate(self.templates):
-            mine = [m for m in matches if self.owners[m[2]] >> k & 1]
-            start = end = stop = covered = reached = 0
-            share = 0.0
-            for a, b, state in mine:
-                first, last = self.ends[state, k]
-                again = share >= MIN_COVER and last <= reached  # the template anew
-                if share and a - end <= MAX_GAP and not again:
-                    covered += max(0, b - max(a, end))
-                    end = max(b, end)
-                else:
-                    if share:
-                        out.append((label, start, stop, share))
-                    start, end, covered, share, reached = a, b, b - a, 0.0, 0
-                if (now := min(1.0, covered / len(words))) > share:
-                    share, stop = now, end
-                reached = max(reached, first)
-            if share:
-                out.append((label, start, stop, share))
+        for k, mine in anchors.items():
+            words, label = self.templates[k]
+            total, start = self._joined(mine)
+            order = sorted(range(len(mine)), key=lambda i: (-total[i], mine[i][1]))
+            taken: list[tuple[int, int]] = []
+            for i in order:
+                share, span = total[i] / len(words), (start[i], mine[i][1])
+                if taken and share < MIN_COVER:
+                    break
+                if all(span[1] <= a or b <= span[0] for a, b in taken):
+                    taken.append(span)
+                    out.append((label, *span, share))
+                    if share < MIN_COVER:
+                        break
         return sorted(out)
 
+    @staticmethod
+    def _joined(anchors: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+        """For each (start, end, end in the template), by place: how many different words of the template the best chain
+        up to it covers, and where that chain starts. A chain goes on in the text and in the template; what an anchor
+        shares with the one before it counts once."""
+        total, start = [], []
+        low = 0
+        for j, (a, b, e) in enumerate(anchors):
+            n = b - a
+            best, first = n, a
+            while anchors[low][1] < a - MAX_GAP:
+                low += 1
+            for i in range(low, j):
+                _, stop, end = anchors[i]
+                shared = max(0, stop - a, end - (e - n))
+                if end < e and shared < n and a + shared - stop <= MAX_GAP and total[i] + n - shared > best:
+                    best, first = total[i] + n - shared, start[i]
+            total.append(best)
+            start.append(first)
+        return total, start
+
 
 SCAN = "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, spans array<struct<label: string, start: long, stop: long, covered: double>>"
 _SPAN = pa.list_(pa.struct([("label", pa.string()), ("start", pa.int64()), ("stop", pa.int64()), ("covered", pa.float64())]))
@@ -206,7 +226,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     base_labels[d] = ",".join(sorted(own))
                 whole = [c for c in chains if c[3] >= MIN_COVER]
                 labels[d] = ",".join(sorted(own | {c[0] for c in whole}))
-                scores[d] = 1.0 if places else max([0.0, *(c[3] for c in chains)])
+                scores[d] = 1.0 if places else max((c[3] for c in chains), default=0.0)
                 spans[d] = [{"label": label, "start": a, "stop": b, "covered": share} for label, a, b, share in whole]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": part.column("doc_id"), "n_words": pa.array(np.diff(words.docs)), "n_base": pa.array(n_base, pa.int64()), "first_word": pa.array(first, pa.int64()), "last_word": pa.array(last, pa.int64()),

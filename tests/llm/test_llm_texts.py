@@ -267,6 +267,41 @@ def test_every_license_span(spark):
     assert [got[i]["labels"] for i in range(1, 6)] == ["mit", "mit", "mit", "", ""] and got[5]["score"] == pytest.approx(20 / n) and not got[5]["spans"]
 
 
+def test_fragments_are_no_license(spark):
+    """Fragments that are repeated or shuffled cover their words of the template once, and only in its order."""
+    words = next(t for label, t in licenses.TEMPLATES if label == "mit" and len(t) > 100).split()
+    n = len(words)
+    parts = [words[i : i + 8] for i in range(0, n, 8)]
+    texts = {1: "permission is hereby granted " * 30, 2: " ".join(" ".join(p) for p in reversed(parts)), 3: "redistribution and use in source and binary forms " * 9, 4: " x y ".join(" ".join(p) for p in parts)}
+    got = by_id(licenses.scan_licenses(frame(spark, [(i, t, "a") for i, t in texts.items()])))
+    assert [got[i]["labels"] for i in range(1, 5)] == ["", "", "", "mit"]
+    assert got[1]["score"] == pytest.approx(4 / n) and got[2]["score"] < 0.2 and got[3]["score"] < 0.5 and got[4]["score"] > 0.9
+
+
+def test_chains_by_brute_force():
+    a = licenses.Automaton((("p", "a b c d a b e c d"), ("q", "c d a x b")), (("a b", "ab"),), 2)
+    rng = random.Random(4)
+    for _ in range(150):
+        w = [rng.choice("abcdex") for _ in range(rng.randint(2, 22))]
+        _, matches = a.stream([a.vocab[x] for x in w])
+        found = {}
+        for label, _, _, share in a.chains(matches):
+            found[label] = max(share, found.get(label, 0.0))
+        for words, label in a.templates:
+            spots = [(s, e, k) for s, e, _ in matches for k in range(len(words) - (e - s) + 1) if list(words[k : k + e - s]) == w[s:e]]
+
+            def best(upto):  # most template words of a chain that ends with this spot
+                s, e, k = upto
+                most = e - s
+                for s0, e0, k0 in spots:
+                    cut = max(0, e0 - s, k0 + e0 - s0 - k)
+                    if s0 < s and k0 + e0 - s0 < k + e - s and cut < e - s and s + cut - e0 <= licenses.MAX_GAP:
+                        most = max(most, best((s0, e0, k0)) + e - s - cut)
+                return most
+
+            assert found.get(label, 0.0) == pytest.approx(max((best(x) for x in spots), default=0) / len(words))
+
+
 def test_automaton_statistics():
     a = licenses.Automaton((("p", "a b c d a b e"), ("q", "c d a x")), (("a b", "ab"),), 2)
     rng = random.Random(0)
