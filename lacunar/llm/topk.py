@@ -104,9 +104,10 @@ def exact_top_k(df: DataFrame, k: int = 10, every: int = 100, key: str = "vec_id
     df = df.select(F.col(key).cast("long").alias(key), vec)
     dim = common_length(df, vec)
     shards = materialize(df.mapInArrow(_pack(key, vec, dim, SHARD), PACKED), "topk-shards")
-    small = df.where(F.pmod(key, F.lit(every)) == 0).mapInArrow(_pack(key, vec, dim, 256), PACKED)
+    small = asked.mapInArrow(_pack(key, vec, dim, 256), PACKED)
     total = shards.agg(F.count("*").alias("s"), F.sum("n").alias("n")).first()
-    n_tiles = max(1, math.ceil((total["n"] or 0) / every / TILE))
+    asked = df.where(F.pmod(key, F.lit(every)) == 0)
+    n_tiles = max(1, math.ceil(asked.count() / TILE))  # by the queries there are, however the ids are spread
     groups = max(1, math.ceil((total["n"] or 0) / (SHARD * SHARDS_PER_GROUP)), min(16, total["s"]))
     small = small.withColumn("tile", F.pmod(F.xxhash64("shard"), F.lit(n_tiles)))
     tiles = small.groupBy("tile").applyInArrow(_tiles(dim), "tile long, ids binary, vecs binary")

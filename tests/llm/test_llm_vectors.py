@@ -57,6 +57,15 @@ def test_exact_tiles_and_shards(spark, rows, monkeypatch):
     assert got == brute(good(rows, True), 10, 5, lambda a, b: int(np.floor(a * 1024) @ np.floor(b * 1024)))
 
 
+def test_exact_all_ids_are_queries(spark, monkeypatch):
+    """Tiles follow the number of queries, not that of rows over `every`."""
+    monkeypatch.setattr(topk, "TILE", 8)
+    rng = np.random.default_rng(8)
+    rows = [(100 * i, [float(f) for f in v]) for i, v in enumerate(rng.standard_normal((120, 4)).astype(np.float32))]
+    got = sorted(map(tuple, topk.exact_top_k(frame(spark, rows), k=3, every=100).collect()))
+    assert got == brute(good(rows, True), 100, 3, lambda a, b: int(np.floor(a * 1024) @ np.floor(b * 1024)))
+
+
 def test_scan_recall(spark, rows):
     got = sorted(map(tuple, ann.adaptive_scan(frame(spark, rows), k=20, every=20).collect()))
     want = brute(good(rows, False), 20, 20, lambda a, b: float((a * b).sum()))
