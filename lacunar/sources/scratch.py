@@ -2,16 +2,26 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Shuffle files go when the write that made them has ended, not when the driver happens to collect its garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """spark.checkpoint.dir of the session; only where it is unset (tests), a folder of our own."""
+    """spark.checkpoint.dir of the session. Where it is unset, as in tests, a folder of our own, but only if driver and
+    executors are one process: on a cluster other machines would not see it."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="lacunar-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -21,11 +31,23 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/lacunar/{name}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def _cleaned(spark: SparkSession) -> Iterator[None]:
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(CLEANUP, before)
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write df once and read it back: lineage ends here and lost executors cost no recomputation."""
-    path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = new_path(spark, name)
+    with _cleaned(spark):
+        df.write.option("compression", "zstd").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def delete(spark: SparkSession, path: str) -> None:
@@ -35,8 +57,9 @@ def delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release(df: DataFrame) -> None:
-    """Remove a materialized table once no later plan reads it."""
-    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
-        if "/lacunar/" in path:
-            delete(df.sparkSession, path)
+def release(*tables: DataFrame) -> None:
+    """Remove materialized tables once no later plan reads them."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            if "/lacunar/" in path:
+                delete(df.sparkSession, path)
