@@ -25,11 +25,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lacunar.llm.files import open_uri
 from lacunar.llm.scratch import materialize, new_path
 from lacunar.llm.textops import slices
 from lacunar.llm.tokens import Encoder
@@ -61,10 +61,6 @@ def unshuffle_block(parts: list[bytes], count: int, width: int, planes: str) ->
     return rows.view("<u8").ravel()
 
 
-def _open(uri: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(uri) if "://" in uri or uri.startswith("file:") else (pa.fs.LocalFileSystem(), uri)
-
-
 class Writer:
     def __init__(self, out, planes: str = "byte", level: int = 3):
         self.out, self.planes, self.zstd = out, planes, zstandard.ZstdCompressor(level=level)
@@ -168,7 +164,7 @@ def _write(folder: str, planes: str):
             if writer:
                 writer.close()
                 final = f"{folder}/{open_shard:012d}.lpl"
-                fs, there = _open(final)
+                fs, there = open_uri(final)
                 fs.move(f"{there}.{attempt}", there)
                 made.append((open_shard, final, n_docs, n_ids))
 
@@ -177,7 +173,7 @@ def _write(folder: str, planes: str):
                 if shard != open_shard:
                     finish()
                     attempt, open_shard, n_docs, n_ids = uuid.uuid4().hex, shard, 0, 0
-                    fs, there = _open(f"{folder}/{shard:012d}.lpl")
+                    fs, there = open_uri(f"{folder}/{shard:012d}.lpl")
                     fs.create_dir(there.rsplit("/", 1)[0], recursive=True)
                     writer = Writer(fs.open_output_stream(f"{there}.{attempt}"), planes)
                 values = np.frombuffer(ids, np.uint16 if width == 2 else np.uint32)
@@ -208,7 +204,7 @@ def write_planes(docs: DataFrame, folder: str, tokenizer: str, end: int, planes:
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for file, base in zip(batch.column("file").to_pylist(), batch.column("base").to_pylist(), strict=True):
-            fs, there = _open(file)
+            fs, there = open_uri(file)
             docs, starts, lengths, crcs, at = [], [], [], [], base
             with fs.open_input_file(there) as source:
                 for doc, n, parts in Reader(source).documents():

@@ -1,7 +1,8 @@
 """Blocks of whole rows, and exchanges in which blocks ask hash buckets and get answers back.
 
-A block is some MB of rows as one compressed Arrow message, written once to the shared folder. A pass over the blocks
-sends, for each of a fixed number of hash buckets, one packed array to that bucket; a bucket is one group, of about the
+A block is some MB of rows as one compressed Arrow message, written once to a file in the shared folder; the table of
+blocks only says where each lies, so passes read blocks from their files and no text goes through a shuffle. A pass over
+the blocks sends, for each of a fixed number of hash buckets, one packed array to that bucket; a bucket is one group, of about the
 same size as any other since keys are hashed and each block sends a key once, however often it occurs. Answers go back
 to their block the same way. No key's occurrences ever meet in one task, and rows of the shuffle are arrays, not keys.
 """
@@ -16,10 +17,14 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.scratch import materialize
+from lacunar.llm.files import blobs, read_blob
+from lacunar.llm.scratch import materialize, new_path
 from lacunar.llm.textops import slices, trim
 
 BLOCK_BYTES = 4 << 20
+BLOCK_ROWS = 1 << 16
+BLOCKS_PER_TASK = 4
+PLACE = "block_id long, n_rows long, n_bytes long, file string, at long, size long"
 SENT = "bucket long, block_id long, data binary"
 ANSWER = "block_id long, bucket long, data binary"
 
@@ -58,41 +63,60 @@ def grow(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def placed(block: int, n_rows: int, n_bytes: int, place: tuple[str, int, int]) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64())
+    names = ("block_id", "n_rows", "n_bytes", "file", "at", "size")
+    return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((block, n_rows, n_bytes, *place), kinds, strict=True)], names=names)
+
+
 def pack_blocks(df: DataFrame, text: str, order: str, name: str, limit: int = BLOCK_BYTES, convert: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
-    """(block_id, n_rows, n_bytes, payload); rows of a block by `order`, nulls last, else as they came."""
+    """The blocks' table (PLACE); rows of a block by `order`, nulls last, else as they came."""
+    folder = new_path(df.sparkSession, f"{name}-files")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         block = TaskContext.get().partitionId() << 32
-        for batch in whole_blocks(batches, text, limit):
-            keys = batch.column(order)
-            at = np.lexsort((keys.fill_null(0).to_numpy(zero_copy_only=False), ~np.asarray(keys.is_valid())))
-            batch = batch.take(pa.array(at))
-            n_bytes = int(pa.compute.sum(pa.compute.binary_length(batch.column(text))).as_py() or 0)
-            payload = freeze(convert(batch) if convert else batch)
-            trim()
-            yield pa.RecordBatch.from_pydict({"block_id": pa.array([block], pa.int64()), "n_rows": pa.array([len(batch)], pa.int64()), "n_bytes": pa.array([n_bytes], pa.int64()), "payload": [payload]})
-            block += 1
-
-    return materialize(df.mapInArrow(run, "block_id long, n_rows long, n_bytes long, payload binary"), name)
-
-
-def whole_blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int) -> Iterator[pa.RecordBatch]:
-    """Runs of rows of about `limit` bytes of text, across the batches of a task."""
+        with blobs(folder) as out:
+            for batch in whole_blocks(batches, text, limit):
+                keys = batch.column(order)
+                at = np.lexsort((keys.fill_null(0).to_numpy(zero_copy_only=False), ~np.asarray(keys.is_valid())))
+                batch = batch.take(pa.array(at))
+                n_bytes = int(pa.compute.sum(pa.compute.binary_length(batch.column(text))).as_py() or 0)
+                payload = freeze(convert(batch) if convert else batch)
+                trim()
+                yield placed(block, len(batch), n_bytes, out.add(payload))
+                block += 1
+
+    return materialize(df.mapInArrow(run, PLACE), name)
+
+
+def whole_blocks(batches: Iterator[pa.RecordBatch], text: str, limit: int, most: int = BLOCK_ROWS) -> Iterator[pa.RecordBatch]:
+    """Runs of rows of about `limit` bytes of text, and of `most` rows or few more, across the batches of a task."""
     held: list[pa.RecordBatch] = []
-    size = 0
+    size = rows = 0
     for batch in batches:
         for part in slices(batch, text, max(1, limit // 4)):
             held.append(part)
             size += int(pa.compute.sum(pa.compute.binary_length(part.column(text))).as_py() or 0)
-            if size >= limit:
+            rows += part.num_rows
+            if size >= limit or rows >= most:
                 yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, size = [], 0
+                held, size, rows = [], 0, 0
     if held:
         yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
 
+def tasks(df: DataFrame, n_blocks: int) -> int:
+    """How many tasks a pass over the blocks takes: a few blocks each, and all cores."""
+    return max(1, min(n_blocks, max(-(-n_blocks // BLOCKS_PER_TASK), 3 * df.sparkSession.sparkContext.defaultParallelism)))
+
+
+def each(blocks: DataFrame, n_blocks: int) -> DataFrame:
+    """The blocks dealt to the tasks of a pass."""
+    return blocks.repartition(tasks(blocks, n_blocks))
+
+
 def sent(block_id: int, parts: dict[int, bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"bucket": pa.array(list(parts), pa.int64()), "block_id": pa.array([block_id] * len(parts), pa.int64()), "data": pa.array(list(parts.values()), pa.binary())})
 
@@ -119,16 +143,27 @@ def exchange(sends: DataFrame, answer: Callable[[int, list[int], list[bytes]], l
     return sends.groupBy("bucket").applyInArrow(run, ANSWER)
 
 
-def with_answers(blocks: DataFrame, answers: DataFrame) -> DataFrame:
-    """Each block with an array of its answers (bucket, data); the blocks are hashed, not sorted."""
-    per = answers.groupBy("block_id").agg(F.collect_list(F.struct("bucket", "data")).alias("answers"))
-    return blocks.join(per.hint("shuffle_hash"), "block_id", "left")
+def with_answers(blocks: DataFrame, answers: DataFrame, n_blocks: int) -> DataFrame:
+    """Each block with an array of its answers (bucket, data), by one shuffle of the answers and of the blocks' places."""
+    place = F.struct("n_rows", "n_bytes", "file", "at", "size")
+    none = F.lit(None)
+    rows = blocks.select("block_id", place.alias("place"), none.cast("struct<bucket: bigint, data: binary>").alias("answer"))
+    rows = rows.unionByName(answers.select("block_id", F.struct("bucket", "data").alias("answer")), allowMissingColumns=True)
+    per = rows.repartition(tasks(blocks, n_blocks), "block_id").groupBy("block_id").agg(F.first("place", ignorenulls=True).alias("place"), F.collect_list("answer").alias("answers"))
+    return per.where("place IS NOT NULL").select("block_id", "place.*", "answers")
 
 
-def answered(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Table, dict[int, bytes]]]:
-    """(block_id, its rows, its answers by bucket) of each row of with_answers."""
+def payloads(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, dict[int, bytes]]]:
+    """(block_id, what its file holds, its answers by bucket) of each row of blocks or of with_answers."""
     got = batch.column("answers") if "answers" in batch.schema.names else None
-    for i, block in enumerate(batch.column("block_id").to_pylist()):
+    places = zip(*(batch.column(c).to_pylist() for c in ("block_id", "file", "at", "size")), strict=True)
+    for i, (block, *place) in enumerate(places):
         mine = got[i].as_py() if got is not None else None
-        yield block, thaw(batch.column("payload")[i].as_py()), {a["bucket"]: a["data"] for a in mine or ()}
+        yield block, read_blob(*place), {a["bucket"]: a["data"] for a in mine or ()}
         trim()
+
+
+def answered(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Table, dict[int, bytes]]]:
+    """(block_id, its rows, its answers by bucket)."""
+    for block, payload, answers in payloads(batch):
+        yield block, thaw(payload), answers

@@ -25,8 +25,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.blocks import SENT, answered, exchange, grow, pack_blocks, sent, shrink, split, with_answers
-from lacunar.llm.scratch import materialize
+from lacunar.llm.blocks import SENT, answered, each, exchange, grow, pack_blocks, sent, shrink, split, with_answers
+from lacunar.llm.scratch import materialize, release
 from lacunar.llm.textops import Words
 
 WINDOW = 20
@@ -234,12 +234,14 @@ def _repeats(docs: DataFrame, name: str) -> DataFrame:
     """The blocks of docs (doc_id, text, ...) with their answers about repeated windows."""
     blocks = pack_blocks(docs, "text", "doc_id", name)
     total = blocks.agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("n")).first()
+    n = total["n"]
     windows = max(1, (total["bytes"] or 0) // 5)
     bits = max(16, (WIDTH_PER_WINDOW * windows - 1).bit_length())
-    flags = exchange(blocks.mapInArrow(_sketch(bits, SHARD_BITS), SENT), _merge(SHARD_BITS))
-    buckets = max(1, -(-total["n"] // 2))
-    sends = with_answers(blocks, flags).mapInArrow(_exact(bits, SHARD_BITS, buckets), SENT)
-    return with_answers(blocks, exchange(sends, _first))
+    flags = materialize(exchange(each(blocks, n).mapInArrow(_sketch(bits, SHARD_BITS), SENT), _merge(SHARD_BITS)), f"{name}-flags")
+    sends = with_answers(blocks, flags, n).mapInArrow(_exact(bits, SHARD_BITS, max(1, -(-n // 2))), SENT)
+    found = materialize(exchange(sends, _first), f"{name}-found")
+    release(flags)
+    return with_answers(blocks, found, n)
 
 
 def _plain(docs: DataFrame) -> DataFrame:
