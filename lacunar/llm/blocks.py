@@ -69,7 +69,7 @@ def placed(block: int, n_rows: int, n_bytes: int, place: tuple[str, int, int]) -
     return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip((block, n_rows, n_bytes, *place), kinds, strict=True)], names=names)
 
 
-def pack_blocks(df: DataFrame, text: str, order: str, name: str, limit: int = BLOCK_BYTES, convert: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None) -> DataFrame:
+def pack_blocks(df: DataFrame, text: str, order: str, name: str, convert: Callable[[pa.RecordBatch], pa.RecordBatch] | None = None, limit: int = BLOCK_BYTES) -> DataFrame:
     """The blocks' table (PLACE); rows of a block by `order`, nulls last, else as they came."""
     folder = new_path(df.sparkSession, f"{name}-files")
 

@@ -47,7 +47,7 @@ def op4_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_anchor_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(_table(spark, sf_dir, "documents"))
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, distance=4)
 
 
 def op6_license_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,65 +1,59 @@
 """SimHash near-duplicates: fingerprints linked by anchor-point covering.
 
-Of 64 bits in three segments, two fingerprints within 4 bits agree but for one bit in some segment. On each segment a
-covering code gives the anchors: a fingerprint belongs to an anchor within the covering radius R and is copied to every
-anchor within R + 1, so of a linked pair the one meets the other at its own anchor. Per anchor all of the owners are
+A fingerprint of 64 bits or more is cut into segments. On each segment a covering code gives the anchors: a fingerprint
+belongs to an anchor within the covering radius R and is copied to every anchor within R + 1, so of two fingerprints
+that agree but for one bit in some segment the one meets the other at its own anchor. Per anchor all of the owners are
 compared with all of the copies, as bit counts of whole arrays. Codes: the Golay code (23 bits, R = 3; 4,096 anchors a
-segment and about 5 copies) and, for very many fingerprints, all words (R = 0; 2**21 anchors and 22 copies). Both find
-every link.
-
-Equal fingerprints are compared once. A cell of the comparison holds at most OWNERS x COPIES fingerprints: an anchor
-with more is cut into a grid of cells. A cell returns not its pairs but a spanning tree, a link for each fingerprint at
-most, and components are joined over tables.
-
-Defined cases: a text without words (null, empty, white space) has fingerprint 0 and is linked like any other. Rows
-that share an id are all returned; a null id counts as no id, so a component of such rows alone has a null id. Other
-columns are not read. Empty in, empty out.
+segment and about 5 copies) and, for very many fingerprints, all words (R = 0; 2**21 anchors and 22 copies).
+
+`near_duplicates(distance=4)` links by the distance alone: 64 bits in three segments, and two fingerprints within 4 bits
+agree but for one bit in one of them, so every link is found. By `similarity` (the default: 0.8 of five-word shingles),
+64 bits tell too little: copies at 0.8 differ in 10 of them. There a fingerprint has 384 bits in 16 segments; 99.9 % of
+pairs at 0.8, and more of closer ones, meet at an anchor. Pairs within NEAR bits are candidates only: rows of linked
+candidates are compared by their whole sets of shingles (`similar`), so what is linked has the similarity. Sets whose
+sizes alone rule it out never meet: an anchor is one of a class of sizes.
+
+Equal fingerprints (or sets) are compared once. A cell of the comparison holds about OWNERS x COPIES fingerprints: an
+anchor with more, as a sample of SAMPLE fingerprints tells, is cut into a grid of cells, and all are if there are very
+many fingerprints. A task returns not its pairs but a spanning forest, and components are joined over tables.
+
+Defined cases: a text without words (null, empty, white space) has fingerprint 0 and is linked like any other. A text of
+fewer words than a shingle is one shingle. Rows that share an id are all returned; a null id counts as no id, so a
+component of such rows alone has a null id. Other columns are not read. Empty in, empty out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lacunar.llm import similar
+from lacunar.llm.blocks import PLACE, answered, freeze, placed, tasks, whole_blocks
+from lacunar.llm.files import blobs
 from lacunar.llm.graph import components, local_roots
-from lacunar.llm.scratch import materialize
-from lacunar.llm.textops import Words, slices, trim
+from lacunar.llm.scratch import materialize, new_path
+from lacunar.llm.textops import ragged, slices, trim
 
-SHINGLE, SEED, DISTANCE = 4, 42, 4
-SEGMENTS = ((0, 21), (21, 21), (42, 22))
+SHINGLE, DISTANCE = 4, 4
 OWNERS, COPIES = 16_384, 65_536
 GOLAY_UP_TO = 1 << 24  # fingerprints
 BUCKET = 40_000  # fingerprints a bucket
+SAMPLE, HOT = 1 << 16, 64  # fingerprints that tell which anchors are crowded; of them at an anchor, to be one
+LANES, NEAR = 6, 112  # of 64 bits; of all bits: between copies at 0.8 about 60 differ, between other texts 192
+BLOCK_BYTES = 4 << 20
 _SPREAD = np.packbits(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").reshape(256, 8, 1) * np.ones((1, 1, 8), np.uint8) * np.array([1, 0, 0, 0, 0, 0, 0, 0], np.uint8), axis=2, bitorder="little").reshape(256, 8).copy().view(np.uint64).ravel()
 
 
-def shingles(col: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each shingle, one row after the other; how many each row has."""
-    words = Words(col, lower=True)
-    n = np.diff(words.docs)
-    if not len(words):
-        return np.zeros(0, np.uint64), np.zeros(len(col), np.int64)
-    spaced = np.full(len(words.data) + len(words), 32, np.uint8)
-    spaced[np.arange(len(words.data)) + np.repeat(np.arange(len(words)), np.diff(words.at))] = words.data
-    at = words.at + np.arange(len(words) + 1)
-    count = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
-    ends = np.cumsum(count)
-    first = np.arange(int(ends[-1])) + np.repeat(words.docs[:-1] - (ends - count), count)
-    last = np.minimum(first + shingle, np.repeat(words.docs[1:], count))
-    text, digest = spaced.tobytes(), xxhash.xxh64_intdigest
-    return np.fromiter([digest(text[a:b], SEED) for a, b in zip(at[first].tolist(), (at[last] - 1).tolist(), strict=True)], np.uint64, len(first)), count
-
-
-def fingerprints(col: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
-    """A 64-bit fingerprint of each row."""
-    h, count = shingles(col, shingle)
-    out = np.zeros(len(col), np.uint64)
+def majorities(h: np.ndarray, count: np.ndarray, lanes: int = 1) -> np.ndarray:
+    """(rows, lanes) of 64 bits each: whether a bit is set in over half of a row's hashes. Later lanes mix the hash anew."""
+    out = np.zeros((len(count), lanes), np.uint64)
     if not len(h):
         return out
     ends = np.cumsum(count)
@@ -70,19 +64,31 @@ def fingerprints(col: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
     within = np.arange(int(run_ends[-1])) - np.repeat(run_ends - runs, runs)
     run_at = np.repeat(starts, runs) + 255 * within
     full = np.flatnonzero(count)
-    lanes = h.view(np.uint8).reshape(-1, 8)
-    for lane in range(8):
-        sums = np.add.reduceat(_SPREAD[lanes[:, lane]], run_at).view(np.uint8).reshape(-1, 8).astype(np.int64)
-        bits = np.add.reduceat(sums, (run_ends - runs)[full], axis=0) * 2 > count[full][:, None]
-        out[full] |= np.packbits(bits, axis=1, bitorder="little").ravel().astype(np.uint64) << np.uint64(8 * lane)
+    for j in range(lanes):
+        if j:
+            h = (h ^ (h >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            h ^= h >> np.uint64(32)
+        parts = h.view(np.uint8).reshape(-1, 8)
+        for i in range(8):
+            sums = np.add.reduceat(_SPREAD[parts[:, i]], run_at).view(np.uint8).reshape(-1, 8).astype(np.int64)
+            bits = np.add.reduceat(sums, (run_ends - runs)[full], axis=0) * 2 > count[full][:, None]
+            out[full, j] |= np.packbits(bits, axis=1, bitorder="little").ravel().astype(np.uint64) << np.uint64(8 * i)
     return out
 
 
-def _fingerprint(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "text", 4 << 20):
-            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "fp": pa.array(fingerprints(part.column("text")).view(np.int64))})
-    trim()
+def fingerprints(col: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
+    """A 64-bit fingerprint of each row."""
+    return majorities(*similar.shingles(col, shingle))[:, 0]
+
+
+def _fingerprint(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text", 4 << 20):
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "fp": pa.array(fingerprints(part.column("text"), shingle).view(np.int64))})
+        trim()
+
+    return run
 
 
 @cache
@@ -123,9 +129,61 @@ def anchors(values: np.ndarray, bits: int, code: str) -> tuple[np.ndarray, np.nd
     return (values ^ errors[:, 0]) >> 11, at, (values[at] ^ errors[at, slot]) >> 11
 
 
-def _segment(fp: np.ndarray, s: int) -> np.ndarray:
-    start, bits = SEGMENTS[s]
-    return ((fp >> np.uint64(start)) & np.uint64((1 << bits) - 1)).astype(np.int64)
+@dataclass(frozen=True)
+class Scheme:
+    """How fingerprints are cut and when two are linked. `ratio`: of the sizes of two linked ones, at least."""
+
+    segments: tuple[tuple[int, int], ...]
+    near: int
+    ratio: float | None = None
+    code: str = "golay"
+
+    @property
+    def lanes(self) -> int:
+        return -(-max(start + bits for start, bits in self.segments) // 64)
+
+    def classes(self, size: np.ndarray) -> np.ndarray:
+        """Linked fingerprints are of the same class or of classes next to each other."""
+        if self.ratio is None:
+            return np.zeros(len(size), np.int64)
+        return np.floor(np.log(np.maximum(size, 1)) / (math.log(1 / self.ratio) * 1.04)).astype(np.int64) + 1
+
+    def segment(self, bits: np.ndarray, s: int) -> np.ndarray:
+        start, width = self.segments[s]
+        word, off = divmod(start, 64)
+        v = bits[:, word] >> np.uint64(off)
+        if off + width > 64:
+            v = v | (bits[:, word + 1] << np.uint64(64 - off))
+        return (v & np.uint64((1 << width) - 1)).astype(np.int64)
+
+    def entries(self, bits: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(anchor, with its class and segment; 1 for copies; whose) of all owners and copies."""
+        kind = self.classes(size)
+        keys, roles, whose = [], [], []
+        for s, (_, width) in enumerate(self.segments):
+            own, at, copy = anchors(self.segment(bits, s), width, self.code)
+            for shift in (0,) if self.ratio is None else (-1, 0, 1):
+                keys.append(((kind + shift) * len(self.segments) + s) << 24 | own)
+                whose.append(np.arange(len(own)))
+                roles.append(np.zeros(len(own), np.uint8))
+            keys.append((kind[at] * len(self.segments) + s) << 24 | copy)
+            whose.append(at)
+            roles.append(np.ones(len(at), np.uint8))
+        return np.concatenate(keys), np.concatenate(roles), np.concatenate(whose)
+
+    def class_of(self, key: np.ndarray) -> np.ndarray:
+        return (key >> 24) // len(self.segments)
+
+
+def exact(distance: int = DISTANCE, code: str = "golay") -> Scheme:
+    """64 bits in three segments: every link within 4 bits (or 5) is found."""
+    if distance > 5:
+        raise ValueError("two fingerprints of more than 5 different bits need not agree but for one bit in one of three segments")
+    return Scheme(((0, 21), (21, 21), (42, 22)), distance, None, code)
+
+
+def wide(similarity: float) -> Scheme:
+    return Scheme(tuple((23 * i, 23) for i in range(64 * LANES // 23)), NEAR, similarity)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -133,113 +191,262 @@ def _mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _counts(code: str):
+def _prints(batch: pa.RecordBatch, lanes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(node, bits, size); without a column `bits` the node is its own fingerprint."""
+    fp = batch.column("fp").to_numpy()
+    if "bits" not in batch.schema.names:
+        return fp, fp.view(np.uint64)[:, None], np.zeros(len(fp), np.int64)
+    return fp, np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, lanes), batch.column("size").to_numpy()
+
+
+def _counts(scheme: Scheme):
     """Owners and copies of each anchor among this task's fingerprints."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = batch.column("fp").to_numpy().view(np.uint64)
-            for s in range(3):
-                own, _, copy = anchors(_segment(fp, s), SEGMENTS[s][1], code)
-                keys, inverse = np.unique(np.concatenate([own, copy]), return_inverse=True)
-                is_own = np.arange(len(inverse)) < len(own)
-                owners, copies = (np.bincount(inverse[m], minlength=len(keys)) for m in (is_own, ~is_own))
-                yield pa.RecordBatch.from_pydict({"anchor": pa.array(keys * 3 + s), "owners": pa.array(owners, pa.int64()), "copies": pa.array(copies, pa.int64())})
+            _, bits, size = _prints(batch, scheme.lanes)
+            key, role, _ = scheme.entries(bits, size)
+            keys, inverse = np.unique(key, return_inverse=True)
+            owners, copies = (np.bincount(inverse[role == r], minlength=len(keys)) for r in (0, 1))
+            yield pa.RecordBatch.from_pydict({"anchor": pa.array(keys), "owners": pa.array(owners, pa.int64()), "copies": pa.array(copies, pa.int64())})
+
+    return run
+
+
+def _classes(scheme: Scheme):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names, counts = np.unique(scheme.classes(_prints(batch, scheme.lanes)[2]), return_counts=True)
+            yield pa.RecordBatch.from_pydict({"class": pa.array(names, pa.int64()), "n": pa.array(counts, pa.int64())})
 
     return run
 
 
-def _deal(code: str, buckets: int, crowded: dict[int, tuple[int, int]]):
-    """Packed (cell, role, fingerprint) entries by bucket of cells."""
+def _cut(key: np.ndarray, role: np.ndarray, whose: np.ndarray, node: np.ndarray, grid: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Entries dealt to a grid of cells: an owner to a row of them, a copy to a column."""
+    rows, columns = grid
+    spot = _mixed(node[whose] >> 1)
+    owner = role == 0
+    reps = np.where(owner, columns, rows)
+    at = np.repeat(np.arange(len(key)), reps)
+    other = np.arange(len(at)) - np.repeat(np.cumsum(reps) - reps, reps)
+    line = np.where(owner, spot % np.uint64(rows), spot % np.uint64(columns)).astype(np.int64)[at]
+    cell = np.where(owner[at], line * columns + other, other * columns + line)
+    return _mixed(key[at] ^ ((cell + 1) << 44)).view(np.int64), role[at], whose[at]
+
+
+def _deal(scheme: Scheme, parts: dict[int, int], crowded: dict[int, tuple[int, int]], grid: tuple[int, int]):
+    """For each bucket one message: its cells, roles and whose they are, and the fingerprints once each."""
+    hot = np.array(sorted(crowded), np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp = batch.column("fp").to_numpy().view(np.uint64)
-            cells, roles, prints = [], [], []
-            for s in range(3):
-                own, at, copy = anchors(_segment(fp, s), SEGMENTS[s][1], code)
-                key = np.concatenate([own, copy]) * 3 + s
-                role = np.concatenate([np.zeros(len(own), np.uint8), np.ones(len(copy), np.uint8)])
-                print_ = np.concatenate([fp, fp[at]])
-                if crowded:  # cut into a grid: owners to a row of cells, copies to a column
-                    hot = np.isin(key, np.fromiter(crowded, np.int64, len(crowded)))
-                    for anchor in np.unique(key[hot]).tolist():
-                        rows, columns = crowded[anchor]
-                        mine = np.flatnonzero(key == anchor)
-                        spot = _mixed(print_[mine] >> np.uint64(1))
-                        owner = role[mine] == 0
-                        r, c = (spot % np.uint64(rows)).astype(np.int64), (spot % np.uint64(columns)).astype(np.int64)
-                        for part, line, reps in ((owner, r, columns), (~owner, c, rows)):
-                            who, there = np.repeat(mine[part], reps), np.tile(np.arange(reps), int(part.sum()))
-                            row, column = (np.repeat(line[part], reps), there) if reps == columns and part is owner else (there, np.repeat(line[part], reps))
-                            cells.append((row * columns + column + 1) << 32 | anchor)
-                            roles.append(role[who])
-                            prints.append(print_[who])
-                    key, role, print_ = key[~hot], role[~hot], print_[~hot]
-                cells.append(key)
-                roles.append(role)
-                prints.append(print_)
-            cell, role, print_ = np.concatenate(cells), np.concatenate(roles), np.concatenate(prints)
-            bucket = (_mixed(cell) % np.uint64(buckets)).astype(np.int64)
-            order = np.argsort(bucket, kind="stable")
-            bucket, cell, role, print_ = bucket[order], cell[order], role[order], print_[order]
-            at = np.searchsorted(bucket, np.arange(buckets + 1))
-            full = np.flatnonzero(np.diff(at))
-            yield pa.RecordBatch.from_pydict({"bucket": pa.array(full, pa.int64()), **{k: [v[at[b] : at[b + 1]].tobytes() for b in full] for k, v in (("cells", cell), ("roles", role), ("prints", print_))}})
+            for a in range(0, len(batch), 4096):
+                node, bits, size = _prints(batch.slice(a, 4096), scheme.lanes)
+                key, role, whose = scheme.entries(bits, size)
+                kind = scheme.class_of(key)
+                found = [(kind, key, role, whose)]
+                if len(hot) or grid != (1, 1):
+                    is_hot = np.isin(key, hot)
+                    rest = ~is_hot
+                    found = [(kind[rest], key[rest], role[rest], whose[rest])] if grid == (1, 1) else []
+                    groups = [(crowded[int(k)], np.flatnonzero(key == k)) for k in np.unique(key[is_hot]).tolist()]
+                    for how, at in [*groups, *([(grid, np.flatnonzero(rest))] if grid != (1, 1) else [])]:
+                        cell, r, w = _cut(key[at], role[at], whose[at], node, how)
+                        found.append((np.repeat(kind[at], np.where(role[at] == 0, how[1], how[0])), cell, r, w))
+                kind, cell, role, whose = (np.concatenate([f[i] for f in found]) for i in range(4))
+                names, index = np.unique(kind, return_inverse=True)
+                share = np.array([parts.get(int(k), 1) for k in names], np.uint64)
+                bucket = (kind << 32) + (_mixed(cell) % share[index]).astype(np.int64)
+                order = np.lexsort((whose, bucket))
+                bucket, cell, role, whose = bucket[order], cell[order], role[order], whose[order]
+                starts = np.flatnonzero(np.diff(bucket, prepend=np.int64(-1 << 62)))
+                out: dict[str, list] = {k: [] for k in ("bucket", "cells", "roles", "whose", "nodes", "bits")}
+                for i, j in zip(starts.tolist(), [*starts[1:].tolist(), len(bucket)], strict=True):
+                    own, who = np.unique(whose[i:j], return_inverse=True)
+                    for name, v in zip(out, (bucket[i], cell[i:j].tobytes(), role[i:j].tobytes(), who.astype(np.uint16).tobytes(), node[own].tobytes(), bits[own].tobytes()), strict=True):
+                        out[name].append(v)
+                yield pa.RecordBatch.from_pydict({k: pa.array(v, pa.int64() if k == "bucket" else pa.binary()) for k, v in out.items()})
 
     return run
 
 
-def _compare(table: pa.Table) -> pa.Table:
-    cat = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in table[name].to_pylist()])
-    cell, role, fp = cat("cells", np.int64), cat("roles", np.uint8), cat("prints", np.uint64)
-    order = np.lexsort((role, cell))
-    cell, role, fp = cell[order], role[order], fp[order]
-    starts = np.flatnonzero(np.diff(cell, prepend=-1))
-    u, v = [], []
-    for a, b in zip(starts, [*starts[1:], len(cell)], strict=True):
-        cut = a + int(np.count_nonzero(role[a:b] == 0))
-        owners, copies = fp[a:cut], fp[cut:b]
-        if not len(owners) or len(copies) < 2:
-            continue
-        nodes = np.unique(fp[a:b])
+def _within(bits: np.ndarray, x: np.ndarray, y: np.ndarray, near: int) -> np.ndarray:
+    """Which of the pairs of nodes differ, in `near` bits at most; a lane that alone says more ends a comparison."""
+    at = np.flatnonzero(x != y)
+    far = np.zeros(len(at), np.uint16)
+    for lane in range(bits.shape[1]):
+        far = far + np.bitwise_count(bits[x[at], lane] ^ bits[y[at], lane])
+        keep = far <= near * min(1.0, (lane + 1) / bits.shape[1] + 0.15)
+        at, far = at[keep], far[keep]
+    return at
+
+
+def _compare(scheme: Scheme):
+    def run(table: pa.Table) -> pa.Table:
+        raw = {k: table[k].to_pylist() for k in ("cells", "roles", "whose", "nodes", "bits")}
+        cat = lambda name, kind: np.concatenate([np.frombuffer(b, kind) for b in raw[name]])
+        cell, role, node = cat("cells", np.int64), cat("roles", np.uint8), cat("nodes", np.int64)
+        nodes, first, index = np.unique(node, return_index=True, return_inverse=True)
+        bits = cat("bits", np.uint64).reshape(-1, scheme.lanes)[first]
+        base = np.cumsum([0, *[len(b) // 8 for b in raw["nodes"]]])
+        who = index[np.concatenate([np.frombuffer(b, np.uint16).astype(np.int64) + a for b, a in zip(raw["whose"], base, strict=False)])]
+        order = np.lexsort((role, cell))
+        cell, role, who = cell[order], role[order], who[order]
+        starts = np.flatnonzero(np.diff(cell, prepend=cell[0] - 1)) if len(cell) else np.zeros(0, np.int64)
+        stops = np.append(starts[1:], len(cell))
+        cuts = starts + (np.add.reduceat(role == 0, starts) if len(starts) else 0)
         root = np.arange(len(nodes))
-        for i in range(0, len(owners), 512):
-            for j in range(0, len(copies), 8192):
-                x, y = np.nonzero(np.bitwise_count(owners[i : i + 512, None] ^ copies[None, j : j + 8192]) <= DISTANCE)
-                x, y = owners[i + x], copies[j + y]
-                other = x != y
-                if other.any():
-                    root = local_roots(len(nodes), np.searchsorted(nodes, x[other]), np.searchsorted(nodes, y[other]), root)
+        owners, copies = cuts - starts, stops - cuts
+        small = np.flatnonzero((owners > 0) & (copies > 0) & (owners * copies <= 1 << 16))
+        # of small cells all pairs at once, some millions at a time
+        each_owner, of_cell = ragged(starts[small], owners[small]), np.repeat(small, owners[small])
+        upto = np.cumsum(copies[of_cell])
+        at = 0
+        while at < len(of_cell):
+            to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + (1 << 21), side="right")))
+            c = of_cell[at:to]
+            x, y = who[np.repeat(each_owner[at:to], copies[c])], who[ragged(cuts[c], copies[c])]
+            hit = _within(bits, x, y, scheme.near)
+            root = local_roots(len(nodes), x[hit], y[hit], root)
+            at = to
+        for i in np.flatnonzero((owners > 0) & (copies > 0) & (owners * copies > 1 << 16)).tolist():
+            todo, other = np.unique(who[starts[i] : cuts[i]]), np.unique(who[cuts[i] : stops[i]])
+            while len(todo):  # owners that are joined already look only at what isn't joined to them
+                part = root[todo] == root[todo[0]]
+                mine, far = todo[part][:512], other[root[other] != root[todo[0]]]
+                for j in range(0, len(far), 8192):
+                    x, y = np.repeat(mine, len(far[j : j + 8192])), np.tile(far[j : j + 8192], len(mine))
+                    hit = _within(bits, x, y, scheme.near)
+                    root = local_roots(len(nodes), x[hit], y[hit], root)
+                todo = np.concatenate([todo[part][512:], todo[~part]])
         linked = np.flatnonzero(root != np.arange(len(nodes)))
-        u.append(nodes[linked])
-        v.append(nodes[root[linked]])
-    none = np.zeros(0, np.uint64)
-    return pa.table({"u": pa.array(np.concatenate([none, *u]).view(np.int64)), "v": pa.array(np.concatenate([none, *v]).view(np.int64))})
+        trim()
+        return pa.table({"u": pa.array(nodes[linked], pa.int64()), "v": pa.array(nodes[root[linked]], pa.int64())})
 
+    return run
 
-def links(prints: DataFrame, code: str | None = None) -> DataFrame:
-    """Links (u, v) that join all distinct fingerprints of column fp within DISTANCE bits, and no others."""
+
+def links(prints: DataFrame, code: str | None = None, scheme: Scheme | None = None) -> DataFrame:
+    """Links (u, v) that join all nodes (fp; or fp, bits, size) which the scheme links, and no others."""
     n = prints.count()
-    code = code or ("golay" if n <= GOLAY_UP_TO else "all")
-    per = prints.mapInArrow(_counts(code), "anchor long, owners long, copies long").groupBy("anchor").agg(F.sum("owners").alias("owners"), F.sum("copies").alias("copies"))
-    # at most 3 x 4,096 anchors (golay), or n / OWNERS + 22 n / COPIES of all words
-    many = per.where((F.col("owners") > OWNERS) | (F.col("copies") > COPIES)).where("owners > 0").collect()
-    crowded = {r["anchor"]: (-(-r["owners"] // OWNERS), -(-r["copies"] // COPIES)) for r in many}
-    buckets = max(1, min(1 << 16, -(-n // BUCKET)) * 2)
-    dealt = prints.mapInArrow(_deal(code, buckets, crowded), "bucket long, cells binary, roles binary, prints binary")
-    return dealt.groupBy("bucket").applyInArrow(_compare, "u long, v long")
-
-
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint, component_id of every document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = materialize(docs.mapInArrow(_fingerprint, "doc_id long, fp long"), "simhash-docs")
-    prints = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
-    roots = components(links(prints.select("fp")), "simhash-edges")
-    roots = roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
+    scheme = scheme or exact(code=code or ("golay" if n <= GOLAY_UP_TO else "all"))
+    share = min(1.0, SAMPLE / max(1, n))
+    sample = prints if share == 1 else prints.where(F.pmod(F.xxhash64("fp", F.lit("anchors")), F.lit(1 << 30)) < int(share * (1 << 30)))
+    per = sample.mapInArrow(_counts(scheme), "anchor long, owners long, copies long").groupBy("anchor").agg(F.sum("owners").alias("owners"), F.sum("copies").alias("copies"))
+    if share < 1:  # HOT of the sample or more: a bounded number of anchors, each with a share of all
+        per = per.where((F.col("owners") >= HOT) | (F.col("copies") >= HOT))
+    many = per.where((F.col("owners") > OWNERS * share) | (F.col("copies") > COPIES * share)).where("owners > 0").collect()
+    cells = lambda x, most: max(1, math.ceil(x / share / most))
+    crowded = {r["anchor"]: (cells(r["owners"], OWNERS), cells(r["copies"], COPIES)) for r in many}
+    grid = (cells(HOT, OWNERS), cells(HOT, COPIES)) if share < 1 else (1, 1)  # what an anchor that isn't hot may hold
+    times = 1 if scheme.ratio is None else 3
+    sizes = prints.mapInArrow(_classes(scheme), "class long, n long").groupBy("class").agg(F.sum("n").alias("n")).collect()  # a row a class
+    parts = {r["class"] + d: 0 for r in sizes for d in ((0,) if times == 1 else (-1, 0, 1))}
+    for r in sizes:
+        for d in (0,) if times == 1 else (-1, 0, 1):
+            parts[r["class"] + d] += r["n"]
+    parts = {k: max(1, -(-v // BUCKET)) * (2 if times == 1 else 1) for k, v in parts.items()}
+    dealt = prints.mapInArrow(_deal(scheme, parts, crowded, grid), "bucket long, cells binary, roles binary, whose binary, nodes binary, bits binary")
+    return dealt.groupBy("bucket").applyInArrow(_compare(scheme), "u long, v long")
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _with_roots(links: DataFrame, name: str) -> DataFrame:
+    roots = components(links, name)
+    return materialize(roots.union(roots.select(F.col("root").alias("node"), "root").distinct()), f"{name}-roots")
+
+
+def _named(prints: DataFrame, roots: DataFrame) -> DataFrame:
+    """fp, component_id of every node (fp, least)."""
     linked = prints.join(roots, F.col("fp") == F.col("node")).select("fp", "least", "root")
     groups = linked.groupBy("root").agg(F.min("least").alias("component"))
     named = linked.select("fp", "root").join(groups, "root").select("fp", "component")
-    named = materialize(prints.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id")), "simhash-components")
+    return materialize(prints.join(named, "fp", "left").select("fp", F.coalesce("component", "least").alias("component_id")), "simhash-components")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8, distance: int | None = None) -> DataFrame:
+    """doc_id, fingerprint, component_id of every document.
+
+    Links are pairs of `similarity` or more of their sets of shingles or, if `distance` is given, pairs of 64-bit
+    fingerprints within so many bits.
+    """
+    if distance is None:
+        rows = Similar(_plain(docs), shingle, similarity).rows()
+        return rows.select("doc_id", F.lower(F.hex("bits")).alias("fingerprint"), "component_id")
+    marked = materialize(_plain(docs).mapInArrow(_fingerprint(shingle), "doc_id long, fp long"), "simhash-docs")
+    prints = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
+    named = _named(prints, _with_roots(links(prints.select("fp"), scheme=exact(distance, "golay" if prints.count() <= GOLAY_UP_TO else "all")), "simhash-edges"))
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = 5, similarity: float = 0.8) -> DataFrame:
+    """docs without near-duplicates: of each component the row with its smallest id stays; of rows that share an id one,
+    and all with a null id. All columns as they are; texts are read again from their blocks and never shuffled."""
+    found = Similar(docs, shingle, similarity)
+    rows = found.rows().where("doc_id IS NOT NULL")
+    first = rows.where("doc_id = component_id").groupBy("doc_id").agg(F.min(F.struct("fp", "block_id", "row")).alias("k"))
+    stay = first.select("k.block_id", "k.row").union(found.table.where("doc_id IS NULL").select("block_id", "row"))
+    stay = stay.groupBy("block_id").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    columns = docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (_, rows, _) in enumerate(answered(batch)):
+                kept = rows.take(pa.array(batch.column("rows")[i].as_py(), pa.int64())).select(columns)
+                yield from kept.combine_chunks().to_batches()
+
+    return found.beside(stay).mapInArrow(run, docs.schema)
+
+
+class Similar:
+    """The rows of docs in blocks, with the component of each.
+
+    `table`: block_id, row, doc_id, fp (of the set of shingles), bits (fingerprint), size (of the set) of every row.
+    """
+
+    def __init__(self, docs: DataFrame, shingle: int, similarity: float):
+        folder = new_path(docs.sparkSession, "simhash-files")
+        self.shingle, self.similarity, self.scheme = shingle, similarity, wide(similarity)
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            from pyspark import TaskContext
+
+            block = TaskContext.get().partitionId() << 32
+            with blobs(folder) as out:
+                for batch in whole_blocks(batches, "text", BLOCK_BYTES):
+                    place = placed(block, len(batch), 0, out.add(freeze(batch)))
+                    h, n = similar.distinct(batch.column("text"), shingle)
+                    fp = similar.names(h, n)
+                    bits = majorities(h, n, LANES)
+                    one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+                    ids = pa.array(batch.column("doc_id").to_pylist(), pa.int64())
+                    columns = {"ids": ids, "fps": pa.array(fp.view(np.int64)), "bits": pa.array([b.tobytes() for b in bits], pa.binary()), "sizes": pa.array(n, pa.int64())}
+                    yield pa.RecordBatch.from_arrays([*place.columns, *[one(v) for v in columns.values()]], names=[*place.schema.names, *columns])
+                    block += 1
+                    trim()
+
+        got = docs.mapInArrow(run, PLACE + ", ids array<long>, fps array<long>, bits array<binary>, sizes array<long>")
+        got = materialize(got, "simhash-blocks")
+        self.blocks = got.select(*[c.split()[0] for c in PLACE.split(", ")])
+        self.n_blocks = got.count()
+        each_row = got.select("block_id", F.posexplode(F.arrays_zip("ids", "fps", "bits", "sizes")).alias("row", "v"))
+        self.table = each_row.select("block_id", "row", F.col("v.ids").alias("doc_id"), F.col("v.fps").alias("fp"), F.col("v.bits").alias("bits"), F.col("v.sizes").alias("size"))
+
+    def beside(self, per: DataFrame) -> DataFrame:
+        """The blocks that `per` (block_id, ...) has something for, with it."""
+        n = tasks(self.blocks, self.n_blocks)
+        return self.blocks.repartition(n, "block_id").join(per.repartition(n, "block_id"), "block_id")
+
+    def rows(self) -> DataFrame:
+        """block_id, row, doc_id, fp, bits, component_id of every row."""
+        nodes = self.table.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("block_id", "row")).alias("k"), F.first("bits").alias("bits"), F.first("size").alias("size"))
+        nodes = materialize(nodes, "simhash-nodes")
+        groups = _with_roots(links(nodes.where("size > 0").select("fp", "bits", "size"), scheme=self.scheme), "simhash-candidates")
+        asked = nodes.join(groups, F.col("fp") == F.col("node")).select("k.block_id", "k.row", "fp", F.col("root").alias("group"))
+        linked = materialize(similar.verified(self, materialize(asked, "simhash-asked")), "simhash-linked")
+        named = _named(nodes.select("fp", "least"), _with_roots(linked, "simhash-edges"))
+        return self.table.join(named, "fp").select("block_id", "row", "doc_id", "fp", "bits", "component_id")

@@ -1,12 +1,8 @@
-"""Near-duplicates by the exact similarity of their word shingles.
+"""The exact similarity of word shingles within groups of candidates.
 
-Rows with equal sets of shingles are one node. MinHash bands (BANDS of ROWS minima) give candidates: 99.9 % of pairs of
-similarity 0.8 share a band, more of closer ones. Candidates are joined to candidate groups, and within a group every
-pair that may link two parts of it is compared by its whole sets, so what is linked has SIMILARITY or more and no pair
-of a group is left out. A group of more than PART nodes is cut into a grid of cells; a cell returns a spanning tree.
-
-Defined cases: a text of fewer words than a shingle is one shingle; texts without words are alike. Rows that share an id
-are all returned; a null id counts as no id, so a component of such rows alone has a null id.
+Rows with equal sets of shingles are one node. Within a group every pair that may link two parts of it is compared by
+its whole sets, so what is linked has the similarity and no pair of a group is left out. A group of more than PART nodes
+is cut into a grid of cells; a cell returns a spanning tree.
 """
 
 from __future__ import annotations
@@ -19,19 +15,32 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.graph import components
-from lacunar.llm.scratch import materialize
-from lacunar.llm.simhash import shingles
-from lacunar.llm.textops import slices, trim
+from lacunar.llm.blocks import answered
+from lacunar.llm.textops import Words, trim
 
-SHINGLE, SIMILARITY = 5, 0.8
-BANDS, ROWS = 24, 6
+SEED = 42
 PART = 2048  # nodes
 BUCKET = 4000  # nodes
-_FACTORS = np.random.default_rng(7).integers(0, 1 << 63, (2, BANDS * ROWS), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _distinct(col: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+def shingles(col: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each shingle, one row after the other; how many each row has."""
+    words = Words(col, lower=True)
+    n = np.diff(words.docs)
+    if not len(words):
+        return np.zeros(0, np.uint64), np.zeros(len(col), np.int64)
+    spaced = np.full(len(words.data) + len(words), 32, np.uint8)
+    spaced[np.arange(len(words.data)) + np.repeat(np.arange(len(words)), np.diff(words.at))] = words.data
+    at = words.at + np.arange(len(words) + 1)
+    count = np.where(n >= shingle, n - shingle + 1, np.minimum(n, 1))
+    ends = np.cumsum(count)
+    first = np.arange(int(ends[-1])) + np.repeat(words.docs[:-1] - (ends - count), count)
+    last = np.minimum(first + shingle, np.repeat(words.docs[1:], count))
+    text, digest = spaced.tobytes(), xxhash.xxh64_intdigest
+    return np.fromiter([digest(text[a:b], SEED) for a, b in zip(at[first].tolist(), (at[last] - 1).tolist(), strict=True)], np.uint64, len(first)), count
+
+
+def distinct(col: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingles of each row, ascending, one row after the other; how many each has."""
     h, count = shingles(col, shingle)
     row = np.repeat(np.arange(len(count)), count)
@@ -42,37 +51,22 @@ def _distinct(col: pa.Array, shingle: int) -> tuple[np.ndarray, np.ndarray]:
     return h[new], np.bincount(row[new], minlength=len(count))
 
 
-def _marked(shingle: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                h, n = _distinct(part.column("text"), shingle)
-                ends = np.cumsum(n)
-                fp = np.array([xxhash.xxh3_64_intdigest(h[b - k : b].tobytes()) for b, k in zip(ends.tolist(), n.tolist(), strict=True)], np.uint64)
-                full = np.flatnonzero(n)
-                keys = np.zeros((len(full), BANDS), np.uint64)
-                for i in range(BANDS * ROWS) if len(full) else ():
-                    low = np.minimum.reduceat((h ^ _FACTORS[0, i]) * _FACTORS[1, i], (ends - n)[full])
-                    band = i // ROWS
-                    keys[:, band] = (keys[:, band] ^ (low >> np.uint64(17)) ^ np.uint64(band + 1)) * np.uint64(0x9E3779B97F4A7C15)
-                width = np.zeros(len(n), np.int64)
-                width[full] = BANDS
-                bands = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(width)]), pa.int32()), pa.array(keys.ravel().view(np.int64)))
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "fp": pa.array(fp.view(np.int64)), "bands": bands, "text": part.column("text")})
-        trim()
-
-    return run
+def names(h: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each row's set."""
+    ends = np.cumsum(n)
+    return np.array([xxhash.xxh3_64_intdigest(h[b - k : b].tobytes()) for b, k in zip(ends.tolist(), n.tolist(), strict=True)], np.uint64)
 
 
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                h, n = _distinct(part.column("text"), shingle)
+            for i, (_, rows, _) in enumerate(answered(batch)):
+                asked = pa.Table.from_pylist(batch.column("asked")[i].as_py(), pa.schema([("row", pa.int64()), ("fp", pa.int64()), ("group", pa.int64()), ("parts", pa.int64())]))
+                h, n = distinct(rows["text"].combine_chunks().take(asked["row"].combine_chunks()), shingle)
                 ends = np.cumsum(n)
                 sets = [h[b - k : b].tobytes() for b, k in zip(ends.tolist(), n.tolist(), strict=True)]
-                yield pa.RecordBatch.from_pydict({"fp": part.column("fp"), "group": part.column("group"), "parts": part.column("parts"), "grams": pa.array(sets, pa.binary())})
-        trim()
+                yield pa.RecordBatch.from_arrays([*[asked[c].combine_chunks() for c in ("fp", "group", "parts")], pa.array(sets, pa.binary())], names=["fp", "group", "parts", "grams"])
+                trim()
 
     return run
 
@@ -118,31 +112,13 @@ def _compare(similarity: float):
     return run
 
 
-def _with_roots(links: DataFrame, name: str) -> DataFrame:
-    roots = components(links, name)
-    return roots.union(roots.select(F.col("root").alias("node"), "root").distinct())
-
-
-def similar_documents(docs: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY) -> DataFrame:
-    """doc_id, component_id (the smallest id) of every document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    marked = docs.mapInArrow(_marked(shingle), "doc_id long, fp long, bands array<long>, text string")
-    marked = materialize(marked, "similar-docs")
-    nodes = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least"), F.first("bands").alias("bands")), "similar-nodes")
-    keys = nodes.select("fp", F.explode("bands").alias("key"))
-    first = keys.groupBy("key").agg(F.min("fp").alias("u"), F.count("*").alias("n")).where("n > 1")
-    links = keys.join(first, "key").where("fp <> u").select("u", F.col("fp").alias("v")).distinct()
-    groups = materialize(_with_roots(links, "similar-candidates").select(F.col("node").alias("fp"), F.col("root").alias("group")), "similar-groups")
-    sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / PART).cast("long").alias("parts"))
-    texts = marked.select("fp", "text").join(groups.join(sizes, "group"), "fp").dropDuplicates(["fp"])
-    sets = texts.select("fp", "group", "parts", "text").mapInArrow(_sets(shingle), "fp long, group long, parts long, grams binary")
+def verified(found, asked: DataFrame) -> DataFrame:
+    """Links (u, v) between the nodes of each group of `found` (simhash.Similar); asked has block_id, row, fp and group of one row a node."""
+    sizes = asked.groupBy("group").agg(F.ceil(F.count("*") / PART).cast("long").alias("parts"))
+    per = asked.join(sizes, "group").groupBy("block_id").agg(F.collect_list(F.struct(F.col("row").cast("long").alias("row"), "fp", "group", "parts")).alias("asked"))
+    sets = found.beside(per).mapInArrow(_sets(found.shingle), "fp long, group long, parts long, grams binary")
     spot = sets.withColumn("part", F.pmod(F.xxhash64("fp"), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     cells = spot.select("fp", "group", "grams", F.least("part", "other").alias("row"), F.greatest("part", "other").alias("line"))
-    buckets = max(1, -(-groups.count() // BUCKET)) * 2
+    buckets = max(1, -(-asked.count() // BUCKET)) * 2
     cells = cells.withColumn("bucket", F.pmod(F.xxhash64("group", "row", "line"), F.lit(buckets)))
-    linked = cells.groupBy("bucket").applyInArrow(_compare(similarity), "u long, v long")
-    roots = materialize(_with_roots(linked, "similar-edges"), "similar-roots")
-    named = nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    least = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = named.select("fp", "root").join(least, "root").select("fp", "component_id")
-    return marked.select("doc_id", "fp").join(named, "fp").select("doc_id", "component_id")
+    return cells.groupBy("bucket").applyInArrow(_compare(found.similarity), "u long, v long")

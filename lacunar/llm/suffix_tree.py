@@ -11,9 +11,13 @@ followers; at the root P(w) = (c(w) + 1) / (N + V + 1), which leaves one share f
 
 All counts are exact and over all training documents. They are gathered level by level: a context occurs as often as its
 last word follows the rest of it, so what a block was answered at one level tells it the candidates of the next. A
-context's followers meet in one hash bucket, which tests the divergence. Only contexts with HOT of the tokens or more (at
-most 1 / HOT a level, whatever the corpus) are spread over all buckets, summed on the driver and given to every task. A
-last exchange closes the set under suffixes.
+context's followers meet in one hash bucket, which tests the divergence. A context that occurs as often as its suffix
+always stands behind the same word, so it has its suffix's followers and isn't asked for. Only contexts with HOT of the
+tokens or more (at most 1 / HOT a level, whatever the corpus) are spread over all buckets; their sums are aggregated by
+context and given to every task. A last exchange closes the set under suffixes.
+
+A block is split into words once. What it learns at a level it keeps in files of the shared folder, where its next
+passes find it: shuffles carry counts alone, of one level at a time.
 
 Defined cases: a null text is the end mark alone. Null ids count as training. An empty table gives no rows. Words are
 known by 64-bit hashes. Only doc_id and text are read.
@@ -21,6 +25,7 @@ known by 64-bit hashes. Only doc_id and text are read.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +34,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.blocks import SENT, answered, exchange, freeze, grow, pack_blocks, sent, shrink, split, thaw, with_answers
-from lacunar.llm.scratch import materialize
+from lacunar.llm.blocks import SENT, each, exchange, freeze, grow, pack_blocks, payloads, sent, shrink, split, thaw, with_answers
+from lacunar.llm.files import blobs, read_blob
+from lacunar.llm.scratch import materialize, new_path, release
 from lacunar.llm.textops import Words
 from lacunar.llm.toxicity import fold
 
@@ -40,40 +46,54 @@ END = np.uint64(0xE3D0_0000_0000_0001)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 FOLDS, HELD = 7, 2
 TALLY = -2  # block id of what buckets report to all
+OWN = -1  # bucket of what a block tells itself: where its files lie
 
 
-def _coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Blocks of texts as blocks of word numbers: each text is split once."""
-    for batch in batches:
-        for block, rows, _ in answered(batch):
-            words = Words(rows["text"].combine_chunks(), lower=True)
-            index, distinct = words.coded()
-            hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()], dtype=np.uint64)
-            n = rows.num_rows
-            docs = words.docs + np.arange(n + 1)
-            at = np.full(len(words) + n, len(hashes), np.uint32)
-            at[np.arange(len(words)) + np.repeat(np.arange(n), np.diff(words.docs))] = index
-            ids, held = (freeze(rows.select([c]).combine_chunks()) for c in ("doc_id", "held_out"))
-            yield pa.RecordBatch.from_pydict({"block_id": pa.array([block], pa.int64()), "payload": [freeze(pa.table({"ids": [ids], "held": [held], "tokens": [shrink(np.concatenate([hashes, [END]]), docs, at)]}))]})
+def _code(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Texts as word numbers, each distinct word's hash once."""
+    words = Words(batch.column("text"), lower=True)
+    index, distinct = words.coded()
+    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()], dtype=np.uint64)
+    n = batch.num_rows
+    docs = words.docs + np.arange(n + 1)
+    at = np.full(len(words) + n, len(hashes), np.uint32)
+    at[np.arange(len(words)) + np.repeat(np.arange(n), np.diff(words.docs))] = index
+    own = freeze(batch.select(["doc_id", "held_out"]))
+    return pa.RecordBatch.from_pydict({"rows": [own], "tokens": [shrink(np.concatenate([hashes, [END]]), docs, at)]})
 
 
 class Tokens:
     """A block's words and end marks in order: `index` into `hash` (distinct), `docs` each row's first token."""
 
-    def __init__(self, rows: pa.Table):
-        self.ids = thaw(rows["ids"][0].as_py())["doc_id"].combine_chunks()
-        self.held = thaw(rows["held"][0].as_py())["held_out"].combine_chunks()
-        self.hash, self.docs, index = grow(rows["tokens"][0].as_py())
+    def __init__(self, payload: bytes):
+        block = thaw(payload)
+        rows = thaw(block["rows"][0].as_py())
+        self.ids, self.held = rows["doc_id"].combine_chunks(), rows["held_out"].combine_chunks()
+        self.hash, self.docs, index = grow(block["tokens"][0].as_py())
         self.index = index.astype(np.int64)
         self.train = np.repeat(~self.held.to_numpy(zero_copy_only=False).astype(bool), np.diff(self.docs))
+        self.k = np.arange(len(index)) - np.repeat(self.docs[:-1], np.diff(self.docs))  # tokens of the text before each
+        self.word = self.hash[self.index]
+
+    def names(self, depth: int) -> Iterator[np.ndarray]:
+        """The contexts of 1, 2, ... words before each token, as hashes; meaningless where the text has fewer."""
+        name = np.zeros(len(self.word), np.uint64)
+        for d in range(1, depth + 1):
+            last = np.full(len(self.word), END)
+            last[d:] = self.word[:-d]
+            last[self.k == d - 1] = END
+            name = _mix((name * _C) ^ (last * _B))
+            yield name
 
 
-def _planes(key: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(key).view(np.uint8).reshape(-1, 8).T.ravel()
+def _planes(x: np.ndarray) -> np.ndarray:
+    width = x.dtype.itemsize
+    return np.ascontiguousarray(x).view(np.uint8).reshape(-1, width).T.ravel()
 
 
-def _keys(planes: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(planes.reshape(8, -1).T).view(np.uint64).ravel()
+def _joined(planes: np.ndarray, kind=np.uint64) -> np.ndarray:
+    width = np.dtype(kind).itemsize
+    return np.ascontiguousarray(planes.reshape(width, -1).T).view(kind).ravel()
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -81,12 +101,18 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(29))
 
 
-def _parts(key: np.ndarray, buckets: int) -> list[tuple[int, np.ndarray]]:
-    return split((_mix(key) % np.uint64(buckets)).astype(np.int64))
+def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
+    return (_mix(key) % np.uint64(buckets)).astype(np.int64)
+
 
+def _count(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A column of counts in as few planes as it needs."""
+    width = next(w for w in (1, 2, 4, 8) if x.max(initial=0) < 1 << (8 * w))
+    return np.array([width], np.uint8), _planes(x.astype(f"u{width}"))
 
-def _least(x: np.ndarray) -> np.ndarray:
-    return x.astype(np.uint32) if x.max(initial=0) < 1 << 32 else x
+
+def _counted(width: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    return _joined(planes, f"u{int(width[0])}").astype(np.int64)
 
 
 def _back(out: np.ndarray, sizes: list[int]):
@@ -97,10 +123,10 @@ def _back(out: np.ndarray, sizes: list[int]):
 def _words(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, rows, _ in answered(batch):
-                t = Tokens(rows)
+            for block, payload, _ in payloads(batch):
+                t = Tokens(payload)
                 count = np.bincount(t.index, weights=t.train, minlength=len(t.hash)).astype(np.int64)
-                yield sent(block, {b: shrink(_planes(t.hash[at]), _least(count[at])) for b, at in _parts(t.hash, buckets)})
+                yield sent(block, {b: shrink(_planes(t.hash[at]), *_count(count[at])) for b, at in split(_bucket(t.hash, buckets))})
 
     return run
 
@@ -108,148 +134,204 @@ def _words(buckets: int):
 def _total(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
     """Totals of each block's words; to all: how many words occur in training, and how often."""
     got = [grow(d) for d in data]
-    keys = [_keys(g[0]) for g in got]
+    keys = [_joined(g[0]) for g in got]
     distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(back, weights=np.concatenate([g[1] for g in got]), minlength=len(distinct)).astype(np.int64)
-    out = [(block, bucket, shrink(_least(x))) for block, x in zip(blocks, _back(total[back], [len(k) for k in keys]), strict=True)]
-    return [*out, (TALLY, bucket, shrink(np.array([np.count_nonzero(total), total.sum()])))]
-
-
-def _followed(hot: float):
-    """Totals of each block's (context, word), and of their contexts T, negative if the context doesn't diverge; to all: sums of hot contexts."""
-
-    def run(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
-        got = [grow(d) for d in data]
-        keys, names = [_keys(g[0]) for g in got], [_keys(g[3]) for g in got]
-        distinct, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-        total = np.bincount(back, weights=np.concatenate([g[1] for g in got]), minlength=len(distinct)).astype(np.int64)
-        name, name_first, name_back = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
-        mass = np.concatenate([g[4] for g in got])[name_first].astype(np.float64)
-        starts = np.cumsum([0, *[len(x) for x in names]])
-        context = name_back[np.concatenate([g[2].astype(np.int64) + a for g, a in zip(got, starts, strict=False)])[first]]
-        share = np.concatenate([g[5] for g in got])[first]
-        seen = total > 0
-        p = total[seen] / mass[context[seen]]
-        followers = np.bincount(context[seen], minlength=len(name))
-        gain = np.bincount(context[seen], weights=p * np.log(p / share[seen]), minlength=len(name))
-        signed = np.where(gain >= MIN_DIVERGENCE, followers, -followers).astype(np.int32)
-        each = zip(blocks, _back(total[back], [len(k) for k in keys]), _back(signed[name_back], [len(x) for x in names]), strict=True)
-        out = [(block, bucket, shrink(_least(x), s)) for block, x, s in each]
-        many = mass >= hot
-        return [*out, (TALLY, bucket, shrink(name[many], followers[many], gain[many]))]
+    total = np.bincount(back, weights=np.concatenate([_counted(*g[1:]) for g in got]), minlength=len(distinct)).astype(np.int64)
+    out = [(block, bucket, shrink(*_count(x))) for block, x in zip(blocks, _back(total[back], [len(k) for k in keys]), strict=True)]
+    return [*out, (TALLY, bucket, shrink(np.array([0], np.uint64), np.array([np.count_nonzero(total)], float), np.array([total.sum()], float), np.zeros(1)))]
 
-    return run
+
+def _followed(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
+    """Totals of each block's (context, word), and of its contexts T, negative if the context doesn't diverge; to all:
+    T, mass and the sum of c log(c) without the logarithms of the suffix's shares, of hot contexts."""
+    if bucket <= OWN:
+        return [(block, OWN, d) for block, d in zip(blocks, data, strict=True)]
+    got = [grow(d) for d in data]
+    keys, names = [_joined(g[0]) for g in got], [_joined(g[4]) for g in got]
+    distinct, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    total = np.bincount(back, weights=np.concatenate([_counted(*g[1:3]) for g in got]), minlength=len(distinct))
+    name, name_first, name_back = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
+    runs = np.concatenate([g[3] for g in got])
+    context = np.repeat(name_back, runs)[first]
+    logs = np.bincount(name_back, weights=np.concatenate([g[5] for g in got]), minlength=len(name))
+    hot = np.concatenate([g[6] for g in got])[name_first] > 0
+    seen = total > 0
+    add = lambda x: np.bincount(context[seen], weights=x, minlength=len(name))
+    followers, mass, own = add(None), add(total[seen]), add(total[seen] * np.log(total[seen]))
+    with np.errstate(divide="ignore", invalid="ignore"):
+        gain = (own - logs) / mass - np.log(mass)
+    signed = np.where(hot, 0, np.where(gain >= MIN_DIVERGENCE, followers, -followers)).astype(np.int32)
+    each_block = zip(blocks, _back(total[back].astype(np.int64), [len(k) for k in keys]), _back(signed[name_back], [len(x) for x in names]), strict=True)
+    out = [(block, bucket, shrink(*_count(x), _planes(s))) for block, x, s in each_block]
+    return [*out, (TALLY, bucket, shrink(name[hot], followers[hot].astype(float), mass[hot], (own - logs)[hot]))] if hot.any() else out
 
 
 def _closed(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
     """Whether a longer context of each block's contexts diverges anywhere."""
+    if bucket <= OWN:
+        return [(block, OWN, d) for block, d in zip(blocks, data, strict=True)]
     got = [grow(d) for d in data]
-    names = [_keys(g[0]) for g in got]
+    names = [_joined(g[0]) for g in got]
     distinct, back = np.unique(np.concatenate(names), return_inverse=True)
     mark = np.zeros(len(distinct), np.uint8)
     np.maximum.at(mark, back, np.concatenate([g[1] for g in got]))
     return [(block, bucket, shrink(m)) for block, m in zip(blocks, _back(mark[back], [len(x) for x in names]), strict=True)]
 
 
-class Level:
-    """The tokens of a block (`at`) that follow a candidate context of one length."""
-
-    def __init__(self, t: Tokens, at: np.ndarray, name: np.ndarray, mass: np.ndarray, share: np.ndarray, buckets: int, hot: float):
-        self.at, self.name, self.mass = at, name, mass
-        self.key, first, self.back = np.unique(_mix(name ^ (t.hash[t.index[at]] * _A)), return_index=True, return_inverse=True)
-        self.key_name, self.key_mass, self.share = name[first], mass[first], share[first]
-        self.parts = _parts(np.where(self.key_mass >= hot, self.key, self.key_name), buckets)
-        self.train = t.train[at]
-
-    def sends(self) -> dict[int, bytes]:
-        count = np.bincount(self.back, weights=self.train, minlength=len(self.key)).astype(np.int64)
-        out = {}
-        for b, at in self.parts:
-            name, first, back = np.unique(self.key_name[at], return_index=True, return_inverse=True)
-            out[b] = shrink(_planes(self.key[at]), _least(count[at]), back.astype(np.uint32), _planes(name), _least(self.key_mass[at][first]), self.share[at].astype(np.float32))
-        return out
-
-    def take(self, answers: dict[int, bytes], shift: int, hot: tuple[np.ndarray, np.ndarray]) -> None:
-        """`total` of each token's (context, word), `followers` of its context and whether it diverges (`ok`)."""
-        total, signed = np.zeros(len(self.key), np.int64), np.zeros(len(self.key), np.int64)
-        for b, at in self.parts:
-            total[at], mine = grow(answers[b + shift])
-            signed[at] = mine[np.unique(self.key_name[at], return_inverse=True)[1]]
-        names, sums = hot
-        if len(names) and len(self.key):
-            where = np.minimum(np.searchsorted(names, self.key_name), len(names) - 1)
-            signed = np.where(names[where] == self.key_name, sums[where], signed)
-        self.total, signed = total[self.back], signed[self.back]
-        self.followers, self.ok = np.abs(signed), signed > 0
-
-
 class Plan:
-    """What all passes share: sizes, thresholds and the hot contexts of the levels that are known."""
+    """What all passes share: sizes, thresholds, the folder of the blocks' files and the hot contexts of the known levels."""
 
-    def __init__(self, buckets: int, n: int, v: int, least: float):
-        self.buckets, self.n, self.v, self.least, self.hot_mass = buckets, n, v, max(1, least), max(1, HOT * n)
+    def __init__(self, folder: str, buckets: int, n: int, v: int, least: float):
+        self.folder, self.buckets, self.n, self.v, self.least, self.hot_mass = folder, buckets, n, v, max(1, least), max(1, HOT * n)
         self.hot: list[tuple[np.ndarray, np.ndarray]] = []
 
-    def levels(self, t: Tokens, answers: dict[int, bytes], ask: bool = False) -> tuple[np.ndarray, list[Level]]:
-        """Count of each distinct word; the known levels and, to `ask`, the next one."""
-        count = np.zeros(len(t.hash), np.int64)
-        for b, at in _parts(t.hash, self.buckets):
-            count[at] = grow(answers[b])[0]
-        word = t.hash[t.index]
-        k = np.arange(len(word)) - np.repeat(t.docs[:-1], np.diff(t.docs))
-        name, total = np.zeros(len(word), np.uint64), count[t.index]
-        share = total / max(1, self.n)
-        out: list[Level] = []
-        for d in range(1, len(self.hot) + 1 + ask):
-            mass, last = np.zeros(len(word), np.int64), np.full(len(word), END)
-            mass[1:], last[d:] = total[:-1], word[:-d]
-            mass[k < d - 1] = 0
-            last[k == d - 1] = END
-            if d == 1:
-                mass[k == 0] = count[-1]
-            name = _mix((name * _C) ^ (last * _B))
-            at = np.flatnonzero(mass >= self.least)
-            level = Level(t, at, name[at], mass[at], share[at], self.buckets, self.hot_mass)
-            out.append(level)
-            if d > len(self.hot):
-                break
-            level.take(answers, d * self.buckets, self.hot[d - 1])
-            total, share = np.zeros(len(word), np.int64), np.zeros(len(word))
-            total[at], share[at] = level.total, level.total / level.mass
-        return count, out
-
-    def open(self, t: Tokens, levels: list[Level]) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
+
+class Known:
+    """What a block knows after some levels: for each token `total` and `signed` (T, negative if the context doesn't
+    diverge) of level d, both 0 where there is no candidate; level 0 is the empty context."""
+
+    def __init__(self, t: Tokens, plan: Plan, answers: dict[int, bytes]):
+        self.t, self.plan = t, plan
+        self.kept: list[list] = []  # where the levels lie
+        self.total, self.signed = [], []
+        if OWN in answers:
+            self.kept, asked = json.loads(answers[OWN])
+            for place in self.kept:
+                width, total, signed = grow(read_blob(*place))
+                self.total.append(_counted(width, total))
+                self.signed.append(_joined(signed, np.int32).astype(np.int64))
+            if asked:
+                self._take(answers, *grow(read_blob(*asked)))
+        else:  # the first level: answers are totals of words
+            count = np.zeros(len(t.hash), np.int64)
+            for b, at in split(_bucket(t.hash, plan.buckets)):
+                count[at] = _counted(*grow(answers[b]))
+            self.total, self.signed = [count[t.index]], [np.zeros(len(t.index), np.int64)]
+
+    def mass(self, d: int) -> np.ndarray:
+        """How often the context of d words before each token occurs in training."""
+        out = np.zeros(len(self.t.index), np.int64)
+        if d == 0:
+            out[:] = self.plan.n
+            return out
+        out[1:] = self.total[d - 1][:-1]
+        out[self.t.k < d - 1] = 0
+        if d == 1:
+            out[self.t.k == 0] = self.total[0][-1]  # a block's last token is an end mark
+        return out
+
+    def asks(self, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(mass, tokens whose context is asked for, tokens whose context is as frequent as its suffix)."""
+        mass, suffix = self.mass(d), self.mass(d - 1)
+        can = mass >= self.plan.least
+        return mass, np.flatnonzero(can & (mass < suffix)), np.flatnonzero(can & (mass == suffix))
+
+    def _take(self, answers: dict[int, bytes], back: np.ndarray, runs: np.ndarray, hot_at: np.ndarray, hot_name: np.ndarray) -> None:
+        got = [grow(answers[b]) for b in sorted(answers) if b != OWN]
+        cat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
+        total = cat([_counted(g[0], g[1]) for g in got], np.int64)
+        context = cat([_joined(g[2], np.int32) for g in got], np.int32).astype(np.int64)
+        d = len(self.total)
+        names, sums = self.plan.hot[d - 1]
+        if len(hot_at):
+            context[hot_at] = sums[np.searchsorted(names, hot_name)]
+        _, at, same = self.asks(d)
+        back = _joined(back, np.uint32).astype(np.int64)
+        out, signed = np.zeros(len(self.t.index), np.int64), np.zeros(len(self.t.index), np.int64)
+        out[at], signed[at] = total[back], np.repeat(context, runs)[back]
+        out[same], signed[same] = self.total[-1][same], -np.abs(self.signed[-1][same])
+        self.total.append(out)
+        self.signed.append(signed)
+
+    def keep(self, out) -> None:
+        """Write the levels that no file holds yet."""
+        for d in range(len(self.kept), len(self.total)):
+            self.kept.append(out.add(shrink(*_count(self.total[d]), _planes(self.signed[d].astype(np.int32)))))
+
+    def ask(self, out) -> dict[int, bytes]:
+        """What is sent for the next level, by bucket."""
+        t, d = self.t, len(self.total)
+        mass, at, _ = self.asks(d)
+        *_, name = t.names(d)
+        name, mass = name[at], mass[at]
+        names, context = np.unique(name, return_inverse=True)
+        context_mass = np.zeros(len(names), np.int64)
+        context_mass[context] = mass
+        is_hot = context_mass >= self.plan.hot_mass
+        keys, first, back = np.unique(_mix(name ^ (t.word[at] * _A)), return_index=True, return_inverse=True)
+        of = context[first]
+        bucket = _bucket(np.where(is_hot[of], keys, names[of]), self.plan.buckets)
+        order = np.lexsort((of, bucket))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        back = place[back]
+        keys, of, bucket = keys[order], of[order], bucket[order]
+        train = t.train[at]
+        count = np.bincount(back, weights=train, minlength=len(keys)).astype(np.int64)
+        suffix = self.mass(d - 1)[at]
+        with np.errstate(divide="ignore"):
+            logs = np.log(self.total[d - 1][at] / np.maximum(1, suffix))
+        logs = np.bincount(context, weights=np.where(train, logs, 0.0), minlength=len(names))
+        starts = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(bucket, prepend=-1) != 0))  # runs of a context in a bucket
+        runs = np.diff(np.append(starts, len(of)))
+        run_of, run_bucket = of[starts], bucket[starts]
+        own = np.zeros(len(starts))
+        own_at = np.unique(run_of, return_index=True)[1]  # a hot context has runs in several buckets, its logarithms go with one
+        own[own_at] = logs[run_of[own_at]]
+        run_hot = is_hot[run_of]
+        hot_at = np.flatnonzero(run_hot)
+        self.keep(out)
+        asked = out.add(shrink(_planes(back.astype(np.uint32)), runs.astype(np.uint32), hot_at, names[run_of[hot_at]]))
+        parts = {}
+        cut = np.flatnonzero(np.diff(run_bucket, prepend=-1))
+        for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(starts)][: len(cut)], strict=True):
+            a, b = starts[i], starts[j] if j < len(starts) else len(of)
+            parts[int(run_bucket[i])] = shrink(_planes(keys[a:b]), *_count(count[a:b]), runs[i:j].astype(np.uint32), _planes(names[run_of[i:j]]), own[i:j], run_hot[i:j].view(np.uint8))
+        return parts | {OWN: json.dumps([self.kept, asked]).encode()}
+
+    def open(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
         """(distinct contexts that don't diverge, whether a longer one here does; by level: their positions, their number)."""
-        longer = np.zeros(len(t.index), bool)
-        names, marks, places = [], [], []
-        for level in reversed(levels):
-            at = np.flatnonzero(~level.ok)
-            names.append(level.name[at])
-            marks.append(longer[level.at[at]])
+        depth = len(self.total) - 1
+        names = list(self.t.names(max(1, depth - 1)))
+        longer = np.zeros(len(self.t.index), bool)
+        found, marks, places = [], [], []
+        for d in range(depth - 1, 0, -1):
+            longer |= self.signed[d + 1] > 0
+            at = np.flatnonzero(self.signed[d] < 0)
+            found.append(names[d - 1][at])
+            marks.append(longer[at])
             places.append(at)
-            longer[level.at[level.ok]] = True
-        distinct, back = np.unique(np.concatenate(names), return_inverse=True)
+        distinct, back = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_inverse=True)
         mark = np.zeros(len(distinct), np.uint8)
-        mark[back[np.concatenate(marks)]] = 1
-        return distinct, mark, places[::-1], _back(back, [len(x) for x in names])[::-1]
+        mark[back[np.concatenate([np.zeros(0, bool), *marks])]] = 1
+        return distinct, mark, places[::-1], _back(back, [len(x) for x in found])[::-1]
+
+
+def _send(block: int, buckets: int, parts: dict[int, bytes]) -> pa.RecordBatch:
+    """What a block tells itself goes to a bucket of its own kind, as many of them as others."""
+    return sent(block, {OWN - block % buckets if b == OWN else b: d for b, d in parts.items()})
 
 
 def _ask(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, rows, answers in answered(batch):
-                yield sent(block, plan.levels(Tokens(rows), answers, ask=True)[1][-1].sends())
+        with blobs(plan.folder) as out:
+            for batch in batches:
+                for block, payload, answers in payloads(batch):
+                    yield _send(block, plan.buckets, Known(Tokens(payload), plan, answers).ask(out))
 
     return run
 
 
 def _ask_closed(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, rows, answers in answered(batch):
-                t = Tokens(rows)
-                name, mark, _, _ = plan.open(t, plan.levels(t, answers)[1])
-                yield sent(block, {b: shrink(_planes(name[at]), mark[at]) for b, at in _parts(name, plan.buckets)})
+        with blobs(plan.folder) as out:
+            for batch in batches:
+                for block, payload, answers in payloads(batch):
+                    known = Known(Tokens(payload), plan, answers)
+                    known.keep(out)
+                    name, mark, _, _ = known.open()
+                    parts = {b: shrink(_planes(name[at]), mark[at]) for b, at in split(_bucket(name, plan.buckets))}
+                    yield _send(block, plan.buckets, parts | {OWN: json.dumps([known.kept, None]).encode()})
 
     return run
 
@@ -257,61 +339,74 @@ def _ask_closed(plan: Plan):
 def _score(plan: Plan):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, rows, answers in answered(batch):
-                t = Tokens(rows)
-                count, levels = plan.levels(t, answers)
-                name, _, places, numbers = plan.open(t, levels)
+            for _, payload, answers in payloads(batch):
+                t = Tokens(payload)
+                known = Known(t, plan, answers)
+                name, _, places, numbers = known.open()
                 closed = np.zeros(len(name), bool)
-                for b, at in _parts(name, plan.buckets):
-                    closed[at] = grow(answers[b + (len(levels) + 1) * plan.buckets])[0] > 0
-                base = ((count + 1) / (plan.n + plan.v + 1))[t.index]
+                for b, at in split(_bucket(name, plan.buckets)):
+                    closed[at] = grow(answers[b])[0] > 0
+                base = (known.total[0] + 1) / (plan.n + plan.v + 1)
                 p = base.copy()
-                for level, place, number in zip(levels, places, numbers, strict=True):
-                    use = level.ok.copy()
-                    use[place] = closed[number]
-                    at = level.at[use]
-                    p[at] = (level.total[use] + level.followers[use] * p[at]) / (level.mass[use] + level.followers[use])
-                known = (count > 0)[t.index]
+                for d in range(1, len(known.total)):
+                    use = known.signed[d] > 0
+                    if d <= len(places):
+                        use[places[d - 1]] = closed[numbers[d - 1]]
+                    at = np.flatnonzero(use)
+                    followers = np.abs(known.signed[d][at])
+                    p[at] = (known.total[d][at] + followers * p[at]) / (known.mass(d)[at] + followers)
                 add = lambda x: np.add.reduceat(x, t.docs[:-1])  # noqa: E731  each row has its end mark
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": t.ids, "held_out": t.held, "n_tokens": pa.array(np.diff(t.docs)), "n_known": pa.array(add(known.astype(np.int64))),
+                    "doc_id": t.ids, "held_out": t.held, "n_tokens": pa.array(np.diff(t.docs)), "n_known": pa.array(add((known.total[0] > 0).astype(np.int64))),
                     "train_tokens": pa.array(np.full(len(t.ids), plan.n)), "base_score": pa.array(add(np.log10(base))), "score": pa.array(add(np.log10(p))),
                 })
 
     return run
 
 
-def _reports(answers: DataFrame) -> Iterator[list[np.ndarray]]:
-    for row in answers.where(F.col("block_id") == TALLY).select("data").toLocalIterator():
-        yield grow(row["data"])
+def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for data in batch.column("data").to_pylist():
+            name, *sums = grow(data)
+            yield pa.RecordBatch.from_pydict({"name": pa.array(name.view(np.int64)), **{c: pa.array(x.astype(float)) for c, x in zip("abc", sums, strict=True)}})
+
+
+def _reported(answers: DataFrame) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """What the buckets tell all, summed by name: a row for each hot context."""
+    rows = answers.where(F.col("block_id") == TALLY).select("data").mapInArrow(_report, "name long, a double, b double, c double")
+    rows = rows.groupBy("name").agg(*[F.sum(c).alias(c) for c in "abc"]).collect()
+    name = np.array([r["name"] for r in rows], np.int64).view(np.uint64)
+    order = np.argsort(name)
+    return name[order], *(np.array([r[c] for r in rows], float)[order] for c in "abc")
 
 
 def _hot(answers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Names of the hot contexts, ascending, and their T, negative if the context doesn't diverge."""
-    names, followers, gain = np.zeros(0, np.uint64), np.zeros(0), np.zeros(0)
-    for name, f, g in _reports(answers):
-        names, back = np.unique(np.concatenate([names, name]), return_inverse=True)
-        followers, gain = (np.bincount(back, weights=np.concatenate(x), minlength=len(names)) for x in ((followers, f), (gain, g)))
-    return names, np.where(gain >= MIN_DIVERGENCE, followers, -followers).astype(np.int64)
+    name, followers, mass, rest = _reported(answers)
+    gain = rest / np.maximum(1, mass) - np.log(np.maximum(1, mass))
+    return name, np.where(gain >= MIN_DIVERGENCE, followers, -followers).astype(np.int64)
 
 
 def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
+    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("held_out", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD, F.lit(False)))
-    texts = pack_blocks(docs, "text", "doc_id", "tree-blocks")
-    blocks = materialize(texts.mapInArrow(_coded, "block_id long, payload binary"), "tree-tokens")
-    buckets = max(1, -(-blocks.count() // 2))
-    answers = materialize(exchange(blocks.mapInArrow(_words(buckets), SENT), _total), "tree-words")
-    v, n = (int(x) for x in sum((r[0] for r in _reports(answers)), np.zeros(2, np.int64)))
-    plan = Plan(buckets, n, v, P_MIN * n if min_count is None else min_count)
-    gather = lambda run, answer, name: materialize(exchange(with_answers(blocks, answers).mapInArrow(run, SENT), answer), name)
-    shifted = lambda found, d: answers.unionByName(found.where(F.col("block_id") != TALLY).withColumn("bucket", F.col("bucket") + d * buckets))
-    answers = answers.where(F.col("block_id") != TALLY)
+    blocks = pack_blocks(docs, "text", "doc_id", "tree-tokens", _code)
+    n_blocks = blocks.count()
+    buckets = max(1, -(-n_blocks // 2))
+    answers = materialize(exchange(each(blocks, n_blocks).mapInArrow(_words(buckets), SENT), _total), "tree-words")
+    _, v, n, _ = (float(x.sum()) for x in _reported(answers))
+    plan = Plan(new_path(spark, "tree-files"), buckets, int(n), int(v), P_MIN * n if min_count is None else min_count)
+
+    def gather(run, answer, name: str) -> DataFrame:
+        found = materialize(exchange(with_answers(blocks, answers.where(F.col("block_id") != TALLY), n_blocks).mapInArrow(run, SENT), answer), name)
+        release(answers)
+        return found
+
     for d in range(1, depth + 1):
-        found = gather(_ask(plan), _followed(plan.hot_mass), f"tree-level-{d}")
-        plan.hot.append(_hot(found))
-        answers = shifted(found, d)
-    answers = shifted(gather(_ask_closed(plan), _closed, "tree-closed"), depth + 1)
+        answers = gather(_ask(plan), _followed, f"tree-level-{d}")
+        plan.hot.append(_hot(answers))
+    answers = gather(_ask_closed(plan), _closed, "tree-closed")
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return with_answers(blocks, answers).mapInArrow(_score(plan), out)
+    return with_answers(blocks, answers, n_blocks).mapInArrow(_score(plan), out)

@@ -135,7 +135,7 @@ def test_simhash(spark, rows):
     for (i, _, _), p in zip(rows, prints):
         if i is not None:
             least[root[p]] = min(i, least.get(root[p], i))
-    got = sorted((str(r["doc_id"]), r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(frame(spark, rows)).collect())
+    got = sorted((str(r["doc_id"]), r["fingerprint"], r["component_id"]) for r in simhash.near_duplicates(frame(spark, rows), shingle=4, distance=4).collect())
     assert got == sorted((str(i), f"{p:016x}", least.get(root[p])) for (i, _, _), p in zip(rows, prints))
 
 
@@ -196,10 +196,10 @@ def test_similar_documents(spark, rows, monkeypatch, part):
         if d is not None:
             least[find(i)] = min(d, least.get(find(i), d))
     want = sorted((str(d), str(least.get(find(i)))) for i, (d, _) in enumerate(docs))
-    got = similar.similar_documents(spark.createDataFrame(docs, "doc_id long, text string")).collect()
+    got = simhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect()
     assert sorted((str(r["doc_id"]), str(r["component_id"])) for r in got) == want
     copies = {i for i, c in want if i != c and i != "None" and int(i) >= 1000}
-    loose = {str(r["doc_id"]) for r in simhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect() if r["doc_id"] != r["component_id"]}
+    loose = {str(r["doc_id"]) for r in simhash.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string"), shingle=4, distance=4).collect() if r["doc_id"] != r["component_id"]}
     assert len(copies) > 100 and len(copies & loose) < len(copies) / 2
 
 
@@ -472,5 +472,5 @@ def test_toxicity_without_labels(spark, rows):
 def test_empty_tables(spark):
     e = frame(spark, [])
     path = tokenizer_path("byte_bpe_50k.json")
-    for df in (bitplane.encode_and_read_back(spark, e, path), packing.pack(e, path), simhash.near_duplicates(e), substrings.repeated_spans(e), substrings.remove_repeats(e), licenses.scan_licenses(e), mixing.mix(e), mixing.mixed_documents(e), suffix_tree.suffix_tree_scores(e), toxicity.score(e, toxicity.fit(e, spark.createDataFrame([], "doc_id long, toxic int")))):
+    for df in (bitplane.encode_and_read_back(spark, e, path), packing.pack(e, path), simhash.near_duplicates(e), simhash.near_duplicates(e, 4, distance=4), simhash.representatives(e), substrings.repeated_spans(e), substrings.remove_repeats(e), licenses.scan_licenses(e), mixing.mix(e), mixing.mixed_documents(e), suffix_tree.suffix_tree_scores(e), toxicity.score(e, toxicity.fit(e, spark.createDataFrame([], "doc_id long, toxic int")))):
         assert df.count() == 0
