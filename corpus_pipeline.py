@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lacunar.llm import mixing, packing, similar, substrings, toxicity
+from lacunar.llm import mixing, packing, simhash, substrings, toxicity
 from lacunar.llm.queries import tokenizer_path
 from lacunar.llm.scratch import materialize
 
@@ -28,13 +28,7 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group (five-word shingles, similarity 0.8 or more), the one with the smallest id."""
-    groups = materialize(similar.similar_documents(docs), "pipeline-groups")
-    stay = groups.where("doc_id = component_id").select(F.col("doc_id").alias("_stay")).distinct()
-    kept = docs.join(stay, docs["doc_id"] == stay["_stay"], "left_semi")
-    if groups.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1").limit(1).count():
-        whole = kept.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("_row"))
-        kept = whole.select(*[F.col("_row")[c].alias(c) for c in docs.columns])
-    return kept.unionByName(docs.where("doc_id IS NULL"))
+    return simhash.representatives(docs, shingle=5, similarity=0.8)
 
 
 def unrepeated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
