@@ -6,9 +6,16 @@ and after each block a hypothesis test abandons the candidates whose partial dis
 beyond the k-th best found (d of D components carry about d/D of the squared distance). Survivors are scored exactly,
 in double precision, on the original vectors.
 
-Only the codebook and a sample that gives each query its first bound are held by every task; both are fitted on about
-TRAIN_ROWS sampled rows, so their size does not depend on the table. Every row is indexed. Lists are cut into shards,
-and queries of a much-probed list into blocks, so no task's group grows with the data.
+How many lists a query probes is a test too. Its nearest lists, of FIRST_ROWS rows in all, give the k-th best so far. The
+size and spread of every other list then tell how many of its rows are expected to be nearer (directions within a list
+are taken as evenly spread), and the richest lists are probed until the rest is expected to hold MISS of all such rows.
+Vectors in clusters need a few lists; where there are none, as in vectors drawn evenly from a sphere, over half of all.
+
+The codebook is of two levels: up to COARSE centroids, and residuals that every one of them is combined with, so that
+lists grow with the square root of the rows up to COARSE * FINE. Only it and a sample that gives each query its first
+bound are held by every task; both are fitted on about TRAIN_ROWS sampled rows, so their size does not depend on the
+table. Every row is indexed. Lists are cut into shards, and queries of a much-probed list into blocks, so no task's group
+grows with the data.
 
 Defined cases: as in `topk` (null, zero and non-finite vectors and vectors of another length take no part; repeated
 ids count once; a query meets all candidates if there are fewer than k; empty in, empty out).
@@ -27,13 +34,13 @@ from pyspark.sql import functions as F
 from lacunar.llm.scratch import materialize
 from lacunar.llm.vectors import common_length, distinct_top, matrix, merge_top
 
-TRAIN_ROWS, MAX_LISTS = 16_384, 1024
-PROBE_FRACTION = 0.65
-FIRST_FRACTION = 0.06  # of the lists, probed first; their k-th best bounds the rest
+TRAIN_ROWS, COARSE, FINE = 16_384, 1024, 64
+FIRST_ROWS = 3072  # of the lists that are probed first; their k-th best bounds the rest
+MISS = 0.1  # of the rows that may be nearer, expected in lists that aren't probed
 EPSILON = 2.1  # of the hypothesis test: the larger, the fewer false rejections
 COLUMNS = 16  # in a block
 SHARD, BLOCK = 4096, 2048
-PACKED = "list int, uid long, n int, ids binary, vecs binary, aux binary"
+PACKED = "list int, uid long, n int, spread double, ids binary, vecs binary, aux binary"
 FOUND = "query_id long, grp long, vec_id long, score double"
 
 
@@ -55,6 +62,26 @@ def _norms(key: str, vec: str, dim: int):
 
 
 
+def _means(points: np.ndarray, count: int) -> np.ndarray:
+    """Centroids of `count` groups of points, by k-means from points spread over their order."""
+    order = np.lexsort(points.T[::-1])
+    centroids = points[order[np.linspace(0, len(points) - 1, count).astype(int)]]
+    for _ in range(8):
+        own = np.argmin(0.5 * (centroids * centroids).sum(1) - points @ centroids.T, axis=1)
+        size = np.bincount(own, minlength=count)
+        total = np.zeros(centroids.shape)
+        np.add.at(total, own, points)
+        centroids[size > 0] = (total[size > 0] / size[size > 0, None]).astype(np.float32)
+    return centroids
+
+
+def _upper(z: np.ndarray) -> np.ndarray:
+    """Probability that a normal variable exceeds z, to 1e-7 (Abramowitz and Stegun 26.2.17)."""
+    t = 1 / (1 + 0.2316419 * np.abs(z))
+    tail = np.exp(-z * z / 2) / math.sqrt(2 * math.pi) * t * (0.319381530 + t * (-0.356563782 + t * (1.781477937 + t * (-1.821255978 + t * 1.330274429))))
+    return np.where(z >= 0, tail, 1 - tail)
+
+
 class Space:
     """The rotation, the codebook and the sample; a few MB at most, whatever the table."""
 
@@ -65,20 +92,46 @@ class Space:
         self.rotation = np.linalg.qr(rng.standard_normal((dim + 1, dim + 1)))[0].astype(np.float32)
         self.sample, self.sample_ids = sample, sample_ids
         points = self.place(sample)
-        lists = max(1, min(MAX_LISTS, round(math.sqrt(n)), len(points) // 8))
-        order = np.lexsort(points.T[::-1])
-        self.centroids = points[order[np.linspace(0, len(points) - 1, lists).astype(int)]] if len(points) else np.zeros((1, dim + 1), np.float32)
-        for _ in range(8):
-            if not len(points):
-                break
-            own = self.near(points)[:, 0]
-            size = np.bincount(own, minlength=lists)
-            total = np.zeros((lists, dim + 1))
-            np.add.at(total, own, points)
-            full = size > 0
-            self.centroids[full] = (total[full] / size[full, None]).astype(np.float32)
-        self.probes = max(1, math.ceil(PROBE_FRACTION * len(self.centroids)))
-        self.first = max(1, math.ceil(FIRST_FRACTION * len(self.centroids)))
+        lists = max(1, min(COARSE, round(math.sqrt(n)), len(points) // 8))
+        fine = max(1, min(FINE, round(math.sqrt(n) / COARSE), len(points) // 8))
+        self.coarse, self.fine = np.zeros((1, dim + 1), np.float32), np.zeros((1, dim + 1), np.float32)
+        if len(points):
+            self.coarse = _means(points, lists)
+            if fine > 1:
+                self.fine = _means(points - self.coarse[self._closest(points, self.coarse)], fine)
+        self.lists = len(self.coarse) * len(self.fine)
+        self.size, self.spread = np.zeros(self.lists), np.zeros(self.lists)  # of each list: rows, their mean squared distance from its centroid
+
+    @staticmethod
+    def _closest(points: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+        return np.argmin(0.5 * (centroids * centroids).sum(1) - points @ centroids.T, axis=1)
+
+    def own(self, points: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(list of each point, its squared distance from the list's centroid)."""
+        a = self._closest(points, self.coarse)
+        rest = points - self.coarse[a]
+        b = self._closest(rest, self.fine)
+        return a * len(self.fine) + b, ((rest - self.fine[b]) ** 2).sum(1)
+
+    def asked(self, points: np.ndarray, bound: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
+        """(query, list) pairs: the nearest lists or, with a bound of the k-th squared distance, those to be probed after them."""
+        c = (self.coarse[:, None] + self.fine[None]).reshape(-1, points.shape[1])
+        far = np.maximum(0, (points * points).sum(1)[:, None] + (c * c).sum(1) - 2 * (points @ c.T)).astype(float)
+        order = np.argsort(far, axis=1, kind="stable")
+        held = np.cumsum(self.size[order], axis=1) - self.size[order]
+        first = np.zeros(far.shape, bool)
+        np.put_along_axis(first, order, held < FIRST_ROWS, 1)
+        if bound is None:
+            return np.nonzero(first & (self.size > 0))
+        reach = 2 * np.sqrt(far * self.spread) + 1e-9
+        more = self.size * _upper(np.where(np.isfinite(bound)[:, None], (far + self.spread - bound[:, None]) / reach, -10.0) * math.sqrt(points.shape[1] - 1))
+        more[first] = 0
+        order = np.argsort(-more, axis=1, kind="stable")
+        each = np.take_along_axis(more, order, 1)
+        rest = np.cumsum(each[:, ::-1], axis=1)[:, ::-1]  # expected in a list and all behind it
+        probe = np.zeros(far.shape, bool)
+        np.put_along_axis(probe, order, rest > MISS * (self.k + rest[:, :1]), 1)
+        return np.nonzero(probe & (self.size > 0))
 
     def place(self, x: np.ndarray, query: bool = False) -> np.ndarray:
         """Scaled by the largest norm, completed and rotated. A query is brought to length one, which keeps its order."""
@@ -90,11 +143,6 @@ class Space:
             rest = np.sqrt(np.clip(1 - (y * y).sum(1), 0, None))
         return np.concatenate([y, rest[:, None]], axis=1).astype(np.float32) @ self.rotation
 
-    def near(self, points: np.ndarray, ranks: slice | None = None) -> np.ndarray:
-        """The nearest list of each point, or its lists at those ranks of nearness."""
-        d = 0.5 * (self.centroids * self.centroids).sum(1) - points @ self.centroids.T
-        return np.argmin(d, axis=1)[:, None] if ranks is None else np.argsort(d, axis=1, kind="stable")[:, ranks]
-
     def nearest_in_sample(self, ids: np.ndarray, x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """For each query the ids and scores of the k best of the sample, itself left out."""
         out = []
@@ -123,9 +171,9 @@ def _seeds(space: Space, key: str, vec: str, dim: int):
     return run
 
 
-def _assign(space: Space, key: str, vec: str, dim: int, probes: slice | None = None):
-    """Rows of their nearest list or, as queries, of the lists at the ranks `probes`, packed by list. A query column
-    "least" holds the k-th best score so far."""
+def _assign(space: Space, key: str, vec: str, dim: int, turn: int | None = None):
+    """Rows of their nearest list or, as queries, of the lists that they probe in the first or second turn, packed by
+    list. A query column "least" holds the k-th best score so far."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -133,22 +181,28 @@ def _assign(space: Space, key: str, vec: str, dim: int, probes: slice | None = N
         uid = TaskContext.get().partitionId() << 32
         for batch in batches:
             all_ids, all_x = _nonzero(batch, key, vec, dim)
-            if probes is not None:
+            if turn is not None:
                 known = dict(zip(batch.column(key).to_pylist(), batch.column("least").to_pylist(), strict=True))
                 least = np.array([-np.inf if known[i] is None else known[i] for i in all_ids.tolist()])
             for a in range(0, len(all_ids), BLOCK):
                 ids, x = all_ids[a : a + BLOCK], all_x[a : a + BLOCK]
-                points = space.place(x, probes is not None)
-                lists = space.near(points, probes)
-                row = np.repeat(np.arange(len(ids)), lists.shape[1])
-                lists = lists.ravel()
+                points = space.place(x, turn is not None)
+                spread = np.zeros(len(ids))
+                if turn is None:
+                    row = np.arange(len(ids))
+                    lists, spread = space.own(points)
+                    aux = np.zeros(len(ids), np.float32)
+                else:
+                    aux = space.bounds(ids, x, least[a : a + BLOCK])
+                    parts = [space.asked(points[i : i + 64], aux[i : i + 64] if turn else None) for i in range(0, len(ids), 64)]
+                    row = np.concatenate([r + 64 * i for i, (r, _) in enumerate(parts)])
+                    lists = np.concatenate([p for _, p in parts])
                 order = np.argsort(lists, kind="stable")
                 lists, row = lists[order], row[order]
-                aux = np.zeros(len(ids), np.float32) if probes is None else space.bounds(ids, x, least[a : a + BLOCK])
                 starts = np.flatnonzero(np.diff(lists, prepend=-1))
-                rows = [row[s:e] for s, e in zip(starts, [*starts[1:], len(lists)], strict=True)]
+                rows = np.split(row, starts[1:]) if len(starts) else []
                 yield pa.RecordBatch.from_pydict({
-                    "list": pa.array(lists[starts], pa.int32()), "uid": pa.array(np.arange(uid, uid + len(starts)), pa.int64()), "n": pa.array([len(r) for r in rows], pa.int32()),
+                    "list": pa.array(lists[starts], pa.int32()), "uid": pa.array(np.arange(uid, uid + len(starts)), pa.int64()), "n": pa.array([len(r) for r in rows], pa.int32()), "spread": pa.array([float(spread[r].sum()) for r in rows], pa.float64()),
                     "ids": [ids[r].tobytes() for r in rows], "vecs": [x[r].tobytes() for r in rows], "aux": [aux[r].tobytes() for r in rows],
                 })
                 uid += len(starts)
@@ -161,16 +215,19 @@ def _joined(table: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return cat("ids", np.int64), cat("vecs", np.float64).reshape(-1, dim), cat("aux", np.float32)
 
 
-def scan(q: np.ndarray, c: np.ndarray, bound: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """(query, candidate) positions that the tests leave. q, c: rotated; bound: of each query's k-th squared distance."""
+def scan(q: np.ndarray, c: np.ndarray, bound: np.ndarray, k: int, qi: np.ndarray, ci: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(query, candidate) positions that the tests leave. q, c: rotated; bound: of each query's k-th squared distance;
+    qi, ci: ids."""
     full = c.shape[1]
+    once = np.unique(ci, return_index=True)[1]
     row = col = part = np.zeros(0)
     for a in range(0, full, COLUMNS):
         b = min(full, a + COLUMNS)
         if a == 0:
             gap = (q[:, :b] ** 2).sum(1)[:, None] + (c[:, :b] ** 2).sum(1)[None, :] - 2 * (q[:, :b] @ c[:, :b].T)
-            if len(c) > k:  # the k that look best so far give a bound of this list's own
-                first = np.argpartition(gap, k - 1, axis=1)[:, :k]
+            if len(once) > k:  # of other rows, an id once, the k that look best so far give a bound of this list's own
+                look = np.where(ci[once][None, :] == qi[:, None], np.inf, gap[:, once])
+                first = once[np.argpartition(look, k - 1, axis=1)[:, :k]]
                 own = ((q[:, None, :] - c[first]) ** 2).sum(2).max(1)
                 bound = np.minimum(bound, own)
             limit = bound * (b / full) * (1 + EPSILON / math.sqrt(b)) ** 2 + 1e-5
@@ -194,7 +251,7 @@ def _search(space: Space, dim: int):
             ci, c, _ = _joined(shards, dim)
             qr, cr = space.place(q, True), space.place(c)
             for a in range(0, len(qi), 256):
-                row, col = scan(qr[a : a + 256], cr, bound[a : a + 256], k)
+                row, col = scan(qr[a : a + 256], cr, bound[a : a + 256], k, qi[a : a + 256], ci)
                 score = (q[a + row] * c[col]).sum(1)
                 for i in range(min(256, len(qi) - a)):
                     lo, hi = np.searchsorted(row, [i, i + 1])
@@ -230,13 +287,15 @@ def adaptive_scan(df: DataFrame, k: int = 20, every: int = 20, key: str = "vec_i
     space.sample, space.sample_ids = space.sample[:2048], space.sample_ids[:2048]
 
     base = materialize(df.mapInArrow(_assign(space, key, vec, dim), PACKED), "ann-base")
-    counts = lambda d, per: {r["list"]: -(-r["n"] // per) for r in d.groupBy("list").agg(F.sum("n").alias("n")).collect()}  # noqa: E731  at most MAX_LISTS rows
-    subs = counts(base, SHARD)
+    per = base.groupBy("list").agg(F.sum("n").alias("n"), F.sum("spread").alias("spread")).collect()  # a row a list: COARSE * FINE at most
+    for r in per:
+        space.size[r["list"]], space.spread[r["list"]] = r["n"], r["spread"] / r["n"]
+    subs = {r["list"]: -(-r["n"] // SHARD) for r in per}
     queries = df.where(F.pmod(key, F.lit(every)) == 0)
 
-    def probe(queries: DataFrame, ranks: slice) -> DataFrame:
-        asked = materialize(queries.mapInArrow(_assign(space, key, vec, dim, ranks), PACKED), "ann-queries")
-        blocks = counts(asked, BLOCK)
+    def probe(queries: DataFrame, turn: int) -> DataFrame:
+        asked = materialize(queries.mapInArrow(_assign(space, key, vec, dim, turn), PACKED), "ann-queries")
+        blocks = {r["list"]: -(-r["n"] // BLOCK) for r in asked.groupBy("list").agg(F.sum("n").alias("n")).collect()}
         sizes = [(p, subs[p], blocks[p]) for p in sorted(subs.keys() & blocks.keys())]
 
         def spread(d: DataFrame, own: str, other: str) -> DataFrame:
@@ -247,12 +306,9 @@ def adaptive_scan(df: DataFrame, k: int = 20, every: int = 20, key: str = "vec_i
         left, right = spread(asked, "block", "sub"), spread(base, "sub", "block")
         return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(space, dim), FOUND)
 
-    lists = len(space.centroids)
-    found = probe(queries.withColumn("least", F.lit(None).cast("double")), slice(0, space.first))
+    found = probe(queries.withColumn("least", F.lit(None).cast("double")), 0)
     found = found.unionByName(queries.mapInArrow(_seeds(space, key, vec, dim), FOUND))
-    near = materialize(merge_top(found, k, lists), "ann-near")
-    if space.first >= space.probes:
-        return near
+    near = materialize(merge_top(found, k, space.lists), "ann-near")
     kth = near.where(F.col("rank") == k).select(F.col("query_id").alias(key), F.col("score").alias("least"))
-    rest = probe(queries.join(kth, key, "left").select(key, vec, "least"), slice(space.first, space.probes))
-    return merge_top(rest.unionByName(near.select("query_id", F.lit(0).cast("long").alias("grp"), "vec_id", "score")), k, lists)
+    rest = probe(queries.join(kth, key, "left").select(key, vec, "least"), 1)
+    return merge_top(rest.unionByName(near.select("query_id", F.lit(0).cast("long").alias("grp"), "vec_id", "score")), k, space.lists)

@@ -61,7 +61,7 @@ def test_exact_all_ids_are_queries(spark, monkeypatch):
     """Tiles follow the number of queries, not that of rows over `every`."""
     monkeypatch.setattr(topk, "TILE", 8)
     rng = np.random.default_rng(8)
-    rows = [(100 * i, [float(f) for f in v]) for i, v in enumerate(rng.standard_normal((120, 4)).astype(np.float32))]
+    rows = [(100 * i, [float(f) for f in v]) for i, v in enumerate(rng.standard_normal((120, 8)).astype(np.float32))]
     got = sorted(map(tuple, topk.exact_top_k(frame(spark, rows), k=3, every=100).collect()))
     assert got == brute(good(rows, True), 100, 3, lambda a, b: int(np.floor(a * 1024) @ np.floor(b * 1024)))
 
@@ -76,6 +76,45 @@ def test_scan_recall(spark, rows):
     assert all(s == pytest.approx(float(vectors[q] @ vectors[v]), abs=1e-12) for q, _, v, s in got)
 
 
+def test_scan_with_repeated_rows(spark):
+    """Many copies of a row, the query's own among them, shut out no other candidate."""
+    rng = np.random.default_rng(6)
+    x = rng.standard_normal((200, 8)).astype(np.float32)
+    rows = [(i, [float(f) for f in v]) for i, v in enumerate(x)]
+    rows += [r for r in rows if r[0] % 10 == 0] * 30
+    got = sorted(map(tuple, ann.adaptive_scan(frame(spark, rows), k=20, every=20).collect()))
+    want = brute(good(rows, False), 20, 20, lambda a, b: float((a * b).sum()))
+    assert len(got) == len(want) and len({(q, v) for q, _, v, _ in got} & {(q, v) for q, _, v, _ in want}) >= 0.95 * len(want)
+
+
+def test_scan_probes_what_it_needs(monkeypatch):
+    """In clusters a few lists are probed; a codebook of two levels holds every row once."""
+    monkeypatch.setattr(ann, "COARSE", 16)
+    monkeypatch.setattr(ann, "FIRST_ROWS", 200)
+    rng = np.random.default_rng(7)
+    x = rng.standard_normal((40, 32))[rng.integers(0, 40, 4000)] + 0.1 * rng.standard_normal((4000, 32))
+    space = ann.Space(x[:1500], np.arange(1500), float((x * x).sum(1).max()), len(x), 20)
+    assert len(space.fine) > 1 and space.lists == len(space.coarse) * len(space.fine)
+    own, far = space.own(space.place(x))
+    space.size = np.bincount(own, minlength=space.lists).astype(float)
+    space.spread = np.bincount(own, weights=far, minlength=space.lists) / np.maximum(1, space.size)
+    q = np.arange(0, 4000, 100)
+    points = space.place(x[q], True)
+    score = x[q] @ x.T
+    score[np.arange(len(q)), q] = -np.inf
+    top = np.argsort(-score, axis=1)[:, :20]
+    first = np.zeros((len(q), space.lists), bool)
+    first[space.asked(points, None)] = True
+    inside = np.where(first[:, own], score, -np.inf)
+    kth = -np.partition(-inside, 19, axis=1)[:, 19]
+    bound = 2 - 2 * kth / (np.sqrt((x[q] ** 2).sum(1)) * math.sqrt(space.most))
+    later = np.zeros_like(first)
+    later[space.asked(points, bound)] = True
+    assert not (first & later).any()
+    probed = (first | later)[np.arange(len(q))[:, None], own[top]]
+    assert probed.mean() > 0.9 and ((first | later) @ space.size).mean() < 0.5 * len(x)
+
+
 def test_scan_with_unequal_lengths(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((400, 8)) * rng.uniform(0.1, 10, (400, 1))
