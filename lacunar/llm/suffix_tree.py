@@ -17,7 +17,8 @@ tokens or more (at most 1 / HOT a level, whatever the corpus) are spread over al
 context and given to every task. A last exchange closes the set under suffixes.
 
 A block is split into words once. What it learns at a level it keeps in files of the shared folder, where its next
-passes find it: shuffles carry counts alone, of one level at a time.
+passes find it: shuffles carry counts alone, of one level at a time. Buckets number the words, frequent ones first, and
+the contexts of the next level; what is sent names both by number. Within a block contexts are known by 64-bit hashes.
 
 Defined cases: a null text is the end mark alone. Null ids count as training. An empty table gives no rows. Words are
 known by 64-bit hashes. Only doc_id and text are read.
@@ -46,6 +47,7 @@ END = np.uint64(0xE3D0_0000_0000_0001)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 FOLDS, HELD = 7, 2
 TALLY = -2  # block id of what buckets report to all
+LEVELS = 16  # a context's number holds its level
 OWN = -1  # bucket of what a block tells itself: where its files lie
 
 
@@ -115,11 +117,24 @@ def _counted(width: np.ndarray, planes: np.ndarray) -> np.ndarray:
     return _joined(planes, f"u{int(width[0])}").astype(np.int64)
 
 
+def _pairs(arrays: list[np.ndarray]) -> list[list[np.ndarray]]:
+    return [arrays[i : i + 2] for i in range(0, len(arrays) - len(arrays) % 2, 2)]
+
+
 def _back(out: np.ndarray, sizes: list[int]):
     ends = np.cumsum([0, *sizes])
     return [out[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
+def _numbered(total: np.ndarray, least: float, bucket: int, buckets: int) -> np.ndarray:
+    """Numbers, unique over all buckets, of what occurs `least` times, the most frequent first; else 0."""
+    out = np.zeros(len(total), np.int64)
+    at = np.flatnonzero(total >= least)
+    at = at[np.argsort(-total[at], kind="stable")]
+    out[at] = np.arange(len(at)) * buckets + bucket + 1
+    return out
+
+
 def _words(buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -131,39 +146,50 @@ def _words(buckets: int):
     return run
 
 
-def _total(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
-    """Totals of each block's words; to all: how many words occur in training, and how often."""
-    got = [grow(d) for d in data]
-    keys = [_joined(g[0]) for g in got]
-    distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
-    total = np.bincount(back, weights=np.concatenate([_counted(*g[1:]) for g in got]), minlength=len(distinct)).astype(np.int64)
-    out = [(block, bucket, shrink(*_count(x))) for block, x in zip(blocks, _back(total[back], [len(k) for k in keys]), strict=True)]
-    return [*out, (TALLY, bucket, shrink(np.array([0], np.uint64), np.array([np.count_nonzero(total)], float), np.array([total.sum()], float), np.zeros(1)))]
+def _total(buckets: int):
+    def run(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
+        """Totals and numbers of each block's words; to all: how many words occur in training, and how often."""
+        got = [grow(d) for d in data]
+        keys = [_joined(g[0]) for g in got]
+        distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
+        total = np.bincount(back, weights=np.concatenate([_counted(*g[1:]) for g in got]), minlength=len(distinct)).astype(np.int64)
+        number, sizes = _numbered(total, 1, bucket, buckets), [len(k) for k in keys]
+        out = [(block, bucket, shrink(*_count(x), *_count(i))) for block, x, i in zip(blocks, _back(total[back], sizes), _back(number[back], sizes), strict=True)]
+        return [*out, (TALLY, bucket, shrink(np.array([0], np.uint64), np.array([np.count_nonzero(total)], float), np.array([total.sum()], float), np.zeros(1)))]
+
+    return run
 
 
-def _followed(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
-    """Totals of each block's (context, word), and of its contexts T, negative if the context doesn't diverge; to all:
-    T, mass and the sum of c log(c) without the logarithms of the suffix's shares, of hot contexts."""
-    if bucket <= OWN:
-        return [(block, OWN, d) for block, d in zip(blocks, data, strict=True)]
-    got = [grow(d) for d in data]
-    keys, names = [_joined(g[0]) for g in got], [_joined(g[4]) for g in got]
-    distinct, first, back = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
-    total = np.bincount(back, weights=np.concatenate([_counted(*g[1:3]) for g in got]), minlength=len(distinct))
-    name, name_first, name_back = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
-    runs = np.concatenate([g[3] for g in got])
-    context = np.repeat(name_back, runs)[first]
-    logs = np.bincount(name_back, weights=np.concatenate([g[5] for g in got]), minlength=len(name))
-    hot = np.concatenate([g[6] for g in got])[name_first] > 0
-    seen = total > 0
-    add = lambda x: np.bincount(context[seen], weights=x, minlength=len(name))
-    followers, mass, own = add(None), add(total[seen]), add(total[seen] * np.log(total[seen]))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = (own - logs) / mass - np.log(mass)
-    signed = np.where(hot, 0, np.where(gain >= MIN_DIVERGENCE, followers, -followers)).astype(np.int32)
-    each_block = zip(blocks, _back(total[back].astype(np.int64), [len(k) for k in keys]), _back(signed[name_back], [len(x) for x in names]), strict=True)
-    out = [(block, bucket, shrink(*_count(x), _planes(s))) for block, x, s in each_block]
-    return [*out, (TALLY, bucket, shrink(name[hot], followers[hot].astype(float), mass[hot], (own - logs)[hot]))] if hot.any() else out
+def _followed(buckets: int, least: float):
+    def run(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
+        """Totals of each block's (context, word) and their numbers as contexts, and of its contexts T and whether they
+        diverge; to all: T, mass and the sum of c log(c) without the logarithms of the suffix's shares, of hot contexts."""
+        if bucket <= OWN:
+            return [(block, OWN, d) for block, d in zip(blocks, data, strict=True)]
+        got = [grow(d) for d in data]
+        names = [_counted(*g[5:7]) for g in got]
+        name, name_first, name_back = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
+        context = np.repeat(name_back, np.concatenate([g[4] for g in got]))
+        keys = (context << 40) | np.concatenate([_counted(*g[0:2]) for g in got])
+        distinct, back = np.unique(keys, return_inverse=True)
+        context = distinct >> 40
+        total = np.bincount(back, weights=np.concatenate([_counted(*g[2:4]) for g in got]), minlength=len(distinct))
+        logs = np.bincount(name_back, weights=np.concatenate([g[7] for g in got]), minlength=len(name))
+        hot = np.concatenate([g[8] for g in got])[name_first] > 0
+        seen = total > 0
+        add = lambda x: np.bincount(context[seen], weights=x, minlength=len(name))
+        followers, mass, own = add(None), add(total[seen]), add(total[seen] * np.log(total[seen]))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            gain = (own - logs) / mass - np.log(mass)
+        followers, ok = np.where(hot, 0, followers).astype(np.int64), (gain >= MIN_DIVERGENCE) & ~hot
+        if hot.any():
+            tally = shrink(name[hot].astype(np.uint64), add(None)[hot].astype(float), mass[hot], (own - logs)[hot])
+        number, sizes, runs = _numbered(total, least, bucket, buckets), [len(g[1]) // int(g[0][0]) for g in got], [len(x) for x in names]
+        parts = (_back(total[back].astype(np.int64), sizes), _back(number[back], sizes), _back(followers[name_back], runs), _back(ok[name_back], runs))
+        out = [(block, bucket, shrink(*_count(x), *_count(i), *_count(f), o.view(np.uint8))) for block, x, i, f, o in zip(blocks, *parts, strict=True)]
+        return [*out, (TALLY, bucket, tally)] if hot.any() else out
+
+    return run
 
 
 def _closed(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
@@ -186,27 +212,54 @@ class Plan:
         self.hot: list[tuple[np.ndarray, np.ndarray]] = []
 
 
+class Level:
+    """Order of what a block asks at level d: its (context, word) keys by bucket and context. It follows from the levels
+    below alone, so the pass that gets the answers finds it again."""
+
+    def __init__(self, known: Known, d: int):
+        t, plan = known.t, known.plan
+        self.mass, self.at, self.same = known.asks(d)
+        *_, name = t.names(d)
+        name = name[self.at]
+        keys, first, back = np.unique(_mix(name ^ (t.word[self.at] * _A)), return_index=True, return_inverse=True)
+        of = name[first]
+        hot = self.mass[self.at][first] >= plan.hot_mass
+        bucket = _bucket(np.where(hot, keys, of), plan.buckets)
+        order = np.lexsort((known.word_numbers[t.index[self.at][first]], of, bucket))
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        self.back, self.first = place[back], self.at[first][order]  # key of each asked token; a token of each key
+        of, self.bucket, self.hot = of[order], bucket[order], hot[order]
+        self.starts = np.flatnonzero((of != np.roll(of, 1)) | (self.bucket != np.roll(self.bucket, 1)) | (np.arange(len(of)) == 0))  # runs of a context in a bucket
+        self.runs = np.diff(np.append(self.starts, len(of)))
+
+
 class Known:
-    """What a block knows after some levels: for each token `total` and `signed` (T, negative if the context doesn't
-    diverge) of level d, both 0 where there is no candidate; level 0 is the empty context."""
+    """What a block knows after some levels: for each token `total`, `followers` (T) and `ok` (the context diverges) of level
+    d, all 0 where there is no candidate; level 0 is the empty context. `number`: of the context that ends with the token."""
 
     def __init__(self, t: Tokens, plan: Plan, answers: dict[int, bytes]):
         self.t, self.plan = t, plan
         self.kept: list[list] = []  # where the levels lie
-        self.total, self.signed = [], []
+        none = np.zeros(len(t.index), np.int64)
         if OWN in answers:
             self.kept, asked = json.loads(answers[OWN])
-            for place in self.kept:
-                width, total, signed = grow(read_blob(*place))
-                self.total.append(_counted(width, total))
-                self.signed.append(_joined(signed, np.int32).astype(np.int64))
+            self.words, self.word_numbers = (_counted(*x) for x in _pairs(grow(read_blob(*self.kept[0]))))
+            self.total, self.followers, self.ok = [self.words[t.index]], [none], [none > 0]
+            for place in self.kept[1:]:
+                *counts, ok = grow(read_blob(*place))
+                total, followers = (_counted(*x) for x in _pairs(counts))
+                self.total.append(total)
+                self.followers.append(followers)
+                self.ok.append(np.unpackbits(ok, count=len(total)).astype(bool))
             if asked:
-                self._take(answers, *grow(read_blob(*asked)))
-        else:  # the first level: answers are totals of words
-            count = np.zeros(len(t.hash), np.int64)
+                self._take(answers, *(_counted(*x) for x in _pairs(grow(read_blob(*asked)))))
+        else:  # the first level: answers are totals and numbers of words
+            self.words, self.word_numbers = np.zeros(len(t.hash), np.int64), np.zeros(len(t.hash), np.int64)
             for b, at in split(_bucket(t.hash, plan.buckets)):
-                count[at] = _counted(*grow(answers[b]))
-            self.total, self.signed = [count[t.index]], [np.zeros(len(t.index), np.int64)]
+                self.words[at], self.word_numbers[at] = (_counted(*x) for x in _pairs(grow(answers[b])))
+            self.total, self.followers, self.ok = [self.words[t.index]], [none], [none > 0]
+            self.number = self.word_numbers[t.index] * LEVELS
 
     def mass(self, d: int) -> np.ndarray:
         """How often the context of d words before each token occurs in training."""
@@ -217,7 +270,7 @@ class Known:
         out[1:] = self.total[d - 1][:-1]
         out[self.t.k < d - 1] = 0
         if d == 1:
-            out[self.t.k == 0] = self.total[0][-1]  # a block's last token is an end mark
+            out[self.t.k == 0] = self.words[-1]  # a block's last word is the end mark
         return out
 
     def asks(self, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -226,67 +279,62 @@ class Known:
         can = mass >= self.plan.least
         return mass, np.flatnonzero(can & (mass < suffix)), np.flatnonzero(can & (mass == suffix))
 
-    def _take(self, answers: dict[int, bytes], back: np.ndarray, runs: np.ndarray, hot_at: np.ndarray, hot_name: np.ndarray) -> None:
+    def _take(self, answers: dict[int, bytes], carried: np.ndarray, hot_numbers: np.ndarray) -> None:
+        d = len(self.total)
+        level = Level(self, d)
         got = [grow(answers[b]) for b in sorted(answers) if b != OWN]
         cat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
-        total = cat([_counted(g[0], g[1]) for g in got], np.int64)
-        context = cat([_joined(g[2], np.int32) for g in got], np.int32).astype(np.int64)
-        d = len(self.total)
+        total, number, followers = (cat([_counted(*g[i : i + 2]) for g in got], np.int64) for i in (0, 2, 4))
+        ok = cat([g[6] for g in got], np.uint8) > 0
         names, sums = self.plan.hot[d - 1]
-        if len(hot_at):
-            context[hot_at] = sums[np.searchsorted(names, hot_name)]
-        _, at, same = self.asks(d)
-        back = _joined(back, np.uint32).astype(np.int64)
-        out, signed = np.zeros(len(self.t.index), np.int64), np.zeros(len(self.t.index), np.int64)
-        out[at], signed[at] = total[back], np.repeat(context, runs)[back]
-        out[same], signed[same] = self.total[-1][same], -np.abs(self.signed[-1][same])
-        self.total.append(out)
-        self.signed.append(signed)
+        hot = np.flatnonzero(level.hot[level.starts])
+        if len(hot):
+            mine = sums[np.searchsorted(names, hot_numbers)]
+            followers[hot], ok[hot] = np.abs(mine), mine > 0
+        n, at, same = len(self.t.index), level.at, level.same
+        new = [np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)]
+        for v, x in zip(new, (total[level.back], np.repeat(followers, level.runs)[level.back], np.repeat(ok, level.runs)[level.back]), strict=True):
+            v[at] = x
+        new[0][same], new[1][same] = self.total[-1][same], self.followers[-1][same]
+        for known, v in zip((self.total, self.followers, self.ok), new, strict=True):
+            known.append(v)
+        self.number = np.zeros(n, np.int64)
+        self.number[at] = np.where(number > 0, number * LEVELS + d, 0)[level.back]
+        self.number[same] = carried  # it occurs where its suffix does: the number of that names it, too
 
     def keep(self, out) -> None:
         """Write the levels that no file holds yet."""
         for d in range(len(self.kept), len(self.total)):
-            self.kept.append(out.add(shrink(*_count(self.total[d]), _planes(self.signed[d].astype(np.int32)))))
+            if d:
+                self.kept.append(out.add(shrink(*_count(self.total[d]), *_count(self.followers[d]), np.packbits(self.ok[d]))))
+            else:
+                self.kept.append(out.add(shrink(*_count(self.words), *_count(self.word_numbers))))
 
     def ask(self, out) -> dict[int, bytes]:
         """What is sent for the next level, by bucket."""
         t, d = self.t, len(self.total)
-        mass, at, _ = self.asks(d)
-        *_, name = t.names(d)
-        name, mass = name[at], mass[at]
-        names, context = np.unique(name, return_inverse=True)
-        context_mass = np.zeros(len(names), np.int64)
-        context_mass[context] = mass
-        is_hot = context_mass >= self.plan.hot_mass
-        keys, first, back = np.unique(_mix(name ^ (t.word[at] * _A)), return_index=True, return_inverse=True)
-        of = context[first]
-        bucket = _bucket(np.where(is_hot[of], keys, names[of]), self.plan.buckets)
-        order = np.lexsort((of, bucket))
-        place = np.empty(len(order), np.int64)
-        place[order] = np.arange(len(order))
-        back = place[back]
-        keys, of, bucket = keys[order], of[order], bucket[order]
+        level = Level(self, d)
+        at = level.at
+        context = np.zeros(len(t.index), np.int64)  # its number, of each token
+        context[1:] = self.number[:-1]
+        if d == 1:
+            context[t.k == 0] = self.word_numbers[-1] * LEVELS
         train = t.train[at]
-        count = np.bincount(back, weights=train, minlength=len(keys)).astype(np.int64)
-        suffix = self.mass(d - 1)[at]
+        count = np.bincount(level.back, weights=train, minlength=len(level.bucket)).astype(np.int64)
         with np.errstate(divide="ignore"):
-            logs = np.log(self.total[d - 1][at] / np.maximum(1, suffix))
-        logs = np.bincount(context, weights=np.where(train, logs, 0.0), minlength=len(names))
-        starts = np.flatnonzero((np.diff(of, prepend=-1) != 0) | (np.diff(bucket, prepend=-1) != 0))  # runs of a context in a bucket
-        runs = np.diff(np.append(starts, len(of)))
-        run_of, run_bucket = of[starts], bucket[starts]
-        own = np.zeros(len(starts))
-        own_at = np.unique(run_of, return_index=True)[1]  # a hot context has runs in several buckets, its logarithms go with one
-        own[own_at] = logs[run_of[own_at]]
-        run_hot = is_hot[run_of]
-        hot_at = np.flatnonzero(run_hot)
+            logs = np.log(self.total[d - 1][at] / np.maximum(1, self.mass(d - 1)[at]))
+        run = np.repeat(np.arange(len(level.starts)), level.runs)
+        logs = np.bincount(run[level.back], weights=np.where(train, logs, 0.0), minlength=len(level.starts)).astype(np.float32)
+        run_number, run_bucket = context[level.first[level.starts]], level.bucket[level.starts]
+        run_hot = level.hot[level.starts]
+        word = self.word_numbers[t.index[level.first]]
         self.keep(out)
-        asked = out.add(shrink(_planes(back.astype(np.uint32)), runs.astype(np.uint32), hot_at, names[run_of[hot_at]]))
+        asked = out.add(shrink(*_count(self.number[level.same]), *_count(run_number[run_hot])))
         parts = {}
         cut = np.flatnonzero(np.diff(run_bucket, prepend=-1))
-        for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(starts)][: len(cut)], strict=True):
-            a, b = starts[i], starts[j] if j < len(starts) else len(of)
-            parts[int(run_bucket[i])] = shrink(_planes(keys[a:b]), *_count(count[a:b]), runs[i:j].astype(np.uint32), _planes(names[run_of[i:j]]), own[i:j], run_hot[i:j].view(np.uint8))
+        for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(level.starts)][: len(cut)], strict=True):
+            a, b = level.starts[i], level.starts[j] if j < len(level.starts) else len(word)
+            parts[int(run_bucket[i])] = shrink(*_count(word[a:b]), *_count(count[a:b]), level.runs[i:j].astype(np.uint32), *_count(run_number[i:j]), logs[i:j], run_hot[i:j].view(np.uint8))
         return parts | {OWN: json.dumps([self.kept, asked]).encode()}
 
     def open(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
@@ -296,8 +344,8 @@ class Known:
         longer = np.zeros(len(self.t.index), bool)
         found, marks, places = [], [], []
         for d in range(depth - 1, 0, -1):
-            longer |= self.signed[d + 1] > 0
-            at = np.flatnonzero(self.signed[d] < 0)
+            longer |= self.ok[d + 1]
+            at = np.flatnonzero((self.followers[d] > 0) & ~self.ok[d])
             found.append(names[d - 1][at])
             marks.append(longer[at])
             places.append(at)
@@ -349,11 +397,11 @@ def _score(plan: Plan):
                 base = (known.total[0] + 1) / (plan.n + plan.v + 1)
                 p = base.copy()
                 for d in range(1, len(known.total)):
-                    use = known.signed[d] > 0
+                    use = known.ok[d].copy()
                     if d <= len(places):
                         use[places[d - 1]] = closed[numbers[d - 1]]
                     at = np.flatnonzero(use)
-                    followers = np.abs(known.signed[d][at])
+                    followers = known.followers[d][at]
                     p[at] = (known.total[d][at] + followers * p[at]) / (known.mass(d)[at] + followers)
                 add = lambda x: np.add.reduceat(x, t.docs[:-1])  # noqa: E731  each row has its end mark
                 yield pa.RecordBatch.from_pydict({
@@ -389,13 +437,15 @@ def _hot(answers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
 def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
+    if not 1 <= depth < LEVELS:
+        raise ValueError(f"depth must be 1 to {LEVELS - 1}")
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("held_out", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD, F.lit(False)))
     blocks = pack_blocks(docs, "text", "doc_id", "tree-tokens", _code)
     n_blocks = blocks.count()
     buckets = max(1, -(-n_blocks // 2))
-    answers = materialize(exchange(each(blocks, n_blocks).mapInArrow(_words(buckets), SENT), _total), "tree-words")
+    answers = materialize(exchange(each(blocks, n_blocks).mapInArrow(_words(buckets), SENT), _total(buckets)), "tree-words")
     _, v, n, _ = (float(x.sum()) for x in _reported(answers))
     plan = Plan(new_path(spark, "tree-files"), buckets, int(n), int(v), P_MIN * n if min_count is None else min_count)
 
@@ -405,7 +455,7 @@ def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int
         return found
 
     for d in range(1, depth + 1):
-        answers = gather(_ask(plan), _followed, f"tree-level-{d}")
+        answers = gather(_ask(plan), _followed(buckets, plan.least), f"tree-level-{d}")
         plan.hot.append(_hot(answers))
     answers = gather(_ask_closed(plan), _closed, "tree-closed")
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
