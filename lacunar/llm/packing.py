@@ -1,9 +1,14 @@
 """Vector bin packing of token sequences under limits on tokens, segments and loss-bearing tokens.
 
 Each open sequence takes, of the waiting documents that fit whole, the one whose demand has the largest dot product
-with what is left of the three limits; when none fits, the longest is cut so that the sequence becomes full, and its
-rest waits on. A task packs what it reads by itself, so nothing is shuffled or collected; only its last sequence can
-fall short. At most WAITING documents wait at a time.
+with what is left of the three limits, each as a share of its limit; when none fits, or one segment is left, the document
+that gives the longest piece is cut so that the sequence becomes full, and its rest waits on. A task packs what it reads
+by itself, so nothing is shuffled or collected; only its last sequences can fall short. At most WAITING documents wait at
+a time.
+
+What bears no loss is the start of a document: its prompt column or, for documents without one, `prompt_share` of its
+tokens. Tokens behind it bear loss, so pieces of long texts come up against the limit on loss-bearing tokens and are
+packed with starts of others, and short texts come up against the limit on segments.
 
 Defined cases: a null text is empty, so its document is the end id alone; every row, repeated or not, is packed. Only
 "doc_id", the text and the prompt column are read. An empty table gives no rows.
@@ -22,7 +27,7 @@ from pyspark.sql import functions as F
 from lacunar.llm.textops import slices, trim
 from lacunar.llm.tokens import Encoder
 
-LENGTH, SEGMENTS = 2048, 512
+LENGTH, SEGMENTS, LOSS, PROMPT_SHARE = 2048, 12, 2016, 0.125
 WAITING, LEFT = 2048, 1024
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, loss long"
 
@@ -55,7 +60,7 @@ class Packer:
             while room[0] >= 1 and room[1] >= 1 and waiting:
                 loss = np.maximum(0, self.left - self.free)
                 fits = (self.left > 0) & (self.left <= room[0]) & (loss <= room[2])
-                if fits.any():
+                if fits.any() and (room[1] > 1 or (fits & (self.left == room[0])).any()):
                     w = room / self.limit / self.limit
                     score = np.where(fits, w[0] * self.left + w[1] + w[2] * loss, -1.0)
                     i = int(np.argmax(score))
@@ -73,7 +78,7 @@ class Packer:
                 self.doc, self.start, self.left, self.free = self.doc[keep], self.start[keep], self.left[keep], self.free[keep]
 
 
-def _pack(tokenizer: str, end: int, tokens: int, segments: int, loss: int, prompt: bool, with_ids: bool):
+def _pack(tokenizer: str, end: int, tokens: int, segments: int, loss: int, prompt: bool, prompt_share: float, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -108,7 +113,8 @@ def _pack(tokenizer: str, end: int, tokens: int, segments: int, loss: int, promp
                 for i, doc in enumerate(part.column("doc_id").to_pylist()):
                     own = ids[offsets[i] : offsets[i + 1]]
                     ids_of[n + i] = doc, np.concatenate([lead[i].astype("<u4"), own]) if len(lead[i]) else own.copy()
-                packer.add(np.arange(n, n + len(part)), sizes, np.array([len(x) for x in lead], np.int64))
+                free = np.array([len(x) for x in lead], np.int64) if prompt else np.floor(sizes * prompt_share).astype(np.int64)
+                packer.add(np.arange(n, n + len(part)), sizes, free)
                 n += len(part)
                 if np.count_nonzero(packer.left) > WAITING:
                     yield from out(LEFT)
@@ -118,10 +124,11 @@ def _pack(tokenizer: str, end: int, tokens: int, segments: int, loss: int, promp
     return run
 
 
-def pack(docs: DataFrame, tokenizer: str, end: int = 1, tokens: int = LENGTH, segments: int = SEGMENTS, loss: int | None = None, prompt: str | None = None, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end: int = 1, tokens: int = LENGTH, segments: int = SEGMENTS, loss: int | None = None, prompt: str | None = None, prompt_share: float = 0.0, with_ids: bool = False) -> DataFrame:
     """One row a piece: where it lies in its document and in its sequence (`loss`: its loss-bearing tokens).
 
-    A document is the ids of its prompt (which bear no loss), of its text and the end id.
+    A document is the ids of its prompt, of its text and the end id. What bears no loss are the ids of the prompt or,
+    without that column, the first `prompt_share` of all. No `loss`: no limit but that on tokens.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), *([F.col(prompt).cast("string").alias("prompt")] if prompt else []))
-    return docs.mapInArrow(_pack(tokenizer, end, tokens, segments, loss or tokens, bool(prompt), with_ids), PIECES + (", ids array<int>" if with_ids else ""))
+    return docs.mapInArrow(_pack(tokenizer, end, tokens, segments, loss or tokens, bool(prompt), prompt_share, with_ids), PIECES + (", ids array<int>" if with_ids else ""))

@@ -10,7 +10,7 @@ from lacunar.llm.ann import adaptive_scan
 from lacunar.llm.bitplane import encode_and_read_back
 from lacunar.llm.licenses import scan_licenses
 from lacunar.llm.mixing import mix
-from lacunar.llm.packing import pack
+from lacunar.llm.packing import LOSS, PROMPT_SHARE, SEGMENTS, pack
 from lacunar.llm.simhash import near_duplicates
 from lacunar.llm.substrings import repeated_spans
 from lacunar.llm.suffix_tree import suffix_tree_scores
@@ -63,7 +63,7 @@ def op8_exponential_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_vector_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=1, tokens=2048).drop("loss")
+    return pack(_table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), end=1, tokens=2048, segments=SEGMENTS, loss=LOSS, prompt_share=PROMPT_SHARE)
 
 
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

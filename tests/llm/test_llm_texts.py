@@ -103,6 +103,57 @@ def test_packing_limits():
     assert total == {i: k for i, k in enumerate(n.tolist())}
 
 
+def plain_pack(docs, tokens, segments, loss):
+    """The heuristic in plain Python: docs are (tokens, tokens without loss)."""
+    waiting = [[i, 0, n, min(free, n)] for i, (n, free) in enumerate(docs)]
+    out, seq = [], 0
+    while any(w[2] for w in waiting):
+        room = [tokens, segments, loss]
+        while room[0] >= 1 and room[1] >= 1:
+            open_ = [w for w in waiting if w[2]]
+            need = lambda w: max(0, w[2] - w[3])
+            fits = [w for w in open_ if w[2] <= room[0] and need(w) <= room[2]]
+            if fits and (room[1] > 1 or any(w[2] == room[0] for w in fits)):
+                value = lambda w: room[0] / tokens * w[2] / tokens + room[1] / segments / segments + room[2] / loss * need(w) / loss
+                best = max(fits, key=lambda w: (round(value(w), 12), -w[0], -w[1]))
+                take = best[2]
+            else:
+                piece = lambda w: min(w[2], room[0], w[3] + room[2])
+                best = max(open_, key=lambda w: (piece(w), w[2], -w[0]), default=None)
+                take = piece(best) if best else 0
+                if take < 1:
+                    break
+            lossy = max(0, take - best[3])
+            out.append((best[0], best[1], take, seq, tokens - room[0], lossy))
+            best[1], best[2], best[3] = best[1] + take, best[2] - take, max(0, best[3] - take)
+            room = [room[0] - take, room[1] - 1, room[2] - lossy]
+        seq += 1
+    return out
+
+
+@pytest.mark.parametrize(("segments", "loss"), [(3, 90), (6, 97), (50, 100)])
+def test_packing_takes_the_largest_dot_product(segments, loss):
+    rng = np.random.default_rng(segments)
+    n = rng.choice([2, 5, 9, 30, 70, 180, 600], 160) + rng.integers(0, 7, 160)
+    docs = [(int(x), int(x) // 8) for x in n]
+    p = packing.Packer(100, segments, loss)
+    p.add(np.arange(160), n, n // 8)
+    assert list(p.fill(0)) == plain_pack(docs, 100, segments, loss)
+
+
+def test_packing_limits_bind(spark, rows):
+    """Under the query's limits some sequences are closed by their segments, some by their loss, and few are short."""
+    more = [*rows, *((2000 + i, "a b", "a") for i in range(400))]
+    got = packing.pack(frame(spark, more).coalesce(1), tokenizer_path("byte_bpe_50k.json"), segments=packing.SEGMENTS, loss=packing.LOSS, prompt_share=packing.PROMPT_SHARE)
+    seqs = collections.defaultdict(list)
+    for r in got.collect():
+        seqs[r["sequence_id"]].append(r)
+        assert r["loss"] == max(0, r["start"] + r["length"] - max(r["start"], int(r["doc_tokens"] * packing.PROMPT_SHARE)))
+    loss = [sum(r["loss"] for r in s) for s in seqs.values()]
+    assert max(loss) == packing.LOSS and max(map(len, seqs.values())) == packing.SEGMENTS
+    assert all(sum(r["length"] for r in s) <= packing.LENGTH for s in seqs.values())
+
+
 def print_of(t):
     w = split(t, True)
     if not w:
