@@ -400,6 +400,33 @@ def test_mixing(spark, rows, monkeypatch, few):
     assert mixed == collections.Counter({r["doc_id"]: r["taken"] for r in got if r["taken"]})
 
 
+@pytest.mark.parametrize("scale", [1.0, 1e4, 1e-4])
+def test_mixing_takes_by_key(spark, rows, monkeypatch, scale):
+    """The documents taken are the first by Exp(1) / weight, whatever the size of the weights; null ids are spread, too."""
+    monkeypatch.setattr(mixing, "INTERVALS", 16)
+    rows = [*rows, *((None, f"null {i} " * 3, "a") for i in range(50))]
+    weight = lambda i, t: scale * (1 + (len(t or "") * 7 + (i or 0)) % 5)
+    docs = spark.createDataFrame([(k, i, t, s, weight(i, t)) for k, (i, t, s) in enumerate(rows)], "_mix_size long, doc_id long, text string, source string, q double")
+    u = {r["_mix_size"]: r["h"] for r in docs.selectExpr("_mix_size", "shiftrightunsigned(xxhash64(coalesce(doc_id, 0), xxhash64(text), 20), 11) h").collect()}
+    key = [-math.log((u[k] + 0.5) / 2**53) / weight(i, t) for k, (i, t, _) in enumerate(rows)]
+    got = mixing.mixed_documents(docs, weight="q")
+    assert got.columns == docs.columns
+    taken = collections.Counter()
+    for r in got.collect():
+        taken[r["_mix_size"]] += len(split(r["text"]))
+    size = [len(split(t)) for _, t, _ in rows]
+    target = {r["source"]: r["target"] for r in mixing.targets(docs.select("source", mixing.F.expr("size(filter(split(coalesce(text, ''), '[\\\\x20\\\\x09-\\\\x0D]+'), x -> x <> ''))").cast("long").alias("size"))).collect()}
+    for source, aim in target.items():
+        mine = sorted((k for k, r in enumerate(rows) if r[2] == source), key=lambda k: (key[k], rows[k][0] is not None, rows[k][0] or 0))
+        whole = sum(size[k] for k in mine)
+        epochs = int(aim / whole + 1e-9) if whole else 0
+        left = round(aim - epochs * whole)
+        for k in mine:
+            part = max(0, min(size[k], left))
+            assert taken[k] == epochs * size[k] + part, (source, k)
+            left -= size[k]
+
+
 def test_mixing_prefers_heavy_documents(spark):
     docs = spark.createDataFrame([(i, "a b c", "s" if i % 2 else "t", 1.0 if i % 4 < 2 else 50.0) for i in range(4000)], "doc_id long, text string, source string, q double")
     p = mixing.plan(docs, weights=(1.0, 3.0), weight="q").where("_mix_epochs = 0 AND _mix_part > 0").select("doc_id").collect()
