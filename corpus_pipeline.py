@@ -43,7 +43,7 @@ def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens."""
-    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end=1, tokens=2048).drop("loss")
+    return packing.pack(docs, tokenizer_path("byte_bpe_50k.json"), end=1, tokens=2048, segments=packing.SEGMENTS, loss=packing.LOSS, prompt_share=packing.PROMPT_SHARE)
 
 
 STAGES = [("toxicity", clean), ("near-duplicates", distinct), ("substrings", unrepeated), ("mixing", mixed), ("packing", packed)]
