@@ -1,6 +1,9 @@
 """Token ids in plane-shuffled binary files.
 
-A file holds the documents of one shard, in ascending doc_id order (nulls last, equal ids by their token ids):
+Documents lie in ascending doc_id order, nulls last. They are dealt to ranges of ids, quantiles of a bounded sample, and a
+range is written as files of about SHARD_DOCS documents each; rows that share an id, or have none, are dealt to as many
+ranges as the id is quantiles of, so no id makes a task large. Those follow each other in an order that the input decides.
+A file holds
 
     b"LPL1" | chunks ... | index (JSON) | its length, 8 bytes little-endian | b"LPL1"
 
@@ -37,6 +40,7 @@ from lacunar.llm.tokens import Encoder
 MAGIC = b"LPL1"
 BLOCK = 1 << 16
 SHARD_DOCS = 8192
+SAMPLE = 1 << 18  # ids, at most about so many, that the ranges are made from; 16 of them a range
 MANIFEST = "shard long, file string, n_docs long, n_ids long"
 
 
@@ -143,37 +147,42 @@ class Reader:
 def _encode(tokenizer: str, end: int, bounds: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
+        n = 0
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, offsets = encoder.encode(part.column("text"), end)
                 kind = np.uint16 if encoder.tokenizer.get_vocab_size() <= 1 << 16 and end < 1 << 16 else np.uint32
                 docs = part.column("doc_id")
                 keys = docs.fill_null(np.iinfo(np.int64).max).to_numpy(zero_copy_only=False)
+                first, last = (np.searchsorted(bounds, keys, side=side) for side in ("left", "right"))
+                shard = first + (np.arange(n, n + len(keys)) % (last - first + 1))  # an id that is several bounds has several ranges
+                n += len(keys)
                 width = np.dtype(kind).itemsize
                 data = pa.Array.from_buffers(pa.large_binary(), len(part), [None, pa.py_buffer(np.ascontiguousarray(offsets * width)), pa.py_buffer(ids.astype(kind))])
-                yield pa.RecordBatch.from_pydict({"shard": pa.array(np.searchsorted(bounds, keys, side="left"), pa.int64()), "doc_id": docs, "width": pa.array(np.full(len(part), width, np.int32)), "ids": data.cast(pa.binary())})
+                yield pa.RecordBatch.from_pydict({"shard": pa.array(shard, pa.int64()), "doc_id": docs, "width": pa.array(np.full(len(part), width, np.int32)), "ids": data.cast(pa.binary())})
 
     return run
 
 
-def _write(folder: str, planes: str):
+def _write(folder: str, planes: str, shard_docs: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        made, open_shard, writer, n_docs, n_ids = [], None, None, 0, 0
+        made, open_shard, writer, n_docs, n_ids = [], -1, None, 0, 0
 
         def finish() -> None:
             if writer:
                 writer.close()
-                final = f"{folder}/{open_shard:012d}.lpl"
+                final = f"{folder}/{open_shard:020d}.lpl"
                 fs, there = open_uri(final)
                 fs.move(f"{there}.{attempt}", there)
                 made.append((open_shard, final, n_docs, n_ids))
 
         for batch in batches:
             for shard, doc, width, ids in zip(*(batch.column(c).to_pylist() for c in ("shard", "doc_id", "width", "ids")), strict=True):
-                if shard != open_shard:
+                if shard << 32 != open_shard >> 32 << 32 or n_docs >= shard_docs:
                     finish()
-                    attempt, open_shard, n_docs, n_ids = uuid.uuid4().hex, shard, 0, 0
-                    fs, there = open_uri(f"{folder}/{shard:012d}.lpl")
+                    open_shard = max(shard << 32, open_shard + 1)
+                    attempt, n_docs, n_ids = uuid.uuid4().hex, 0, 0
+                    fs, there = open_uri(f"{folder}/{open_shard:020d}.lpl")
                     fs.create_dir(there.rsplit("/", 1)[0], recursive=True)
                     writer = Writer(fs.open_output_stream(f"{there}.{attempt}"), planes)
                 values = np.frombuffer(ids, np.uint16 if width == 2 else np.uint32)
@@ -192,13 +201,18 @@ def _write(folder: str, planes: str):
 def write_planes(docs: DataFrame, folder: str, tokenizer: str, end: int, planes: str = "byte", shard_docs: int = SHARD_DOCS) -> DataFrame:
     """Encode every text, write the shards' files to a shared folder and return their manifest (shard, file, n_docs, n_ids)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    shards = max(1, -(-docs.select("doc_id").count() // shard_docs))
-    # one number for each file; the last shard takes nulls
-    bounds = docs.approxQuantile("doc_id", [i / shards for i in range(1, shards)], 0.1 / shards) if shards > 1 else []
-    bounds = np.unique(np.array(bounds, dtype=np.int64)) if bounds else np.zeros(0, np.int64)
+    n = docs.select("doc_id").count()
+    ranges = max(1, min(-(-n // shard_docs), SAMPLE // 16))
+    bounds = np.zeros(0, np.int64)
+    if ranges > 1:
+        # so many rows, chosen by the place they have in the input, that every copy of an id may be among them
+        share = min(1.0, SAMPLE / n)
+        chosen = docs.select("doc_id").where(F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 30)) < int(share * (1 << 30)))
+        ids = np.sort(np.array([np.iinfo(np.int64).max if r[0] is None else r[0] for r in chosen.limit(2 * SAMPLE).collect()], np.int64))
+        bounds = ids[(np.arange(1, ranges) * len(ids)) // ranges] if len(ids) else bounds
     encoded = docs.mapInArrow(_encode(tokenizer, end, bounds), "shard long, doc_id long, width int, ids binary")
     ordered = encoded.repartition(len(bounds) + 1, "shard").sortWithinPartitions("shard", F.col("doc_id").asc_nulls_last(), "ids")
-    return materialize(ordered.mapInArrow(_write(folder, planes), MANIFEST), "planes-manifest")
+    return materialize(ordered.mapInArrow(_write(folder, planes, 2 * shard_docs), MANIFEST), "planes-manifest")
 
 
 def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

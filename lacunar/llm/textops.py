@@ -89,8 +89,8 @@ class Words:
 def pieces(col: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     """(index of each piece, distinct pieces, each row's first piece). Joined, a row's pieces are its text.
 
-    A text is cut before a space or line feed that follows a character which is surely no white space. No token of
-    the tokenizers used here spans such a place, so tokens of pieces are tokens of the text.
+    A text is cut before a space or line feed that follows a character which is surely no white space. Tokenizers whose
+    pre-tokenizer cuts there, too, have no token that spans such a place, so tokens of pieces are tokens of the text.
     """
     data, offsets = raw(col)
     cut = np.flatnonzero((data == 32) | (data == 10))
@@ -109,6 +109,12 @@ def pieces(col: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
     return coded.indices.to_numpy(), coded.dictionary, np.searchsorted(at, offsets)
 
 
+def whole(col: pa.Array) -> tuple[np.ndarray, pa.Array, np.ndarray]:
+    """As `pieces`, each row one piece."""
+    coded = binary(*raw(col)).dictionary_encode()
+    return coded.indices.to_numpy(), coded.dictionary, np.arange(len(col) + 1)
+
+
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     """Positions starts[i] .. starts[i] + lengths[i] - 1, one run after another."""
     ends = np.cumsum(lengths)

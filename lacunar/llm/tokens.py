@@ -9,14 +9,15 @@ import numpy as np
 import pyarrow as pa
 import regex
 
-from lacunar.llm.textops import pieces, ragged
+from lacunar.llm.textops import pieces, ragged, whole
 
 MAX_PIECES, MAX_PARTS = 400_000, 150_000  # held by a worker; when full, the cache starts again
 MARKS = frozenset(".,;:!?")
 
 
 class Encoder:
-    """add_special_tokens is off. Latin-1 pieces pass the normalizer and pre-tokenizer here and only the library's
+    """add_special_tokens is off. Texts are cut into pieces only for tokenizers of the two shapes that are known here, whose
+    tokens span no such cut; for any other, whole texts pass the library. Latin-1 pieces pass the normalizer and pre-tokenizer here and only the library's
     model there, which is the dearest part of it saved; all others pass the library as they are."""
 
     _made: dict[str, Encoder] = {}
@@ -104,7 +105,7 @@ class Encoder:
 
     def encode(self, col: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after another, offsets of the rows). With `end`, each row gets that id at its end."""
-        index, distinct, first = pieces(col)
+        index, distinct, first = pieces(col) if self.plain else whole(col)
         slots = self._slots(distinct.to_pylist())[index] if len(index) else np.zeros(0, np.int64)
         lengths = self.length[slots]
         ids = self.pool[ragged(self.start[slots], lengths)]

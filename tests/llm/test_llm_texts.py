@@ -2,11 +2,13 @@
 
 import collections
 import hashlib
+import json
 import math
 import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -55,6 +57,36 @@ def test_planes(spark, rows, planes):
         at += len(ids)
 
 
+def test_planes_of_one_id(spark, rows, tmp_path):
+    """An id of a third of all rows, and no id at all, are dealt to many files; order and rows stay whole."""
+    more = [*rows, *((7777, f"same {i}", "a") for i in range(150)), *((None, f"none {i}", "a") for i in range(150))]
+    docs = frame(spark, more)
+    manifest = bitplane.write_planes(docs, str(tmp_path / "files"), tokenizer_path("word_bpe_49k.json"), 2, shard_docs=20)
+    files = manifest.collect()
+    assert len(files) > 15 and max(r["n_docs"] for r in files) <= 40 and sum(r["n_docs"] for r in files) == len(more)
+    got = bitplane.read_digest(manifest).collect()
+    got.sort(key=lambda r: r["start"])
+    tk = Encoder.of(tokenizer_path("word_bpe_49k.json")).tokenizer
+    crc = lambda t: zlib.crc32(np.array([*tk.encode(t or "", add_special_tokens=False).ids, 2], "<u4").tobytes())
+    assert sorted((str(r["doc_id"]), r["ids_crc32"]) for r in got) == sorted((str(i), crc(t)) for i, t, _ in more)
+    order = [(r["doc_id"] is None, r["doc_id"] or 0) for r in got]
+    assert order == sorted(order) and all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:]))
+
+
+def test_unknown_tokenizer(spark, tmp_path):
+    """Tokens of a tokenizer of another shape may span spaces: its texts are not cut."""
+    vocab = {c: i for i, c in enumerate("ab ")} | {"a b": 3, "a ": 4, "<": 5}
+    spec = {"version": "1.0", "truncation": None, "padding": None, "added_tokens": [], "normalizer": None, "pre_tokenizer": {"type": "Split", "pattern": {"String": "<"}, "behavior": "Isolated", "invert": False}, "post_processor": None, "decoder": None, "model": {"type": "BPE", "dropout": None, "unk_token": None, "continuing_subword_prefix": None, "end_of_word_suffix": None, "fuse_unk": False, "byte_fallback": False, "vocab": vocab, "merges": [["a", " "], ["a ", "b"]]}}
+    (tmp_path / "t.json").write_text(json.dumps(spec))
+    e = Encoder(str(tmp_path / "t.json"))
+    texts = ["a b", "a ba b", "", "b a b", "a b"]
+    ids, off = e.encode(pa.array([*texts, None]), 9)
+    assert not e.plain
+    for t, a, b in zip([*texts, ""], off, off[1:]):
+        assert ids[a:b].tolist() == [*e.tokenizer.encode(t, add_special_tokens=False).ids, 9]
+    assert 3 in ids
+
+
 @pytest.mark.parametrize("planes", ["byte", "bit"])
 def test_blocks_round_trip(planes):
     rng = np.random.default_rng(0)
