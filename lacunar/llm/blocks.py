@@ -16,6 +16,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 from lacunar.llm.files import blobs, read_blob
 from lacunar.llm.scratch import materialize, new_path
@@ -112,11 +113,6 @@ def tasks(df: DataFrame, n_blocks: int) -> int:
     return max(1, min(n_blocks, max(-(-n_blocks // BLOCKS_PER_TASK), 3 * df.sparkSession.sparkContext.defaultParallelism)))
 
 
-def each(blocks: DataFrame, n_blocks: int) -> DataFrame:
-    """The blocks dealt to the tasks of a pass."""
-    return blocks.repartition(tasks(blocks, n_blocks))
-
-
 def sent(block_id: int, parts: dict[int, bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({"bucket": pa.array(list(parts), pa.int64()), "block_id": pa.array([block_id] * len(parts), pa.int64()), "data": pa.array(list(parts.values()), pa.binary())})
 
@@ -143,27 +139,34 @@ def exchange(sends: DataFrame, answer: Callable[[int, list[int], list[bytes]], l
     return sends.groupBy("bucket").applyInArrow(run, ANSWER)
 
 
-def with_answers(blocks: DataFrame, answers: DataFrame, n_blocks: int) -> DataFrame:
-    """Each block with an array of its answers (bucket, data), by one shuffle of the answers and of the blocks' places."""
-    place = F.struct("n_rows", "n_bytes", "file", "at", "size")
-    none = F.lit(None)
-    rows = blocks.select("block_id", place.alias("place"), none.cast("struct<bucket: bigint, data: binary>").alias("answer"))
-    rows = rows.unionByName(answers.select("block_id", F.struct("bucket", "data").alias("answer")), allowMissingColumns=True)
-    per = rows.repartition(tasks(blocks, n_blocks), "block_id").groupBy("block_id").agg(F.first("place", ignorenulls=True).alias("place"), F.collect_list("answer").alias("answers"))
-    return per.where("place IS NOT NULL").select("block_id", "place.*", "answers")
+Run = Callable[[int, bytes, dict[int, bytes]], Iterator[pa.RecordBatch]]
+
 
+def over(blocks: DataFrame, n_blocks: int, run: Run, schema: str | StructType, answers: DataFrame | None = None) -> DataFrame:
+    """What `run` makes of each block: its number, what its file holds and its answers by bucket. One shuffle brings the
+    answers and the blocks' places together, in small rows; a task holds one block at a time."""
+    rows = blocks.select("block_id", F.lit(None).cast("long").alias("bucket"), F.lit(None).cast("binary").alias("data"), "file", "at", "size")
+    if answers is not None:
+        rows = rows.unionByName(answers.select("block_id", "bucket", "data"), allowMissingColumns=True)
+    empty = _arrow(schema)
 
-def payloads(batch: pa.RecordBatch) -> Iterator[tuple[int, bytes, dict[int, bytes]]]:
-    """(block_id, what its file holds, its answers by bucket) of each row of blocks or of with_answers."""
-    got = batch.column("answers") if "answers" in batch.schema.names else None
-    places = zip(*(batch.column(c).to_pylist() for c in ("block_id", "file", "at", "size")), strict=True)
-    for i, (block, *place) in enumerate(places):
-        mine = got[i].as_py() if got is not None else None
-        yield block, read_blob(*place), {a["bucket"]: a["data"] for a in mine or ()}
+    def one(table: pa.Table) -> pa.Table:
+        place, got = None, {}
+        for bucket, data, *at in zip(*(table[c].to_pylist() for c in ("bucket", "data", "file", "at", "size")), strict=True):
+            if bucket is None:
+                place = at
+            else:
+                got[bucket] = data
+        block = table["block_id"][0].as_py()
+        del table
+        made = list(run(block, read_blob(*place), got)) if place else []
         trim()
+        return pa.Table.from_batches(made) if made else empty.empty_table()
+
+    return rows.repartition(tasks(blocks, n_blocks), "block_id").groupBy("block_id").applyInArrow(one, schema)
+
 
+def _arrow(schema: str | StructType) -> pa.Schema:
+    from pyspark.sql.pandas.types import to_arrow_schema
 
-def answered(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.Table, dict[int, bytes]]]:
-    """(block_id, its rows, its answers by bucket)."""
-    for block, payload, answers in payloads(batch):
-        yield block, thaw(payload), answers
+    return to_arrow_schema(_parse_datatype_string(schema) if isinstance(schema, str) else schema)

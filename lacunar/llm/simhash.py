@@ -25,7 +25,7 @@ component of such rows alone has a null id. Other columns are not read. Empty in
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -33,10 +33,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lacunar.llm import similar
-from lacunar.llm.blocks import PLACE, answered, freeze, placed, tasks, whole_blocks
-from lacunar.llm.files import blobs
+from lacunar.llm.blocks import freeze, tasks, thaw, whole_blocks
+from lacunar.llm.files import blobs, read_blob
 from lacunar.llm.graph import components, local_roots
 from lacunar.llm.scratch import materialize, new_path
 from lacunar.llm.textops import ragged, slices, trim
@@ -48,6 +49,7 @@ BUCKET = 40_000  # fingerprints a bucket
 SAMPLE, HOT = 1 << 16, 64  # fingerprints that tell which anchors are crowded; of them at an anchor, to be one
 LANES, NEAR = 6, 112  # of 64 bits; of all bits: between copies at 0.8 about 60 differ, between other texts 192
 BLOCK_BYTES = 4 << 20
+PLACED = ("file", "at", "length")  # where a block lies
 _SPREAD = np.packbits(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").reshape(256, 8, 1) * np.ones((1, 1, 8), np.uint8) * np.array([1, 0, 0, 0, 0, 0, 0, 0], np.uint8), axis=2, bitorder="little").reshape(256, 8).copy().view(np.uint64).ravel()
 
 
@@ -390,16 +392,12 @@ def representatives(docs: DataFrame, shingle: int = 5, similarity: float = 0.8)
     rows = found.rows().where("doc_id IS NOT NULL")
     first = rows.where("doc_id = component_id").groupBy("doc_id").agg(F.min(F.struct("fp", "block_id", "row")).alias("k"))
     stay = first.select("k.block_id", "k.row").union(found.table.where("doc_id IS NULL").select("block_id", "row"))
-    stay = stay.groupBy("block_id").agg(F.sort_array(F.collect_list("row")).alias("rows"))
     columns = docs.columns
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, (_, rows, _) in enumerate(answered(batch)):
-                kept = rows.take(pa.array(batch.column("rows")[i].as_py(), pa.int64())).select(columns)
-                yield from kept.combine_chunks().to_batches()
+    def run(places: dict, rows: pa.Table) -> pa.Table:
+        return thaw(read_blob(*places.values())).take(rows["row"].combine_chunks()).select(columns)
 
-    return found.beside(stay).mapInArrow(run, docs.schema)
+    return found.beside(stay, run, docs.schema)
 
 
 class Similar:
@@ -418,28 +416,35 @@ class Similar:
             block = TaskContext.get().partitionId() << 32
             with blobs(folder) as out:
                 for batch in whole_blocks(batches, "text", BLOCK_BYTES):
-                    place = placed(block, len(batch), 0, out.add(freeze(batch)))
+                    place = out.add(freeze(batch))
                     h, n = similar.distinct(batch.column("text"), shingle)
                     fp = similar.names(h, n)
                     bits = majorities(h, n, LANES)
-                    one = lambda values: pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
-                    ids = pa.array(batch.column("doc_id").to_pylist(), pa.int64())
-                    columns = {"ids": ids, "fps": pa.array(fp.view(np.int64)), "bits": pa.array([b.tobytes() for b in bits], pa.binary()), "sizes": pa.array(n, pa.int64())}
-                    yield pa.RecordBatch.from_arrays([*place.columns, *[one(v) for v in columns.values()]], names=[*place.schema.names, *columns])
+                    none = [None] * (len(batch) - 1)  # the first row of a block says where it lies
+                    columns = {"block_id": pa.array(np.full(len(batch), block)), "row": pa.array(np.arange(len(batch))), "doc_id": pa.array(batch.column("doc_id").to_pylist(), pa.int64())}
+                    columns |= {"fp": pa.array(fp.view(np.int64)), "bits": pa.array([b.tobytes() for b in bits], pa.binary()), "size": pa.array(n, pa.int64())}
+                    columns |= {k: pa.array([v, *none], t) for k, v, t in zip(PLACED, place, (pa.string(), pa.int64(), pa.int64()), strict=True)}
+                    yield pa.RecordBatch.from_pydict(columns)
                     block += 1
                     trim()
 
-        got = docs.mapInArrow(run, PLACE + ", ids array<long>, fps array<long>, bits array<binary>, sizes array<long>")
+        got = docs.mapInArrow(run, "block_id long, row long, doc_id long, fp long, bits binary, size long, file string, at long, length long")
         got = materialize(got, "simhash-blocks")
-        self.blocks = got.select(*[c.split()[0] for c in PLACE.split(", ")])
-        self.n_blocks = got.count()
-        each_row = got.select("block_id", F.posexplode(F.arrays_zip("ids", "fps", "bits", "sizes")).alias("row", "v"))
-        self.table = each_row.select("block_id", "row", F.col("v.ids").alias("doc_id"), F.col("v.fps").alias("fp"), F.col("v.bits").alias("bits"), F.col("v.sizes").alias("size"))
+        self.blocks = got.where("file IS NOT NULL").select("block_id", *PLACED)
+        self.n_blocks = self.blocks.count()
+        self.table = got.drop(*PLACED)
 
-    def beside(self, per: DataFrame) -> DataFrame:
-        """The blocks that `per` (block_id, ...) has something for, with it."""
+    def beside(self, rows: DataFrame, run: Callable[[dict, pa.Table], pa.Table], schema: str | StructType) -> DataFrame:
+        """What `run` makes of each block's place and the rows (block_id, row, ...) that name some of its rows."""
         n = tasks(self.blocks, self.n_blocks)
-        return self.blocks.repartition(n, "block_id").join(per.repartition(n, "block_id"), "block_id")
+        asked = rows.repartition(n, "block_id").join(self.blocks.repartition(n, "block_id").hint("shuffle_hash"), "block_id")
+
+        def one(table: pa.Table) -> pa.Table:
+            out = run({c: table[c][0].as_py() for c in PLACED}, table.sort_by("row"))
+            trim()
+            return out
+
+        return asked.groupBy("block_id").applyInArrow(one, schema)
 
     def rows(self) -> DataFrame:
         """block_id, row, doc_id, fp, bits, component_id of every row."""

@@ -7,15 +7,14 @@ is cut into a grid of cells; a cell returns a spanning tree.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.blocks import answered
+from lacunar.llm.blocks import thaw
+from lacunar.llm.files import read_blob
 from lacunar.llm.textops import Words, trim
 
 SEED = 42
@@ -58,15 +57,12 @@ def names(h: np.ndarray, n: np.ndarray) -> np.ndarray:
 
 
 def _sets(shingle: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i, (_, rows, _) in enumerate(answered(batch)):
-                asked = pa.Table.from_pylist(batch.column("asked")[i].as_py(), pa.schema([("row", pa.int64()), ("fp", pa.int64()), ("group", pa.int64()), ("parts", pa.int64())]))
-                h, n = distinct(rows["text"].combine_chunks().take(asked["row"].combine_chunks()), shingle)
-                ends = np.cumsum(n)
-                sets = [h[b - k : b].tobytes() for b, k in zip(ends.tolist(), n.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([*[asked[c].combine_chunks() for c in ("fp", "group", "parts")], pa.array(sets, pa.binary())], names=["fp", "group", "parts", "grams"])
-                trim()
+    def run(place: dict, asked: pa.Table) -> pa.Table:
+        rows = thaw(read_blob(*place.values())).take(asked["row"].combine_chunks())
+        h, n = distinct(rows["text"].combine_chunks(), shingle)
+        ends = np.cumsum(n)
+        sets = [h[b - k : b].tobytes() for b, k in zip(ends.tolist(), n.tolist(), strict=True)]
+        return asked.select(["fp", "group", "parts"]).append_column("grams", pa.array(sets, pa.binary()))
 
     return run
 
@@ -115,8 +111,7 @@ def _compare(similarity: float):
 def verified(found, asked: DataFrame) -> DataFrame:
     """Links (u, v) between the nodes of each group of `found` (simhash.Similar); asked has block_id, row, fp and group of one row a node."""
     sizes = asked.groupBy("group").agg(F.ceil(F.count("*") / PART).cast("long").alias("parts"))
-    per = asked.join(sizes, "group").groupBy("block_id").agg(F.collect_list(F.struct(F.col("row").cast("long").alias("row"), "fp", "group", "parts")).alias("asked"))
-    sets = found.beside(per).mapInArrow(_sets(found.shingle), "fp long, group long, parts long, grams binary")
+    sets = found.beside(asked.join(sizes, "group"), _sets(found.shingle), "fp long, group long, parts long, grams binary")
     spot = sets.withColumn("part", F.pmod(F.xxhash64("fp"), "parts")).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
     cells = spot.select("fp", "group", "grams", F.least("part", "other").alias("row"), F.greatest("part", "other").alias("line"))
     buckets = max(1, -(-asked.count() // BUCKET)) * 2

@@ -24,8 +24,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from lacunar.llm.blocks import SENT, answered, each, exchange, grow, pack_blocks, sent, shrink, split, with_answers
+from lacunar.llm.blocks import SENT, Run, exchange, grow, over, pack_blocks, sent, shrink, split, thaw
 from lacunar.llm.scratch import materialize, release
 from lacunar.llm.textops import Words
 
@@ -76,22 +77,20 @@ def _part(row: int, bits: int, shard_bits: int, shard: int) -> int:
 
 
 def _sketch(bits: int, shard_bits: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, rows, _ in answered(batch):
-                key = np.unique(Windows(rows["text"].combine_chunks()).key)
-                parts = {}
-                for row in range(DEPTH):
-                    slot = np.unique(_slot(key, row, bits))
-                    shard = slot >> np.uint64(min(bits, shard_bits))
-                    cut = [*np.flatnonzero(np.diff(shard, prepend=np.uint64(1 << 63))), len(slot)]
-                    for a, b in zip(cut, cut[1:], strict=False):
-                        gap = np.diff(slot[a:b] & np.uint64((1 << shard_bits) - 1), prepend=np.uint64(0))
-                        kind = np.uint16 if gap.max() < 1 << 16 else np.uint32
-                        low = gap.astype(kind).view(np.uint8).reshape(-1, kind().itemsize)
-                        parts[_part(row, bits, shard_bits, int(shard[a]))] = shrink(np.array([b - a], np.int64), low.T.ravel())
-                if parts:
-                    yield sent(block, parts)
+    def run(block: int, payload: bytes, _: dict) -> Iterator[pa.RecordBatch]:
+        key = np.unique(Windows(thaw(payload)["text"].combine_chunks()).key)
+        parts = {}
+        for row in range(DEPTH):
+            slot = np.unique(_slot(key, row, bits))
+            shard = slot >> np.uint64(min(bits, shard_bits))
+            cut = [*np.flatnonzero(np.diff(shard, prepend=np.uint64(1 << 63))), len(slot)]
+            for a, b in zip(cut, cut[1:], strict=False):
+                gap = np.diff(slot[a:b] & np.uint64((1 << shard_bits) - 1), prepend=np.uint64(0))
+                kind = np.uint16 if gap.max() < 1 << 16 else np.uint32
+                low = gap.astype(kind).view(np.uint8).reshape(-1, kind().itemsize)
+                parts[_part(row, bits, shard_bits, int(shard[a]))] = shrink(np.array([b - a], np.int64), low.T.ravel())
+        if parts:
+            yield sent(block, parts)
 
     return run
 
@@ -134,35 +133,34 @@ def _estimated(heads: np.ndarray, bits: int, shard_bits: int, answers: dict[int,
 def _exact(bits: int, shard_bits: int, buckets: int):
     """Send the windows estimated repeated, once a block, with the place where they first begin in it."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, rows, answers in answered(batch):
-                w = Windows(rows["text"].combine_chunks())
-                order = np.argsort(w.key, kind="stable")
-                key, second = w.key[order], w.second()[order]
-                new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
-                if len(key) and ((second[1:] != second[:-1]) & ~new[1:]).any():  # one key of two windows
-                    order = order[np.lexsort((order, second, key))]
-                    key, second = w.key[order], w.second()[order]
-                    new[1:] = (key[1:] != key[:-1]) | (second[1:] != second[:-1])
-                again = np.zeros(len(key), bool)
-                again[order[~new]] = True
-                heads = np.flatnonzero(new)
-                distinct, back = np.unique(key[heads], return_inverse=True)
-                flagged = np.zeros(len(distinct), bool)
-                flagged[_estimated(distinct, bits, shard_bits, answers)] = True
-                heads = heads[flagged[back]]
-                place = order[heads]
-                row = np.searchsorted(w.words.docs, w.at[place], side="right") - 1
-                ids = rows["doc_id"].combine_chunks()
-                null = ~np.asarray(ids.is_valid())
-                doc = ids.fill_null(0).to_numpy(zero_copy_only=False)
-                parts = {}
-                for b, at in split((key[heads] % np.uint64(buckets)).astype(np.int64)):
-                    at = at[np.argsort(place[at])]
-                    parts[b] = shrink(key[heads[at]], second[heads[at]], null[row[at]].view(np.uint8), doc[row[at]], (w.at[place[at]] - w.words.docs[row[at]]).astype(np.int64), place[at].astype(np.int32))
-                yield sent(block, parts)
-                yield sent(block, {OWN - block % buckets: shrink(np.packbits(again))})
+    def run(block: int, payload: bytes, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+        rows = thaw(payload)
+        w = Windows(rows["text"].combine_chunks())
+        order = np.argsort(w.key, kind="stable")
+        key, second = w.key[order], w.second()[order]
+        new = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+        if len(key) and ((second[1:] != second[:-1]) & ~new[1:]).any():  # one key of two windows
+            order = order[np.lexsort((order, second, key))]
+            key, second = w.key[order], w.second()[order]
+            new[1:] = (key[1:] != key[:-1]) | (second[1:] != second[:-1])
+        again = np.zeros(len(key), bool)
+        again[order[~new]] = True
+        heads = np.flatnonzero(new)
+        distinct, back = np.unique(key[heads], return_inverse=True)
+        flagged = np.zeros(len(distinct), bool)
+        flagged[_estimated(distinct, bits, shard_bits, answers)] = True
+        heads = heads[flagged[back]]
+        place = order[heads]
+        row = np.searchsorted(w.words.docs, w.at[place], side="right") - 1
+        ids = rows["doc_id"].combine_chunks()
+        null = ~np.asarray(ids.is_valid())
+        doc = ids.fill_null(0).to_numpy(zero_copy_only=False)
+        parts = {}
+        for b, at in split((key[heads] % np.uint64(buckets)).astype(np.int64)):
+            at = at[np.argsort(place[at])]
+            parts[b] = shrink(key[heads[at]], second[heads[at]], null[row[at]].view(np.uint8), doc[row[at]], (w.at[place[at]] - w.words.docs[row[at]]).astype(np.int64), place[at].astype(np.int32))
+        yield sent(block, parts)
+        yield sent(block, {OWN - block % buckets: shrink(np.packbits(again))})
 
     return run
 
@@ -204,44 +202,41 @@ def _kept(words: Words, gone: np.ndarray, i: int) -> bytes:
     return b" ".join(data[at[k] : at[k + 1]].tobytes() for k in (a + np.flatnonzero(~gone[a:b])).tolist())
 
 
-def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for _, rows, answers in answered(batch):
-            words, gone = _removed(rows, answers)
-            count = np.concatenate([[0], np.cumsum(gone)])[words.docs]
-            text, at = words.data.tobytes(), words.at.tolist()
-            keep, docs = (~gone).tolist(), words.docs.tolist()
-            sha = [hashlib.sha256(b" ".join([text[at[k] : at[k + 1]] for k in range(a, b) if keep[k]])).hexdigest() for a, b in zip(docs, docs[1:], strict=False)]
-            yield pa.RecordBatch.from_pydict({"doc_id": rows["doc_id"].combine_chunks(), "n_words": pa.array(np.diff(words.docs)), "n_removed": pa.array(np.diff(count)), "kept_sha256": pa.array(sha, pa.string())})
+def _digest(block: int, payload: bytes, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+    rows = thaw(payload)
+    words, gone = _removed(rows, answers)
+    count = np.concatenate([[0], np.cumsum(gone)])[words.docs]
+    text, at = words.data.tobytes(), words.at.tolist()
+    keep, docs = (~gone).tolist(), words.docs.tolist()
+    sha = [hashlib.sha256(b" ".join([text[at[k] : at[k + 1]] for k in range(a, b) if keep[k]])).hexdigest() for a, b in zip(docs, docs[1:], strict=False)]
+    yield pa.RecordBatch.from_pydict({"doc_id": rows["doc_id"].combine_chunks(), "n_words": pa.array(np.diff(words.docs)), "n_removed": pa.array(np.diff(count)), "kept_sha256": pa.array(sha, pa.string())})
 
 
 def _texts(columns: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, rows, answers in answered(batch):
-                words, gone = _removed(rows, answers)
-                lost = np.diff(np.concatenate([[0], np.cumsum(gone)])[words.docs])
-                text = rows["text"].to_pylist()
-                for i in np.flatnonzero(lost).tolist():
-                    text[i] = _kept(words, gone, i).decode("utf-8", "replace")
-                new = rows.set_column(rows.schema.get_field_index("text"), "text", pa.array(text, pa.string()))
-                yield from new.select(columns).combine_chunks().to_batches()
+    def run(block: int, payload: bytes, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+        rows = thaw(payload)
+        words, gone = _removed(rows, answers)
+        lost = np.diff(np.concatenate([[0], np.cumsum(gone)])[words.docs])
+        text = rows["text"].to_pylist()
+        for i in np.flatnonzero(lost).tolist():
+            text[i] = _kept(words, gone, i).decode("utf-8", "replace")
+        new = rows.set_column(rows.schema.get_field_index("text"), "text", pa.array(text, pa.string()))
+        yield from new.select(columns).combine_chunks().to_batches()
 
     return run
 
 
-def _repeats(docs: DataFrame, name: str) -> DataFrame:
-    """The blocks of docs (doc_id, text, ...) with their answers about repeated windows."""
+def _repeats(docs: DataFrame, name: str, run: Run, schema: str | StructType) -> DataFrame:
+    """What `run` makes of the blocks of docs (doc_id, text, ...) and their answers about repeated windows."""
     blocks = pack_blocks(docs, "text", "doc_id", name)
     total = blocks.agg(F.sum("n_bytes").alias("bytes"), F.count("*").alias("n")).first()
     n = total["n"]
     windows = max(1, (total["bytes"] or 0) // 5)
     bits = max(16, (WIDTH_PER_WINDOW * windows - 1).bit_length())
-    flags = materialize(exchange(each(blocks, n).mapInArrow(_sketch(bits, SHARD_BITS), SENT), _merge(SHARD_BITS)), f"{name}-flags")
-    sends = with_answers(blocks, flags, n).mapInArrow(_exact(bits, SHARD_BITS, max(1, -(-n // 2))), SENT)
-    found = materialize(exchange(sends, _first), f"{name}-found")
+    flags = materialize(exchange(over(blocks, n, _sketch(bits, SHARD_BITS), SENT), _merge(SHARD_BITS)), f"{name}-flags")
+    found = materialize(exchange(over(blocks, n, _exact(bits, SHARD_BITS, max(1, -(-n // 2))), SENT, flags), _first), f"{name}-found")
     release(flags)
-    return with_answers(blocks, found, n)
+    return over(blocks, n, run, schema, found)
 
 
 def _plain(docs: DataFrame) -> DataFrame:
@@ -250,10 +245,10 @@ def _plain(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every document."""
-    return _repeats(_plain(docs).select("doc_id", "text"), "substrings").mapInArrow(_digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
+    return _repeats(_plain(docs).select("doc_id", "text"), "substrings", _digest, "doc_id long, n_words long, n_removed long, kept_sha256 string")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """docs, their texts without the words that windows from earlier cover; all other columns as they are."""
     plain = _plain(docs)
-    return _repeats(plain, "substrings-texts").mapInArrow(_texts(docs.columns), plain.schema)
+    return _repeats(plain, "substrings-texts", _texts(docs.columns), plain.schema)

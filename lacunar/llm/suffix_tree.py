@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.blocks import SENT, each, exchange, freeze, grow, pack_blocks, payloads, sent, shrink, split, thaw, with_answers
+from lacunar.llm.blocks import SENT, exchange, freeze, grow, over, pack_blocks, sent, shrink, split, thaw
 from lacunar.llm.files import blobs, read_blob
 from lacunar.llm.scratch import materialize, new_path, release
 from lacunar.llm.textops import Words
@@ -136,12 +136,10 @@ def _numbered(total: np.ndarray, least: float, bucket: int, buckets: int) -> np.
 
 
 def _words(buckets: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for block, payload, _ in payloads(batch):
-                t = Tokens(payload)
-                count = np.bincount(t.index, weights=t.train, minlength=len(t.hash)).astype(np.int64)
-                yield sent(block, {b: shrink(_planes(t.hash[at]), *_count(count[at])) for b, at in split(_bucket(t.hash, buckets))})
+    def run(block: int, payload: bytes, _: dict) -> Iterator[pa.RecordBatch]:
+        t = Tokens(payload)
+        count = np.bincount(t.index, weights=t.train, minlength=len(t.hash)).astype(np.int64)
+        yield sent(block, {b: shrink(_planes(t.hash[at]), *_count(count[at])) for b, at in split(_bucket(t.hash, buckets))})
 
     return run
 
@@ -361,53 +359,47 @@ def _send(block: int, buckets: int, parts: dict[int, bytes]) -> pa.RecordBatch:
 
 
 def _ask(plan: Plan):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(block: int, payload: bytes, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
         with blobs(plan.folder) as out:
-            for batch in batches:
-                for block, payload, answers in payloads(batch):
-                    yield _send(block, plan.buckets, Known(Tokens(payload), plan, answers).ask(out))
+            yield _send(block, plan.buckets, Known(Tokens(payload), plan, answers).ask(out))
 
     return run
 
 
 def _ask_closed(plan: Plan):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(block: int, payload: bytes, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
         with blobs(plan.folder) as out:
-            for batch in batches:
-                for block, payload, answers in payloads(batch):
-                    known = Known(Tokens(payload), plan, answers)
-                    known.keep(out)
-                    name, mark, _, _ = known.open()
-                    parts = {b: shrink(_planes(name[at]), mark[at]) for b, at in split(_bucket(name, plan.buckets))}
-                    yield _send(block, plan.buckets, parts | {OWN: json.dumps([known.kept, None]).encode()})
+            known = Known(Tokens(payload), plan, answers)
+            known.keep(out)
+            name, mark, _, _ = known.open()
+            parts = {b: shrink(_planes(name[at]), mark[at]) for b, at in split(_bucket(name, plan.buckets))}
+            yield _send(block, plan.buckets, parts | {OWN: json.dumps([known.kept, None]).encode()})
 
     return run
 
 
 def _score(plan: Plan):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, payload, answers in payloads(batch):
-                t = Tokens(payload)
-                known = Known(t, plan, answers)
-                name, _, places, numbers = known.open()
-                closed = np.zeros(len(name), bool)
-                for b, at in split(_bucket(name, plan.buckets)):
-                    closed[at] = grow(answers[b])[0] > 0
-                base = (known.total[0] + 1) / (plan.n + plan.v + 1)
-                p = base.copy()
-                for d in range(1, len(known.total)):
-                    use = known.ok[d].copy()
-                    if d <= len(places):
-                        use[places[d - 1]] = closed[numbers[d - 1]]
-                    at = np.flatnonzero(use)
-                    followers = known.followers[d][at]
-                    p[at] = (known.total[d][at] + followers * p[at]) / (known.mass(d)[at] + followers)
-                add = lambda x: np.add.reduceat(x, t.docs[:-1])  # noqa: E731  each row has its end mark
-                yield pa.RecordBatch.from_pydict({
-                    "doc_id": t.ids, "held_out": t.held, "n_tokens": pa.array(np.diff(t.docs)), "n_known": pa.array(add((known.total[0] > 0).astype(np.int64))),
-                    "train_tokens": pa.array(np.full(len(t.ids), plan.n)), "base_score": pa.array(add(np.log10(base))), "score": pa.array(add(np.log10(p))),
-                })
+    def run(block: int, payload: bytes, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
+        t = Tokens(payload)
+        known = Known(t, plan, answers)
+        name, _, places, numbers = known.open()
+        closed = np.zeros(len(name), bool)
+        for b, at in split(_bucket(name, plan.buckets)):
+            closed[at] = grow(answers[b])[0] > 0
+        base = (known.total[0] + 1) / (plan.n + plan.v + 1)
+        p = base.copy()
+        for d in range(1, len(known.total)):
+            use = known.ok[d].copy()
+            if d <= len(places):
+                use[places[d - 1]] = closed[numbers[d - 1]]
+            at = np.flatnonzero(use)
+            followers = known.followers[d][at]
+            p[at] = (known.total[d][at] + followers * p[at]) / (known.mass(d)[at] + followers)
+        add = lambda x: np.add.reduceat(x, t.docs[:-1])  # noqa: E731  each row has its end mark
+        yield pa.RecordBatch.from_pydict({
+            "doc_id": t.ids, "held_out": t.held, "n_tokens": pa.array(np.diff(t.docs)), "n_known": pa.array(add((known.total[0] > 0).astype(np.int64))),
+            "train_tokens": pa.array(np.full(len(t.ids), plan.n)), "base_score": pa.array(add(np.log10(base))), "score": pa.array(add(np.log10(p))),
+        })
 
     return run
 
@@ -445,12 +437,12 @@ def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int
     blocks = pack_blocks(docs, "text", "doc_id", "tree-tokens", _code)
     n_blocks = blocks.count()
     buckets = max(1, -(-n_blocks // 2))
-    answers = materialize(exchange(each(blocks, n_blocks).mapInArrow(_words(buckets), SENT), _total(buckets)), "tree-words")
+    answers = materialize(exchange(over(blocks, n_blocks, _words(buckets), SENT), _total(buckets)), "tree-words")
     _, v, n, _ = (float(x.sum()) for x in _reported(answers))
     plan = Plan(new_path(spark, "tree-files"), buckets, int(n), int(v), P_MIN * n if min_count is None else min_count)
 
     def gather(run, answer, name: str) -> DataFrame:
-        found = materialize(exchange(with_answers(blocks, answers.where(F.col("block_id") != TALLY), n_blocks).mapInArrow(run, SENT), answer), name)
+        found = materialize(exchange(over(blocks, n_blocks, run, SENT, answers.where(F.col("block_id") != TALLY)), answer), name)
         release(answers)
         return found
 
@@ -459,4 +451,4 @@ def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int
         plan.hot.append(_hot(answers))
     answers = gather(_ask_closed(plan), _closed, "tree-closed")
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    return with_answers(blocks, answers, n_blocks).mapInArrow(_score(plan), out)
+    return over(blocks, n_blocks, _score(plan), out, answers)

@@ -28,16 +28,20 @@ TRAIN_ROWS = 12_000
 ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 12.0, 0.1, 4
 TOXIC_WEIGHT = 4.0  # of an example with label 1, as they are few
 THRESHOLD = 0.7
+STEM = 6  # bytes; a longer word has its first bytes as one more feature, for its other forms
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
 def features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(row, 32-bit feature) of every word, pair and skip pair, repeats included."""
+    """(row, 32-bit feature) of every word, stem, pair and skip pair, repeats included."""
     words = Words(col, IS_ALNUM, lower=True)
     index, distinct = words.coded()
-    h = np.array([xxhash.xxh64_intdigest(w, 1) for w in distinct.to_pylist()], dtype=np.uint64)[index] if len(index) else np.zeros(0, np.uint64)
+    distinct = distinct.to_pylist()
+    hashed = lambda texts, seed: np.array([xxhash.xxh64_intdigest(w, seed) for w in texts], dtype=np.uint64)[index] if len(index) else np.zeros(0, np.uint64)
+    h = hashed(distinct, 1)
     row = np.repeat(np.arange(len(col), dtype=np.int64), np.diff(words.docs))
-    rows, found = [row], [h]
+    long = np.diff(words.at) > STEM
+    rows, found = [row, row[long]], [h, hashed([w[:STEM] for w in distinct], 2)[long]]
     for gap, a, b in ((1, _ODD[0], _ODD[1]), (2, _ODD[2], _ODD[3])):
         same = row[:-gap] == row[gap:]
         rows.append(row[:-gap][same])
