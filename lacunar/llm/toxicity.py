@@ -1,8 +1,8 @@
 """Toxicity by FTRL-proximal logistic regression over hashed word n-grams and skip-grams.
 
-A text's features are the distinct hashes of its words, of its word pairs and of its pairs with one word between
-(letters and digits, A-Z lowered); each counts once, so a long text is not paid for its length. Rates are kept per
-coordinate and L1 leaves few weights other than zero: a few KB that go to every task, at most MAX_WEIGHTS of them by
+A text's features are the distinct hashes of its words and their stems (the first STEMS bytes of a longer word, so that
+other forms of a word are known, too), of its word pairs and of its pairs with one word between (letters and digits, A-Z
+lowered); each counts once, so a long text is not paid for its length. Rates are kept per coordinate and L1 leaves few weights other than zero: a few KB that go to every task, at most MAX_WEIGHTS of them by
 the size of the training sample. Labels are learned from about `train_rows` labelled documents, chosen by a hash of
 their id; every text is scored, whole.
 
@@ -25,10 +25,10 @@ from pyspark.sql import functions as F
 from lacunar.llm.textops import IS_ALNUM, Words, slices, trim
 
 TRAIN_ROWS = 12_000
-ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 12.0, 0.1, 4
+ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 20.0, 0.1, 4
 TOXIC_WEIGHT = 4.0  # of an example with label 1, as they are few
 THRESHOLD = 0.7
-STEM = 6  # bytes; a longer word has its first bytes as one more feature, for its other forms
+STEMS = (4, 5, 6, 7)  # bytes; a longer word has its first ones as features, too, for its other forms
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
@@ -40,8 +40,11 @@ def features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     hashed = lambda texts, seed: np.array([xxhash.xxh64_intdigest(w, seed) for w in texts], dtype=np.uint64)[index] if len(index) else np.zeros(0, np.uint64)
     h = hashed(distinct, 1)
     row = np.repeat(np.arange(len(col), dtype=np.int64), np.diff(words.docs))
-    long = np.diff(words.at) > STEM
-    rows, found = [row, row[long]], [h, hashed([w[:STEM] for w in distinct], 2)[long]]
+    rows, found = [row], [h]
+    for stem in STEMS:
+        long = np.diff(words.at) > stem
+        rows.append(row[long])
+        found.append(hashed([w[:stem] for w in distinct], stem + 1)[long])
     for gap, a, b in ((1, _ODD[0], _ODD[1]), (2, _ODD[2], _ODD[3])):
         same = row[:-gap] == row[gap:]
         rows.append(row[:-gap][same])
@@ -52,14 +55,18 @@ def features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def train(examples: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
-    """(features with a weight, ascending; weights; bias). A feature of one text alone never passes L1, so it is left out."""
+    """(features with a weight, ascending; weights; bias).
+
+    While a weight is 0 its z is the sum of its gradients. Those of one text sum up to less than EPOCHS * TOXIC_WEIGHT, so
+    below L1 a feature of one text alone never gets a weight, and is left out.
+    """
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     start = math.log(share / (1 - share))
     none = np.zeros(0, np.uint32), np.zeros(0), start
     if not len(labels) or labels.min() == labels.max():
         return none
     names, counts = np.unique(np.concatenate(examples), return_counts=True)
-    names = names[counts > 1]
+    names = names[counts > 1] if EPOCHS * max(1.0, TOXIC_WEIGHT) < L1 else names
     if not len(names):
         return none
     ids = []

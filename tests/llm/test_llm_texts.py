@@ -573,6 +573,38 @@ def test_toxicity(spark):
     assert clean.columns == docs.columns and {r["doc_id"] for r in clean.collect()} == {i for i, r in got.items() if not r["predicted"]}
 
 
+@pytest.mark.parametrize("l1", [20.0, 2.0])
+def test_ftrl_by_the_plain_formulas(monkeypatch, l1):
+    """Weights of the trainer against FTRL-proximal written feature by feature; with a small L1 those of single texts, too."""
+    monkeypatch.setattr(toxicity, "L1", l1)
+    rng = random.Random(11)
+    labels = [int(rng.random() < 0.3) for _ in range(120)]
+    texts = [sorted({rng.randrange(40) for _ in range(12)} | ({1000, 1001 + k} if y else {2000 + k % 3})) for k, y in enumerate(labels)]
+    z, n, z0, n0 = collections.Counter(), collections.Counter(), 0.0, 0.0
+    share = (sum(labels) + 0.5) / (len(labels) + 1)
+    bias = start = math.log(share / (1 - share))
+
+    def weight(i):
+        if abs(z[i]) <= l1:
+            return 0.0
+        return -(z[i] - math.copysign(l1, z[i])) / ((toxicity.BETA + math.sqrt(n[i])) / toxicity.ALPHA + toxicity.L2)
+
+    for epoch in range(toxicity.EPOCHS):
+        for k in np.random.default_rng(epoch).permutation(len(texts)):
+            w = {i: weight(i) for i in texts[k]}
+            p = 1 / (1 + math.exp(-(sum(w.values()) + bias)))
+            g = (p - labels[k]) * (toxicity.TOXIC_WEIGHT if labels[k] else 1.0)
+            for i in texts[k]:
+                z[i] += g - (math.sqrt(n[i] + g * g) - math.sqrt(n[i])) / toxicity.ALPHA * w[i]
+                n[i] += g * g
+            z0 += g - (math.sqrt(n0 + g * g) - math.sqrt(n0)) / toxicity.ALPHA * (bias - start)
+            n0 += g * g
+            bias = start - z0 / ((toxicity.BETA + math.sqrt(n0)) / toxicity.ALPHA)
+    names, weights, got = toxicity.train([np.array(t, np.uint32) for t in texts], np.array(labels))
+    assert dict(zip(names.tolist(), weights.tolist())) == pytest.approx({i: weight(i) for i in z if weight(i)}) and got == pytest.approx(bias)
+    assert 1000 in names and (l1 > 16 or any(i > 1000 for i in names.tolist()))
+
+
 def test_toxicity_without_labels(spark, rows):
     docs = frame(spark, rows)
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
