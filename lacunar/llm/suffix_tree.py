@@ -47,6 +47,7 @@ END = np.uint64(0xE3D0_0000_0000_0001)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 FOLDS, HELD = 7, 2
 TALLY = -2  # block id of what buckets report to all
+LOG_STEPS = 1 << 16  # logarithms are summed in whole steps of so many a nat
 LEVELS = 16  # a context's number holds its level
 OWN = -1  # bucket of what a block tells itself: where its files lie
 
@@ -126,15 +127,19 @@ def _back(out: np.ndarray, sizes: list[int]):
     return [out[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
 
-def _numbered(total: np.ndarray, least: float, bucket: int, buckets: int) -> np.ndarray:
-    """Numbers, unique over all buckets, of what occurs `least` times, the most frequent first; else 0."""
+def _ranked(total: np.ndarray, least: float) -> np.ndarray:
+    """Ranks from 1 of what occurs `least` times in this bucket, the most frequent first; else 0. With the bucket they
+    make a number: see `_number`."""
     out = np.zeros(len(total), np.int64)
     at = np.flatnonzero(total >= least)
-    at = at[np.argsort(-total[at], kind="stable")]
-    out[at] = np.arange(len(at)) * buckets + bucket + 1
+    out[at[np.argsort(-total[at], kind="stable")]] = np.arange(1, len(at) + 1)
     return out
 
 
+def _number(rank: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
+    return np.where(rank > 0, (rank - 1) * buckets + bucket + 1, 0)
+
+
 def _words(buckets: int):
     def run(block: int, payload: bytes, _: dict) -> Iterator[pa.RecordBatch]:
         t = Tokens(payload)
@@ -144,36 +149,43 @@ def _words(buckets: int):
     return run
 
 
-def _total(buckets: int):
+def _total():
     def run(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
-        """Totals and numbers of each block's words; to all: how many words occur in training, and how often."""
+        """Totals and ranks of each block's words; to all: how many words occur in training, and how often."""
         got = [grow(d) for d in data]
         keys = [_joined(g[0]) for g in got]
         distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
         total = np.bincount(back, weights=np.concatenate([_counted(*g[1:]) for g in got]), minlength=len(distinct)).astype(np.int64)
-        number, sizes = _numbered(total, 1, bucket, buckets), [len(k) for k in keys]
+        number, sizes = _ranked(total, 1), [len(k) for k in keys]
         out = [(block, bucket, shrink(*_count(x), *_count(i))) for block, x, i in zip(blocks, _back(total[back], sizes), _back(number[back], sizes), strict=True)]
         return [*out, (TALLY, bucket, shrink(np.array([0], np.uint64), np.array([np.count_nonzero(total)], float), np.array([total.sum()], float), np.zeros(1)))]
 
     return run
 
 
-def _followed(buckets: int, least: float):
+def _contexts(near: list[np.ndarray], hot: list[np.ndarray], bucket: int, buckets: int) -> np.ndarray:
+    """The contexts of a message: those of this bucket, as differences of what their numbers hold but for the bucket, then
+    the hot ones, which any bucket may have."""
+    place = np.cumsum(_counted(*near))
+    return np.concatenate([(place // LEVELS * buckets + bucket) * LEVELS + place % LEVELS, _counted(*hot)])
+
+
+def _followed(buckets: int, least: float, last: bool):
     def run(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
-        """Totals of each block's (context, word) and their numbers as contexts, and of its contexts T and whether they
+        """Totals of each block's (context, word) and their ranks as contexts, and of its contexts T and whether they
         diverge; to all: T, mass and the sum of c log(c) without the logarithms of the suffix's shares, of hot contexts."""
         if bucket <= OWN:
             return [(block, OWN, d) for block, d in zip(blocks, data, strict=True)]
         got = [grow(d) for d in data]
-        names = [_counted(*g[5:7]) for g in got]
+        names = [_contexts(g[5:7], g[9:11], bucket, buckets) for g in got]
         name, name_first, name_back = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
         context = np.repeat(name_back, np.concatenate([g[4] for g in got]))
         keys = (context << 40) | np.concatenate([_counted(*g[0:2]) for g in got])
         distinct, back = np.unique(keys, return_inverse=True)
         context = distinct >> 40
         total = np.bincount(back, weights=np.concatenate([_counted(*g[2:4]) for g in got]), minlength=len(distinct))
-        logs = np.bincount(name_back, weights=np.concatenate([g[7] for g in got]), minlength=len(name))
-        hot = np.concatenate([g[8] for g in got])[name_first] > 0
+        logs = np.bincount(name_back, weights=np.concatenate([_counted(*g[7:9]) for g in got]), minlength=len(name)) / -LOG_STEPS
+        hot = np.concatenate([np.arange(len(x)) >= len(x) - len(_counted(*g[9:11])) for x, g in zip(names, got, strict=True)])[name_first]
         seen = total > 0
         add = lambda x: np.bincount(context[seen], weights=x, minlength=len(name))
         followers, mass, own = add(None), add(total[seen]), add(total[seen] * np.log(total[seen]))
@@ -182,7 +194,8 @@ def _followed(buckets: int, least: float):
         followers, ok = np.where(hot, 0, followers).astype(np.int64), (gain >= MIN_DIVERGENCE) & ~hot
         if hot.any():
             tally = shrink(name[hot].astype(np.uint64), add(None)[hot].astype(float), mass[hot], (own - logs)[hot])
-        number, sizes, runs = _numbered(total, least, bucket, buckets), [len(g[1]) // int(g[0][0]) for g in got], [len(x) for x in names]
+        number = np.zeros(len(total), np.int64) if last else _ranked(total, least)
+        sizes, runs = [len(g[1]) // int(g[0][0]) for g in got], [len(x) for x in names]
         parts = (_back(total[back].astype(np.int64), sizes), _back(number[back], sizes), _back(followers[name_back], runs), _back(ok[name_back], runs))
         out = [(block, bucket, shrink(*_count(x), *_count(i), *_count(f), o.view(np.uint8))) for block, x, i, f, o in zip(blocks, *parts, strict=True)]
         return [*out, (TALLY, bucket, tally)] if hot.any() else out
@@ -211,25 +224,30 @@ class Plan:
 
 
 class Level:
-    """Order of what a block asks at level d: its (context, word) keys by bucket and context. It follows from the levels
-    below alone, so the pass that gets the answers finds it again."""
+    """Order of what a block asks at level d: its (context, word) keys by bucket, hot contexts last, and context number. It
+    follows from the levels below and the numbers of the contexts, so the pass that gets the answers finds it again."""
 
-    def __init__(self, known: Known, d: int):
+    def __init__(self, known: Known, d: int, numbers: np.ndarray | None = None):
         t, plan = known.t, known.plan
         self.mass, self.at, self.same = known.asks(d)
         *_, name = t.names(d)
         name = name[self.at]
         keys, first, back = np.unique(_mix(name ^ (t.word[self.at] * _A)), return_index=True, return_inverse=True)
-        of = name[first]
+        _, context_first, of = np.unique(name[first], return_index=True, return_inverse=True)
+        if numbers is None:  # of the contexts, in the order of their names
+            before = known.contexts(d)
+            numbers = before[self.at[first[context_first]]]
+        self.numbers, number = numbers, numbers[of]
         hot = self.mass[self.at][first] >= plan.hot_mass
-        bucket = _bucket(np.where(hot, keys, of), plan.buckets)
-        order = np.lexsort((known.word_numbers[t.index[self.at][first]], of, bucket))
+        bucket = np.where(hot, _bucket(keys, plan.buckets), number // LEVELS % plan.buckets)
+        order = np.lexsort((known.word_numbers[t.index[self.at][first]], number, hot, bucket))
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.back, self.first = place[back], self.at[first][order]  # key of each asked token; a token of each key
-        of, self.bucket, self.hot = of[order], bucket[order], hot[order]
-        self.starts = np.flatnonzero((of != np.roll(of, 1)) | (self.bucket != np.roll(self.bucket, 1)) | (np.arange(len(of)) == 0))  # runs of a context in a bucket
-        self.runs = np.diff(np.append(self.starts, len(of)))
+        number, self.bucket, self.hot = number[order], bucket[order], hot[order]
+        self.starts = np.flatnonzero((number != np.roll(number, 1)) | (self.bucket != np.roll(self.bucket, 1)) | (np.arange(len(number)) == 0))  # runs of a context in a bucket
+        self.runs = np.diff(np.append(self.starts, len(number)))
+        self.run_number, self.run_hot = number[self.starts], self.hot[self.starts]
 
 
 class Known:
@@ -255,7 +273,8 @@ class Known:
         else:  # the first level: answers are totals and numbers of words
             self.words, self.word_numbers = np.zeros(len(t.hash), np.int64), np.zeros(len(t.hash), np.int64)
             for b, at in split(_bucket(t.hash, plan.buckets)):
-                self.words[at], self.word_numbers[at] = (_counted(*x) for x in _pairs(grow(answers[b])))
+                self.words[at], rank = (_counted(*x) for x in _pairs(grow(answers[b])))
+                self.word_numbers[at] = _number(rank, b, plan.buckets)
             self.total, self.followers, self.ok = [self.words[t.index]], [none], [none > 0]
             self.number = self.word_numbers[t.index] * LEVELS
 
@@ -277,17 +296,27 @@ class Known:
         can = mass >= self.plan.least
         return mass, np.flatnonzero(can & (mass < suffix)), np.flatnonzero(can & (mass == suffix))
 
-    def _take(self, answers: dict[int, bytes], carried: np.ndarray, hot_numbers: np.ndarray) -> None:
+    def contexts(self, d: int) -> np.ndarray:
+        """The number of the context of d words before each token."""
+        out = np.zeros(len(self.t.index), np.int64)
+        out[1:] = self.number[:-1]
+        if d == 1:
+            out[self.t.k == 0] = self.word_numbers[-1] * LEVELS
+        return out
+
+    def _take(self, answers: dict[int, bytes], carried: np.ndarray, numbers: np.ndarray) -> None:
         d = len(self.total)
-        level = Level(self, d)
-        got = [grow(answers[b]) for b in sorted(answers) if b != OWN]
+        level = Level(self, d, numbers)
+        own = [b for b in sorted(answers) if b != OWN]
+        got = [grow(answers[b]) for b in own]
         cat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
-        total, number, followers = (cat([_counted(*g[i : i + 2]) for g in got], np.int64) for i in (0, 2, 4))
+        total, followers = (cat([_counted(*g[i : i + 2]) for g in got], np.int64) for i in (0, 4))
+        number = cat([_number(_counted(*g[2:4]), b, self.plan.buckets) for b, g in zip(own, got, strict=True)], np.int64)
         ok = cat([g[6] for g in got], np.uint8) > 0
         names, sums = self.plan.hot[d - 1]
-        hot = np.flatnonzero(level.hot[level.starts])
+        hot = np.flatnonzero(level.run_hot)
         if len(hot):
-            mine = sums[np.searchsorted(names, hot_numbers)]
+            mine = sums[np.searchsorted(names, level.run_number[hot])]
             followers[hot], ok[hot] = np.abs(mine), mine > 0
         n, at, same = len(self.t.index), level.at, level.same
         new = [np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros(n, bool)]
@@ -313,26 +342,25 @@ class Known:
         t, d = self.t, len(self.total)
         level = Level(self, d)
         at = level.at
-        context = np.zeros(len(t.index), np.int64)  # its number, of each token
-        context[1:] = self.number[:-1]
-        if d == 1:
-            context[t.k == 0] = self.word_numbers[-1] * LEVELS
         train = t.train[at]
         count = np.bincount(level.back, weights=train, minlength=len(level.bucket)).astype(np.int64)
         with np.errstate(divide="ignore"):
             logs = np.log(self.total[d - 1][at] / np.maximum(1, self.mass(d - 1)[at]))
         run = np.repeat(np.arange(len(level.starts)), level.runs)
-        logs = np.bincount(run[level.back], weights=np.where(train, logs, 0.0), minlength=len(level.starts)).astype(np.float32)
-        run_number, run_bucket = context[level.first[level.starts]], level.bucket[level.starts]
-        run_hot = level.hot[level.starts]
+        logs = np.bincount(run[level.back], weights=np.where(train, logs, 0.0), minlength=len(level.starts))
+        logs = np.round(-LOG_STEPS * logs).astype(np.int64)
+        run_number, run_hot, run_bucket = level.run_number, level.run_hot, level.bucket[level.starts]
         word = self.word_numbers[t.index[level.first]]
         self.keep(out)
-        asked = out.add(shrink(*_count(self.number[level.same]), *_count(run_number[run_hot])))
+        asked = out.add(shrink(*_count(self.number[level.same]), *_count(level.numbers)))
         parts = {}
         cut = np.flatnonzero(np.diff(run_bucket, prepend=-1))
         for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(level.starts)][: len(cut)], strict=True):
             a, b = level.starts[i], level.starts[j] if j < len(level.starts) else len(word)
-            parts[int(run_bucket[i])] = shrink(*_count(word[a:b]), *_count(count[a:b]), level.runs[i:j].astype(np.uint32), *_count(run_number[i:j]), logs[i:j], run_hot[i:j].view(np.uint8))
+            k = j - int(np.count_nonzero(run_hot[i:j]))
+            place = run_number[i:k] // LEVELS // self.plan.buckets * LEVELS + run_number[i:k] % LEVELS
+            near = np.diff(place, prepend=0)
+            parts[int(run_bucket[i])] = shrink(*_count(word[a:b]), *_count(count[a:b]), level.runs[i:j].astype(np.uint32), *_count(near), *_count(logs[i:j]), *_count(run_number[k:j]))
         return parts | {OWN: json.dumps([self.kept, asked]).encode()}
 
     def open(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
@@ -437,7 +465,7 @@ def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int
     blocks = pack_blocks(docs, "text", "doc_id", "tree-tokens", _code)
     n_blocks = blocks.count()
     buckets = max(1, -(-n_blocks // 2))
-    answers = materialize(exchange(over(blocks, n_blocks, _words(buckets), SENT), _total(buckets)), "tree-words")
+    answers = materialize(exchange(over(blocks, n_blocks, _words(buckets), SENT), _total()), "tree-words")
     _, v, n, _ = (float(x.sum()) for x in _reported(answers))
     plan = Plan(new_path(spark, "tree-files"), buckets, int(n), int(v), P_MIN * n if min_count is None else min_count)
 
@@ -447,7 +475,7 @@ def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int
         return found
 
     for d in range(1, depth + 1):
-        answers = gather(_ask(plan), _followed(buckets, plan.least), f"tree-level-{d}")
+        answers = gather(_ask(plan), _followed(buckets, plan.least, d == depth), f"tree-level-{d}")
         plan.hot.append(_hot(answers))
     answers = gather(_ask_closed(plan), _closed, "tree-closed")
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
