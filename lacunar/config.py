@@ -32,6 +32,7 @@ DEFAULT_LIMITS = {
 }
 
 
+# The default searches and thresholds of the three steps.
 @dataclass(frozen=True)
 class Despeckle:
     search: int = 3142
@@ -103,6 +104,8 @@ class Config:
         for part in (self.a1, self.a2):
             if part.ratio and part.max_ratio < 1:
                 raise ValueError("max_ratio must be 1 or more when values are filled by ratios")
+        if self.a2.search != 8:
+            raise ValueError("A2 smears over the 8 cells around a cell: search must be 8")
         if self.a2.average.lower() not in ("mean", "median"):
             raise ValueError("average must be mean or median")
         if not 0 < self.a1.min_used <= self.a1.max_used or not 0 < self.despeckle.min_used <= self.despeckle.max_used:

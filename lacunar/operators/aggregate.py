@@ -38,11 +38,9 @@ def fill_proportion(df: DataFrame, by: Sequence[str] = ("year", "month")) -> Dat
 def month_and_year(df: DataFrame) -> DataFrame:
     """Months and years (month 0) from one pass over the composites."""
     df = with_month(df)
-    df.createOrReplaceTempView("_lacunar_composites")
-    return df.sparkSession.sql(
-        f"""SELECT year, coalesce(month, 0) AS month, y, x, avg(value) AS value, 100 * avg(CASE WHEN (flags & {fl.ANY_FILL}) <> 0 THEN 1.0D ELSE 0.0D END) AS filled_percent
-        FROM _lacunar_composites GROUP BY GROUPING SETS ((year, month, y, x), (year, y, x))"""
-    )
+    sets = [[df["year"], df["month"], df["y"], df["x"]], [df["year"], df["y"], df["x"]]]
+    both = df.groupingSets(sets, "year", "month", "y", "x").agg(F.avg("value").alias("value"), filled_percent())
+    return both.withColumn("month", F.coalesce("month", F.lit(0)))
 
 
 def difference(day: DataFrame, night: DataFrame, by: Sequence[str] = ("year", "doy")) -> DataFrame:

@@ -1,8 +1,8 @@
 """A2: fill what A1 left by smearing anomalies over the image in eight scan directions.
 
 During a pass information moves through gap cells only, so every 8-connected component of gaps, with the cells around
-it, is filled by itself. Components are labelled tile by tile and joined over tile borders; then many small ones
-are placed side by side in one task's array. A component is never cut: the scan is sequential within it.
+it, is filled by itself. Components are labelled tile by tile and joined over tile borders; then a task takes many small
+ones at once. A component is never cut, as the scan is sequential within it; its memory follows its cells.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from lacunar.config import A2, Limits
 from lacunar.functions import flags as fl
 from lacunar.operators import kernels
-from lacunar.operators.graph import components
+from lacunar.operators.graph import components, local_roots
 from lacunar.sources.scratch import materialize
 
 TILE = 512
@@ -30,43 +30,18 @@ def _label(y: np.ndarray, x: np.ndarray) -> np.ndarray:
     number = y.astype(np.int64) * WIDTH + x
     order = np.argsort(number)
     sorted_ = number[order]
-    root = np.arange(len(number))
-
-    def find(i: int) -> int:
-        while root[i] != i:
-            root[i] = root[root[i]]
-            i = root[i]
-        return i
-
+    a, b = [], []
     for step in (1, WIDTH - 1, WIDTH, WIDTH + 1):
         at = np.minimum(np.searchsorted(sorted_, sorted_ + step), len(sorted_) - 1)
-        for i in np.flatnonzero(sorted_[at] == sorted_ + step).tolist():
-            a, b = find(i), find(int(at[i]))
-            root[max(a, b)] = min(a, b)
+        linked = np.flatnonzero(sorted_[at] == sorted_ + step)
+        a.append(linked)
+        b.append(at[linked])
+    root = local_roots(np.concatenate(a), np.concatenate(b), np.arange(len(number)))
     out = np.empty(len(number), np.int64)
-    out[order] = sorted_[[find(i) for i in range(len(root))]]
+    out[order] = sorted_[root]
     return out
 
 
-def _atlas(component: np.ndarray, y: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, np.ndarray, tuple[int, int]]:
-    """Places of the cells in one array that holds all components side by side, a blank column or row between them."""
-    names, comp = np.unique(component, return_inverse=True)
-    low, high = np.full((2, len(names)), np.iinfo(np.int64).max), np.full((2, len(names)), -1)
-    for i, v in enumerate((y, x)):
-        np.minimum.at(low[i], comp, v)
-        np.maximum.at(high[i], comp, v)
-    tall, wide = high - low + 2
-    width = max(1024, int(wide.max()))
-    top, left = np.zeros(len(names), np.int64), np.zeros(len(names), np.int64)
-    shelf = at = depth = 0
-    for c in np.argsort(-tall, kind="stable").tolist():
-        if at and at + wide[c] > width:
-            shelf, at, depth = shelf + depth, 0, 0
-        top[c], left[c] = shelf, at
-        at, depth = at + int(wide[c]), max(depth, int(tall[c]))
-    return y - low[0][comp] + top[comp], x - low[1][comp] + left[comp], (shelf + depth, width if shelf else at)
-
-
 def gap_components(df: DataFrame, by: Sequence[str], tile: int = TILE) -> DataFrame:
     """by..., y, x, component of every gap cell; components of an image are named by their smallest cell."""
     gaps = df.where(fl.has(F.col("flags"), fl.FAILURE) & F.col("mean").isNotNull() & ~fl.has(F.col("flags"), fl.OCEAN)).select(*by, "y", "x")
@@ -103,18 +78,13 @@ def pass_values(df: DataFrame, config: A2, limits: Limits, by: Sequence[str] = (
     cells = cells.join(own, [*by, "y", "x", "component"], "left").withColumn("own", F.coalesce("own", F.lit(False)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        row, col, shape = _atlas(pdf["component"].to_numpy(), pdf["y"].to_numpy(), pdf["x"].to_numpy())
-
-        def dense(name: str, empty: float) -> np.ndarray:
-            a = np.full(shape, empty)
-            a[row, col] = pdf[name].to_numpy(dtype=np.float64, na_value=empty)
-            return a
-
-        flags = dense("flags", fl.OCEAN).astype(np.int64)
-        values, far, _ = kernels.fill_a2(dense("value", np.nan), dense("mean", np.nan), flags, dense("dist", np.nan), config, limits)
+        number = lambda name, empty: pdf[name].to_numpy(dtype=np.float64, na_value=empty)
+        cells = kernels.Cells(pdf["component"].to_numpy(), pdf["y"].to_numpy(dtype=np.int64), pdf["x"].to_numpy(dtype=np.int64))
+        flags = number("flags", fl.OCEAN).astype(np.int64)
+        values, far, _ = kernels.fill_a2_cells(cells, number("value", np.nan), number("mean", np.nan), flags, number("dist", np.nan), config, limits)
         mine = pdf["own"].to_numpy(dtype=bool)
-        spots = [(i, np.flatnonzero(mine & ~np.isnan(values[i, row, col]))) for i in range(8)]
-        parts = [pdf.iloc[at][[*by, "y", "x"]].assign(**{"pass": i, "pass_value": values[i, row[at], col[at]], "pass_dist": far[i, row[at], col[at]]}) for i, at in spots]
+        spots = [(i, np.flatnonzero(mine & ~np.isnan(values[i]))) for i in range(8)]
+        parts = [pdf.iloc[at][[*by, "y", "x"]].assign(**{"pass": i, "pass_value": values[i, at], "pass_dist": far[i, at]}) for i, at in spots]
         return pd.concat(parts)
 
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}

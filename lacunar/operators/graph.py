@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +12,21 @@ from lacunar.sources.scratch import materialize, release
 HOT_DEGREE, HOT_SHARE = 256, 2000
 
 
+def local_roots(a: np.ndarray, b: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Roots of local nodes after the links (a, b) join what `root` already joins; the smallest position is the root."""
+    while len(a):
+        x, y = root[a], root[b]
+        low, high = np.minimum(x, y), np.maximum(x, y)
+        apart = low != high
+        if not apart.any():
+            break
+        np.minimum.at(root, high[apart], low[apart])
+        while ((jump := root[root]) != root).any():
+            root = jump
+        a, b = a[apart], b[apart]
+    return root
+
+
 def _with_least(edges: DataFrame, least: DataFrame, limit: int) -> DataFrame:
     """edges (u, v) with m, the least neighbour of u. Edges of hot nodes, of which there are 2 * HOT_SHARE at most, meet them
     by a broadcast where they are; only the edges of all others are shuffled."""

@@ -10,11 +10,24 @@ from pyspark.sql import functions as F
 RESOLUTION = 0.008333333333333
 
 
+CELLS = 1 << 22  # of a task that makes a grid
+
+
 def complete(obs: DataFrame, height: int, width: int, by: Sequence[str] = ("year",)) -> DataFrame:
-    """obs (by..., y, x, value) with a row for every cell of every date that occurs; NULL values are gaps."""
-    dates = obs.select(*by).distinct()
-    cells = dates.withColumn("y", F.explode(F.sequence(F.lit(0), F.lit(height - 1)))).withColumn("x", F.explode(F.sequence(F.lit(0), F.lit(width - 1))))
-    return cells.join(obs, [*by, "y", "x"], "left")
+    """obs (by..., y, x, value) with a row for every cell of every date that occurs; NULL values are gaps.
+
+    What is shuffled are the values and one row for each date and row of the grid; cells are made behind that shuffle, by
+    as many tasks as the grid asks for, and meet their values there.
+    """
+    inside = obs.where(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1))
+    kinds = {f.name: f.dataType for f in obs.schema}
+    upto = lambda n, c: F.sequence(F.lit(0), F.lit(n - 1)).cast(f"array<{kinds[c].simpleString()}>")
+    rows = obs.select(*by).distinct().withColumn("y", F.explode(upto(height, "y")))
+    rows = rows.withColumns({"x": F.lit(None).cast(kinds["x"]), "value": F.lit(None).cast(kinds["value"])})
+    n = max(3 * obs.sparkSession.sparkContext.defaultParallelism, min(height, 64 * -(-height * width // CELLS)))
+    both = rows.unionByName(inside.select(*by, "y", "x", "value")).repartition(n, *by, "y")
+    both = both.withColumn("x", F.explode(F.when(F.col("x").isNull(), upto(width, "x")).otherwise(F.array("x"))))
+    return both.groupBy(*by, "y", "x").agg(F.max("value").alias("value"))
 
 
 def pixel_limits(north: float, south: float, west: float, east: float, res: float = RESOLUTION) -> tuple[int, int, int, int]:

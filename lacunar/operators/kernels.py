@@ -115,12 +115,6 @@ def fill_a1(value: np.ndarray, flags: np.ndarray, config: A1, limits: Limits, ta
 PASSES = (("x", 1, 1), ("x", -1, 1), ("x", 1, -1), ("x", -1, -1), ("y", 1, 1), ("y", 1, -1), ("y", -1, 1), ("y", -1, -1))
 
 
-def oriented(a: np.ndarray, direction: tuple[str, int, int]) -> np.ndarray:
-    """A view whose rows and columns run as the pass scans."""
-    axis, outer, inner = direction
-    return (a.T if axis == "x" else a)[::outer, ::inner]
-
-
 def anomaly(value: np.ndarray, mean: np.ndarray, ocean: np.ndarray, config: A2, limits: Limits) -> np.ndarray:
     if not config.ratio:
         return np.where(ocean, np.nan, value - mean)
@@ -129,44 +123,80 @@ def anomaly(value: np.ndarray, mean: np.ndarray, ocean: np.ndarray, config: A2,
     return np.where(ocean, np.nan, np.clip(r, 1 / config.max_ratio, config.max_ratio))
 
 
-def smear(diff: np.ndarray, gap: np.ndarray, dist: np.ndarray, config: A2) -> tuple[np.ndarray, np.ndarray]:
-    """(anomaly, distance) that one pass gives the gaps, rows outer and columns inner. All cells of equal 2 * row + column
-    are independent of each other and depend on smaller ones only, so each such diagonal is one array step."""
-    h, w = diff.shape
-    d = np.pad(diff, 1, constant_values=np.nan)
-    near = np.pad(np.nan_to_num(dist, nan=0.0), 1)
-    out_d, out_far = np.full(diff.shape, np.nan), np.full(diff.shape, np.nan)
-    ox, oy, hop = offsets(8)
-    rows, cols = np.nonzero(gap)
-    step = 2 * rows + cols
+class Cells:
+    """Cells of components, known by place: memory follows the cells, not the boxes around them. Components don't touch."""
+
+    def __init__(self, component: np.ndarray, y: np.ndarray, x: np.ndarray):
+        names, comp = np.unique(component, return_inverse=True)
+        low, high = np.full((2, len(names)), np.iinfo(np.int64).max), np.full((2, len(names)), -1)
+        for i, v in enumerate((y, x)):
+            np.minimum.at(low[i], comp, v)
+            np.maximum.at(high[i], comp, v)
+        self.y, self.x = y - low[0][comp], x - low[1][comp]
+        self.bottom, self.right = (high - low)[:, comp]
+        wide = high[1] - low[1] + 3  # a blank column and row on either side
+        first = np.cumsum([0, *((high[0] - low[0] + 3) * wide)[:-1]]) if len(names) else np.zeros(0, np.int64)
+        self.wide = wide[comp]
+        self.number = first[comp] + (self.y + 1) * self.wide + self.x + 1
+        self.order = np.argsort(self.number)
+
+    def around(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(positions of the eight cells around each of `at`, or the number of cells if there is none; how far they lie)."""
+        dx, dy, hop = offsets(8)
+        near = self.number[at][:, None] + dy[None, :] * self.wide[at][:, None] + dx[None, :]
+        sorted_ = self.number[self.order]
+        spot = np.minimum(np.searchsorted(sorted_, near), max(0, len(sorted_) - 1))
+        return np.where(sorted_[spot] == near, self.order[spot], len(sorted_)), hop
+
+    def step(self, at: np.ndarray, way: tuple[str, int, int]) -> np.ndarray:
+        """2 * outer + inner place of a scan. All cells of one step are independent of each other and depend on smaller
+        steps only, so a step, of all components at once, is one array operation."""
+        axis, outer, inner = way
+        places = {"x": (self.x, self.right), "y": (self.y, self.bottom)}
+        turned = lambda name, by: (places[name][0] if by > 0 else places[name][1] - places[name][0])[at]
+        return 2 * turned(axis, outer) + turned("y" if axis == "x" else "x", inner)
+
+
+def smear(cells: Cells, diff: np.ndarray, gaps: np.ndarray, dist: np.ndarray, config: A2, way: tuple[str, int, int], near: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(anomaly, distance) that one pass gives the cells at `gaps`; near: what is around those."""
+    around, hop = near
+    d, far = np.append(diff, np.nan), np.append(np.nan_to_num(dist, nan=0.0), 0.0)
+    out_d, out_far = np.full(len(diff), np.nan), np.full(len(diff), np.nan)
+    step = cells.step(gaps, way)
     order = np.argsort(step, kind="stable")
-    rows, cols, step = rows[order], cols[order], step[order]
-    cuts = np.flatnonzero(np.diff(step, prepend=-1))
-    for a, b in zip(cuts, [*cuts[1:], len(step)], strict=True):
-        r, c = rows[a:b], cols[a:b]
-        around = d[r[:, None] + 1 + oy[None, :], c[:, None] + 1 + ox[None, :]]
-        ok = ~np.isnan(around)
+    cuts = np.flatnonzero(np.diff(step[order], prepend=-1))
+    for part in np.split(order, cuts[1:]) if len(cuts) else ():
+        at = around[part]
+        found = d[at]
+        ok = ~np.isnan(found)
         n = ok.sum(1)
-        total = np.where(ok, around, 0.0).sum(1)
-        far = np.where(ok, near[r[:, None] + 1 + oy[None, :], c[:, None] + 1 + ox[None, :]] + hop[None, :], 0.0).sum(1)
+        total = np.where(ok, found, 0.0).sum(1)
+        reach = np.where(ok, far[at] + hop[None, :], 0.0).sum(1)
         got = (n > 0) & (total > 0 if config.ratio else True)
-        r, c, n = r[got], c[got], n[got]
-        d[r + 1, c + 1] = out_d[r, c] = total[got] / n
-        out_far[r, c] = far[got] / n
+        mine = gaps[part][got]
+        d[mine] = out_d[mine] = total[got] / n[got]
+        out_far[mine] = reach[got] / n[got]
     return out_d, out_far
 
 
-def fill_a2(value: np.ndarray, mean: np.ndarray, flags: np.ndarray, dist: np.ndarray, config: A2, limits: Limits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(pass values, pass distances), both (8, y, x) and NaN where a pass gives nothing, and the cells that need a value."""
+def fill_a2_cells(cells: Cells, value: np.ndarray, mean: np.ndarray, flags: np.ndarray, dist: np.ndarray, config: A2, limits: Limits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(pass values, pass distances), both (8, cells) and NaN where a pass gives nothing, and the cells that need a value."""
     gap = ((flags & fl.FAILURE) != 0) & ~np.isnan(mean) & ((flags & fl.OCEAN) == 0)
     diff = anomaly(value, mean, (flags & fl.OCEAN) != 0, config, limits)
-    values, fars = np.full((8, *value.shape), np.nan), np.full((8, *value.shape), np.nan)
-    for i, way in enumerate(PASSES):
-        got, far = smear(oriented(diff, way), oriented(gap, way), oriented(dist, way), config)
-        oriented(values[i], way)[:] = got
-        oriented(fars[i], way)[:] = far
+    gaps = np.flatnonzero(gap)
+    near = cells.around(gaps)
+    got = [smear(cells, diff, gaps, dist, config, way, near) for way in PASSES]
+    values, fars = np.stack([g[0] for g in got]), np.stack([g[1] for g in got])
     if config.ratio:
         values = values * (mean - limits.absolute_zero) + limits.absolute_zero
     else:
         values = values + mean
     return values, fars, gap
+
+
+def fill_a2(value: np.ndarray, mean: np.ndarray, flags: np.ndarray, dist: np.ndarray, config: A2, limits: Limits) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """As fill_a2_cells, of a whole image (y, x)."""
+    y, x = np.indices(value.shape)
+    cells = Cells(np.zeros(value.size, np.int64), y.ravel(), x.ravel())
+    values, fars, gap = fill_a2_cells(cells, *(a.ravel() for a in (value, mean, flags, dist)), config, limits)
+    return values.reshape(8, *value.shape), fars.reshape(8, *value.shape), gap.reshape(value.shape)

@@ -2,25 +2,27 @@
 
 from __future__ import annotations
 
-OBS = """obs AS (
-  SELECT year, y, x, floor(avg(q) * 1000 + 0.3) / 1000 AS value FROM (
-    SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_partkey % 30 AS INTEGER) AS y, CAST(l_suppkey % 24 AS INTEGER) AS x, l_quantity AS q
-    FROM lineitem WHERE l_discount < 0.02)
-  WHERE NOT (year <= 1997 AND x BETWEEN 8 AND 14 AND y BETWEEN 10 AND 18) AND NOT (x % 11 = 5 AND y % 7 = 3)
+TIMES = "(SELECT greatest(1, CAST(floor(sqrt(count(*) / 60000)) AS BIGINT)) FROM lineitem)"
+OBS = f"""items AS MATERIALIZED (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_partkey % (30 * {TIMES}) AS INTEGER) AS y, CAST(l_suppkey % (24 * {TIMES}) AS INTEGER) AS x, l_quantity AS q FROM lineitem
+), obs AS MATERIALIZED (
+  SELECT year, y, x, floor(avg(q) * 1000 + 0.3) / 1000 AS value FROM items
+  WHERE NOT (year <= 1997 AND x BETWEEN 8 AND 14 AND y BETWEEN 10 AND 18) AND NOT (x % 11 = 5 AND y % 7 = 3) AND (y * 7 + x * 5 + year * 3 + y * x) % 6 <> 0
   GROUP BY year, y, x)"""
-GRID = f"""{OBS}, cells AS (
-  SELECT CAST(a.y AS INTEGER) AS y, CAST(b.x AS INTEGER) AS x FROM range(30) a(y), range(24) b(x)
+GRID = f"""{OBS}, cells AS MATERIALIZED (
+  SELECT CAST(a.y AS INTEGER) AS y, CAST(b.x AS INTEGER) AS x FROM range(0, 30 * {TIMES}) a(y), range(0, 24 * {TIMES}) b(x)
 ), grid AS (
   SELECT d.year, c.y, c.x, o.value FROM (SELECT DISTINCT year FROM obs) d CROSS JOIN cells c
   LEFT JOIN obs o ON o.year = d.year AND o.y = c.y AND o.x = c.x)"""
-MARKED = f"""{GRID}, stats AS (
+def marked(extreme: float = 1.8, speckle: float = 1.0) -> str:
+    return f"""{GRID}, stats AS (
   SELECT y, x, CASE WHEN (x * 5 + y) % 41 <> 0 THEN floor(avg(value) * 1000 + 0.3) / 1000 END AS mean, floor(stddev_samp(value) * 1000 + 0.3) / 1000 AS sd FROM obs GROUP BY y, x
 ), joined AS (
   SELECT g.*, s.mean, s.sd, CASE WHEN s.sd > 0 THEN s.sd END AS sp, CASE WHEN (g.x * 7 + g.y * 3) % 17 = 0 THEN 0 ELSE 1 END AS land
   FROM grid g LEFT JOIN stats s USING (y, x)
 ), tested AS (
-  SELECT *, coalesce(value < mean - 1.8 * sp, FALSE) OR coalesce(value > mean + 1.8 * sp, FALSE) OR coalesce(value < 2 OR value > 48, FALSE) AS extreme,
-    coalesce(value < mean - 1.0 * sp OR value > mean + 1.0 * sp, FALSE) AS suspect FROM joined
+  SELECT *, coalesce(value < mean - {extreme} * sp, FALSE) OR coalesce(value > mean + {extreme} * sp, FALSE) OR coalesce(value < 2 OR value > 48, FALSE) AS extreme,
+    coalesce(value < mean - {speckle} * sp OR value > mean + {speckle} * sp, FALSE) AS suspect FROM joined
 ), marked AS (
   SELECT year, y, x, mean, sd, sp,
     CAST(CASE WHEN land = 0 THEN 1 WHEN mean IS NULL THEN 2 WHEN value IS NULL THEN 0 WHEN extreme THEN 4 WHEN suspect THEN 8 ELSE 0 END AS INTEGER) AS flags,
@@ -28,23 +30,37 @@ MARKED = f"""{GRID}, stats AS (
 ), zed AS (SELECT *, (value - mean) / sp AS z FROM marked)"""
 
 
-def spiral(n: int) -> str:
+MARKED = marked()
+
+
+def spiral(n: int, reach: int = 8) -> str:
     return f"""spiral AS (SELECT * FROM (
   SELECT CAST(row_number() OVER (ORDER BY a.d * a.d + b.d * b.d, a.d, b.d) AS INTEGER) AS k, CAST(a.d AS INTEGER) AS dx, CAST(b.d AS INTEGER) AS dy, sqrt(CAST(a.d * a.d + b.d * b.d AS DOUBLE)) AS dist
-  FROM range(-8, 9) a(d), range(-8, 9) b(d) WHERE a.d <> 0 OR b.d <> 0) WHERE k <= {n})"""
+  FROM range({-reach}, {reach + 1}) a(d), range({-reach}, {reach + 1}) b(d) WHERE a.d <> 0 OR b.d <> 0) WHERE k <= {n})"""
+
 
+def _around(cells: str, others: str, on: str, c: str, search: int) -> str:
+    """Cells `c` with those around them, `n`, and their place `s` in the spiral; by cells first where the spiral is long."""
+    if search < 200:
+        return f"{cells} CROSS JOIN spiral s JOIN {others} ON {on} AND n.y = {c}.y + s.dy AND n.x = {c}.x + s.dx"
+    return f"{cells} JOIN {others} ON {on} JOIN spiral s ON s.dy = n.y - {c}.y AND s.dx = n.x - {c}.x"
 
-CLEAN = f"""{MARKED}, {spiral(24)}, asked AS (
+
+def cleaned(before: str = MARKED, search: int = 24, least: int = 4, most: int = 12, tolerance: float = 0.4) -> str:
+    return f"""{before}, {spiral(search, 8 if search < 200 else 33)}, asked AS (
   SELECT m.year, m.y, m.x, m.z, n.z AS nz, row_number() OVER (PARTITION BY m.year, m.y, m.x ORDER BY s.k) AS rn
-  FROM zed m CROSS JOIN spiral s JOIN zed n ON n.year = m.year AND n.y = m.y + s.dy AND n.x = m.x + s.dx AND n.z IS NOT NULL WHERE m.flags = 8
+  FROM {_around("zed m", "zed n", "n.year = m.year AND n.z IS NOT NULL", "m", search)} WHERE m.flags = 8
 ), alike AS (
-  SELECT year, y, x FROM asked WHERE rn <= 12 GROUP BY year, y, x HAVING count(*) >= 4 AND abs(avg(nz) - any_value(z)) < 0.4
+  SELECT year, y, x FROM asked WHERE rn <= {most} GROUP BY year, y, x HAVING count(*) >= {least} AND abs(avg(nz) - any_value(z)) < {tolerance}
 ), clean AS (
   SELECT m.year, m.y, m.x, CASE WHEN m.flags <> 8 OR a.year IS NOT NULL THEN m.value END AS value,
     CASE WHEN m.flags = 8 AND a.year IS NOT NULL THEN 0 ELSE m.flags END AS flags
   FROM zed m LEFT JOIN alike a USING (year, y, x))"""
 
 
+CLEAN = cleaned()
+
+
 def pairs(search: int, most: int, ratio: bool = False, target: str = "TRUE") -> str:
     """Ranked pairs of the plain stack, `used`."""
     zero = -10 if ratio else 0
@@ -53,12 +69,11 @@ def pairs(search: int, most: int, ratio: bool = False, target: str = "TRUE") ->
         fill = "alt * diff + -10"
     else:
         diff, fill = "nbr - nbr_alt", "alt + diff"
-    return f"""{GRID}, {spiral(search)}, pos AS (SELECT year, dense_rank() OVER (ORDER BY year) AS pos FROM (SELECT DISTINCT year FROM grid)),
+    return f"""{GRID}, {spiral(search, 8 if search < 200 else 33)}, pos AS (SELECT year, dense_rank() OVER (ORDER BY year) AS pos FROM (SELECT DISTINCT year FROM grid)),
 stack AS (SELECT g.*, p.pos, g.value - ({zero}) AS v, max(g.value) OVER (PARTITION BY g.y, g.x) IS NOT NULL AS known FROM grid g JOIN pos p USING (year)),
 found AS (
   SELECT g.year, g.y, g.x, a.pos - g.pos AS dz, s.k, s.dist, a.v AS alt, n.v AS nbr, na.v AS nbr_alt
-  FROM stack g CROSS JOIN spiral s
-  JOIN stack n ON n.pos = g.pos AND n.y = g.y + s.dy AND n.x = g.x + s.dx AND n.v IS NOT NULL
+  FROM {_around("stack g", "stack n", "n.pos = g.pos AND n.v IS NOT NULL", "g", search)}
   JOIN stack a ON a.y = g.y AND a.x = g.x AND a.pos <> g.pos AND a.v IS NOT NULL
   JOIN stack na ON na.pos = a.pos AND na.y = n.y AND na.x = n.x AND na.v IS NOT NULL
   WHERE g.value IS NULL AND g.known AND ({target})
@@ -141,7 +156,7 @@ WINTER = f"""WITH {BANDS}, {occluded(200)}, nt AS ({_threshold(4, 9)}), st AS ({
 SELECT c.band, c.y, c.x, (round(CASE WHEN band = 13 AND a.y IS NOT NULL THEN a.mean ELSE c.mean END, 8) + 0.0) AS mean, (round(CASE WHEN band = 13 AND a.y IS NOT NULL THEN a.sd ELSE c.sd END, 8) + 0.0) AS sd,
   CASE WHEN band = 13 AND a.y IS NOT NULL THEN a.n ELSE c.n END AS n, source FROM cut c LEFT JOIN again a USING (y, x)"""
 
-PASSES = "passes AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_partkey % 30 AS INTEGER) AS y, CAST(l_suppkey % 24 AS INTEGER) AS x, CASE WHEN l_tax > 0.01 THEN l_quantity END AS pass_value, l_discount AS pass_dist FROM lineitem WHERE l_discount < 0.02)"
+PASSES = "passes AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_partkey % 30 AS INTEGER) AS y, CAST(l_suppkey % 24 AS INTEGER) AS x, CASE WHEN l_tax > 0.01 THEN l_quantity END AS pass_value, l_discount AS pass_dist FROM lineitem)"
 
 SQL = {
     "grid_complete": f"WITH {GRID} SELECT * FROM grid",
@@ -174,6 +189,8 @@ count(*) FILTER (flags & 8 <> 0) AS speckle, count(value) AS good, count(*) FILT
     "a1_fill_ratio": f"WITH {filled(8, 2, 8, False, True)} {OUT} done",
     "a1_start_year": f"WITH {filled(8, 2, 8, target='g.year >= 1998')} {OUT} done WHERE year >= 1998",
     "a1_fill_tiles": f"WITH {filled(24, 4, 12, True)} {OUT} done",
+    "a1_fill_default": f"WITH {filled(3142, 480, 960, True)} {OUT} done",
+    "despeckle_default": f"WITH {cleaned(marked(2.58, 1.64), 3142, 320, 640, 0.2)} SELECT year, y, x, value, flags FROM clean",
     "a1_counts": f"""WITH {filled(24, 4, 12, True)} SELECT year, count(*) AS cells, count(*) FILTER (gap) AS gaps, count(*) FILTER (flags & 32 <> 0) AS "full", count(*) FILTER (flags & 48 = 16) AS partial,
 count(*) FILTER (gap AND n > 0 AND flags & 16 = 0) AS insufficient, count(*) FILTER (gap AND n = 0) AS none, CAST(sum(CASE WHEN gap THEN n END) AS BIGINT) AS pairs FROM done GROUP BY year""",
     "clip_a1": f"WITH {clipped('d.flags', 16)} {OUT} cut",

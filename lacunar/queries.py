@@ -13,6 +13,7 @@ from lacunar.functions.calendar import composite_doy, doy_months
 from lacunar.operators import aggregate, clip, despeckle, fill_a1, fill_a2, grid, spiral, stats, tiles
 from lacunar.plans import pipeline
 from lacunar.sources import grids
+from lacunar.sources.scratch import materialize
 
 H, W = 30, 24
 LIMITS = Limits(ceiling=48.0, floor=2.0, z=0.9, absolute_zero=-10.0)
@@ -32,15 +33,27 @@ def _base(v: Column) -> Column:
     return F.floor(v * 1000 + 0.3) / 1000
 
 
-def _obs(spark: SparkSession, sf_dir: str, h: int = H, w: int = W) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").where("l_discount < 0.02")
+def _shape(spark: SparkSession, sf_dir: str) -> tuple[int, int]:
+    """Rows and columns of the grid: H x W for up to 240,000 rows of lineitem, and as many times more each way as the root
+    of every 60,000 rows."""
+    times = max(1, int((_table(spark, sf_dir, "lineitem").count() / 60_000) ** 0.5))
+    return H * times, W * times
+
+
+def _obs(spark: SparkSession, sf_dir: str, h: int | None = None, w: int | None = None) -> DataFrame:
+    """All rows of lineitem as one value a cell; planted gaps: two blocks and, by a rule on the cell, a sixth of all cells."""
+    if h is None or w is None:
+        h, w = _shape(spark, sf_dir)
+    li = _table(spark, sf_dir, "lineitem")
     li = li.select(F.year("l_shipdate").alias("year"), (F.col("l_partkey") % h).cast("int").alias("y"), (F.col("l_suppkey") % w).cast("int").alias("x"), F.col("l_quantity").alias("q"))
-    li = li.where("NOT (year <= 1997 AND x BETWEEN 8 AND 14 AND y BETWEEN 10 AND 18) AND NOT (x % 11 = 5 AND y % 7 = 3)")
-    return li.groupBy("year", "y", "x").agg(_base(F.avg("q")).alias("value"))
+    cells = li.groupBy("year", "y", "x").agg(_base(F.avg("q")).alias("value"))
+    return cells.where("NOT (year <= 1997 AND x BETWEEN 8 AND 14 AND y BETWEEN 10 AND 18) AND NOT (x % 11 = 5 AND y % 7 = 3) AND (y * 7 + x * 5 + year * 3 + y * x) % 6 <> 0")
 
 
-def _parts(spark: SparkSession, sf_dir: str, h: int = H, w: int = W) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _parts(spark: SparkSession, sf_dir: str, h: int | None = None, w: int | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(grid, stats, mask)."""
+    if h is None or w is None:
+        h, w = _shape(spark, sf_dir)
     obs = _obs(spark, sf_dir, h, w)
     s = stats.synoptic(obs).select("y", "x", F.when((F.col("x") * 5 + F.col("y")) % 41 != 0, _base(F.col("mean"))).alias("mean"), _base(F.col("sd")).alias("sd"))
     cells = spark.range(h * w).select((F.col("id") / w).cast("int").alias("y"), (F.col("id") % w).cast("int").alias("x"))
@@ -52,8 +65,9 @@ def _marked(spark: SparkSession, sf_dir: str) -> DataFrame:
     return despeckle.classify(*_parts(spark, sf_dir), LIMITS, SPECKLE)
 
 
-def _stack(spark: SparkSession, sf_dir: str, h: int = H, w: int = W) -> DataFrame:
+def _stack(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The plain stack that the A1 queries fill: no masks, flags 0."""
+    h, w = _shape(spark, sf_dir)
     return grid.complete(_obs(spark, sf_dir, h, w), h, w).withColumn("flags", F.lit(0).cast("short"))
 
 
@@ -194,6 +208,18 @@ def a1_fill_tiles(spark, sf_dir):
     return _filled(tiles.fill_tiles(plain, SPECKLE, TRIM, LIMITS, tile=12))
 
 
+def a1_fill_default(spark, sf_dir):
+    """The default search of 3,142 neighbours."""
+    plain = _stack(spark, sf_dir).withColumns({c: F.lit(None).cast("double") for c in ("mean", "sd", "z")})
+    return _filled(tiles.fill_tiles(plain, SPECKLE, A1(), LIMITS, tile=64))
+
+
+def despeckle_default(spark, sf_dir):
+    """The default search and thresholds."""
+    marked = despeckle.classify(*_parts(spark, sf_dir), LIMITS, Despeckle())
+    return despeckle.despeckle(marked, Despeckle()).select("year", "y", "x", "value", F.col("flags").cast("int").alias("flags"))
+
+
 def a1_counts(spark, sf_dir):
     return aggregate.a1_counts(fill_a1.fill(_stack(spark, sf_dir), TRIM, LIMITS))
 
@@ -220,7 +246,7 @@ def a2_anomaly(spark, sf_dir):
 def _left(spark, sf_dir):
     """What A1 leaves of the masked stack."""
     df = fill_a1.fill(despeckle.despeckle(_marked(spark, sf_dir), SPECKLE), SHORT, LIMITS)
-    return df.select("year", "y", "x", "value", "mean", "sd", "flags", "dist")
+    return materialize(df.select("year", "y", "x", "value", "mean", "sd", "flags", "dist"), "left")
 
 
 def a2_pass(spark, sf_dir):
@@ -232,7 +258,7 @@ def a2_fill(spark, sf_dir):
 
 
 def _passes(spark, sf_dir):
-    li = _table(spark, sf_dir, "lineitem").where("l_discount < 0.02")
+    li = _table(spark, sf_dir, "lineitem")
     return li.select(F.year("l_shipdate").alias("year"), (F.col("l_partkey") % H).cast("int").alias("y"), (F.col("l_suppkey") % W).cast("int").alias("x"), F.when(F.col("l_tax") > 0.01, F.col("l_quantity")).alias("pass_value"), F.col("l_discount").alias("pass_dist"))
 
 
@@ -302,7 +328,7 @@ def flag_decode(spark, sf_dir):
 
 ALL = (
     grid_complete, aoi_filter, start_filter, stack_positions, synoptic_stats, monthly_stats, limits_lookup, filename_parse, doy_month_dim, ndv_to_null, ocean_neverdata_flags, extreme_flags, zscore, spiral_offsets,
-    despeckle_stack, despeckle_counts, known_unfillable, a1_pairs, a1_fill_diff, a1_fill_trim, a1_fill_ratio, a1_start_year, a1_fill_tiles, a1_counts, clip_a1, clip_a2, a2_anomaly, a2_pass, a2_fill, a2_combine,
+    despeckle_stack, despeckle_counts, known_unfillable, a1_pairs, a1_fill_diff, a1_fill_trim, a1_fill_ratio, a1_start_year, a1_fill_tiles, a1_fill_default, despeckle_default, a1_counts, clip_a1, clip_a2, a2_anomaly, a2_pass, a2_fill, a2_combine,
     a2_combine_median, fill_pipeline, fill_counts, monthly_mean, annual_mean, fill_proportion, month_and_year, diurnal_difference, occlusion_mask, dilate8, winter_min_cut, grand_stats, flag_decode,
 )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+FILE = 2048  # cells of a file's side
 KINDS = {"FilledData": ("value", "float"), "FilledDists": ("dist", "float"), "FillFlags": ("flags", "short")}
 
 
@@ -14,10 +15,12 @@ def output_name(tag: str, kind: str, year: Column, doy: Column, rest: str = "Dat
 
 
 def write_images(df: DataFrame, path: str, tile: int = 256, mode: str = "overwrite") -> None:
-    """value, dist and flags by (variable, doy, year), each image's rows in tile order so that windows skip row groups."""
+    """value, dist and flags by (variable, doy, year). An image is written by a task for each FILE x FILE cells of it, in
+    tile order, so that windows skip files and row groups."""
     out = df.select("variable", "doy", "year", "y", "x", F.col("value").cast("float").alias("value"), F.col("dist").cast("float").alias("dist"), F.col("flags").cast("short").alias("flags"))
     ty, tx = F.floor(F.col("y") / tile), F.floor(F.col("x") / tile)
-    out = out.repartition("variable", "doy", "year").sortWithinPartitions("variable", "doy", "year", ty, tx, "y", "x")
+    fy, fx = F.floor(F.col("y") / FILE), F.floor(F.col("x") / FILE)
+    out = out.repartition("variable", "doy", "year", fy, fx).sortWithinPartitions("variable", "doy", "year", fy, fx, ty, tx, "y", "x")
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("variable", "doy", "year").parquet(path)
 
 
