@@ -110,6 +110,80 @@ def clipped(flag: str, bit: int) -> str:
     CASE WHEN flags & {bit} <> 0 AND (value < lo OR value > hi) THEN flags | 128 ELSE flags END AS flags FROM lim)"""
 
 
+def left(search: int, least: int, most: int, trim: bool = False, target: str = "TRUE") -> str:
+    """`left0`: what A1 makes of the masked and cleaned stack (year, y, x, value, mean, sd, flags, dist)."""
+    t, own = ("n > 2" if trim else "FALSE"), target.replace("g.", "s.")
+    gap = "value IS NULL AND {0}.flags & 3 = 0 AND {0}.known"
+    return f"""{CLEAN}, pos AS (SELECT year, dense_rank() OVER (ORDER BY year) AS pos FROM (SELECT DISTINCT year FROM clean)),
+stack AS MATERIALIZED (
+  SELECT c.year, c.y, c.x, c.value, c.flags, p.pos, m.mean, m.sd, max(c.value) OVER (PARTITION BY c.y, c.x) IS NOT NULL AS known
+  FROM clean c JOIN pos p USING (year) JOIN marked m ON m.year = c.year AND m.y = c.y AND m.x = c.x
+), found AS (
+  SELECT g.year, g.y, g.x, a.pos - g.pos AS dz, s.k, s.dist, a.value AS alt, n.value - na.value AS diff
+  FROM stack g CROSS JOIN (SELECT * FROM spiral WHERE k <= {search}) s
+  JOIN stack n ON n.pos = g.pos AND n.y = g.y + s.dy AND n.x = g.x + s.dx AND n.value IS NOT NULL
+  JOIN stack a ON a.y = g.y AND a.x = g.x AND a.pos <> g.pos AND a.value IS NOT NULL
+  JOIN stack na ON na.pos = a.pos AND na.y = n.y AND na.x = n.x AND na.value IS NOT NULL
+  WHERE g.{gap.format("g")} AND ({target})
+), f AS (SELECT *, alt + diff AS fill, (1.0 / abs(dz)) * (1.0 / dist) AS weight, row_number() OVER (PARTITION BY year, y, x ORDER BY abs(dz), dz DESC, k) AS rn FROM found),
+got AS (
+  SELECT year, y, x, count(*) AS n, sum(weight * fill) AS swf, sum(weight) AS sw, sum(dist) AS sdist,
+    list({{'f': weight * fill, 'w': weight, 'd': dist}} ORDER BY diff, rn)[1] AS lo, list({{'f': weight * fill, 'w': weight, 'd': dist}} ORDER BY diff DESC, rn)[1] AS hi
+  FROM f WHERE rn <= {most} GROUP BY year, y, x
+), left0 AS MATERIALIZED (
+  SELECT s.year, s.y, s.x, s.mean, s.sd,
+    CASE WHEN g.n >= {least} THEN (swf - CASE WHEN {t} THEN lo.f + hi.f ELSE 0 END) / (sw - CASE WHEN {t} THEN lo.w + hi.w ELSE 0 END) ELSE s.value END AS value,
+    CASE WHEN g.n >= {least} THEN (g.sdist - CASE WHEN {t} THEN lo.d + hi.d ELSE 0 END) / (n - CASE WHEN {t} THEN 2 ELSE 0 END) END AS dist,
+    CAST(CASE WHEN g.n >= {least} THEN s.flags | 16 | CASE WHEN g.n = {most} THEN 32 ELSE 0 END WHEN s.{gap.format("s")} AND ({own}) THEN s.flags | 2
+      WHEN s.value IS NULL AND s.flags & 3 = 0 AND NOT s.known AND ({own}) THEN 2 ELSE s.flags END AS INTEGER) AS flags
+  FROM stack s LEFT JOIN got g USING (year, y, x))"""
+
+
+def held(source: str, bit: int, name: str) -> str:
+    """`name`: `source` with rows whose flags hold `bit` within mean +- 0.9 sd and 2..48."""
+    return f"""{name}_lim AS (SELECT *, greatest(mean - 0.9 * sd, 2) AS lo, least(mean + 0.9 * sd, 48) AS hi FROM {source}
+), {name} AS MATERIALIZED (
+  SELECT year, y, x, mean, sd, dist, CASE WHEN flags & {bit} <> 0 AND value < lo THEN lo WHEN flags & {bit} <> 0 AND value > hi THEN hi ELSE value END AS value,
+    CAST(CASE WHEN flags & {bit} <> 0 AND (value < lo OR value > hi) THEN flags | 128 ELSE flags END AS INTEGER) AS flags FROM {name}_lim)"""
+
+
+def smeared(source: str) -> str:
+    """`passes` and `after`: eight scans, each a recursion over the gaps in the order of the scan. `place` is a cell's place
+    in it, `d` the anomalies by place; a gap takes the mean of what is around it and gives it on."""
+    return f"""ways(pass, by_x, up, over) AS (VALUES (0, 1, 1, 1), (1, 1, -1, 1), (2, 1, 1, -1), (3, 1, -1, -1), (4, 0, 1, 1), (5, 0, 1, -1), (6, 0, -1, 1), (7, 0, -1, -1)),
+size AS (SELECT max(y) + 1 AS h, max(x) + 1 AS w FROM cells), turned AS MATERIALIZED (
+  SELECT w.pass, s.*, CASE WHEN by_x = 1 THEN x ELSE y END AS o0, CASE WHEN by_x = 1 THEN y ELSE x END AS i0, CASE WHEN by_x = 1 THEN z.w ELSE z.h END AS os, CASE WHEN by_x = 1 THEN z.h ELSE z.w END AS ins, up, over,
+    s.flags & 2 <> 0 AND s.flags & 1 = 0 AND s.mean IS NOT NULL AS gap, CASE WHEN s.flags & 1 = 0 THEN s.value - s.mean END AS diff, coalesce(s.dist, 0) AS far
+  FROM {source} s CROSS JOIN ways w CROSS JOIN size z
+), placed AS MATERIALIZED (
+  SELECT *, CASE WHEN up = 1 THEN o0 ELSE os - 1 - o0 END * ins + CASE WHEN over = 1 THEN i0 ELSE ins - 1 - i0 END + 1 AS place FROM turned
+), around AS (
+  SELECT g.year, g.pass, g.place, list({{'at': n.place, 'far': n.far + sqrt(CAST((n.x - g.x) * (n.x - g.x) + (n.y - g.y) * (n.y - g.y) AS DOUBLE))}}) AS near
+  FROM placed g JOIN placed n ON n.year = g.year AND n.pass = g.pass AND abs(n.y - g.y) <= 1 AND abs(n.x - g.x) <= 1 AND n.place <> g.place WHERE g.gap GROUP BY g.year, g.pass, g.place
+), turns AS MATERIALIZED (
+  SELECT *, row_number() OVER (PARTITION BY year, pass ORDER BY place) AS j FROM around
+), scan AS (
+  SELECT year, pass, CAST(0 AS BIGINT) AS j, list(diff ORDER BY place) AS d, CAST([] AS DOUBLE[]) AS reach FROM placed GROUP BY year, pass
+  UNION ALL
+  SELECT s.year, s.pass, s.j + 1, CASE WHEN len(k.hit) = 0 THEN s.d ELSE list_concat(list_append(s.d[1 : k.place - 1], list_avg(list_transform(k.hit, lambda e: s.d[e.at]))), s.d[k.place + 1 :]) END,
+    list_append(s.reach, list_avg(list_transform(k.hit, lambda e: e.far)))
+  FROM scan s JOIN LATERAL (SELECT t.place, list_filter(t.near, lambda e: s.d[e.at] IS NOT NULL) AS hit FROM turns t WHERE t.year = s.year AND t.pass = s.pass AND t.j = s.j + 1) k ON TRUE
+), ends AS (
+  SELECT * FROM scan QUALIFY j = max(j) OVER (PARTITION BY year, pass)
+), passes AS MATERIALIZED (
+  SELECT p.year, p.y, p.x, CAST(p.pass AS INTEGER) AS pass, e.d[t.place] + p.mean AS pass_value, e.reach[t.j] AS pass_dist
+  FROM turns t JOIN placed p ON p.year = t.year AND p.pass = t.pass AND p.place = t.place JOIN ends e ON e.year = t.year AND e.pass = t.pass WHERE e.d[t.place] IS NOT NULL
+), joined8 AS (SELECT year, y, x, avg(pass_value) AS a2_value, avg(pass_dist) AS a2_dist FROM passes GROUP BY year, y, x
+), after AS MATERIALIZED (
+  SELECT s.year, s.y, s.x, s.mean, s.sd, coalesce(a2_value, s.value) AS value, CASE WHEN a2_value IS NOT NULL THEN a2_dist ELSE s.dist END AS dist,
+    CAST(CASE WHEN a2_value IS NOT NULL THEN (s.flags & 253) | 64 ELSE s.flags END AS INTEGER) AS flags FROM {source} s LEFT JOIN joined8 USING (year, y, x))"""
+
+
+def pipeline() -> str:
+    start = left(24, 4, 12, True, "g.year >= 1996")
+    return f"{start}, chosen AS (SELECT * FROM left0 WHERE year >= 1996), {held('chosen', 16, 'a1')}, {smeared('a1')}, {held('after', 64, 'whole')}"
+
+
 SWAPPED = "CASE WHEN d.flags & 16 <> 0 AND d.x % 2 = 0 THEN (d.flags - 16) + 64 ELSE d.flags END"
 COMPOSITES = """comps AS (
   SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(1 + 8 * ((dayofyear(l_shipdate) - 1) // 8) AS INTEGER) AS doy, CAST(l_partkey % 6 AS INTEGER) AS y, CAST(l_suppkey % 5 AS INTEGER) AS x,
@@ -196,6 +270,10 @@ count(*) FILTER (gap AND n > 0 AND flags & 16 = 0) AS insufficient, count(*) FIL
     "clip_a1": f"WITH {clipped('d.flags', 16)} {OUT} cut",
     "clip_a2": f"WITH {clipped(SWAPPED, 64)} {OUT} cut",
     "a2_anomaly": f"WITH {MARKED} SELECT year, y, x, (round(value - mean, 8) + 0.0) AS anomaly FROM marked WHERE flags & 1 = 0 AND value IS NOT NULL AND mean IS NOT NULL",
+    "a2_pass": f"WITH RECURSIVE {left(8, 2, 8)}, {smeared('left0')} SELECT year, y, x, pass, (round(pass_value, 8) + 0.0) AS pass_value, (round(pass_dist, 8) + 0.0) AS pass_dist FROM passes",
+    "a2_fill": f"WITH RECURSIVE {left(8, 2, 8)}, {smeared('left0')} {OUT} after",
+    "fill_pipeline": f"WITH RECURSIVE {pipeline()} {OUT} whole",
+    "fill_counts": f"""WITH RECURSIVE {pipeline()} SELECT year, count(*) FILTER (flags & 64 <> 0) AS filled, count(*) FILTER (flags & 2 <> 0) AS "left", count(*) FILTER (flags & 128 <> 0) AS clipped FROM whole GROUP BY year""",
     "a2_combine": f"WITH {PASSES} SELECT year, y, x, count(pass_value) AS n_passes, (round(avg(pass_value), 8) + 0.0) AS a2_value, (round(avg(pass_dist), 8) + 0.0) AS a2_dist FROM passes GROUP BY year, y, x",
     "a2_combine_median": f"WITH {PASSES} SELECT year, y, x, count(pass_value) AS n_passes, (round(median(pass_value), 8) + 0.0) AS a2_value, (round(avg(pass_dist), 8) + 0.0) AS a2_dist FROM passes GROUP BY year, y, x",
     "monthly_mean": f"WITH {COMPOSITES} SELECT year, month, y, x, (round(avg(value), 8) + 0.0) AS value FROM months GROUP BY year, month, y, x",
