@@ -48,7 +48,7 @@ GOLAY_UP_TO = 1 << 24  # fingerprints
 BUCKET = 40_000  # fingerprints a bucket
 SAMPLE, HOT = 1 << 16, 64  # fingerprints that tell which anchors are crowded; of them at an anchor, to be one
 LANES, NEAR = 6, 112  # of 64 bits; of all bits: between copies at 0.8 about 60 differ, between other texts 192
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 PLACED = ("file", "at", "length")  # where a block lies
 _SPREAD = np.packbits(np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").reshape(256, 8, 1) * np.ones((1, 1, 8), np.uint8) * np.array([1, 0, 0, 0, 0, 0, 0, 0], np.uint8), axis=2, bitorder="little").reshape(256, 8).copy().view(np.uint64).ravel()
 
@@ -86,7 +86,7 @@ def fingerprints(col: pa.Array, shingle: int = SHINGLE) -> np.ndarray:
 def _fingerprint(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 4 << 20):
+            for part in slices(batch, "text", 2 << 20):
                 yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "fp": pa.array(fingerprints(part.column("text"), shingle).view(np.int64))})
         trim()
 

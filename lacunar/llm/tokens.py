@@ -11,7 +11,7 @@ import regex
 
 from lacunar.llm.textops import pieces, ragged, whole
 
-MAX_PIECES, MAX_PARTS = 400_000, 150_000  # held by a worker; when full, the cache starts again
+MAX_PIECES, MAX_PARTS = 250_000, 100_000  # held by a worker; when full, the cache starts again
 MARKS = frozenset(".,;:!?")
 
 
