@@ -64,7 +64,8 @@ class A2:
 @dataclass(frozen=True)
 class Job:
     """days: days of year to fill, none or a 0 for all. start_year: the first year to fill; earlier years give values.
-    a2_years: years that A2 is run for, none for all."""
+    a2_years: years that A2 is run for, none for all. tile: cells of a tile's side; with memory, the bytes that a task has,
+    as large a one as fits. geotiff: images are written as mosaics of GeoTIFF files."""
 
     days: tuple[int, ...] = ()
     start_year: int | None = None
@@ -76,6 +77,8 @@ class Job:
     a2_years: tuple[int, ...] = ()
     clip: bool = True
     tile: int = 256
+    memory: int = 0
+    geotiff: bool = False
 
     @property
     def all_days(self) -> bool:

@@ -70,3 +70,26 @@ def a1_counts(filled: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
 def a2_counts(df: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
     f = F.col("flags")
     return df.groupBy(*by).agg(F.count_if(fl.has(f, fl.A2_FILLED)).alias("filled"), F.count_if(fl.has(f, fl.FAILURE)).alias("left"), F.count_if(fl.has(f, fl.CLIPPED)).alias("clipped"))
+
+
+def cleared_counts(classified: DataFrame, despeckled: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
+    """Suspects of the speckle test, and how many of them their neighbours cleared."""
+    speckle = F.count_if(fl.has(F.col("flags"), fl.SPECKLE))
+    left = despeckled.groupBy(*by).agg(speckle.alias("_left"))
+    return classified.groupBy(*by).agg(speckle.alias("suspects")).join(left, [*by]).select(*by, "suspects", (F.col("suspects") - F.col("_left")).alias("cleared"))
+
+
+def years_scanned(stack: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """How many years of a day A1 looks at, and the cells that none of them has a value for (permanent gaps)."""
+    cells = stack.groupBy(*by, "y", "x").agg(F.count("value").alias("n"), F.max(fl.any_of(F.col("flags"), fl.OCEAN | fl.FAILURE)).alias("out"))
+    gaps = cells.groupBy(*by).agg(F.count_if((F.col("n") == 0) & ~F.col("out")).alias("permanent_gaps"))
+    years = stack.select(*by, "year").distinct().groupBy(*by).agg(F.count("*").alias("years"))
+    return gaps.join(years, [*by]) if by else gaps.crossJoin(years)  # two tables of one row
+
+
+def a2_pass_counts(gaps: DataFrame, passes: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
+    """by..., pass, gaps, filled: the gaps that A2 finds and how many of them each pass gives a value."""
+    n = gaps.where(fl.has(F.col("flags"), fl.FAILURE) & F.col("mean").isNotNull() & ~fl.has(F.col("flags"), fl.OCEAN)).groupBy(*by).agg(F.count("*").alias("gaps"))
+    every = n.withColumn("pass", F.explode(F.sequence(F.lit(0), F.lit(7))))
+    filled = passes.groupBy(*by, "pass").agg(F.count("pass_value").alias("filled"))
+    return every.join(filled, [*by, "pass"], "left").select(*by, "pass", "gaps", F.coalesce("filled", F.lit(0)).cast("long").alias("filled"))

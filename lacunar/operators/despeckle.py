@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lacunar.config import Despeckle, Limits
 from lacunar.functions import flags as fl
+from lacunar.operators.aggregate import with_month
 from lacunar.operators.spiral import spiral_column
 
 
@@ -28,8 +29,13 @@ def classify(grid: DataFrame, stats: DataFrame, mask: DataFrame, limits: Limits,
 
     Ocean comes first, then cells without a mean, then values beyond the hard limits or extreme_z. Values beyond
     speckle_z keep their value and get the speckle flag as suspects. A zero or missing sd skips the tests that need it.
+    stats are by cell or, with a column month (and grid with doy), by month and cell.
     """
-    df = grid.join(stats, ["y", "x"], "left").join(mask, ["y", "x"], "left")
+    if "month" in stats.columns:  # statistics by month: each date takes those of its own
+        grid, on = with_month(grid), ["month", "y", "x"]
+    else:
+        on = ["y", "x"]
+    df = grid.join(stats, on, "left").join(mask, ["y", "x"], "left").drop("month")
     df = df.withColumn("value", F.col("value") + limits.offset).withColumn("mean", F.col("mean") + limits.offset)
     sd = F.when(F.col("sd") > 0, F.col("sd"))
     beyond = lambda z: (F.col("mean") - z * sd, F.col("mean") + z * sd)

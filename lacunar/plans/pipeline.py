@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,8 +12,10 @@ from lacunar.config import Config
 from lacunar.functions import flags as fl
 from lacunar.operators import despeckle, fill_a1, fill_a2, tiles
 from lacunar.operators.clip import clip
-from lacunar.operators.grid import complete, is_target, on_days, pixel_limits, shape, within
-from lacunar.sources.grids import no_data, read_obs
+from lacunar.operators.grid import RESOLUTION, clipped_transform, complete, is_target, on_days, pixel_limits, shape, tile_size, within
+from lacunar.operators.spiral import halo
+from lacunar.sources import geotiff
+from lacunar.sources.grids import no_data, read_obs, wrong_no_data
 from lacunar.sources.scratch import materialize
 from lacunar.sources.sinks import write_images
 
@@ -45,15 +48,36 @@ def fill(grid: DataFrame, stats: DataFrame, mask: DataFrame, config: Config, by:
 
 def run(spark: SparkSession, config: Config, height: int | None = None, width: int | None = None) -> None:
     """Read, fill and write the images of a job; days are independent of each other and share one plan. The size of the
-    grid is that of the mask unless it is given."""
+    grid is that of the mask unless it is given. `data` is a parquet archive or a pattern of GeoTIFF files, which must
+    agree on their no-data value; their transform, moved to the area, goes with what is written."""
     p, job = config.paths, config.job
-    obs = no_data(on_days(read_obs(spark, p.data, p.variable or None), job.days), config.limits)
+    transform = [-180.0, RESOLUTION, 0.0, 90.0, 0.0, -RESOLUTION]
+    if p.data.lower().endswith((".tif", ".tiff")):
+        meta = materialize(geotiff.read_meta(spark, p.data), "meta")
+        if wrong := wrong_no_data(meta.where("ndv IS NOT NULL"), config.limits).limit(5).collect():
+            raise ValueError(f"no-data values differ from {config.limits.ndv}: {[r['path'] for r in wrong]}")
+        first = meta.select("gx", "sx", "rx", "gy", "ry", "sy").first()
+        transform = list(first) if first else transform
+        read = geotiff.read_archive(spark, p.data, p.variable or "data")
+    else:
+        read = read_obs(spark, p.data, p.variable or None)
+    obs = no_data(on_days(read, job.days), config.limits)
     stats, mask = no_data(spark.read.parquet(p.stats), config.limits, ("mean", "sd")), spark.read.parquet(p.mask)
     if height is None or width is None:
         height, width = shape(mask)
-    grid = complete(obs.drop("variable"), height, width, ("doy", "year"))
+    grid, y0, x0 = complete(obs.drop("variable"), height, width, ("doy", "year")), 0, 0
     if None not in (job.north, job.south, job.west, job.east):
         box = pixel_limits(job.north, job.south, job.west, job.east)
         grid, stats, mask = (within(d, *box) for d in (grid, stats, mask))
-    done = fill(grid, stats, mask, config, ("doy",))
-    write_images(done.withColumn("variable", F.lit(p.variable or "data")), p.output, job.tile)
+        y0, x0 = max(0, box[0]), max(0, box[2])
+        height, width = min(height, box[1]) - y0, min(width, box[3]) - x0
+    if job.memory:
+        years = obs.select("year").distinct().count()
+        margin = halo(config.despeckle.search) + halo(config.a1.search)
+        config = replace(config, job=replace(job, tile=tile_size(job.memory, years, margin)))
+    done = fill(grid, stats, mask, config, ("doy",)).withColumn("variable", F.lit(p.variable or "data"))
+    if job.geotiff:
+        done = done.withColumns({"y": F.col("y") - y0, "x": F.col("x") - x0})
+        materialize(geotiff.write_geotiff(done, p.output, height, width, clipped_transform(transform, y0, x0), config.limits.ndv), "written")
+    else:
+        write_images(done, p.output, config.job.tile)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 FILE = 2048  # cells of a file's side
@@ -24,6 +26,12 @@ def write_images(df: DataFrame, path: str, tile: int = 256, mode: str = "overwri
     out.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy("variable", "doy", "year").parquet(path)
 
 
+def write_differences(df: DataFrame, path: str, ndv: float = -9999.0) -> None:
+    """Day minus night (year, doy, y, x, value) by date, named as the images are; NULL, where either is, as the no-data value."""
+    out = df.select("year", "doy", "y", "x", F.coalesce("value", F.lit(ndv)).cast("float").alias("value"), output_name("LST", "DayMinusNight", F.col("year"), F.col("doy")).alias("name"))
+    out.repartition("year", "doy", F.floor(F.col("y") / FILE), F.floor(F.col("x") / FILE)).write.mode("overwrite").partitionBy("year", "doy").parquet(path)
+
+
 def write_aggregate(df: DataFrame, path: str) -> None:
     """Monthly or annual images; the filled percent as a whole number of one byte."""
     out = df.withColumn("value", F.col("value").cast("float")).withColumn("filled_percent", F.col("filled_percent").cast("tinyint"))
@@ -31,6 +39,13 @@ def write_aggregate(df: DataFrame, path: str) -> None:
 
 
 def write_bands(df: DataFrame, path: str) -> None:
-    """13-band statistics, a folder a band."""
-    out = df.select("band", "y", "x", F.col("mean").cast("float").alias("mean"), F.col("sd").cast("float").alias("sd"), F.col("n").cast("int").alias("n"))
+    """13-band statistics, a folder a band; with the source of each cell, if df tells it."""
+    more = [F.col("source").cast("short").alias("source")] if "source" in df.columns else []
+    out = df.select("band", "y", "x", F.col("mean").cast("float").alias("mean"), F.col("sd").cast("float").alias("sd"), F.col("n").cast("int").alias("n"), *more)
     out.write.mode("overwrite").partitionBy("band").parquet(path)
+
+
+def read_bands(spark: SparkSession, path: str, bands: Sequence[int] = ()) -> DataFrame:
+    """What write_bands wrote; other bands than those asked for are not read."""
+    df = spark.read.parquet(path)
+    return df.where(F.col("band").isin(*bands)) if bands else df
