@@ -1,6 +1,7 @@
 """Vector bin packing of token sequences under limits on tokens, segments and loss-bearing tokens.
 
-Each open sequence takes, of the waiting documents that fit whole, the one whose demand has the largest dot product
+A sequence begins with a piece of a document that no sequence holds whole, if there is one. Then it takes, of the
+waiting documents that fit whole, the one whose demand has the largest dot product
 with what is left of the three limits, each as a share of its limit; when none fits, or one segment is left, the document
 that gives the longest piece is cut so that the sequence becomes full, and its rest waits on. A task packs what it reads
 by itself, so nothing is shuffled or collected; only its last sequences can fall short. At most WAITING documents wait at
@@ -57,6 +58,10 @@ class Packer:
     def fill(self, until: int) -> Iterator[tuple[int, int, int, int, int, int]]:
         while (waiting := int(np.count_nonzero(self.left))) > until:
             room = self.limit.copy()
+            long = np.where((self.left > room[0]) | (self.left - self.free > room[2]), self.left, 0)
+            if long.any():  # what no sequence holds whole comes first, while others' starts are there to go with it
+                i = int(np.argmax(long))
+                yield self._take(i, int(min(self.left[i], room[0], self.free[i] + room[2])), room)
             while room[0] >= 1 and room[1] >= 1 and waiting:
                 loss = np.maximum(0, self.left - self.free)
                 fits = (self.left > 0) & (self.left <= room[0]) & (loss <= room[2])

@@ -141,11 +141,15 @@ def plain_pack(docs, tokens, segments, loss):
     out, seq = [], 0
     while any(w[2] for w in waiting):
         room = [tokens, segments, loss]
+        long = [w for w in waiting if w[2] > tokens or w[2] - w[3] > loss]
         while room[0] >= 1 and room[1] >= 1:
             open_ = [w for w in waiting if w[2]]
             need = lambda w: max(0, w[2] - w[3])
             fits = [w for w in open_ if w[2] <= room[0] and need(w) <= room[2]]
-            if fits and (room[1] > 1 or any(w[2] == room[0] for w in fits)):
+            if long:
+                best = max(long, key=lambda w: (w[2], -w[0]))
+                take, long = min(best[2], tokens, best[3] + loss), []
+            elif fits and (room[1] > 1 or any(w[2] == room[0] for w in fits)):
                 value = lambda w: room[0] / tokens * w[2] / tokens + room[1] / segments / segments + room[2] / loss * need(w) / loss
                 best = max(fits, key=lambda w: (round(value(w), 12), -w[0], -w[1]))
                 take = best[2]
