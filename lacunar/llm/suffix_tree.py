@@ -47,7 +47,7 @@ END = np.uint64(0xE3D0_0000_0000_0001)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 FOLDS, HELD = 7, 2
 TALLY = -2  # block id of what buckets report to all
-LOG_STEPS = 1 << 16  # logarithms are summed in whole steps of so many a nat
+LOG_STEPS = 1 << 12  # logarithms are summed in whole steps of so many a nat
 LEVELS = 16  # a context's number holds its level
 OWN = -1  # bucket of what a block tells itself: where its files lie
 
@@ -177,15 +177,15 @@ def _followed(buckets: int, least: float, last: bool):
         if bucket <= OWN:
             return [(block, OWN, d) for block, d in zip(blocks, data, strict=True)]
         got = [grow(d) for d in data]
-        names = [_contexts(g[5:7], g[9:11], bucket, buckets) for g in got]
+        names = [_contexts(g[6:8], g[10:12], bucket, buckets) for g in got]
         name, name_first, name_back = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
-        context = np.repeat(name_back, np.concatenate([g[4] for g in got]))
+        context = np.repeat(name_back, np.concatenate([_counted(*g[4:6]) for g in got]))
         keys = (context << 40) | np.concatenate([_counted(*g[0:2]) for g in got])
         distinct, back = np.unique(keys, return_inverse=True)
         context = distinct >> 40
         total = np.bincount(back, weights=np.concatenate([_counted(*g[2:4]) for g in got]), minlength=len(distinct))
-        logs = np.bincount(name_back, weights=np.concatenate([_counted(*g[7:9]) for g in got]), minlength=len(name)) / -LOG_STEPS
-        hot = np.concatenate([np.arange(len(x)) >= len(x) - len(_counted(*g[9:11])) for x, g in zip(names, got, strict=True)])[name_first]
+        logs = np.bincount(name_back, weights=np.concatenate([_counted(*g[8:10]) for g in got]), minlength=len(name)) / -LOG_STEPS
+        hot = np.concatenate([np.arange(len(x)) >= len(x) - len(_counted(*g[10:12])) for x, g in zip(names, got, strict=True)])[name_first]
         seen = total > 0
         add = lambda x: np.bincount(context[seen], weights=x, minlength=len(name))
         followers, mass, own = add(None), add(total[seen]), add(total[seen] * np.log(total[seen]))
@@ -197,7 +197,7 @@ def _followed(buckets: int, least: float, last: bool):
         number = np.zeros(len(total), np.int64) if last else _ranked(total, least)
         sizes, runs = [len(g[1]) // int(g[0][0]) for g in got], [len(x) for x in names]
         parts = (_back(total[back].astype(np.int64), sizes), _back(number[back], sizes), _back(followers[name_back], runs), _back(ok[name_back], runs))
-        out = [(block, bucket, shrink(*_count(x), *_count(i), *_count(f), o.view(np.uint8))) for block, x, i, f, o in zip(blocks, *parts, strict=True)]
+        out = [(block, bucket, shrink(*_count(x), *_count(i), *_count(f), np.packbits(o))) for block, x, i, f, o in zip(blocks, *parts, strict=True)]
         return [*out, (TALLY, bucket, tally)] if hot.any() else out
 
     return run
@@ -312,7 +312,7 @@ class Known:
         cat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
         total, followers = (cat([_counted(*g[i : i + 2]) for g in got], np.int64) for i in (0, 4))
         number = cat([_number(_counted(*g[2:4]), b, self.plan.buckets) for b, g in zip(own, got, strict=True)], np.int64)
-        ok = cat([g[6] for g in got], np.uint8) > 0
+        ok = cat([np.unpackbits(g[6], count=len(g[5]) // int(g[4][0])) for g in got], np.uint8) > 0
         names, sums = self.plan.hot[d - 1]
         hot = np.flatnonzero(level.run_hot)
         if len(hot):
@@ -360,25 +360,29 @@ class Known:
             k = j - int(np.count_nonzero(run_hot[i:j]))
             place = run_number[i:k] // LEVELS // self.plan.buckets * LEVELS + run_number[i:k] % LEVELS
             near = np.diff(place, prepend=0)
-            parts[int(run_bucket[i])] = shrink(*_count(word[a:b]), *_count(count[a:b]), level.runs[i:j].astype(np.uint32), *_count(near), *_count(logs[i:j]), *_count(run_number[k:j]))
+            parts[int(run_bucket[i])] = shrink(*_count(word[a:b]), *_count(count[a:b]), *_count(level.runs[i:j]), *_count(near), *_count(logs[i:j]), *_count(run_number[k:j]))
         return parts | {OWN: json.dumps([self.kept, asked]).encode()}
 
-    def open(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], list[np.ndarray]]:
-        """(distinct contexts that don't diverge, whether a longer one here does; by level: their positions, their number)."""
+    def open(self) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
+        """(distinct contexts that don't diverge, whether a longer one here does; by level: positions, their number, and
+        positions whose context has what its suffix has, for it occurs where that does and neither diverges)."""
         depth = len(self.total) - 1
         names = list(self.t.names(max(1, depth - 1)))
         longer = np.zeros(len(self.t.index), bool)
+        shut = [(f > 0) & ~ok for f, ok in zip(self.followers, self.ok, strict=True)]
         found, marks, places = [], [], []
         for d in range(depth - 1, 0, -1):
             longer |= self.ok[d + 1]
-            at = np.flatnonzero((self.followers[d] > 0) & ~self.ok[d])
+            as_suffix = shut[d] & shut[d - 1] & (self.mass(d) == self.mass(d - 1)) if d > 1 else np.zeros(len(longer), bool)
+            at = np.flatnonzero(shut[d] & ~as_suffix)
             found.append(names[d - 1][at])
             marks.append(longer[at])
-            places.append(at)
+            places.append((at, np.flatnonzero(as_suffix)))
         distinct, back = np.unique(np.concatenate([np.zeros(0, np.uint64), *found]), return_inverse=True)
         mark = np.zeros(len(distinct), np.uint8)
         mark[back[np.concatenate([np.zeros(0, bool), *marks])]] = 1
-        return distinct, mark, places[::-1], _back(back, [len(x) for x in found])[::-1]
+        numbers = _back(back, [len(x) for x in found])
+        return distinct, mark, [(at, number, same) for (at, same), number in zip(places, numbers, strict=True)][::-1]
 
 
 def _send(block: int, buckets: int, parts: dict[int, bytes]) -> pa.RecordBatch:
@@ -399,7 +403,7 @@ def _ask_closed(plan: Plan):
         with blobs(plan.folder) as out:
             known = Known(Tokens(payload), plan, answers)
             known.keep(out)
-            name, mark, _, _ = known.open()
+            name, mark, _ = known.open()
             parts = {b: shrink(_planes(name[at]), mark[at]) for b, at in split(_bucket(name, plan.buckets))}
             yield _send(block, plan.buckets, parts | {OWN: json.dumps([known.kept, None]).encode()})
 
@@ -410,16 +414,19 @@ def _score(plan: Plan):
     def run(block: int, payload: bytes, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
         t = Tokens(payload)
         known = Known(t, plan, answers)
-        name, _, places, numbers = known.open()
+        name, _, places = known.open()
         closed = np.zeros(len(name), bool)
         for b, at in split(_bucket(name, plan.buckets)):
             closed[at] = grow(answers[b])[0] > 0
         base = (known.total[0] + 1) / (plan.n + plan.v + 1)
-        p = base.copy()
+        p, below = base.copy(), np.zeros(len(base), bool)
         for d in range(1, len(known.total)):
             use = known.ok[d].copy()
             if d <= len(places):
-                use[places[d - 1]] = closed[numbers[d - 1]]
+                at, number, same = places[d - 1]
+                use[at] = closed[number]
+                use[same] = below[same]
+            below = use
             at = np.flatnonzero(use)
             followers = known.followers[d][at]
             p[at] = (known.total[d][at] + followers * p[at]) / (known.mass(d)[at] + followers)
