@@ -15,13 +15,14 @@ from lacunar.operators.grid import is_target, tiled
 from lacunar.operators.spiral import halo
 
 
-def fill_tiles(classified: DataFrame, despeckle: Despeckle, a1: A1, limits: Limits, by: Sequence[str] = (), start_year: int | None = None, tile: int = 256) -> DataFrame:
-    """classified rows (by..., year, y, x, value, mean, sd, z, flags) despeckled and filled: value, flags, dist, n_pairs.
+def fill_tiles(classified: DataFrame, despeckle: Despeckle, a1: A1 | None, limits: Limits, by: Sequence[str] = (), start_year: int | None = None, tile: int = 256) -> DataFrame:
+    """classified rows (by..., year, y, x, value, mean, sd, z, flags) despeckled and filled (without a1: despeckled alone):
+    value, flags, dist, n_pairs.
 
     The halo holds both searches, so tiles agree with the whole image. Every year of a tile is in its group: a task
     holds (tile + 2 halo)^2 cells a year, whatever the image.
     """
-    margin = halo(despeckle.search) + halo(a1.search)
+    margin = halo(despeckle.search) + (halo(a1.search) if a1 else 0)
     rows = tiled(classified.withColumn("target", is_target(start_year)), tile, margin)
     keep = [*by, "year", "y", "x"]
 
@@ -41,7 +42,10 @@ def fill_tiles(classified: DataFrame, despeckle: Despeckle, a1: A1, limits: Limi
 
         flags = dense("flags", 1, np.int64)
         value, flags = kernels.despeckle(dense("value", np.nan), flags, dense("z", np.nan), despeckle)
-        value, flags, dist, n = kernels.fill_a1(value, flags, a1, limits, dense("target", False, bool))
+        if a1:
+            value, flags, dist, n = kernels.fill_a1(value, flags, a1, limits, dense("target", False, bool))
+        else:
+            dist, n = np.full(shape, np.nan), np.full(shape, -1, np.int64)
         out = pdf[[*keep, "mean", "sd"]].assign(value=value[at], flags=flags[at].astype(np.int16), dist=dist[at], n_pairs=pd.array(n[at], dtype="Int64"))
         out.loc[(n[at] < 0), "n_pairs"] = pd.NA
         return out[pdf["core"].to_numpy()]

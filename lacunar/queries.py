@@ -217,7 +217,7 @@ def a1_fill_default(spark, sf_dir):
 def despeckle_default(spark, sf_dir):
     """The default search and thresholds."""
     marked = despeckle.classify(*_parts(spark, sf_dir), LIMITS, Despeckle())
-    return despeckle.despeckle(marked, Despeckle()).select("year", "y", "x", "value", F.col("flags").cast("int").alias("flags"))
+    return tiles.fill_tiles(marked, Despeckle(), None, LIMITS, tile=64).select("year", "y", "x", "value", F.col("flags").cast("int").alias("flags"))
 
 
 def a1_counts(spark, sf_dir):
