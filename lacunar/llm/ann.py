@@ -14,8 +14,9 @@ Vectors in clusters need a few lists; where there are none, as in vectors drawn
 The codebook is of two levels: up to COARSE centroids, and residuals that every one of them is combined with, so that
 lists grow with the square root of the rows up to COARSE * FINE. Only it and a sample that gives each query its first
 bound are held by every task; both are fitted on about TRAIN_ROWS sampled rows, so their size does not depend on the
-table. Every row is indexed. Lists are cut into shards, and queries of a much-probed list into blocks, so no task's group
-grows with the data.
+table. Every row is indexed. Neighbouring lists make a part, and a part of many rows several shards; shards and blocks of
+queries are files of bounded size in the shared folder. A task reads one block and one shard at a time: what is sent says
+where they lie and, a bit for each, which query of the block probes which list of the part. No vector is sent with a list.
 
 Defined cases: as in `topk` (null, zero and non-finite vectors and vectors of another length take no part; repeated
 ids count once; a query meets all candidates if there are fewer than k; empty in, empty out).
@@ -30,8 +31,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import FloatType
 
-from lacunar.llm.scratch import materialize
+from lacunar.llm.files import blobs, read_blob
+from lacunar.llm.scratch import materialize, new_path, release
+from lacunar.llm.textops import trim
 from lacunar.llm.vectors import common_length, distinct_top, matrix, merge_top
 
 TRAIN_ROWS, COARSE, FINE = 16_384, 1024, 64
@@ -39,8 +43,12 @@ FIRST_ROWS = 3072  # of the lists that are probed first; their k-th best bounds
 MISS = 0.1  # of the rows that may be nearer, expected in lists that aren't probed
 EPSILON = 2.1  # of the hypothesis test: the larger, the fewer false rejections
 COLUMNS = 16  # in a block
-SHARD, BLOCK = 4096, 2048
-PACKED = "list int, uid long, n int, spread double, ids binary, vecs binary, aux binary"
+SHARD, BLOCK = 8192, 1024  # rows of a shard, queries of a block; fewer of long vectors
+VALUES = 1 << 21  # vector components that a step of a task takes at once
+PAIRS_PER_TASK = 32
+PACKED = "list int, uid long, n int, spread double, ids binary, vecs binary"
+PLACED = "part int, sub int, n int, file string, at long, size long"
+ASKED = "part int, bits binary, n_queries int, block_file string, block_at long, block_size long"
 FOUND = "query_id long, grp long, vec_id long, score double"
 
 
@@ -159,110 +167,202 @@ class Space:
         return (2 - 2 * np.maximum(last, least) / length).astype(np.float32)
 
 
+def _slices(ids: np.ndarray, *others: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
+    for a in range(0, len(ids), BLOCK):
+        yield ids[a : a + BLOCK], *(x[a : a + BLOCK] for x in others)
+
+
+def _found(query: np.ndarray, grp: int, ids: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({"query_id": pa.array(query, pa.int64()), "grp": pa.array(np.full(len(query), grp), pa.int64()), "vec_id": pa.array(ids, pa.int64()), "score": pa.array(score, pa.float64())})
+
+
 def _seeds(space: Space, key: str, vec: str, dim: int):
     """The k best of the sample as found rows, so that a query never ends with fewer than k."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, x = _nonzero(batch, key, vec, dim)
-            for own, (found, score) in zip(ids, space.nearest_in_sample(ids, x), strict=True):
-                yield pa.RecordBatch.from_pydict({"query_id": pa.array(np.full(len(found), own), pa.int64()), "grp": pa.array(np.zeros(len(found), np.int64)), "vec_id": pa.array(found, pa.int64()), "score": pa.array(score, pa.float64())})
+            for ids, x in _slices(*_nonzero(batch, key, vec, dim)):
+                best = space.nearest_in_sample(ids, x)
+                yield _found(np.repeat(ids, [len(i) for i, _ in best]), 0, np.concatenate([i for i, _ in best]), np.concatenate([s for _, s in best]))
 
     return run
 
 
-def _assign(space: Space, key: str, vec: str, dim: int, turn: int | None = None):
-    """Rows of their nearest list or, as queries, of the lists that they probe in the first or second turn, packed by
-    list. A query column "least" holds the k-th best score so far."""
+def _assign(space: Space, key: str, vec: str, dim: int, kind: str):
+    """Rows packed by their nearest list; `kind`: of the column's components, which lose nothing by it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         uid = TaskContext.get().partitionId() << 32
         for batch in batches:
-            all_ids, all_x = _nonzero(batch, key, vec, dim)
-            if turn is not None:
-                known = dict(zip(batch.column(key).to_pylist(), batch.column("least").to_pylist(), strict=True))
-                least = np.array([-np.inf if known[i] is None else known[i] for i in all_ids.tolist()])
-            for a in range(0, len(all_ids), BLOCK):
-                ids, x = all_ids[a : a + BLOCK], all_x[a : a + BLOCK]
-                points = space.place(x, turn is not None)
-                spread = np.zeros(len(ids))
-                if turn is None:
-                    row = np.arange(len(ids))
-                    lists, spread = space.own(points)
-                    aux = np.zeros(len(ids), np.float32)
-                else:
-                    aux = space.bounds(ids, x, least[a : a + BLOCK])
-                    parts = [space.asked(points[i : i + 64], aux[i : i + 64] if turn else None) for i in range(0, len(ids), 64)]
-                    row = np.concatenate([r + 64 * i for i, (r, _) in enumerate(parts)])
-                    lists = np.concatenate([p for _, p in parts])
+            for ids, x in _slices(*_nonzero(batch, key, vec, dim)):
+                lists, spread = space.own(space.place(x))
                 order = np.argsort(lists, kind="stable")
-                lists, row = lists[order], row[order]
-                starts = np.flatnonzero(np.diff(lists, prepend=-1))
-                rows = np.split(row, starts[1:]) if len(starts) else []
+                starts = np.flatnonzero(np.diff(lists[order], prepend=-1))
+                rows = np.split(order, starts[1:])
                 yield pa.RecordBatch.from_pydict({
-                    "list": pa.array(lists[starts], pa.int32()), "uid": pa.array(np.arange(uid, uid + len(starts)), pa.int64()), "n": pa.array([len(r) for r in rows], pa.int32()), "spread": pa.array([float(spread[r].sum()) for r in rows], pa.float64()),
-                    "ids": [ids[r].tobytes() for r in rows], "vecs": [x[r].tobytes() for r in rows], "aux": [aux[r].tobytes() for r in rows],
+                    "list": pa.array(lists[order][starts], pa.int32()), "uid": pa.array(np.arange(uid, uid + len(starts)), pa.int64()), "n": pa.array([len(r) for r in rows], pa.int32()),
+                    "spread": pa.array([float(spread[r].sum()) for r in rows], pa.float64()), "ids": [ids[r].tobytes() for r in rows], "vecs": [x[r].astype(kind).tobytes() for r in rows],
                 })
                 uid += len(starts)
 
     return run
 
 
-def _joined(table: pa.Table, dim: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    cat = lambda name, kind: np.frombuffer(b"".join(table[name].to_pylist()), kind)
-    return cat("ids", np.int64), cat("vecs", np.float64).reshape(-1, dim), cat("aux", np.float32)
+def _parts(size: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(part of each list, shards of each part): neighbouring lists up to `limit` rows; a longer list is a part of its own."""
+    part, subs, held = np.zeros(len(size), np.int32), [], limit + 1
+    for i, n in enumerate(size.tolist()):
+        if held + n > limit:
+            subs.append(max(1, math.ceil(n / limit)))
+            held = 0
+        part[i], held = len(subs) - 1, held + n
+    return part, np.array(subs, np.int32)
+
+
+def _shard(folder: str):
+    """A part's or shard's rows in a file: lists (ascending), ids and vectors."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by("list")
+        lists = np.repeat(table["list"].to_numpy(), table["n"].to_numpy()).astype(np.int32)
+        with blobs(folder) as out:
+            place = out.add(b"".join([lists.tobytes(), *table["ids"].to_pylist(), *table["vecs"].to_pylist()]))
+        return pa.table({c: pa.array([v], t) for c, v, t in zip(("part", "sub", "n", "file", "at", "size"), (table["part"][0].as_py(), table["sub"][0].as_py(), len(lists), *place), (pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.int64(), pa.int64()), strict=True)})
+
+    return run
+
+
+def _ask(space: Space, key: str, vec: str, dim: int, folder: str, part: np.ndarray, later: bool):
+    """Blocks of queries in files, and a row for each part of which a query of the block probes a list in the first or second
+    turn. A query column "least" holds the k-th best score so far."""
+    edges = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    most = max(64, min(BLOCK, VALUES // max(1, dim)))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with blobs(folder) as out:
+            for batch in batches:
+                all_ids, all_x = _nonzero(batch, key, vec, dim)
+                known = dict(zip(batch.column(key).to_pylist(), batch.column("least").to_pylist(), strict=True))
+                for a in range(0, len(all_ids), most):
+                    ids, x = all_ids[a : a + most], all_x[a : a + most]
+                    least = np.array([-np.inf if known[i] is None else known[i] for i in ids.tolist()])
+                    points, bound = space.place(x, True), space.bounds(ids, x, least)
+                    asked = np.zeros((len(ids), space.lists), bool)
+                    for i in range(0, len(ids), 64):
+                        row, lists = space.asked(points[i : i + 64], bound[i : i + 64] if later else None)
+                        asked[row + i, lists] = True
+                    hit = np.flatnonzero(np.logical_or.reduceat(asked.any(axis=0), edges[:-1]))
+                    if not len(hit):
+                        continue
+                    file, at, size = out.add(ids.tobytes() + bound.astype(np.float32).tobytes() + x.tobytes())
+                    bits = [np.packbits(asked[:, edges[p] : edges[p + 1]]).tobytes() for p in hit.tolist()]
+                    same = lambda v, t: pa.array([v] * len(hit), t)  # noqa: E731, B023
+                    yield pa.RecordBatch.from_pydict({
+                        "part": pa.array(hit, pa.int32()), "bits": pa.array(bits, pa.binary()), "n_queries": same(len(ids), pa.int32()),
+                        "block_file": same(file, pa.string()), "block_at": same(at, pa.int64()), "block_size": same(size, pa.int64()),
+                    })
+
+    return run
+
+
+def _cut(data: bytes, *kinds: tuple[type | str, int]) -> list[np.ndarray]:
+    """Arrays that lie one after another: (kind, length)."""
+    out, at = [], 0
+    for kind, n in kinds:
+        out.append(np.frombuffer(data, kind, n, at))
+        at += out[-1].nbytes
+    return out
 
-def scan(q: np.ndarray, c: np.ndarray, bound: np.ndarray, k: int, qi: np.ndarray, ci: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(query, candidate) positions that the tests leave. q, c: rotated; bound: of each query's k-th squared distance;
-    qi, ci: ids."""
+
+def scan(q: np.ndarray, c: np.ndarray, bound: np.ndarray, k: int, qi: np.ndarray, ci: np.ndarray, known: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """(query, candidate) positions that the tests leave. q, c: rotated; bound: of each query's k-th squared distance, if
+    `known` from nearer lists; qi, ci: ids. While many are left, a block of columns is one matrix product for all."""
     full = c.shape[1]
-    once = np.unique(ci, return_index=True)[1]
-    row = col = part = np.zeros(0)
+    gap = np.zeros((len(q), len(c)), np.float32)
+    alive = row = col = part = None
     for a in range(0, full, COLUMNS):
         b = min(full, a + COLUMNS)
-        if a == 0:
-            gap = (q[:, :b] ** 2).sum(1)[:, None] + (c[:, :b] ** 2).sum(1)[None, :] - 2 * (q[:, :b] @ c[:, :b].T)
-            if len(once) > k:  # of other rows, an id once, the k that look best so far give a bound of this list's own
-                look = np.where(ci[once][None, :] == qi[:, None], np.inf, gap[:, once])
-                first = once[np.argpartition(look, k - 1, axis=1)[:, :k]]
-                own = ((q[:, None, :] - c[first]) ** 2).sum(2).max(1)
-                bound = np.minimum(bound, own)
-            limit = bound * (b / full) * (1 + EPSILON / math.sqrt(b)) ** 2 + 1e-5
-            row, col = np.nonzero(gap <= limit[:, None])
-            part = gap[row, col]
+        share = (b / full) * (1 + EPSILON / math.sqrt(b)) ** 2 if b < full else 1.0
+        if row is None:
+            step = q[:, a:b] @ (-2 * c[:, a:b].T)
+            step += (q[:, a:b] ** 2).sum(1)[:, None]
+            step += (c[:, a:b] ** 2).sum(1)
+            gap += step
+            if a == 0 and not (known and np.isfinite(bound).all()):
+                once = np.unique(ci, return_index=True)[1]
+                if len(once) > k:  # of other rows, an id once, the k that look best so far give a bound of this list's own
+                    look = np.where(ci[once][None, :] == qi[:, None], np.inf, gap[:, once])
+                    first = once[np.argpartition(look, k - 1, axis=1)[:, :k]]
+                    bound = np.minimum(bound, ((q[:, None, :] - c[first]) ** 2).sum(2).max(1))
+            near = gap <= (bound * share + 1e-5).astype(np.float32)[:, None]
+            alive = near if alive is None else alive & near
+            if b == full or 16 * np.count_nonzero(alive) < alive.size:
+                row, col = np.nonzero(alive)
+                part = gap[row, col]
         else:
             part = part + ((q[row, a:b] - c[col, a:b]) ** 2).sum(1)
-            limit = bound * ((b / full) * (1 + EPSILON / math.sqrt(b)) ** 2 if b < full else 1.0) + 1e-5
-            keep = part <= limit[row]
+            keep = part <= (bound * share + 1e-5)[row]
             row, col, part = row[keep], col[keep], part[keep]
     return row, col
 
 
-def _search(space: Space, dim: int):
-    k = space.k
-
-    def run(queries: pa.Table, shards: pa.Table) -> pa.Table:
-        out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if queries.num_rows and shards.num_rows:
-            qi, q, bound = _joined(queries, dim)
-            ci, c, _ = _joined(shards, dim)
-            qr, cr = space.place(q, True), space.place(c)
-            for a in range(0, len(qi), 256):
-                row, col = scan(qr[a : a + 256], cr, bound[a : a + 256], k, qi[a : a + 256], ci)
-                score = (q[a + row] * c[col]).sum(1)
-                for i in range(min(256, len(qi) - a)):
-                    lo, hi = np.searchsorted(row, [i, i + 1])
-                    mine = lo + np.flatnonzero(ci[col[lo:hi]] != qi[a + i])
-                    ids, s = ci[col[mine]], score[mine]
-                    top = distinct_top(ids, s, k)
-                    out.append((np.full(len(top), qi[a + i]), ids[top], s[top]))
-        cat = lambda i, kind: np.concatenate([x[i] for x in out]) if out else np.zeros(0, kind)
-        ids = cat(0, np.int64)
-        grp = shards["list"][0].as_py() if shards.num_rows else 0
-        return pa.table({"query_id": pa.array(ids, pa.int64()), "grp": pa.array(np.full(len(ids), grp), pa.int64()), "vec_id": pa.array(cat(1, np.int64), pa.int64()), "score": pa.array(cat(2, np.float64), pa.float64())})
+def _best(found: list[tuple[np.ndarray, np.ndarray, np.ndarray]], k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of (query, id, score) rows the k best of each query, an id once."""
+    query, ids, score = (np.concatenate([f[i] for f in found]) for i in range(3))
+    order = np.lexsort((-score, ids, query))
+    query, ids, score = query[order], ids[order], score[order]
+    once = np.append(True, (np.diff(query) != 0) | (np.diff(ids) != 0))[: len(query)]
+    query, ids, score = query[once], ids[once], score[once]
+    order = np.lexsort((ids, -score, query))
+    query, ids, score = query[order], ids[order], score[order]
+    top = np.arange(len(query)) - np.searchsorted(query, query) < k
+    return query[top], ids[top], score[top]
+
+
+def _search(space: Space, dim: int, kind: str, edges: np.ndarray, later: bool):
+    """The k best of each query of a block in the lists of a shard that it probes."""
+    k, step = space.k, max(1, VALUES // (dim + 1))
+
+    def pair(bits: bytes, nq: int, first: int, lists: int, queries: bytes, n: int, shard: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        qi, bound, q = _cut(queries, (np.int64, nq), (np.float32, nq), (np.float64, nq * dim))
+        own, ci, c = _cut(shard, (np.int32, n), (np.int64, n), (kind, n * dim))
+        q, c = q.reshape(nq, dim), c.reshape(n, dim)
+        qr, cr = space.place(q, True), space.place(c.astype(np.float64))
+        asked = np.unpackbits(np.frombuffer(bits, np.uint8), count=nq * lists).reshape(nq, lists).astype(bool)
+        none = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))
+        found, held = [none], 0
+        starts = np.flatnonzero(np.diff(own, prepend=-1))
+        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), n], strict=False):
+            who = np.flatnonzero(asked[:, own[lo] - first])
+            for at in range(lo, hi, step):
+                end = min(hi, at + step)
+                take = max(1, min(256, (1 << 18) // (end - at)))
+                for i in range(0, len(who), take):
+                    some = who[i : i + take]
+                    row, col = scan(qr[some], cr[at:end], bound[some], k, qi[some], ci[at:end], later)
+                    row, col = some[row], col + at
+                    other = qi[row] != ci[col]
+                    row, col = row[other], col[other]
+                    for j in range(0, len(row), step):
+                        r, o = row[j : j + step], col[j : j + step]
+                        found.append((r, ci[o], (q[r] * c[o].astype(np.float64)).sum(1)))
+                        held += len(r)
+                    if held > 1 << 18:
+                        found = [_best(found, k)]
+                        held = 0
+        row, ids, score = _best(found, k)
+        return qi[row], ids, score
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for p in batch.to_pylist():
+                first, last = edges[p["part"]], edges[p["part"] + 1]
+                queries, shard = read_blob(p["block_file"], p["block_at"], p["block_size"]), read_blob(p["file"], p["at"], p["size"])
+                query, ids, score = pair(p["bits"], p["n_queries"], first, last - first, queries, p["n"], shard)
+                yield _found(query, p["part"] + p["sub"], ids, score)
+        trim()
 
     return run
 
@@ -286,29 +386,30 @@ def adaptive_scan(df: DataFrame, k: int = 20, every: int = 20, key: str = "vec_i
     space = Space(x, ids, most, n, k)
     space.sample, space.sample_ids = space.sample[:2048], space.sample_ids[:2048]
 
-    base = materialize(df.mapInArrow(_assign(space, key, vec, dim), PACKED), "ann-base")
+    kind = "f4" if isinstance(df.schema[vec].dataType.elementType, FloatType) else "f8"
+    base = materialize(df.mapInArrow(_assign(space, key, vec, dim, kind), PACKED), "ann-base")
     per = base.groupBy("list").agg(F.sum("n").alias("n"), F.sum("spread").alias("spread")).collect()  # a row a list: COARSE * FINE at most
     for r in per:
         space.size[r["list"]], space.spread[r["list"]] = r["n"], r["spread"] / r["n"]
-    subs = {r["list"]: -(-r["n"] // SHARD) for r in per}
+    part, subs = _parts(space.size, max(256, min(SHARD, VALUES // dim)))
+    edges = np.append(np.flatnonzero(np.diff(part, prepend=-1)), len(part))
+    of = spark.createDataFrame([(i, int(p), int(subs[p])) for i, p in enumerate(part) if space.size[i]], "list int, part int, subs int")
+    rows = base.join(F.broadcast(of), "list").withColumn("sub", F.pmod(F.xxhash64("uid"), F.col("subs")).cast("int"))
+    rows = rows.select("part", "sub", "list", "n", "ids", "vecs")
+    shards = materialize(rows.groupBy("part", "sub").applyInArrow(_shard(new_path(spark, "ann-shards")), PLACED), "ann-places")
+    release(base)
     queries = df.where(F.pmod(key, F.lit(every)) == 0)
 
-    def probe(queries: DataFrame, turn: int) -> DataFrame:
-        asked = materialize(queries.mapInArrow(_assign(space, key, vec, dim, turn), PACKED), "ann-queries")
-        blocks = {r["list"]: -(-r["n"] // BLOCK) for r in asked.groupBy("list").agg(F.sum("n").alias("n")).collect()}
-        sizes = [(p, subs[p], blocks[p]) for p in sorted(subs.keys() & blocks.keys())]
-
-        def spread(d: DataFrame, own: str, other: str) -> DataFrame:
-            d = d.join(F.broadcast(spark.createDataFrame(sizes, "list int, subs int, blocks int")), "list").withColumn(own, F.pmod(F.xxhash64("uid"), F.col(own + "s")).cast("int"))
-            return d.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other + "s") - 1))).drop("subs", "blocks")
-
-        keys = ["list", "sub", "block"]
-        left, right = spread(asked, "block", "sub"), spread(base, "sub", "block")
-        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(_search(space, dim), FOUND)
+    def probe(queries: DataFrame, later: bool) -> DataFrame:
+        asked = materialize(queries.mapInArrow(_ask(space, key, vec, dim, new_path(spark, "ann-blocks"), part, later), ASKED), "ann-queries")
+        pairs = asked.join(shards, "part")
+        tasks = max(3 * spark.sparkContext.defaultParallelism, -(-pairs.count() // PAIRS_PER_TASK))
+        return pairs.repartition(tasks).mapInArrow(_search(space, dim, kind, edges, later), FOUND)
 
-    found = probe(queries.withColumn("least", F.lit(None).cast("double")), 0)
+    groups = len(subs) + int(subs.max())
+    found = probe(queries.withColumn("least", F.lit(None).cast("double")), False)
     found = found.unionByName(queries.mapInArrow(_seeds(space, key, vec, dim), FOUND))
-    near = materialize(merge_top(found, k, space.lists), "ann-near")
+    near = materialize(merge_top(found, k, groups), "ann-near")
     kth = near.where(F.col("rank") == k).select(F.col("query_id").alias(key), F.col("score").alias("least"))
-    rest = probe(queries.join(kth, key, "left").select(key, vec, "least"), 1)
-    return merge_top(rest.unionByName(near.select("query_id", F.lit(0).cast("long").alias("grp"), "vec_id", "score")), k, space.lists)
+    rest = probe(queries.join(kth, key, "left").select(key, vec, "least"), True)
+    return merge_top(rest.unionByName(near.select("query_id", F.lit(0).cast("long").alias("grp"), "vec_id", "score")), k, groups)

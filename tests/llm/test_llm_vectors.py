@@ -4,6 +4,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lacunar.llm import ann, topk
 
@@ -115,6 +116,31 @@ def test_scan_probes_what_it_needs(monkeypatch):
     assert probed.mean() > 0.9 and ((first | later) @ space.size).mean() < 0.5 * len(x)
 
 
+def test_scan_sends_no_vector_with_a_list(spark, monkeypatch):
+    """What queries take grows with their number, not with that of the lists they probe; lists are cut into shards."""
+    monkeypatch.setattr(ann, "FIRST_ROWS", 200)
+    monkeypatch.setattr(ann, "SHARD", 300)
+    rng = np.random.default_rng(9)
+    x = rng.standard_normal((3000, 64)).astype(np.float32)
+    x[500:1200] = x[500]  # a list longer than a shard
+    sent, write = [], ann.materialize
+
+    def materialize(df, name):
+        out = write(df, name)
+        if name == "ann-queries":
+            sent.extend(v or 0 for v in out.select(*[F.sum(F.length(c)) for c, kind in out.dtypes if kind == "binary"]).first())
+        return out
+
+    monkeypatch.setattr(ann, "materialize", materialize)
+    rows = frame(spark, [(i, [float(f) for f in v]) for i, v in enumerate(x)])
+    got = [tuple(r) for r in ann.adaptive_scan(rows, k=5, every=3).select("query_id", "vec_id", "score").collect()]
+    assert 0 < sum(sent) < 1000 * 64 * 8
+    score = x[::3].astype(float) @ x.T.astype(float)
+    score[np.arange(1000), np.arange(0, 3000, 3)] = -np.inf
+    least = -np.partition(-score, 4, axis=1)[:, 4]  # ties count
+    assert len(got) == 5000 and sum(s >= least[q // 3] - 1e-9 for q, _, s in got) >= 4500
+
+
 def test_scan_with_unequal_lengths(spark):
     rng = np.random.default_rng(4)
     x = rng.standard_normal((400, 8)) * rng.uniform(0.1, 10, (400, 1))
