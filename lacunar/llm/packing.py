@@ -109,7 +109,7 @@ def _pack(tokenizer: str, end: int, tokens: int, segments: int, loss: int, promp
         for batch in batches:
             for part in slices(batch, "text", 4 << 20):
                 ids, offsets = encoder.encode(part.column("text"), end)
-                ids = ids.astype("<u4")
+                ids = ids.astype("<u4", copy=False)
                 lead = [np.zeros(0, np.uint32)] * len(part)
                 if prompt:
                     p_ids, p_off = encoder.encode(part.column("prompt"))

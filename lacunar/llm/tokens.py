@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+from codecs import charmap_decode
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 
-from lacunar.llm.textops import pieces, ragged, whole
+from lacunar.llm.textops import pieces, whole
 
 MAX_PIECES, MAX_PARTS = 250_000, 100_000  # held by a worker; when full, the cache starts again
 MARKS = frozenset(".,;:!?")
@@ -48,11 +49,14 @@ class Encoder:
         shown = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         hidden = [b for b in range(256) if b not in set(shown)]
         self.table = {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
+        self.signs = "".join(self.table[b] for b in range(256))
         self.clear()
 
     def clear(self) -> None:
         self.slot: dict[bytes, int] = {}
         self.parts: dict[str, list[int]] = {}
+        self.words: dict[str, list[int]] = {}
+        self.ends: dict[int, int] = {}  # where the pool holds an end id
         self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
         self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
 
@@ -80,6 +84,36 @@ class Encoder:
             out += self._part(part)
         return out
 
+    def _all(self, distinct: list[bytes]) -> list[list[int]]:
+        """The ids of each piece. Most are a space and letters, perhaps one mark behind; all others pass `_ids`."""
+        if not self.plain:
+            return [self._ids(piece) for piece in distinct]
+        words, tokenize, lower, signs = self.words, self.model.tokenize, self.lower, self.signs
+        marks = {m: self._part(m) for m in MARKS}
+        out = []
+        for piece in distinct:
+            word, mark = piece.decode("utf-8"), None
+            if not word[1:].isalpha() and (mark := marks.get(word[-1:])) is not None:
+                word = word[:-1]
+            if word[:1] != " " or not word[1:].isalpha() or not (word.isascii() or max(word) <= "\xff"):
+                out.append(self._ids(piece))
+                continue
+            if (ids := words.get(word)) is None:
+                ids = [t.id for t in tokenize(charmap_decode((word[1:].lower() if lower else word).encode("utf-8"), "strict", signs)[0])]
+                if len(words) >= MAX_PARTS:
+                    words.clear()
+                words[word] = ids
+            out.append(ids + mark if mark else ids)
+        return out
+
+    def _put(self, ids: np.ndarray) -> int:
+        """Where the pool holds these ids from now on."""
+        while self.used + len(ids) > len(self.pool):
+            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+        self.pool[self.used : self.used + len(ids)] = ids
+        self.used += len(ids)
+        return self.used - len(ids)
+
     def _slots(self, distinct: list[bytes]) -> np.ndarray:
         if len(self.slot) > MAX_PIECES:
             self.clear()
@@ -88,7 +122,7 @@ class Encoder:
         new = np.flatnonzero(out < 0)
         if not len(new):
             return out
-        ids = [self._ids(distinct[i]) for i in new.tolist()]
+        ids = self._all([distinct[i] for i in new.tolist()])
         k = len(slot)
         slot.update(zip([distinct[i] for i in new.tolist()], range(k, k + len(new)), strict=True))
         out[new] = np.arange(k, k + len(new))
@@ -96,23 +130,21 @@ class Encoder:
         flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
         while k + len(new) > len(self.start):
             self.start, self.length = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.length))
-        while self.used + len(flat) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used : self.used + len(flat)] = flat
-        self.start[k : k + len(new)], self.length[k : k + len(new)] = self.used + np.cumsum(sizes) - sizes, sizes
-        self.used += len(flat)
+        self.start[k : k + len(new)], self.length[k : k + len(new)] = self._put(flat) + np.cumsum(sizes) - sizes, sizes
         return out
 
     def encode(self, col: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after another, offsets of the rows). With `end`, each row gets that id at its end."""
         index, distinct, first = pieces(col) if self.plain else whole(col)
         slots = self._slots(distinct.to_pylist())[index] if len(index) else np.zeros(0, np.int64)
-        lengths = self.length[slots]
-        ids = self.pool[ragged(self.start[slots], lengths)]
-        offsets = np.concatenate([np.zeros(1, np.int64), np.cumsum(lengths)])[first]
-        if end is None:
-            return ids, offsets
-        out = np.full(len(ids) + len(col), end, np.uint32)
-        row = np.repeat(np.arange(len(col)), np.diff(offsets))
-        out[np.arange(len(ids)) + row] = ids
-        return out, offsets + np.arange(len(col) + 1)
+        starts, lengths = self.start[slots], self.length[slots]
+        if end is not None:  # one more piece of each row
+            if end not in self.ends:
+                self.ends[end] = self._put(np.array([end], np.uint32))
+            starts, lengths = np.insert(starts, first[1:], self.ends[end]), np.insert(lengths, first[1:], 1)
+            first = first + np.arange(len(first))
+        ends = np.cumsum(lengths)
+        total, kind = int(ends[-1]) if len(ends) else 0, np.int32 if len(self.pool) < 1 << 31 else np.int64
+        at = np.repeat((starts - (ends - lengths)).astype(kind if total < 1 << 31 else np.int64), lengths)
+        at += np.arange(total, dtype=at.dtype)
+        return self.pool.take(at), np.concatenate([np.zeros(1, np.int64), ends])[first]

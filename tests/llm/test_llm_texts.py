@@ -12,7 +12,7 @@ import pyarrow as pa
 import pytest
 import xxhash
 
-from lacunar.llm import bitplane, blocks, licenses, mixing, packing, similar, simhash, substrings, suffix_tree, toxicity
+from lacunar.llm import bitplane, blocks, licenses, mixing, packing, similar, simhash, substrings, suffix_tree, tokens, toxicity
 from lacunar.llm.queries import tokenizer_path
 from lacunar.llm.tokens import Encoder
 
@@ -96,6 +96,22 @@ def test_blocks_round_trip(planes):
         assert (bitplane.unshuffle_block(parts, len(v), width, planes) == v).all()
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_plain_words_take_the_short_way(name, monkeypatch):
+    """A space, letters and perhaps a mark need neither the pattern nor the table; ids are the library's, ends included."""
+    words = ["über", "Straße", "naïve", "The", "THE", "ªb", "x"]
+    plain = [w + m for w in words for m in ("", ".", ",", "!", "?", ":", ";")]
+    odd = ["a1", "don't", "<unk>", "!!", "Ωmega", "日本", "a..", "", "\n", "\nTo", "a\u00a0b", "ǅ", "b\u0301"]
+    encoder = tokens.Encoder(tokenizer_path(name))
+    seen, ids = [], encoder._ids
+    monkeypatch.setattr(encoder, "_ids", lambda piece: seen.append(piece) or ids(piece))
+    texts = ["", *(" " + w for w in plain + odd), " " + " ".join(plain + odd), None]
+    got, at = encoder.encode(pa.array(texts), end=1)
+    for t, a, b in zip(texts, at, at[1:], strict=False):
+        assert got[a:b].tolist() == [*encoder.tokenizer.encode(t or "", add_special_tokens=False).ids, 1]
+    assert not {(" " + w).encode() for w in plain} & set(seen)
+
+
 def test_packing(spark, rows):
     got = packing.pack(frame(spark, rows), tokenizer_path("byte_bpe_50k.json"), end=1, tokens=128, with_ids=True).collect()
     tk = Encoder.of(tokenizer_path("byte_bpe_50k.json")).tokenizer
