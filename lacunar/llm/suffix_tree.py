@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from lacunar.llm.blocks import SENT, exchange, freeze, grow, over, pack_blocks, sent, shrink, split, thaw
 from lacunar.llm.files import blobs, read_blob
-from lacunar.llm.scratch import materialize, new_path, release
+from lacunar.llm.scratch import delete, materialize, new_path, release
 from lacunar.llm.textops import Words
 from lacunar.llm.toxicity import fold
 
@@ -222,6 +222,10 @@ class Plan:
         self.folder, self.buckets, self.n, self.v, self.least, self.hot_mass = folder, buckets, n, v, max(1, least), max(1, HOT * n)
         self.hot: list[tuple[np.ndarray, np.ndarray]] = []
 
+    def asked(self, d: int) -> str:
+        """The folder of what is needed until the answers of level d are taken."""
+        return f"{self.folder}-asked-{d}"
+
 
 class Level:
     """Order of what a block asks at level d: its (context, word) keys by bucket, hot contexts last, and context number. It
@@ -337,8 +341,8 @@ class Known:
             else:
                 self.kept.append(out.add(shrink(*_count(self.words), *_count(self.word_numbers))))
 
-    def ask(self, out) -> dict[int, bytes]:
-        """What is sent for the next level, by bucket."""
+    def ask(self, out, own) -> dict[int, bytes]:
+        """What is sent for the next level, by bucket. `own` takes what is read only with the answers to it."""
         t, d = self.t, len(self.total)
         level = Level(self, d)
         at = level.at
@@ -352,7 +356,7 @@ class Known:
         run_number, run_hot, run_bucket = level.run_number, level.run_hot, level.bucket[level.starts]
         word = self.word_numbers[t.index[level.first]]
         self.keep(out)
-        asked = out.add(shrink(*_count(self.number[level.same]), *_count(level.numbers)))
+        asked = own.add(shrink(*_count(self.number[level.same]), *_count(level.numbers)))
         parts = {}
         cut = np.flatnonzero(np.diff(run_bucket, prepend=-1))
         for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(level.starts)][: len(cut)], strict=True):
@@ -392,8 +396,8 @@ def _send(block: int, buckets: int, parts: dict[int, bytes]) -> pa.RecordBatch:
 
 def _ask(plan: Plan):
     def run(block: int, payload: bytes, answers: dict[int, bytes]) -> Iterator[pa.RecordBatch]:
-        with blobs(plan.folder) as out:
-            yield _send(block, plan.buckets, Known(Tokens(payload), plan, answers).ask(out))
+        with blobs(plan.folder) as out, blobs(plan.asked(len(plan.hot) + 1)) as own:
+            yield _send(block, plan.buckets, Known(Tokens(payload), plan, answers).ask(out, own))
 
     return run
 
@@ -484,6 +488,8 @@ def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int
     for d in range(1, depth + 1):
         answers = gather(_ask(plan), _followed(buckets, plan.least, d == depth), f"tree-level-{d}")
         plan.hot.append(_hot(answers))
+        delete(spark, plan.asked(d - 1))
     answers = gather(_ask_closed(plan), _closed, "tree-closed")
+    delete(spark, plan.asked(depth))
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return over(blocks, n_blocks, _score(plan), out, answers)

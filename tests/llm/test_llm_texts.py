@@ -6,6 +6,7 @@ import json
 import math
 import random
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -531,6 +532,16 @@ def test_suffix_tree(spark, rows, monkeypatch):
         assert r["base_score"] == pytest.approx(base) and r["score"] == pytest.approx(score)
 
 
+def test_suffix_tree_keeps_no_files_of_done_levels(spark, rows, monkeypatch):
+    plans = []
+    monkeypatch.setattr(suffix_tree, "Plan", lambda *a, make=suffix_tree.Plan: plans.append(make(*a)) or plans[-1])
+    before = suffix_tree.suffix_tree_scores(frame(spark, rows), min_count=6, depth=3)
+    folder = Path(plans[0].folder.removeprefix("file://"))
+    written = [f.stat().st_size for f in folder.parent.glob(f"{folder.name}*/*") if f.suffix != ".crc"]
+    blocks_ = len(list(folder.glob("*")))
+    assert before.count() and written and len(written) == blocks_ and not list(folder.parent.glob(f"{folder.name}-asked-*"))
+
+
 @pytest.mark.parametrize("hot", [1e-3, 2e-2])
 def test_suffix_tree_by_count(spark, rows, monkeypatch, hot):
     """Contexts by an absolute count, longer than two words, and closed under suffixes."""
