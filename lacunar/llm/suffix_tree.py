@@ -18,7 +18,8 @@ context and given to every task. A last exchange closes the set under suffixes.
 
 A block is split into words once. What it learns at a level it keeps in files of the shared folder, where its next
 passes find it: shuffles carry counts alone, of one level at a time. Buckets number the words, frequent ones first, and
-the contexts of the next level; what is sent names both by number. Within a block contexts are known by 64-bit hashes.
+the contexts of the next level; what is sent names both by number, and words' hashes are dropped when they are numbered.
+Ranks and words ascend where they can, and what is sent are the steps. Contexts are known by 64-bit hashes of numbers.
 
 Defined cases: a null text is the end mark alone. Null ids count as training. An empty table gives no rows. Words are
 known by 64-bit hashes. Only doc_id and text are read.
@@ -32,10 +33,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.blocks import SENT, exchange, freeze, grow, over, pack_blocks, sent, shrink, split, thaw
+from lacunar.llm.blocks import SENT, exchange, freeze, over, pack_blocks, sent, split, thaw
 from lacunar.llm.files import blobs, read_blob
 from lacunar.llm.scratch import delete, materialize, new_path, release
 from lacunar.llm.textops import Words
@@ -50,41 +52,106 @@ TALLY = -2  # block id of what buckets report to all
 LOG_STEPS = 1 << 12  # logarithms are summed in whole steps of so many a nat
 LEVELS = 16  # a context's number holds its level
 OWN = -1  # bucket of what a block tells itself: where its files lie
+ALONE = 256  # bytes from which a plane is compressed by itself
+_zip, _unzip = zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()  # one each a worker
+
+
+def shrink(*arrays: np.ndarray) -> bytes:
+    """Arrays of one or two dimensions as one message; `grow` gives them back. Each row of planes is compressed by itself,
+    for its bytes are spread as no other's, but small ones together with what tells kinds and sizes."""
+    head, small, large = [len(arrays)], [], []
+    for a in arrays:
+        head += [ord(a.dtype.kind), a.dtype.itemsize, a.ndim, a.shape[0], a.shape[-1]]
+        for row in a if a.ndim == 2 else [a]:
+            data = np.ascontiguousarray(row).tobytes()
+            if len(data) >= ALONE:
+                large.append(_zip.compress(data))
+                head.append(len(large[-1]))
+            else:
+                small.append(data)
+    head = np.array(head, "<u4")
+    first = _zip.compress(b"".join([np.array([len(head)], "<u4").tobytes(), _planes(head).tobytes(), *small]))
+    return b"".join([np.array([len(first)], "<u4").tobytes(), first, *large])
+
+
+def grow(data: bytes) -> list[np.ndarray]:
+    end = 4 + int(np.frombuffer(data, "<u4", 1)[0])
+    first = _unzip.decompress(data[4:end])
+    n = int(np.frombuffer(first, "<u4", 1)[0])
+    head = iter(_joined(np.frombuffer(first, np.uint8, 4 * n, 4), "<u4").tolist())
+    at, out = 4 + 4 * n, []
+    for _ in range(next(head)):
+        kind, item, dims, rows, length = (next(head) for _ in range(5))
+        parts = []
+        for _ in range(rows if dims == 2 else 1):
+            if (size := item * length) >= ALONE:
+                packed = next(head)
+                parts.append(_unzip.decompress(data[end : end + packed]))
+                end += packed
+            else:
+                parts.append(first[at : at + size])
+                at += size
+        whole = np.frombuffer(parts[0] if len(parts) == 1 else b"".join(parts), f"{chr(kind)}{item}")
+        out.append(whole.reshape(rows, length) if dims == 2 else whole)
+    return out
 
 
-def _code(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """Texts as word numbers, each distinct word's hash once."""
-    words = Words(batch.column("text"), lower=True)
-    index, distinct = words.coded()
-    hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()], dtype=np.uint64)
-    n = batch.num_rows
-    docs = words.docs + np.arange(n + 1)
-    at = np.full(len(words) + n, len(hashes), np.uint32)
-    at[np.arange(len(words)) + np.repeat(np.arange(n), np.diff(words.docs))] = index
-    own = freeze(batch.select(["doc_id", "held_out"]))
-    return pa.RecordBatch.from_pydict({"rows": [own], "tokens": [shrink(np.concatenate([hashes, [END]]), docs, at)]})
+def _code(folder: str):
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        """Texts as numbers of the block's words, the most frequent first, the end mark last. Each distinct word's hash once,
+        in a file of its own that goes as soon as the buckets have numbered the words."""
+        words = Words(batch.column("text"), lower=True)
+        index, distinct = words.coded()
+        often = np.argsort(-np.bincount(index, minlength=len(distinct)), kind="stable")
+        place = np.empty(len(often), np.int64)
+        place[often] = np.arange(len(often))
+        hashes = np.array([xxhash.xxh3_64_intdigest(w) for w in distinct.to_pylist()], dtype=np.uint64)[often]
+        n = batch.num_rows
+        docs = words.docs + np.arange(n + 1)
+        at = np.full(len(words) + n, len(hashes), np.int64)
+        at[np.arange(len(words)) + np.repeat(np.arange(n), np.diff(words.docs))] = place[index]
+        own = freeze(batch.select(["doc_id", "held_out"]))
+        with blobs(folder) as out:
+            hashed = json.dumps(out.add(shrink(np.concatenate([hashes, [END]]))))
+        return pa.RecordBatch.from_pydict({"rows": [own], "tokens": [shrink(_count(np.diff(docs)), _count(at))], "distinct": [len(hashes) + 1], "hashed": [hashed]})
+
+    return run
 
 
 class Tokens:
-    """A block's words and end marks in order: `index` into `hash` (distinct), `docs` each row's first token."""
+    """A block's words and end marks in order: `index` into its `distinct` ones, `docs` each row's first token."""
 
     def __init__(self, payload: bytes):
         block = thaw(payload)
         rows = thaw(block["rows"][0].as_py())
         self.ids, self.held = rows["doc_id"].combine_chunks(), rows["held_out"].combine_chunks()
-        self.hash, self.docs, index = grow(block["tokens"][0].as_py())
-        self.index = index.astype(np.int64)
-        self.train = np.repeat(~self.held.to_numpy(zero_copy_only=False).astype(bool), np.diff(self.docs))
-        self.k = np.arange(len(index)) - np.repeat(self.docs[:-1], np.diff(self.docs))  # tokens of the text before each
-        self.word = self.hash[self.index]
+        self.distinct, self.hashed = block["distinct"][0].as_py(), block["hashed"][0].as_py()
+        sizes, self.index = map(_counted, grow(block["tokens"][0].as_py()))
+        self.docs = np.concatenate([[0], np.cumsum(sizes)])
+        self.train = np.repeat(~self.held.to_numpy(zero_copy_only=False).astype(bool), sizes)
+        self.k = np.arange(len(self.index)) - np.repeat(self.docs[:-1], sizes)  # tokens of the text before each
+
+    def hashes(self) -> np.ndarray:
+        """Of the distinct words; only until they are numbered."""
+        return grow(read_blob(*json.loads(self.hashed)))[0]
+
+    def number(self, numbers: np.ndarray) -> None:
+        """Words as the buckets number them, 0 if training hasn't them."""
+        self.end, self.word = np.uint64(numbers[-1]), numbers[self.index].astype(np.uint64)
+
+    def before(self) -> np.ndarray:
+        """`index` of what precedes each token."""
+        out = np.roll(self.index, 1)
+        out[self.k == 0] = self.distinct - 1
+        return out
 
     def names(self, depth: int) -> Iterator[np.ndarray]:
         """The contexts of 1, 2, ... words before each token, as hashes; meaningless where the text has fewer."""
         name = np.zeros(len(self.word), np.uint64)
         for d in range(1, depth + 1):
-            last = np.full(len(self.word), END)
+            last = np.full(len(self.word), self.end)
             last[d:] = self.word[:-d]
-            last[self.k == d - 1] = END
+            last[self.k == d - 1] = self.end
             name = _mix((name * _C) ^ (last * _B))
             yield name
 
@@ -108,18 +175,24 @@ def _bucket(key: np.ndarray, buckets: int) -> np.ndarray:
     return (_mix(key) % np.uint64(buckets)).astype(np.int64)
 
 
-def _count(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _count(x: np.ndarray) -> np.ndarray:
     """A column of counts in as few planes as it needs."""
-    width = next(w for w in (1, 2, 4, 8) if x.max(initial=0) < 1 << (8 * w))
-    return np.array([width], np.uint8), _planes(x.astype(f"u{width}"))
+    width = next(w for w in (1, 2, 3, 4, 8) if x.max(initial=0) < 1 << (8 * w))
+    return _planes(x.astype("<u8")).reshape(8, -1)[:width]
 
 
-def _counted(width: np.ndarray, planes: np.ndarray) -> np.ndarray:
-    return _joined(planes, f"u{int(width[0])}").astype(np.int64)
+def _counted(planes: np.ndarray) -> np.ndarray:
+    whole = np.zeros((planes.shape[1], 8), np.uint8)
+    whole[:, : len(planes)] = planes.T
+    return whole.view("<i8").ravel()
 
 
-def _pairs(arrays: list[np.ndarray]) -> list[list[np.ndarray]]:
-    return [arrays[i : i + 2] for i in range(0, len(arrays) - len(arrays) % 2, 2)]
+def _order(key: np.ndarray) -> np.ndarray:
+    """Positions by key, by 16 bits at a time."""
+    out = np.arange(len(key))
+    for digit in range(0, int(key.max(initial=0)).bit_length(), 16):
+        out = out[np.argsort((key[out] >> np.uint64(digit)).astype(np.uint16), kind="stable")]
+    return out
 
 
 def _back(out: np.ndarray, sizes: list[int]):
@@ -140,11 +213,51 @@ def _number(rank: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
     return np.where(rank > 0, (rank - 1) * buckets + bucket + 1, 0)
 
 
-def _words(buckets: int):
+def _told(total: np.ndarray, rank: np.ndarray) -> list[np.ndarray]:
+    """Totals and their ranks of one bucket. Totals fall as ranks rise, so those with a rank are sent as the steps down."""
+    ranked = rank > 0
+    falling = total[ranked][np.argsort(rank[ranked], kind="stable")]
+    return [_count(rank), _count(total[~ranked]), _count(np.abs(np.diff(falling, prepend=0)))]
+
+
+def _heard(arrays: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(totals, ranks) of the three arrays of `_told`."""
+    rank, others, steps = map(_counted, arrays)
+    total = np.zeros(len(rank), np.int64)
+    total[rank == 0] = others
+    at = np.flatnonzero(rank)
+    steps[1:] *= -1
+    total[at[np.argsort(rank[at], kind="stable")]] = np.cumsum(steps)
+    return total, rank
+
+
+def _ascending(word: np.ndarray, starts: np.ndarray) -> list[np.ndarray]:
+    """Words that ascend within runs: the first of each run, then the steps between the others."""
+    steps = np.diff(word, prepend=0)
+    return [_count(word[starts]), _count(np.delete(steps, starts))]
+
+
+def _ascended(arrays: list[np.ndarray], runs: np.ndarray) -> np.ndarray:
+    """The words of the two arrays of `_ascending`, given the lengths of the runs."""
+    first, steps = map(_counted, arrays)
+    starts = np.cumsum(runs) - runs
+    word, rest = np.zeros(int(runs.sum()), np.int64), np.ones(int(runs.sum()), bool)
+    rest[starts] = False
+    word[rest] = steps
+    word = np.cumsum(word)
+    return word + np.repeat(first - word[starts], runs)
+
+
+def _words(buckets: int, folder: str):
     def run(block: int, payload: bytes, _: dict) -> Iterator[pa.RecordBatch]:
         t = Tokens(payload)
-        count = np.bincount(t.index, weights=t.train, minlength=len(t.hash)).astype(np.int64)
-        yield sent(block, {b: shrink(_planes(t.hash[at]), *_count(count[at])) for b, at in split(_bucket(t.hash, buckets))})
+        count = np.bincount(t.index, weights=t.train, minlength=t.distinct).astype(np.int64)
+        hashes = t.hashes()
+        bucket = _bucket(hashes, buckets)
+        with blobs(folder) as own:
+            asked = json.dumps(own.add(shrink(_count(bucket)))).encode()
+        parts = {b: shrink(_planes(hashes[at]), _count(count[at])) for b, at in split(bucket)}
+        yield _send(block, buckets, parts | {OWN: asked})
 
     return run
 
@@ -152,22 +265,24 @@ def _words(buckets: int):
 def _total():
     def run(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int, int, bytes]]:
         """Totals and ranks of each block's words; to all: how many words occur in training, and how often."""
+        if bucket <= OWN:
+            return [(block, OWN, d) for block, d in zip(blocks, data, strict=True)]
         got = [grow(d) for d in data]
         keys = [_joined(g[0]) for g in got]
         distinct, back = np.unique(np.concatenate(keys), return_inverse=True)
-        total = np.bincount(back, weights=np.concatenate([_counted(*g[1:]) for g in got]), minlength=len(distinct)).astype(np.int64)
+        total = np.bincount(back, weights=np.concatenate([_counted(g[1]) for g in got]), minlength=len(distinct)).astype(np.int64)
         number, sizes = _ranked(total, 1), [len(k) for k in keys]
-        out = [(block, bucket, shrink(*_count(x), *_count(i))) for block, x, i in zip(blocks, _back(total[back], sizes), _back(number[back], sizes), strict=True)]
+        out = [(block, bucket, shrink(*_told(x, i))) for block, x, i in zip(blocks, _back(total[back], sizes), _back(number[back], sizes), strict=True)]
         return [*out, (TALLY, bucket, shrink(np.array([0], np.uint64), np.array([np.count_nonzero(total)], float), np.array([total.sum()], float), np.zeros(1)))]
 
     return run
 
 
-def _contexts(near: list[np.ndarray], hot: list[np.ndarray], bucket: int, buckets: int) -> np.ndarray:
+def _contexts(near: np.ndarray, hot: np.ndarray, bucket: int, buckets: int) -> np.ndarray:
     """The contexts of a message: those of this bucket, as differences of what their numbers hold but for the bucket, then
     the hot ones, which any bucket may have."""
-    place = np.cumsum(_counted(*near))
-    return np.concatenate([(place // LEVELS * buckets + bucket) * LEVELS + place % LEVELS, _counted(*hot)])
+    place = np.cumsum(_counted(near))
+    return np.concatenate([(place // LEVELS * buckets + bucket) * LEVELS + place % LEVELS, _counted(hot)])
 
 
 def _followed(buckets: int, least: float, last: bool):
@@ -177,15 +292,16 @@ def _followed(buckets: int, least: float, last: bool):
         if bucket <= OWN:
             return [(block, OWN, d) for block, d in zip(blocks, data, strict=True)]
         got = [grow(d) for d in data]
-        names = [_contexts(g[6:8], g[10:12], bucket, buckets) for g in got]
+        names = [_contexts(g[4], g[6], bucket, buckets) for g in got]
+        lengths = [_counted(g[3]) for g in got]
         name, name_first, name_back = np.unique(np.concatenate(names), return_index=True, return_inverse=True)
-        context = np.repeat(name_back, np.concatenate([_counted(*g[4:6]) for g in got]))
-        keys = (context << 40) | np.concatenate([_counted(*g[0:2]) for g in got])
+        context = np.repeat(name_back, np.concatenate(lengths))
+        keys = (context << 40) | np.concatenate([_ascended(g[0:2], r) for g, r in zip(got, lengths, strict=True)])
         distinct, back = np.unique(keys, return_inverse=True)
         context = distinct >> 40
-        total = np.bincount(back, weights=np.concatenate([_counted(*g[2:4]) for g in got]), minlength=len(distinct))
-        logs = np.bincount(name_back, weights=np.concatenate([_counted(*g[8:10]) for g in got]), minlength=len(name)) / -LOG_STEPS
-        hot = np.concatenate([np.arange(len(x)) >= len(x) - len(_counted(*g[10:12])) for x, g in zip(names, got, strict=True)])[name_first]
+        total = np.bincount(back, weights=np.concatenate([_counted(g[2]) for g in got]), minlength=len(distinct))
+        logs = np.bincount(name_back, weights=np.concatenate([_counted(g[5]) for g in got]), minlength=len(name)) / -LOG_STEPS
+        hot = np.concatenate([np.arange(len(x)) >= len(x) - g[6].shape[1] for x, g in zip(names, got, strict=True)])[name_first]
         seen = total > 0
         add = lambda x: np.bincount(context[seen], weights=x, minlength=len(name))
         followers, mass, own = add(None), add(total[seen]), add(total[seen] * np.log(total[seen]))
@@ -195,9 +311,9 @@ def _followed(buckets: int, least: float, last: bool):
         if hot.any():
             tally = shrink(name[hot].astype(np.uint64), add(None)[hot].astype(float), mass[hot], (own - logs)[hot])
         number = np.zeros(len(total), np.int64) if last else _ranked(total, least)
-        sizes, runs = [len(g[1]) // int(g[0][0]) for g in got], [len(x) for x in names]
+        sizes, runs = [int(r.sum()) for r in lengths], [len(x) for x in names]
         parts = (_back(total[back].astype(np.int64), sizes), _back(number[back], sizes), _back(followers[name_back], runs), _back(ok[name_back], runs))
-        out = [(block, bucket, shrink(*_count(x), *_count(i), *_count(f), np.packbits(o))) for block, x, i, f, o in zip(blocks, *parts, strict=True)]
+        out = [(block, bucket, shrink(*_told(x, i), _count(f), np.packbits(o))) for block, x, i, f, o in zip(blocks, *parts, strict=True)]
         return [*out, (TALLY, bucket, tally)] if hot.any() else out
 
     return run
@@ -261,26 +377,38 @@ class Known:
     def __init__(self, t: Tokens, plan: Plan, answers: dict[int, bytes]):
         self.t, self.plan = t, plan
         self.kept: list[list] = []  # where the levels lie
+        self.order: np.ndarray | None = None
         none = np.zeros(len(t.index), np.int64)
-        if OWN in answers:
+        if plan.hot:
             self.kept, asked = json.loads(answers[OWN])
-            self.words, self.word_numbers = (_counted(*x) for x in _pairs(grow(read_blob(*self.kept[0]))))
-            self.total, self.followers, self.ok = [self.words[t.index]], [none], [none > 0]
-            for place in self.kept[1:]:
-                *counts, ok = grow(read_blob(*place))
-                total, followers = (_counted(*x) for x in _pairs(counts))
-                self.total.append(total)
-                self.followers.append(followers)
-                self.ok.append(np.unpackbits(ok, count=len(total)).astype(bool))
-            if asked:
-                self._take(answers, *(_counted(*x) for x in _pairs(grow(read_blob(*asked)))))
-        else:  # the first level: answers are totals and numbers of words
-            self.words, self.word_numbers = np.zeros(len(t.hash), np.int64), np.zeros(len(t.hash), np.int64)
-            for b, at in split(_bucket(t.hash, plan.buckets)):
-                self.words[at], rank = (_counted(*x) for x in _pairs(grow(answers[b])))
+            self.words, self.word_numbers = map(_counted, grow(read_blob(*self.kept[0])))
+        else:  # answers are totals and numbers of words
+            asked = None
+            self.words, self.word_numbers = np.zeros(t.distinct, np.int64), np.zeros(t.distinct, np.int64)
+            for b, at in split(_counted(*grow(read_blob(*json.loads(answers[OWN]))))):
+                self.words[at], rank = _heard(grow(answers[b]))
                 self.word_numbers[at] = _number(rank, b, plan.buckets)
-            self.total, self.followers, self.ok = [self.words[t.index]], [none], [none > 0]
-            self.number = self.word_numbers[t.index] * LEVELS
+        t.number(self.word_numbers)
+        self.total, self.followers, self.ok = [self.words[t.index]], [none], [none > 0]
+        self.number = self.word_numbers[t.index] * LEVELS
+        for place in self.kept[1:]:
+            *counts, ok = grow(read_blob(*place))
+            total, followers = map(_counted, counts)
+            ok = np.unpackbits(ok, count=len(followers)).astype(bool)
+            if len(self.total) == 1:
+                followers, ok = followers[t.before()], ok[t.before()]
+                total[self._by_word()] = total.copy()
+            self.total.append(total)
+            self.followers.append(followers)
+            self.ok.append(ok)
+        if asked:
+            self._take(answers, *map(_counted, grow(read_blob(*asked))))
+
+    def _by_word(self) -> np.ndarray:
+        """The order in which files hold level 1: tokens after the same word side by side, which takes fewer bytes."""
+        if self.order is None:
+            self.order = _order(self.t.before().astype(np.uint64) * np.uint64(self.t.distinct) + self.t.index.astype(np.uint64))
+        return self.order
 
     def mass(self, d: int) -> np.ndarray:
         """How often the context of d words before each token occurs in training."""
@@ -291,7 +419,7 @@ class Known:
         out[1:] = self.total[d - 1][:-1]
         out[self.t.k < d - 1] = 0
         if d == 1:
-            out[self.t.k == 0] = self.words[-1]  # a block's last word is the end mark
+            out[self.t.k == 0] = self.words[-1]  # the last of a block's distinct words is the end mark
         return out
 
     def asks(self, d: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -310,13 +438,14 @@ class Known:
 
     def _take(self, answers: dict[int, bytes], carried: np.ndarray, numbers: np.ndarray) -> None:
         d = len(self.total)
-        level = Level(self, d, numbers)
+        level = Level(self, d, numbers if d > 1 else None)
         own = [b for b in sorted(answers) if b != OWN]
         got = [grow(answers[b]) for b in own]
         cat = lambda parts, kind: np.concatenate([np.zeros(0, kind), *parts])
-        total, followers = (cat([_counted(*g[i : i + 2]) for g in got], np.int64) for i in (0, 4))
-        number = cat([_number(_counted(*g[2:4]), b, self.plan.buckets) for b, g in zip(own, got, strict=True)], np.int64)
-        ok = cat([np.unpackbits(g[6], count=len(g[5]) // int(g[4][0])) for g in got], np.uint8) > 0
+        told = [_heard(g[0:3]) for g in got]
+        total, followers = cat([x for x, _ in told], np.int64), cat([_counted(g[3]) for g in got], np.int64)
+        number = cat([_number(rank, b, self.plan.buckets) for b, (_, rank) in zip(own, told, strict=True)], np.int64)
+        ok = cat([np.unpackbits(g[4], count=g[3].shape[1]) for g in got], np.uint8) > 0
         names, sums = self.plan.hot[d - 1]
         hot = np.flatnonzero(level.run_hot)
         if len(hot):
@@ -334,12 +463,17 @@ class Known:
         self.number[same] = carried  # it occurs where its suffix does: the number of that names it, too
 
     def keep(self, out) -> None:
-        """Write the levels that no file holds yet."""
+        """Write the levels that no file holds yet. At level 1 the context is a word: what belongs to it is kept once."""
         for d in range(len(self.kept), len(self.total)):
             if d:
-                self.kept.append(out.add(shrink(*_count(self.total[d]), *_count(self.followers[d]), np.packbits(self.ok[d]))))
+                total, followers, ok = self.total[d], self.followers[d], self.ok[d]
+                if d == 1:
+                    total = total[self._by_word()]
+                    followers, ok = np.zeros(self.t.distinct, np.int64), np.zeros(self.t.distinct, bool)
+                    followers[self.t.before()], ok[self.t.before()] = self.followers[1], self.ok[1]
+                self.kept.append(out.add(shrink(_count(total), _count(followers), np.packbits(ok))))
             else:
-                self.kept.append(out.add(shrink(*_count(self.words), *_count(self.word_numbers))))
+                self.kept.append(out.add(shrink(_count(self.words), _count(self.word_numbers))))
 
     def ask(self, out, own) -> dict[int, bytes]:
         """What is sent for the next level, by bucket. `own` takes what is read only with the answers to it."""
@@ -356,7 +490,8 @@ class Known:
         run_number, run_hot, run_bucket = level.run_number, level.run_hot, level.bucket[level.starts]
         word = self.word_numbers[t.index[level.first]]
         self.keep(out)
-        asked = own.add(shrink(*_count(self.number[level.same]), *_count(level.numbers)))
+        numbers = level.numbers if d > 1 else level.numbers[:0]  # at level 1 they follow from those of the words
+        asked = own.add(shrink(_count(self.number[level.same]), _count(numbers)))
         parts = {}
         cut = np.flatnonzero(np.diff(run_bucket, prepend=-1))
         for i, j in zip(cut.tolist(), [*cut[1:].tolist(), len(level.starts)][: len(cut)], strict=True):
@@ -364,7 +499,7 @@ class Known:
             k = j - int(np.count_nonzero(run_hot[i:j]))
             place = run_number[i:k] // LEVELS // self.plan.buckets * LEVELS + run_number[i:k] % LEVELS
             near = np.diff(place, prepend=0)
-            parts[int(run_bucket[i])] = shrink(*_count(word[a:b]), *_count(count[a:b]), *_count(level.runs[i:j]), *_count(near), *_count(logs[i:j]), *_count(run_number[k:j]))
+            parts[int(run_bucket[i])] = shrink(*_ascending(word[a:b], level.starts[i:j] - a), _count(count[a:b]), _count(level.runs[i:j]), _count(near), _count(logs[i:j]), _count(run_number[k:j]))
         return parts | {OWN: json.dumps([self.kept, asked]).encode()}
 
     def open(self) -> tuple[np.ndarray, np.ndarray, list[tuple[np.ndarray, np.ndarray, np.ndarray]]]:
@@ -473,12 +608,15 @@ def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("held_out", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD, F.lit(False)))
-    blocks = pack_blocks(docs, "text", "doc_id", "tree-tokens", _code)
+    hashed = new_path(spark, "tree-hashes")
+    blocks = pack_blocks(docs, "text", "doc_id", "tree-tokens", _code(hashed))
     n_blocks = blocks.count()
     buckets = max(1, -(-n_blocks // 2))
-    answers = materialize(exchange(over(blocks, n_blocks, _words(buckets), SENT), _total()), "tree-words")
+    folder = new_path(spark, "tree-files")
+    answers = materialize(exchange(over(blocks, n_blocks, _words(buckets, f"{folder}-asked-0"), SENT), _total()), "tree-words")
+    delete(spark, hashed)
     _, v, n, _ = (float(x.sum()) for x in _reported(answers))
-    plan = Plan(new_path(spark, "tree-files"), buckets, int(n), int(v), P_MIN * n if min_count is None else min_count)
+    plan = Plan(folder, buckets, int(n), int(v), P_MIN * n if min_count is None else min_count)
 
     def gather(run, answer, name: str) -> DataFrame:
         found = materialize(exchange(over(blocks, n_blocks, run, SENT, answers.where(F.col("block_id") != TALLY)), answer), name)

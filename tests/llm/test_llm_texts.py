@@ -542,6 +542,39 @@ def test_suffix_tree_keeps_no_files_of_done_levels(spark, rows, monkeypatch):
     assert before.count() and written and len(written) == blocks_ and not list(folder.parent.glob(f"{folder.name}-asked-*"))
 
 
+def test_suffix_tree_leaves_few_bytes(spark):
+    """Of what the tree has in the shared folder when it is scored: a token takes few bytes, a word's hash none."""
+    rng = np.random.default_rng(3)
+    words = np.minimum(rng.zipf(1.3, 60_000), 20_000)
+    texts = [" ".join(f"w{w}" for w in part) for part in np.array_split(words, 60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    root = Path(suffix_tree.new_path(spark, "x").removeprefix("file://")).parent
+    before = set(root.glob("tree-*"))
+    scored = suffix_tree.suffix_tree_scores(docs, min_count=20, depth=3)
+    made = set(root.glob("tree-*")) - before
+    assert scored.count() == 60
+    assert not [f.name for f in made if "hashes" in f.name or "asked" in f.name]
+    assert sum(f.stat().st_size for folder in made if "files" in folder.name for f in folder.glob("*")) < 60_060 * 4.5
+
+
+def test_suffix_tree_messages():
+    rng = np.random.default_rng(5)
+    total = np.concatenate([rng.zipf(1.5, 900), [0, 0, 5, 1 << 40]]).clip(0, 1 << 40).astype(np.int64)
+    for least in (1, 20, 1 << 50):
+        rank = suffix_tree._ranked(total, least)
+        for some in (slice(None), slice(0, 300, 7), slice(0, 0)):
+            x, i = suffix_tree._heard(suffix_tree.grow(suffix_tree.shrink(*suffix_tree._told(total[some], rank[some]))))
+            assert x.tolist() == total[some].tolist() and i.tolist() == rank[some].tolist()
+    runs = np.array([1, 700, 2, 1])
+    word = np.concatenate([[9], np.sort(rng.integers(0, 1 << 33, 700)), [0, 0], [4]])
+    starts = np.cumsum(runs) - runs
+    arrays = suffix_tree.grow(suffix_tree.shrink(*suffix_tree._ascending(word, starts), np.zeros(0, np.uint8), np.packbits(word > 9)))
+    assert suffix_tree._ascended(arrays[:2], runs).tolist() == word.tolist()
+    assert len(arrays[2]) == 0 and np.unpackbits(arrays[3], count=len(word)).tolist() == (word > 9).tolist()
+    key = rng.integers(0, 1 << 62, 500).astype(np.uint64)
+    assert suffix_tree._order(key).tolist() == np.argsort(key).tolist()
+
+
 @pytest.mark.parametrize("hot", [1e-3, 2e-2])
 def test_suffix_tree_by_count(spark, rows, monkeypatch, hot):
     """Contexts by an absolute count, longer than two words, and closed under suffixes."""
