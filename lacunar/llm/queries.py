@@ -10,12 +10,14 @@ from lacunar.llm.ann import adaptive_scan
 from lacunar.llm.bitplane import encode_and_read_back
 from lacunar.llm.licenses import scan_licenses
 from lacunar.llm.mixing import mix
+from lacunar.llm.negatives import flipped, hard_negatives
 from lacunar.llm.packing import LOSS, PROMPT_SHARE, SEGMENTS, pack
 from lacunar.llm.simhash import near_duplicates
 from lacunar.llm.substrings import repeated_spans
 from lacunar.llm.suffix_tree import suffix_tree_scores
 from lacunar.llm.topk import exact_top_k
 from lacunar.llm.toxicity import fit, score
+from lacunar.llm.whitening import whiten
 
 
 def tokenizer_path(name: str) -> str:
@@ -70,8 +72,16 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(_table(spark, sf_dir, "embeddings"), k=10, every=100)
 
 
+def op11_two_pass_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), k=32)
+
+
+def op12_radix_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hard_negatives(flipped(_table(spark, sf_dir, "embeddings")), every=100)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_adaptive_scan, op2_ftrl_toxicity, op3_plane_files, op4_suffix_tree, op5_anchor_simhash, op6_license_automaton, op7_count_min_substrings, op8_exponential_mixing, op9_vector_packing, op10_exact_top_k)}
+    return {f.__name__: f for f in (op1_adaptive_scan, op2_ftrl_toxicity, op3_plane_files, op4_suffix_tree, op5_anchor_simhash, op6_license_automaton, op7_count_min_substrings, op8_exponential_mixing, op9_vector_packing, op10_exact_top_k, op11_two_pass_whitening, op12_radix_negatives)}
 
 
 OP10_SQL = """
@@ -89,6 +99,28 @@ SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 10
 """
 
 
+OP12_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE CAST(label AS BIGINT) END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS vec_id, a.label = b.label AS same, CAST(list_inner_product(a.q, b.q) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0
+), p AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+), n AS (
+  SELECT p.anchor_id, p.positive_id, s.vec_id AS negative_id, p.positive_score, s.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 80 * p.positive_score <= 100 * s.score AND 100 * s.score <= 100 * p.positive_score
+)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
 OP7_SQL = """
 WITH t AS (
   SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
@@ -114,4 +146,4 @@ FROM t LEFT JOIN h USING (doc_id) LEFT JOIN q USING (doc_id)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op7_count_min_substrings": OP7_SQL, "op10_exact_top_k": OP10_SQL}
+    return {"op7_count_min_substrings": OP7_SQL, "op10_exact_top_k": OP10_SQL, "op12_radix_negatives": OP12_SQL}

@@ -1,8 +1,8 @@
 """Exact top-k search by tiled integer matrix products.
 
-Candidates are packed into shards and queries into tiles; every (tile, shard group) is one matrix product in one
-task, a partial selection keeps k per query, and the lists are merged as a tree. Neither side is broadcast or
-collected: tiles are copied to the shard groups and shards to the tiles, both by an equi-join key.
+Candidates are packed into shards and queries into tiles, as files; a task multiplies a tile by the shards of a group, one
+after another, a partial selection keeps k per query, and the lists are merged as a tree. Neither side is broadcast, collected
+or sent through a shuffle: only places are joined (`tiling`).
 
 Defined cases: a vector that is null, has a null or non-finite component, or is not of the table's most frequent
 length takes no part, nor does a null id. A query's own row is every row with its id. Repeated ids count once, with
@@ -11,7 +11,6 @@ their best score. An empty table gives an empty result. Scores are exact; beyond
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,13 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.scratch import materialize
-from lacunar.llm.vectors import common_length, distinct_top, matrix, merge_top
+from lacunar.llm import tiling
+from lacunar.llm.vectors import common_length, matrix, merge_top
 
 SCALE = 1024
-SHARD, TILE, SHARDS_PER_GROUP = 4096, 2048, 8
-PACKED = "shard long, n int, ids binary, vecs binary"
-LIMIT = float(2**62)
+SCORES = 1 << 21  # of a step of a task
 
 
 def quantize(x: np.ndarray, scale: int = SCALE) -> np.ndarray:
@@ -36,6 +33,7 @@ def quantize(x: np.ndarray, scale: int = SCALE) -> np.ndarray:
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     """Exact integer inner products as int64: BLAS where no partial sum can be rounded, else Python integers."""
+    q, c = q.astype(np.float64, copy=False), c.astype(np.float64, copy=False)
     size = float(np.sqrt((q * q).sum(1).max(initial=0.0)) * np.sqrt((c * c).sum(1).max(initial=0.0)))
     if size < 2**24:
         return (q.astype(np.float32) @ c.astype(np.float32).T).astype(np.int64)
@@ -45,73 +43,51 @@ def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return np.array([[min(max(v, -(2**63)), 2**63 - 1) for v in row] for row in big], dtype=np.int64).reshape(len(q), len(c))
 
 
-def _pack(key: str, vec: str, dim: int, rows: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        shard = TaskContext.get().partitionId() << 32
-        for batch in batches:
-            ids, x = matrix(batch, key, vec, dim)
-            for a in range(0, len(ids), rows):
-                part = quantize(x[a : a + rows])
-                yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "n": pa.array([len(part)], pa.int32()), "ids": [ids[a : a + rows].tobytes()], "vecs": [part.tobytes()]})
-                shard += 1
+def _columns(key: str, vec: str, dim: int):
+    def run(batch: pa.RecordBatch) -> list[np.ndarray]:
+        ids, x = matrix(batch, key, vec, dim)
+        return [ids, quantize(x)]
 
     return run
 
 
-def _tiles(dim: int):
-    def run(table: pa.Table) -> pa.Table:
-        ids = np.concatenate([np.frombuffer(b, np.int64) for b in table["ids"].to_pylist()])
-        x = np.concatenate([np.frombuffer(b, np.float64) for b in table["vecs"].to_pylist()]).reshape(-1, dim)
-        return pa.table({"tile": table["tile"].slice(0, 1), "ids": [ids.tobytes()], "vecs": [x.tobytes()]})
+def _search(k: int, dim: int):
+    def run(tile: list[np.ndarray], shards: Iterator[list[np.ndarray]], _) -> list[np.ndarray]:
+        qi, q = tile[0], tile[1].reshape(-1, dim)
+        best = tiling.Best(len(qi), k, once=True)
+        for ids, c in shards:
+            # an id counts once: repeated ids of a shard can't crowd out others before they are told apart
+            step = max(1, SCORES // max(1, len(ids)))
+            for a in range(0, len(qi), step):
+                score = products(q[a : a + step], c.reshape(-1, dim))
+                best.add(a, ids, score, _top(score, ids, k) & (ids[None, :] != qi[a : a + step, None]))
+        return [*best.columns(), qi]
 
     return run
 
 
-def _search(k: int, dim: int):
-    def run(tiles: pa.Table, shards: pa.Table) -> pa.Table:
-        out_q, out_id, out_s = [], [], []
-        if tiles.num_rows and shards.num_rows:
-            qi = np.concatenate([np.frombuffer(b, np.int64) for b in tiles["ids"].to_pylist()])
-            q = np.concatenate([np.frombuffer(b, np.float64) for b in tiles["vecs"].to_pylist()]).reshape(-1, dim)
-            first = np.unique(qi, return_index=True)[1]
-            qi, q = qi[first], q[first]
-            best: list[tuple[np.ndarray, np.ndarray]] = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(qi)
-            for ids_b, vec_b in zip(shards["ids"].to_pylist(), shards["vecs"].to_pylist(), strict=True):
-                ids = np.frombuffer(ids_b, np.int64)
-                score = products(q, np.frombuffer(vec_b, np.float64).reshape(-1, dim))
-                for i, own in enumerate(qi):
-                    other = ids != own
-                    a, s = (ids, score[i]) if other.all() else (ids[other], score[i][other])
-                    a, s = np.concatenate([best[i][0], a]), np.concatenate([best[i][1], s])
-                    top = distinct_top(a, s, k)
-                    best[i] = (a[top], s[top])
-            for own, (a, s) in zip(qi, best, strict=True):
-                out_q.append(np.full(len(a), own))
-                out_id.append(a)
-                out_s.append(s)
-        cat = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
-        grp = shards["grp"][0].as_py() if shards.num_rows else 0
-        q = cat(out_q)
-        return pa.table({"query_id": pa.array(q, pa.int64()), "grp": pa.array(np.full(len(q), grp), pa.int64()), "vec_id": pa.array(cat(out_id), pa.int64()), "score": pa.array(cat(out_s), pa.int64())})
-
-    return run
+def _top(score: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    """Which scores may be among the k best of other ids: at least the (k + 1)-th best over ids that occur once each."""
+    once = np.unique(ids, return_index=True)[1]
+    if len(once) <= 4 * k:
+        return np.ones(score.shape, bool)
+    least = np.partition(score[:, once], len(once) - k - 1, axis=1)[:, len(once) - k - 1]
+    return score >= least[:, None]
 
 
 def exact_top_k(df: DataFrame, k: int = 10, every: int = 100, key: str = "vec_id", vec: str = "embedding") -> DataFrame:
     """query_id, rank, vec_id, score: for each row whose key is divisible by `every`, the k best of all other rows."""
     df = df.select(F.col(key).cast("long").alias(key), vec)
     dim = common_length(df, vec)
-    shards = materialize(df.mapInArrow(_pack(key, vec, dim, SHARD), PACKED), "topk-shards")
     asked = df.where(F.pmod(key, F.lit(every)) == 0)
-    small = asked.mapInArrow(_pack(key, vec, dim, 256), PACKED)
-    total = shards.agg(F.count("*").alias("s"), F.sum("n").alias("n")).first()
-    n_tiles = max(1, math.ceil(asked.count() / TILE))  # by the queries there are, however the ids are spread
-    groups = max(1, math.ceil((total["n"] or 0) / (SHARD * SHARDS_PER_GROUP)), min(16, total["s"]))
-    small = small.withColumn("tile", F.pmod(F.xxhash64("shard"), F.lit(n_tiles)))
-    tiles = small.groupBy("tile").applyInArrow(_tiles(dim), "tile long, ids binary, vecs binary")
-    tiles = tiles.withColumn("grp", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(groups - 1).cast("long"))))
-    shards = shards.withColumn("grp", F.pmod(F.xxhash64("shard"), F.lit(groups))).withColumn("tile", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_tiles - 1).cast("long"))))
-    found = tiles.groupBy("tile", "grp").cogroup(shards.groupBy("tile", "grp")).applyInArrow(_search(k, dim), "query_id long, grp long, vec_id long, score long")
-    return merge_top(found, k, groups)
+    plan = tiling.Plan(asked, df, _columns(key, vec, dim), _columns(key, vec, dim), "topk")
+    found = plan.merged(plan.over(_search(k, dim)), tiling.merge_best(k, True))
+
+    def lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch.column("data").to_pylist():
+                rows, ids, scores, own = tiling.loose(data)
+                yield pa.RecordBatch.from_pydict({"query_id": pa.array(own[rows]), "grp": pa.array(np.zeros(len(rows), np.int64)), "vec_id": pa.array(ids), "score": pa.array(scores)})
+
+    # rows that share a query's id may lie in several tiles: their lists are one
+    return merge_top(found.mapInArrow(lists, "query_id long, grp long, vec_id long, score long"), k, 1)

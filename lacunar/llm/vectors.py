@@ -17,21 +17,27 @@ def common_length(df: DataFrame, vec: str) -> int:
     return int(top[0]["d"]) if top else 0
 
 
-def matrix(batch: pa.RecordBatch, key: str, vec: str, dim: int) -> tuple[np.ndarray, np.ndarray]:
-    """(ids, float64 rows) of the vectors that take part: key not null, length dim, all components finite."""
-    col, ids = batch.column(vec), batch.column(key)
-    ok = np.asarray(ids.is_valid()) & np.asarray(col.is_valid())
+def finite(batch: pa.RecordBatch, vec: str, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(positions, float64 rows) of the vectors of length dim without null or non-finite components."""
+    col = batch.column(vec)
     if not isinstance(col, pa.LargeListArray):
         col = col.cast(pa.large_list(col.type.value_type))
     offsets = col.offsets.to_numpy()
-    ok &= np.diff(offsets) == dim
-    rows = np.flatnonzero(ok)
+    rows = np.flatnonzero(np.asarray(col.is_valid()) & (np.diff(offsets) == dim))
     if not len(rows) or dim == 0:
         return np.zeros(0, np.int64), np.zeros((0, dim))
     values = np.asarray(col.values.to_numpy(zero_copy_only=False), dtype=np.float64)
     x = values[offsets[rows][:, None] + np.arange(dim)]
     good = np.isfinite(x).all(axis=1)
-    return np.asarray(ids.take(pa.array(rows[good])).to_numpy(zero_copy_only=False), dtype=np.int64), x[good]
+    return rows[good], x[good]
+
+
+def matrix(batch: pa.RecordBatch, key: str, vec: str, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, float64 rows) of the vectors that take part: key not null, length dim, all components finite."""
+    ids = batch.column(key)
+    rows, x = finite(batch, vec, dim)
+    known = np.asarray(ids.is_valid())[rows]
+    return np.asarray(ids.take(pa.array(rows[known])).to_numpy(zero_copy_only=False), dtype=np.int64), x[known]
 
 
 def distinct_top(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:

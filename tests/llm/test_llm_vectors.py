@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lacunar.llm import ann, topk
+from lacunar.llm import ann, tiling, topk
 
 SCHEMA = "vec_id long, embedding array<float>, score string, grp int, uid string"
 
@@ -51,16 +51,16 @@ def test_exact_beyond_floats(spark):
 
 
 def test_exact_tiles_and_shards(spark, rows, monkeypatch):
-    monkeypatch.setattr(topk, "SHARD", 16)
-    monkeypatch.setattr(topk, "TILE", 4)
-    monkeypatch.setattr(topk, "SHARDS_PER_GROUP", 1)
+    monkeypatch.setattr(tiling, "SHARD", 16)
+    monkeypatch.setattr(tiling, "TILE", 4)
+    monkeypatch.setattr(tiling, "SHARDS_PER_GROUP", 1)
     got = sorted(map(tuple, topk.exact_top_k(frame(spark, rows), k=5, every=10).collect()))
     assert got == brute(good(rows, True), 10, 5, lambda a, b: int(np.floor(a * 1024) @ np.floor(b * 1024)))
 
 
 def test_exact_all_ids_are_queries(spark, monkeypatch):
     """Tiles follow the number of queries, not that of rows over `every`."""
-    monkeypatch.setattr(topk, "TILE", 8)
+    monkeypatch.setattr(tiling, "TILE", 8)
     rng = np.random.default_rng(8)
     rows = [(100 * i, [float(f) for f in v]) for i, v in enumerate(rng.standard_normal((120, 8)).astype(np.float32))]
     got = sorted(map(tuple, topk.exact_top_k(frame(spark, rows), k=3, every=100).collect()))
