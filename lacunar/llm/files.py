@@ -12,6 +12,8 @@ from contextlib import contextmanager
 
 import pyarrow.fs
 
+READ = 4 << 20  # bytes read at once
+
 
 def open_uri(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     """(file system, path in it) of a path or URI."""
@@ -50,3 +52,25 @@ def read_blob(file: str, at: int, size: int) -> bytes:
     fs, there = open_uri(file)
     with fs.open_input_file(there) as source:
         return source.read_at(size, at)
+
+
+def read_many(places: list[tuple[str, int, int]], gap: int = 1 << 16) -> Iterator[bytes]:
+    """What lies at some places (file, at, size), in their order. A file is opened once for a run of places in it, and places
+    with at most `gap` bytes between them are read at once."""
+    i = 0
+    while i < len(places):
+        stop = i + 1
+        while stop < len(places) and places[stop][0] == places[i][0]:
+            stop += 1
+        fs, there = open_uri(places[i][0])
+        with fs.open_input_file(there) as source:
+            while i < stop:
+                to, start = i + 1, places[i][1]
+                end = start + places[i][2]
+                while to < stop and start <= places[to][1] <= end + gap and end - start < READ:
+                    end = max(end, places[to][1] + places[to][2])
+                    to += 1
+                data = source.read_at(end - start, start)
+                for _, at, size in places[i:to]:
+                    yield data[at - start : at - start + size]
+                i = to

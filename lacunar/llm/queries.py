@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from lacunar.llm.ann import adaptive_scan
 from lacunar.llm.bitplane import encode_and_read_back
+from lacunar.llm.jaccard import jaccard_components
 from lacunar.llm.licenses import scan_licenses
 from lacunar.llm.mixing import mix
 from lacunar.llm.negatives import flipped, hard_negatives
@@ -80,8 +81,12 @@ def op12_radix_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(flipped(_table(spark, sf_dir, "embeddings")), every=100)
 
 
+def op13_prefix_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"), shingle=3, percent=90)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_adaptive_scan, op2_ftrl_toxicity, op3_plane_files, op4_suffix_tree, op5_anchor_simhash, op6_license_automaton, op7_count_min_substrings, op8_exponential_mixing, op9_vector_packing, op10_exact_top_k, op11_two_pass_whitening, op12_radix_negatives)}
+    return {f.__name__: f for f in (op1_adaptive_scan, op2_ftrl_toxicity, op3_plane_files, op4_suffix_tree, op5_anchor_simhash, op6_license_automaton, op7_count_min_substrings, op8_exponential_mixing, op9_vector_packing, op10_exact_top_k, op11_two_pass_whitening, op12_radix_negatives, op13_prefix_jaccard)}
 
 
 OP10_SQL = """

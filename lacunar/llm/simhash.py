@@ -357,12 +357,12 @@ def _plain(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
 
-def _with_roots(links: DataFrame, name: str) -> DataFrame:
+def with_roots(links: DataFrame, name: str) -> DataFrame:
     roots = components(links, name)
     return materialize(roots.union(roots.select(F.col("root").alias("node"), "root").distinct()), f"{name}-roots")
 
 
-def _named(prints: DataFrame, roots: DataFrame) -> DataFrame:
+def component_names(prints: DataFrame, roots: DataFrame) -> DataFrame:
     """fp, component_id of every node (fp, least)."""
     linked = prints.join(roots, F.col("fp") == F.col("node")).select("fp", "least", "root")
     groups = linked.groupBy("root").agg(F.min("least").alias("component"))
@@ -381,7 +381,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, similarity: float = 0.8,
         return rows.select("doc_id", F.lower(F.hex("bits")).alias("fingerprint"), "component_id")
     marked = materialize(_plain(docs).mapInArrow(_fingerprint(shingle), "doc_id long, fp long"), "simhash-docs")
     prints = materialize(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash-prints")
-    named = _named(prints, _with_roots(links(prints.select("fp"), scheme=exact(distance, "golay" if prints.count() <= GOLAY_UP_TO else "all")), "simhash-edges"))
+    named = component_names(prints, with_roots(links(prints.select("fp"), scheme=exact(distance, "golay" if prints.count() <= GOLAY_UP_TO else "all")), "simhash-edges"))
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
@@ -450,8 +450,8 @@ class Similar:
         """block_id, row, doc_id, fp, bits, component_id of every row."""
         nodes = self.table.groupBy("fp").agg(F.min("doc_id").alias("least"), F.min(F.struct("block_id", "row")).alias("k"), F.first("bits").alias("bits"), F.first("size").alias("size"))
         nodes = materialize(nodes, "simhash-nodes")
-        groups = _with_roots(links(nodes.where("size > 0").select("fp", "bits", "size"), scheme=self.scheme), "simhash-candidates")
+        groups = with_roots(links(nodes.where("size > 0").select("fp", "bits", "size"), scheme=self.scheme), "simhash-candidates")
         asked = nodes.join(groups, F.col("fp") == F.col("node")).select("k.block_id", "k.row", "fp", F.col("root").alias("group"))
         linked = materialize(similar.verified(self, materialize(asked, "simhash-asked")), "simhash-linked")
-        named = _named(nodes.select("fp", "least"), _with_roots(linked, "simhash-edges"))
+        named = component_names(nodes.select("fp", "least"), with_roots(linked, "simhash-edges"))
         return self.table.join(named, "fp").select("block_id", "row", "doc_id", "fp", "bits", "component_id")
