@@ -14,7 +14,7 @@ from lacunar.operators import despeckle, fill_a1, fill_a2, tiles
 from lacunar.operators.clip import clip
 from lacunar.operators.grid import RESOLUTION, clipped_transform, complete, is_target, on_days, pixel_limits, shape, tile_size, within
 from lacunar.operators.spiral import halo
-from lacunar.sources import geotiff
+from lacunar.sources import geotiff, raster
 from lacunar.sources.grids import no_data, read_obs, wrong_no_data
 from lacunar.sources.scratch import materialize
 from lacunar.sources.sinks import write_images
@@ -58,7 +58,7 @@ def run(spark: SparkSession, config: Config, height: int | None = None, width: i
             raise ValueError(f"no-data values differ from {config.limits.ndv}: {[r['path'] for r in wrong]}")
         first = meta.select("gx", "sx", "rx", "gy", "ry", "sy").first()
         transform = list(first) if first else transform
-        read = geotiff.read_archive(spark, p.data, p.variable or "data")
+        read = raster.read_archive(spark, p.data, p.variable or "data")
     else:
         read = read_obs(spark, p.data, p.variable or None)
     obs = no_data(on_days(read, job.days), config.limits)

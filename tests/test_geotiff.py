@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from lacunar.operators.grid import clipped_transform
-from lacunar.sources import geotiff
+from lacunar.sources import geotiff, raster
 
 TRANSFORM = [-180.0, 0.5, 0.0, 90.0, 0.0, -0.5]
 
@@ -105,9 +105,9 @@ def test_written_mosaic_is_read(spark, tmp_path):
         t = clipped_transform(TRANSFORM, 4 * int(fy), 4 * int(fx))
         assert [r[c] for c in ("gx", "sx", "rx", "gy", "ry", "sy")] == t and r["ndv"] == -9999.0
     got = {}
-    for r in geotiff.read_cells(spark, own).collect():
+    for r in raster.read_cells(spark, own).collect():
         *_, doy, _, _, _, fy, fx, _ = r["path"].split(".")
         got[int(doy), 4 * int(fy) + r["y"], 4 * int(fx) + r["x"]] = r["value"]
     assert got == {(d, y, x): v for _, _, d, y, x, v, *_ in data if v is not None}
-    days = {(r["year"], r["doy"], r["variable"]) for r in geotiff.read_archive(spark, own, "LST_Day").collect()}
+    days = {(r["year"], r["doy"], r["variable"]) for r in raster.read_archive(spark, own, "LST_Day").collect()}
     assert days == {(2001, 1, "LST_Day"), (2001, 9, "LST_Day")}

@@ -9,7 +9,7 @@ from lacunar.config import A1, A2, Config, Despeckle, Job, Limits
 from lacunar.functions import flags as fl
 from lacunar.operators import aggregate, despeckle, fill_a1, fill_a2, grid, stats
 from lacunar.plans import pipeline
-from lacunar.sources import geotiff, grids, sinks
+from lacunar.sources import geotiff, grids, raster, sinks
 
 SPECKLE = Despeckle(8, 2, 8, 9.0, 1.0, 0.5)
 
@@ -103,7 +103,7 @@ def test_run_from_geotiff_to_geotiff(spark, stack, tmp_path):
     paths = config.Paths(f"{tmp_path}/in/*.tif", str(tmp_path / "stats"), str(tmp_path / "mask"), str(tmp_path / "out"), "EVI")
     c = Config(paths=paths, limits=Limits(50, 0), despeckle=Despeckle(8, 2, 8), a1=A1(8, 2, 8), job=Job(geotiff=True, memory=1 << 24))
     pipeline.run(spark, c)
-    got = {(r["path"].split(".")[-8], r["y"], r["x"]): r["value"] for r in geotiff.read_cells(spark, f"{tmp_path}/out/EVI/FilledData/*.tif").collect()}
+    got = {(r["path"].split(".")[-8], r["y"], r["x"]): r["value"] for r in raster.read_cells(spark, f"{tmp_path}/out/EVI/FilledData/*.tif").collect()}
     want = pipeline.fill(grid.complete(df.where("value IS NOT NULL"), 9, 8, ("doy", "year")), s, mask, c, ("doy",)).where("value IS NOT NULL").collect()
     assert len(got) == len(want) > np.count_nonzero(~np.isnan(v[:, :, :7]))
     assert all(got[str(r["year"]), r["y"], r["x"]] == pytest.approx(r["value"], rel=1e-6) for r in want)
