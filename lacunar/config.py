@@ -87,11 +87,15 @@ class Job:
 
 @dataclass(frozen=True)
 class Paths:
+    """data, stats (mean and sd), mask (land): parquet tables or, but for stats, rasters; mean and sd: rasters in place of stats."""
+
     data: str = ""
     stats: str = ""
     mask: str = ""
     output: str = ""
     variable: str = ""
+    mean: str = ""
+    sd: str = ""
 
 
 @dataclass(frozen=True)

@@ -13,20 +13,24 @@ RESOLUTION = 0.008333333333333
 CELLS = 1 << 22  # of a task that makes a grid
 
 
-def complete(obs: DataFrame, height: int, width: int, by: Sequence[str] = ("year",)) -> DataFrame:
+def complete(obs: DataFrame, height: int, width: int, by: Sequence[str] = ("year",), box: tuple[int, int, int, int] | None = None, dates: DataFrame | None = None) -> DataFrame:
     """obs (by..., y, x, value) with a row for every cell of every date that occurs; NULL values are gaps.
 
     What is shuffled are the values and one row for each date and row of the grid; cells are made behind that shuffle, by
-    as many tasks as the grid asks for, and meet their values there.
+    as many tasks as the grid asks for, and meet their values there. With `box` (y0, y1, x0, x1) that is the area: its cells alone
+    are read and made. `dates` (by...) are the dates, if they are known without reading obs.
     """
-    inside = obs.where(F.col("y").between(0, height - 1) & F.col("x").between(0, width - 1))
+    y0, y1, x0, x1 = box or (0, height, 0, width)
+    y0, y1, x0, x1 = max(0, y0), min(height, y1), max(0, x0), min(width, x1)
+    inside = within(obs, y0, y1, x0, x1)
     kinds = {f.name: f.dataType for f in obs.schema}
-    upto = lambda n, c: F.sequence(F.lit(0), F.lit(n - 1)).cast(f"array<{kinds[c].simpleString()}>")
-    rows = obs.select(*by).distinct().withColumn("y", F.explode(upto(height, "y")))
+    upto = lambda low, high, c: (F.sequence(F.lit(low), F.lit(high - 1)) if low < high else F.array()).cast(f"array<{kinds[c].simpleString()}>")
+    rows = (obs.select(*by).distinct() if dates is None else dates.select(*by)).withColumn("y", F.explode(upto(y0, y1, "y")))
     rows = rows.withColumns({"x": F.lit(None).cast(kinds["x"]), "value": F.lit(None).cast(kinds["value"])})
-    n = max(3 * obs.sparkSession.sparkContext.defaultParallelism, min(height, 64 * -(-height * width // CELLS)))
+    high, wide = max(1, y1 - y0), max(1, x1 - x0)
+    n = max(3 * obs.sparkSession.sparkContext.defaultParallelism, min(high, 64 * -(-high * wide // CELLS)))
     both = rows.unionByName(inside.select(*by, "y", "x", "value")).repartition(n, *by, "y")
-    both = both.withColumn("x", F.explode(F.when(F.col("x").isNull(), upto(width, "x")).otherwise(F.array("x"))))
+    both = both.withColumn("x", F.explode(F.when(F.col("x").isNull(), upto(x0, x1, "x")).otherwise(F.array("x"))))
     return both.groupBy(*by, "y", "x").agg(F.max("value").alias("value"))
 
 

@@ -286,6 +286,10 @@ FROM lineitem GROUP BY 1, 2, 3, 4, 5) SELECT d.year, d.doy, d.y, d.x, (round(d.v
     "dilate8": f"WITH {occluded(40)} SELECT a.y, a.x, max(b.occluded) AS occluded FROM dark a JOIN dark b ON abs(a.y - b.y) <= 2 AND abs(a.x - b.x) <= 2 GROUP BY a.y, a.x",
     "winter_min_cut": WINTER,
     "grand_stats": f"WITH {BANDS}, months AS (SELECT * FROM bands WHERE band <= 12), g AS ({GRAND.format(t='months')}) SELECT y, x, (round(mean, 8) + 0.0) AS mean, (round(sd, 8) + 0.0) AS sd, n FROM g",
+    "raster_window": f"""WITH i AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_linenumber * 8 + 1 AS INTEGER) AS doy, CAST(l_partkey % (30 * {TIMES}) AS INTEGER) AS y, CAST(l_suppkey % (24 * {TIMES}) AS INTEGER) AS x, l_quantity FROM lineitem)
+SELECT year, doy, y, x, floor(avg(l_quantity) * 1000 + 0.3) / 1000 AS value FROM i WHERE doy IN (9, 25) AND y >= 5 AND y < 21 AND x BETWEEN 3 AND 11 GROUP BY year, doy, y, x""",
+    "raster_bands": f"""WITH i AS (SELECT CAST(month(l_shipdate) AS INTEGER) AS month, CAST(l_partkey % (30 * {TIMES}) AS INTEGER) AS y, CAST(l_suppkey % (24 * {TIMES}) AS INTEGER) AS x, l_quantity AS value FROM lineitem)
+SELECT CAST(band AS INTEGER) AS band, y, x, floor(avg(value) * 1000 + 0.3) / 1000 AS mean FROM (SELECT month AS band, y, x, value FROM i UNION ALL SELECT 13, y, x, value FROM i) WHERE band IN (7, 13) AND x >= 4 AND x < 9 GROUP BY band, y, x""",
     "flag_decode": f"WITH {clipped('d.flags', 16)} SELECT year, "
     + ", ".join(f"count(*) FILTER (flags & {bit} <> 0) AS {name}" for name, bit in (("ocean", 1), ("failure", 2), ("extreme", 4), ("speckle", 8), ("a1_filled", 16), ("a1_full", 32), ("a2_filled", 64), ("clipped", 128)))
     + " FROM cut GROUP BY year",

@@ -14,8 +14,9 @@ from lacunar.operators import despeckle, fill_a1, fill_a2, tiles
 from lacunar.operators.clip import clip
 from lacunar.operators.grid import RESOLUTION, clipped_transform, complete, is_target, on_days, pixel_limits, shape, tile_size, within
 from lacunar.operators.spiral import halo
+from lacunar.operators.stats import month_or_all
 from lacunar.sources import geotiff, raster
-from lacunar.sources.grids import no_data, read_obs, wrong_no_data
+from lacunar.sources.grids import file_date, no_data, read_obs, wrong_no_data
 from lacunar.sources.scratch import materialize
 from lacunar.sources.sinks import write_images
 
@@ -46,33 +47,67 @@ def fill(grid: DataFrame, stats: DataFrame, mask: DataFrame, config: Config, by:
     return filled.select(*keys, "y", "x", "value", "dist", "flags")
 
 
+def is_raster(path: str) -> bool:
+    return path.lower().endswith((".tif", ".tiff"))
+
+
+def reference(spark: SparkSession, config: Config) -> tuple[DataFrame, DataFrame, tuple[int, int]]:
+    """(stats, mask, height and width of the mask) of a job. Mean and SD are a parquet table or two rasters; rasters of 12 or 13
+    bands hold them by month, and what a month lacks is taken from the 13th band, that of all time. The mask is a parquet table
+    or a raster of land (1) and ocean (0)."""
+    p = config.paths
+    if p.mean or p.sd:
+        bands = geotiff.read_meta(spark, p.mean).agg(F.max("bands")).first()[0]
+        by = ["y", "x"] if bands == 1 else ["band", "y", "x"]
+        layer = lambda path, name: raster.read(spark, path).select(*by, F.col("value").alias(name))
+        stats = no_data(layer(p.mean, "mean").join(layer(p.sd, "sd"), by, "full"), config.limits, ("mean", "sd"))
+        if bands > 1:
+            every = stats.where("band = 13").select("y", "x", F.explode(F.sequence(F.lit(1), F.lit(12))).alias("month"))
+            monthly = stats.where("band <= 12").withColumnRenamed("band", "month")
+            stats = month_or_all(every.join(monthly, ["month", "y", "x"], "full"), stats.where("band = 13"))
+    else:
+        stats = no_data(spark.read.parquet(p.stats), config.limits, ("mean", "sd"))
+    if is_raster(p.mask):
+        size = geotiff.read_meta(spark, p.mask).agg(F.max("height"), F.max("width")).first()
+        return stats, raster.read_band(spark, p.mask, "land").withColumn("land", F.col("land").cast("int")), (size[0], size[1])
+    mask = spark.read.parquet(p.mask)
+    return stats, mask, shape(mask)
+
+
+def observed(spark: SparkSession, config: Config) -> tuple[DataFrame, DataFrame, list[float]]:
+    """(cells of the days to fill, their dates, transform) of a job's archive. Of rasters the names tell the dates and only the files
+    of those days are opened; a file whose no-data value isn't the configured one, or that has none, is refused."""
+    p, days = config.paths, config.job.days
+    transform = [-180.0, RESOLUTION, 0.0, 90.0, 0.0, -RESOLUTION]
+    if not is_raster(p.data):
+        obs = on_days(read_obs(spark, p.data, p.variable or None), days)
+        return obs, obs.select("doy", "year").distinct(), transform
+    meta = materialize(geotiff.read_meta(spark, p.data, days), "meta")
+    if wrong := wrong_no_data(meta, config.limits).limit(5).collect():
+        raise ValueError(f"no-data values differ from {config.limits.ndv}: {[r['path'] for r in wrong]}")
+    first = meta.select("gx", "sx", "rx", "gy", "ry", "sy").first()
+    dates = meta.select(*[c.alias(n) for n, c in file_date(F.col("path")).items()]).distinct()
+    return on_days(raster.read_archive(spark, p.data, p.variable or "data"), days), dates, list(first) if first else transform
+
+
 def run(spark: SparkSession, config: Config, height: int | None = None, width: int | None = None) -> None:
     """Read, fill and write the images of a job; days are independent of each other and share one plan. The size of the
     grid is that of the mask unless it is given. `data` is a parquet archive or a pattern of GeoTIFF files, which must
     agree on their no-data value; their transform, moved to the area, goes with what is written."""
     p, job = config.paths, config.job
-    transform = [-180.0, RESOLUTION, 0.0, 90.0, 0.0, -RESOLUTION]
-    if p.data.lower().endswith((".tif", ".tiff")):
-        meta = materialize(geotiff.read_meta(spark, p.data), "meta")
-        if wrong := wrong_no_data(meta.where("ndv IS NOT NULL"), config.limits).limit(5).collect():
-            raise ValueError(f"no-data values differ from {config.limits.ndv}: {[r['path'] for r in wrong]}")
-        first = meta.select("gx", "sx", "rx", "gy", "ry", "sy").first()
-        transform = list(first) if first else transform
-        read = raster.read_archive(spark, p.data, p.variable or "data")
-    else:
-        read = read_obs(spark, p.data, p.variable or None)
-    obs = no_data(on_days(read, job.days), config.limits)
-    stats, mask = no_data(spark.read.parquet(p.stats), config.limits, ("mean", "sd")), spark.read.parquet(p.mask)
-    if height is None or width is None:
-        height, width = shape(mask)
-    grid, y0, x0 = complete(obs.drop("variable"), height, width, ("doy", "year")), 0, 0
+    obs, dates, transform = observed(spark, config)
+    stats, mask, size = reference(spark, config)
+    height, width = size[0] if height is None else height, size[1] if width is None else width
+    box, y0, x0 = None, 0, 0
     if None not in (job.north, job.south, job.west, job.east):
         box = pixel_limits(job.north, job.south, job.west, job.east)
-        grid, stats, mask = (within(d, *box) for d in (grid, stats, mask))
+        stats, mask = (within(d, *box) for d in (stats, mask))
         y0, x0 = max(0, box[0]), max(0, box[2])
+    grid = complete(no_data(obs, config.limits).drop("variable"), height, width, ("doy", "year"), box, dates)
+    if box:
         height, width = min(height, box[1]) - y0, min(width, box[3]) - x0
     if job.memory:
-        years = obs.select("year").distinct().count()
+        years = dates.select("year").distinct().count()
         margin = halo(config.despeckle.search) + halo(config.a1.search)
         config = replace(config, job=replace(job, tile=tile_size(job.memory, years, margin)))
     done = fill(grid, stats, mask, config, ("doy",)).withColumn("variable", F.lit(p.variable or "data"))

@@ -12,8 +12,8 @@ from lacunar.functions import flags as fl
 from lacunar.functions.calendar import composite_doy, doy_months
 from lacunar.operators import aggregate, clip, despeckle, fill_a1, fill_a2, grid, spiral, stats, tiles
 from lacunar.plans import pipeline
-from lacunar.sources import grids
-from lacunar.sources.scratch import materialize
+from lacunar.sources import geotiff, grids, raster
+from lacunar.sources.scratch import materialize, new_path
 
 H, W = 30, 24
 LIMITS = Limits(ceiling=48.0, floor=2.0, z=0.9, absolute_zero=-10.0)
@@ -81,8 +81,8 @@ def _composites(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.groupBy("year", "doy", "y", "x").agg(_base(F.avg("l_quantity")).alias("value"), flag.alias("flags"))
 
 
-def _bands(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate"), (F.col("l_partkey") % 12).cast("int").alias("y"), (F.col("l_suppkey") % 10).cast("int").alias("x"), F.col("l_quantity").alias("value"))
+def _bands(spark: SparkSession, sf_dir: str, h: int = 12, w: int = 10) -> DataFrame:
+    li = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate"), (F.col("l_partkey") % h).cast("int").alias("y"), (F.col("l_suppkey") % w).cast("int").alias("x"), F.col("l_quantity").alias("value"))
     return stats.stats13(li, F.month("l_shipdate")).select("band", "y", "x", _base(F.col("mean")).alias("mean"), _base(F.col("sd")).alias("sd"), "n")
 
 
@@ -321,6 +321,30 @@ def grand_stats(spark, sf_dir):
     return _rounded(stats.grand_stats(_bands(spark, sf_dir).where("band <= 12")), "mean", "sd")
 
 
+DEGREES = [-180.0, 0.25, 0.0, 90.0, 0.0, -0.25]
+
+
+def raster_window(spark, sf_dir):
+    """All of lineitem as an archive of daily GeoTIFF images, in tiles; two days and a window of them are read."""
+    h, w = _shape(spark, sf_dir)
+    li = _table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"), (F.col("l_linenumber") * 8 + 1).cast("int").alias("doy"), (F.col("l_partkey") % h).cast("int").alias("y"), (F.col("l_suppkey") % w).cast("int").alias("x"), "l_quantity")
+    images = li.groupBy("year", "doy", "y", "x").agg(_base(F.avg("l_quantity")).alias("value")).withColumn("variable", F.lit("QTY"))
+    folder = new_path(spark, "raster-window")
+    materialize(geotiff.write_geotiff(images, folder, h, w, DEGREES, kinds={"Data": ("value", "float")}, tile=16), "written")
+    read = raster.read(spark, f"{folder}/QTY/Data/*.tif", "QTY").where("doy IN (9, 25) AND y >= 5 AND y < 21 AND x BETWEEN 3 AND 11")
+    return read.select("year", "doy", "y", "x", F.round("value", 3).alias("value"))
+
+
+def raster_bands(spark, sf_dir):
+    """Statistics of 13 bands as one file of bands in tiles; two bands and a strip of columns are read."""
+    h, w = _shape(spark, sf_dir)
+    folder = new_path(spark, "raster-bands")
+    bands = _bands(spark, sf_dir, h, w)
+    materialize(geotiff.write_bands_geotiff(bands, folder, "mean", "mean", 13, h, w, DEGREES, tile=16), "written")
+    read = raster.read(spark, f"{folder}/mean.*.tif").where("band IN (7, 13) AND x >= 4 AND x < 9")
+    return read.select("band", "y", "x", F.round("value", 3).alias("mean"))
+
+
 def flag_decode(spark, sf_dir):
     df = clip.clip(_clipped(spark, sf_dir), LIMITS, fl.A1_FILLED)
     return df.groupBy("year").agg(*[F.count_if(c).alias(n) for n, c in fl.decode(F.col("flags")).items()])
@@ -329,7 +353,7 @@ def flag_decode(spark, sf_dir):
 ALL = (
     grid_complete, aoi_filter, start_filter, stack_positions, synoptic_stats, monthly_stats, limits_lookup, filename_parse, doy_month_dim, ndv_to_null, ocean_neverdata_flags, extreme_flags, zscore, spiral_offsets,
     despeckle_stack, despeckle_counts, known_unfillable, a1_pairs, a1_fill_diff, a1_fill_trim, a1_fill_ratio, a1_start_year, a1_fill_tiles, a1_fill_default, despeckle_default, a1_counts, clip_a1, clip_a2, a2_anomaly, a2_pass, a2_fill, a2_combine,
-    a2_combine_median, fill_pipeline, fill_counts, monthly_mean, annual_mean, fill_proportion, month_and_year, diurnal_difference, occlusion_mask, dilate8, winter_min_cut, grand_stats, flag_decode,
+    a2_combine_median, fill_pipeline, fill_counts, monthly_mean, annual_mean, fill_proportion, month_and_year, diurnal_difference, occlusion_mask, dilate8, winter_min_cut, grand_stats, flag_decode, raster_window, raster_bands,
 )
 
 

@@ -143,7 +143,7 @@ class RasterReader(DataSourceReader):
         return [b for b in image.layout() if some(b) and rows[b.y : b.y + b.rows].any() and columns[b.x : b.x + b.columns].any()], rows, columns, bands
 
     def read(self, partition: Share) -> Iterator[pa.RecordBatch]:
-        for path, share, shares in partition.files:
+        for path, share, shares in partition.files if partition else ():  # without any file Spark asks for None
             source, close = ranges(path)
             try:
                 image = Image(source)
