@@ -34,9 +34,9 @@ def complete(obs: DataFrame, height: int, width: int, by: Sequence[str] = ("year
     return both.groupBy(*by, "y", "x").agg(F.max("value").alias("value"))
 
 
-def pixel_limits(north: float, south: float, west: float, east: float, res: float = RESOLUTION) -> tuple[int, int, int, int]:
-    """(y0, y1, x0, x1) of a bounding box in degrees; the ends are exclusive."""
-    return int((90 - north) / res), int((90 - south) / res + 0.5), int((west + 180) / res), int((east + 180) / res + 0.5)
+def pixel_limits(north: float, south: float, west: float, east: float, res: float = RESOLUTION, top: float = 90, left: float = -180) -> tuple[int, int, int, int]:
+    """(y0, y1, x0, x1) of a bounding box in degrees, in cells of a grid whose corner lies at (top, left); the ends are exclusive."""
+    return int((top - north) / res), int((top - south) / res + 0.5), int((west - left) / res), int((east - left) / res + 0.5)
 
 
 def within(df: DataFrame, y0: int, y1: int, x0: int, x1: int) -> DataFrame:

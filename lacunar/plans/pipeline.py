@@ -100,7 +100,7 @@ def run(spark: SparkSession, config: Config, height: int | None = None, width: i
     height, width = size[0] if height is None else height, size[1] if width is None else width
     box, y0, x0 = None, 0, 0
     if None not in (job.north, job.south, job.west, job.east):
-        box = pixel_limits(job.north, job.south, job.west, job.east)
+        box = pixel_limits(job.north, job.south, job.west, job.east, transform[1], transform[3], transform[0])
         stats, mask = (within(d, *box) for d in (stats, mask))
         y0, x0 = max(0, box[0]), max(0, box[2])
     grid = complete(no_data(obs, config.limits).drop("variable"), height, width, ("doy", "year"), box, dates)
