@@ -2,7 +2,8 @@
 
 During a pass information moves through gap cells only, so every 8-connected component of gaps, with the cells around
 it, is filled by itself. Components are labelled tile by tile and joined over tile borders; then a task takes many small
-ones at once. A component is never cut, as the scan is sequential within it; its memory follows its cells.
+ones at once. A component of more than LARGE cells is filled tile by tile (`wavefront`), with the same values: no task holds
+more than CELLS + LARGE cells with what is around them.
 """
 
 from __future__ import annotations
@@ -16,12 +17,14 @@ from pyspark.sql import functions as F
 
 from lacunar.config import A2, Limits
 from lacunar.functions import flags as fl
-from lacunar.operators import kernels
+from lacunar.operators import kernels, wavefront
 from lacunar.operators.graph import components, local_roots
 from lacunar.sources.scratch import materialize
 
 TILE = 512
 CELLS = 1 << 16  # gap cells in a task's group, but for a larger component
+LARGE = 1 << 18  # gap cells of a component that a task takes whole
+FEW = 1 << 16  # large components that are broadcast
 WIDTH = 1 << 24  # cells of a row, at most: a cell's number is y * WIDTH + x
 
 
@@ -64,11 +67,22 @@ def gap_components(df: DataFrame, by: Sequence[str], tile: int = TILE) -> DataFr
     return named.select(*by, "y", "x", F.coalesce("root", "node").alias("component"))
 
 
-def pass_values(df: DataFrame, config: A2, limits: Limits, by: Sequence[str] = ("year",), tile: int = TILE) -> DataFrame:
+def pass_values(df: DataFrame, config: A2, limits: Limits, by: Sequence[str] = ("year",), tile: int = TILE, wave_tile: int = wavefront.TILE) -> DataFrame:
     """by..., y, x, pass (0 to 7), pass_value, pass_dist for each gap cell and pass that gives it a value."""
     need = ["value", "mean", "flags", "dist"]
     df = df.select(*by, "y", "x", *need)
     comps = materialize(gap_components(df, by, tile), "gap-components")
+    large = materialize(comps.groupBy("component").agg(F.count("*").alias("cells")).where(F.col("cells") > LARGE).select("component"), "gap-large")
+    n_large = large.count()
+    if not n_large:
+        return _by_component(df, comps, config, limits, by)
+    few = F.broadcast(large) if n_large <= FEW else large
+    gaps = comps.join(few, "component", "left_semi")
+    return _by_component(df, comps.join(few, "component", "left_anti"), config, limits, by).unionByName(wavefront.wave_passes(df, gaps, config, limits, by, wave_tile))
+
+
+def _by_component(df: DataFrame, comps: DataFrame, config: A2, limits: Limits, by: Sequence[str]) -> DataFrame:
+    """Passes over components that a task takes whole, some of them at once."""
     steps = F.expr("sequence(-1, 1)")
     around = comps.select(*by, "y", "x", "component", F.explode(steps).alias("dy")).select("*", F.explode(steps).alias("dx"))
     cells = around.select(*by, (F.col("y") + F.col("dy")).alias("y"), (F.col("x") + F.col("dx")).alias("x"), "component").distinct()

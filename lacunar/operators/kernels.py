@@ -19,95 +19,173 @@ def shifted(a: np.ndarray, dy: int, dx: int) -> np.ndarray:
     return out
 
 
+CHUNK, BATCH = 1024, 64  # cells and offsets that are looked at together; offsets of later batches are more
+
+
+def batches(n: int) -> list[slice]:
+    """Runs of a search's offsets, each twice as long as the one before up to 4 * BATCH: most cells end in the first ones."""
+    out, at, wide = [], 0, BATCH
+    while at < n:
+        out.append(slice(at, min(n, at + wide)))
+        at, wide = out[-1].stop, min(2 * wide, 4 * BATCH)
+    return out
+
+
+class Around:
+    """Images with a rim of NaN as wide as a search, so that what lies around a cell is flat places without a test of the edges."""
+
+    def __init__(self, shape: tuple[int, int], search: int):
+        self.dx, self.dy, self.far = offsets(search)
+        self.rim = int(max(np.abs(self.dx).max(initial=0), np.abs(self.dy).max(initial=0)))
+        self.h, self.w = shape
+        self.wide = self.w + 2 * self.rim
+        self.step = self.dy * self.wide + self.dx
+        self.batches = batches(search)
+
+    def place(self, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        return (y + self.rim) * self.wide + x + self.rim
+
+    def padded(self, image: np.ndarray) -> np.ndarray:
+        out = np.full((self.h + 2 * self.rim, self.wide), np.nan)
+        out[self.rim : self.rim + self.h, self.rim : self.rim + self.w] = image
+        return out.ravel()
+
+    def any_near(self, image: np.ndarray, y: np.ndarray, x: np.ndarray) -> np.ndarray:
+        """Which cells have a value within the square that the search lies in: four places of a summed-area table."""
+        total = np.zeros((self.h + 1, self.w + 1), np.int64)
+        np.cumsum(np.cumsum(~np.isnan(image), axis=0, dtype=np.int64), axis=1, out=total[1:, 1:])
+        y0, y1, x0, x1 = np.maximum(y - self.rim, 0), np.minimum(y + self.rim + 1, self.h), np.maximum(x - self.rim, 0), np.minimum(x + self.rim + 1, self.w)
+        return total[y1, x1] - total[y0, x1] - total[y1, x0] + total[y0, x0] > 0
+
+
+def _first(got: np.ndarray, n: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """(which of `got` are values, how many in a row); what is beyond the first `most` of a row, n of which it has already,
+    becomes NaN."""
+    ok = got == got
+    many = ok.sum(axis=1)
+    over = np.flatnonzero(n + many > most)
+    if len(over):
+        ok[over] &= np.cumsum(ok[over], axis=1) <= (most - n[over])[:, None]
+        many[over] = most - n[over]
+        part = got[over]
+        part[~ok[over]] = np.nan
+        got[over] = part
+    return ok, many
+
+
+def _zeroed(got: np.ndarray) -> np.ndarray:
+    """NaN as 0: several times as fast as a choice by a mask that follows no pattern."""
+    return np.fmax(got, 0.0) + np.fmin(got, 0.0)
+
+
 def despeckle(value: np.ndarray, flags: np.ndarray, z: np.ndarray, config: Despeckle) -> tuple[np.ndarray, np.ndarray]:
     """(value, flags) of a classified stack (years, y, x) after the speckle test."""
-    year, y, x = np.nonzero(flags & fl.SPECKLE)
     value, flags = value.copy(), flags.copy()
-    n, total = np.zeros(len(year), np.int64), np.zeros(len(year))
-    dx, dy, _ = offsets(config.search)
-    h, w = z.shape[1:]
-    open_ = np.arange(len(year))
-    for ox, oy in zip(dx.tolist(), dy.tolist(), strict=True):
-        if not len(open_):
-            break
-        ny, nx = y[open_] + oy, x[open_] + ox
-        inside = (ny >= 0) & (ny < h) & (nx >= 0) & (nx < w)
-        near = np.full(len(open_), np.nan)
-        near[inside] = z[year[open_][inside], ny[inside], nx[inside]]
-        ok = ~np.isnan(near)
-        total[open_[ok]] += near[ok]
-        n[open_[ok]] += 1
-        open_ = open_[n[open_] < config.max_used]
-    with np.errstate(invalid="ignore", divide="ignore"):
-        clear = (n >= config.min_used) & (np.abs(total / n - z[year, y, x]) < config.tolerance)
-    flags[year[clear], y[clear], x[clear]] &= ~fl.SPECKLE & 0xFF
-    value[year[~clear], y[~clear], x[~clear]] = np.nan
+    near = Around(z.shape[1:], config.search)
+    for t in range(len(z)):
+        y, x = np.nonzero(flags[t] & fl.SPECKLE)
+        if not len(y):
+            continue
+        image, spot = near.padded(z[t]), near.place(y, x)
+        n, total = np.zeros(len(y), np.int64), np.zeros(len(y))
+        for a in range(0, len(y), CHUNK):
+            rows = np.arange(a, min(len(y), a + CHUNK))
+            for part in near.batches:
+                got = image.take(spot[rows][:, None] + near.step[None, part])
+                n[rows] += _first(got, n[rows], config.max_used)[1]
+                total[rows] += _zeroed(got).sum(axis=1)
+                rows = rows[n[rows] < config.max_used]
+                if not len(rows):
+                    break
+        with np.errstate(invalid="ignore", divide="ignore"):
+            clear = (n >= config.min_used) & (np.abs(total / n - z[t, y, x]) < config.tolerance)
+        flags[t, y[clear], x[clear]] &= ~fl.SPECKLE & 0xFF
+        value[t, y[~clear], x[~clear]] = np.nan
     return value, flags
 
 
+class Pairs:
+    """What the pairs of one year's gaps add up to: their number, the sums of weighted fills, weights and distances, and the pairs
+    with the smallest and the largest difference, the first of equals."""
+
+    def __init__(self, n: int, most: int):
+        self.most, self.n = most, np.zeros(n, np.int64)
+        self.sums = np.zeros((n, 3))  # weight * fill, weight, distance
+        self.low, self.high = np.full(n, np.inf), np.full(n, -np.inf)
+        self.cut = {"low": np.zeros((n, 3)), "high": np.zeros((n, 3))}
+
+    def add(self, rows: np.ndarray, diff: np.ndarray, alt: np.ndarray, weight: np.ndarray, far: np.ndarray, config: A1, zero: float) -> None:
+        """diff: of each row's neighbours in order, NaN where there is no pair; alt: the other year's value at the gap."""
+        ok, many = _first(diff, self.n[rows], self.most)
+        self.n[rows] += many
+        used = ok.astype(np.float64)
+        w, d, moved = used @ weight, used @ far, _zeroed(diff) @ weight
+        self.sums[rows] += np.stack([alt * moved + zero * w if config.ratio else alt * w + moved, w, d], axis=1)
+        if config.trim:
+            for side, reduce in (("low", np.fmin), ("high", np.fmax)):
+                value, best = reduce.reduce(diff, axis=1), getattr(self, side)
+                new = np.flatnonzero(value < best[rows] if side == "low" else value > best[rows])
+                i, value = rows[new], value[new]
+                k = np.argmax(diff[new] == value[:, None], axis=1)
+                best[i] = value
+                fill = alt[new] * value + zero if config.ratio else alt[new] + value
+                self.cut[side][i] = np.stack([fill * weight[k], weight[k], far[k]], axis=1)
+
+
 def fill_a1(value: np.ndarray, flags: np.ndarray, config: A1, limits: Limits, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(value, flags, dist, pairs) of a stack (years, y, x); target: rows (year, y, x) to be filled."""
+    """(value, flags, dist, pairs) of a stack (years, y, x); target: rows (year, y, x) to be filled.
+
+    The years' difference is one image for each pair of years; gaps take it around themselves in batches of offsets, as one
+    gather, until they have enough. Donor years without any pair in reach are passed over.
+    """
     known = ~np.isnan(value).all(axis=0)
     empty = np.isnan(value) & ((flags & (fl.OCEAN | fl.FAILURE)) == 0) & target
     zero = limits.absolute_zero if config.ratio else 0.0
     v = value - zero
     out, flags = value.copy(), np.where(empty & ~known, fl.FAILURE, flags)
     dist, count = np.full(value.shape, np.nan), np.full(value.shape, -1, np.int64)
-    t, y, x = np.nonzero(empty & known)
-    m = len(t)
-    n = np.zeros(m, np.int64)
-    swf, sw, sd = np.zeros(m), np.zeros(m), np.zeros(m)
-    low, high = np.full(m, np.inf), np.full(m, -np.inf)
-    cut = {side: np.zeros((m, 3)) for side in ("low", "high")}
-    years, h, w = value.shape
-    dx, dy, far = offsets(config.search)
-    for step in range(1, years):
-        for dz in (step, -step):
-            alt_t = t + dz
-            live = np.flatnonzero((alt_t >= 0) & (alt_t < years) & (n < config.max_used))
-            live = live[~np.isnan(v[alt_t[live], y[live], x[live]])]
-            alt = np.full(m, np.nan)
-            alt[live] = v[alt_t[live], y[live], x[live]]
-            for ox, oy, d in zip(dx.tolist(), dy.tolist(), far.tolist(), strict=True):
-                if not len(live):
-                    break
-                ny, nx = y[live] + oy, x[live] + ox
-                inside = (ny >= 0) & (ny < h) & (nx >= 0) & (nx < w)
-                i, ny, nx = live[inside], ny[inside], nx[inside]
-                now = v[t[i], ny, nx]
-                has = ~np.isnan(now)
-                i, ny, nx, now = i[has], ny[has], nx[has], now[has]
-                then = v[alt_t[i], ny, nx]
-                has = ~np.isnan(then)
-                i, now, then = i[has], now[has], then[has]
-                if config.ratio:
-                    with np.errstate(divide="ignore", invalid="ignore"):
-                        diff = np.where(then == 0, config.max_ratio, np.clip(now / then, 1 / config.max_ratio, config.max_ratio))
-                    f = alt[i] * diff + zero
-                else:
-                    diff = now - then
-                    f = alt[i] + diff
-                weight = (1.0 / abs(dz)) * (1.0 / d)
-                n[i] += 1
-                swf[i] += f * weight
-                sw[i] += weight
-                sd[i] += d
-                for side, best, better in (("low", low, diff < low[i]), ("high", high, diff > high[i])):
-                    j = i[better]
-                    best[j] = diff[better]
-                    cut[side][j] = np.stack([f[better] * weight, np.full(len(j), weight), np.full(len(j), d)], axis=1)
-                live = live[n[live] < config.max_used]
-    enough = n >= config.min_used
-    trim = enough & (n > 2) & config.trim
-    both = np.where(trim[:, None], cut["low"] + cut["high"], 0.0)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        filled = (swf - both[:, 0]) / (sw - both[:, 1])
-        mean_d = (sd - both[:, 2]) / (n - 2 * trim)
-    out[t[enough], y[enough], x[enough]] = filled[enough]
-    dist[t[enough], y[enough], x[enough]] = mean_d[enough]
-    new = np.where(enough, fl.A1_FILLED | np.where(n == config.max_used, fl.A1_FULL, 0), fl.FAILURE)
-    flags[t, y, x] |= new.astype(flags.dtype)
-    count[t, y, x] = n
+    years = len(value)
+    near = Around(value.shape[1:], config.search)
+    for t in range(years):
+        y, x = np.nonzero(empty[t] & known)
+        if not len(y):
+            continue
+        pairs, spot = Pairs(len(y), config.max_used), near.place(y, x)
+        for dz in (sign * step for step in range(1, years) for sign in (1, -1)):
+            if not 0 <= t + dz < years:
+                continue
+            then = v[t + dz]
+            alt = then[y, x]
+            live = np.flatnonzero(~np.isnan(alt) & (pairs.n < config.max_used))
+            if not len(live):
+                continue
+            if config.ratio:
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    both = np.where(then == 0, np.where(np.isnan(v[t]), np.nan, config.max_ratio), np.clip(v[t] / then, 1 / config.max_ratio, config.max_ratio))
+            else:
+                both = v[t] - then
+            live = live[near.any_near(both, y[live], x[live])]
+            image = near.padded(both)
+            for a in range(0, len(live), CHUNK):
+                rows = live[a : a + CHUNK]
+                for part in near.batches:
+                    diff = image.take(spot[rows][:, None] + near.step[None, part])
+                    pairs.add(rows, diff, alt[rows], 1.0 / abs(dz) / near.far[part], near.far[part], config, zero)
+                    rows = rows[pairs.n[rows] < config.max_used]
+                    if not len(rows):
+                        break
+        n = pairs.n
+        enough = n >= config.min_used
+        trim = enough & (n > 2) & config.trim
+        both = np.where(trim[:, None], pairs.cut["low"] + pairs.cut["high"], 0.0)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            sums = pairs.sums - both
+            filled, mean_d = sums[:, 0] / sums[:, 1], sums[:, 2] / (n - 2 * trim)
+        out[t, y[enough], x[enough]] = filled[enough]
+        dist[t, y[enough], x[enough]] = mean_d[enough]
+        new = np.where(enough, fl.A1_FILLED | np.where(n == config.max_used, fl.A1_FULL, 0), fl.FAILURE)
+        flags[t, y, x] |= new.astype(flags.dtype)
+        count[t, y, x] = n
     return out, flags, dist, count
 
 
