@@ -6,12 +6,13 @@ sets a and b that share alpha = t / (1 + t) * (|a| + |b|) shingles or more, the
 hold one that both have, so only sets that share a prefix key meet. Filters of a pair at such a key, before any text is read:
 length (the smaller has at least t times the size of the larger), position (what is left behind the key in the shorter rest,
 and the key itself, can still reach alpha) and suffix (cut at fixed hashes into RANGES ranges, the sets' counts differ in all
-by at most what alpha leaves unshared). Of what passes, the texts are read from where they lie and their sets compared whole,
-and only at the first key that both have: a pair is verified once. Pairs that a task has joined already are passed over,
-and a task returns a spanning forest of what it joined, so a group of near copies makes no list of all its pairs.
+by at most what alpha leaves unshared). A task joins what passes into groups of candidates and returns a forest of them, not
+their pairs. Then the texts of each group are read from where they lie, once a cell, and its sets are compared whole: each pair
+once, in the one cell that holds it, and not at all if other links have joined it already.
 
 Equal sets are one node. Texts are written once to files and never go through a shuffle; what is shuffled is a row for each
-prefix key, then the rows of keys that several sets have. A key of more than PART rows is cut into a grid of cells of two parts.
+prefix key, then the rows of keys that several sets have. A key of more than PART rows, and a group of as many candidates, is cut
+into a grid of cells of two parts.
 The sketch has 2**BITS counters whatever the table: every task holds their codes (4 MB). It only orders the keys, so that
 counters which several shingles share cost candidates and lose no link.
 
@@ -42,9 +43,10 @@ SHINGLE, PERCENT = 5, 80
 BITS, SHARDS = 22, 16  # of the sketch
 RANGES = 32  # of the suffix filter
 PART = 2048  # rows of a key that meet in one cell
-ROWS, CANDIDATES = 100_000, 20_000  # rows of a bucket
+ROWS = 100_000  # rows of a bucket
+BUCKET = 1000  # candidates of a bucket
 PAIRS = 1 << 20  # of a step of a task
-KEYS = 1 << 21  # keys of sets that a task holds at once
+KEYS = 1 << 21  # keys of the sets of a part
 BLOCK_BYTES = 2 << 20
 FAN_IN = 32
 ROW = "uid long, block_id long, doc_id long, name binary, size long, file string, at long, length long, shard int, data binary"
@@ -290,59 +292,80 @@ def _shared(rule: Rule):
     return run
 
 
-def _verified(shingle: int, rule: Rule, held):
+def _candidates(rule: Rule):
+    """A forest of the pairs of a bucket that pass the suffix filter, too; no text is read for it."""
+
     def run(table: pa.Table) -> pa.Table:
         groups = Groups(table)
         ranges = np.frombuffer(b"".join(table["ranges"].to_pylist()), np.uint8).reshape(-1, RANGES)[groups.order]
-        places = [table[c].to_pylist() for c in ("file", "at", "length")]
-        nodes, first, index = np.unique(groups.node, return_index=True, return_inverse=True)
+        nodes, index = np.unique(groups.node, return_inverse=True)
         root = np.arange(len(nodes))
-        token = groups.token.view(np.uint64)
         for x, y in groups.pairs(rule):
             apart = root[index[x]] != root[index[y]]
             x, y = x[apart], y[apart]
             near = rule.suffix(groups.size[x], groups.size[y], ranges[x], ranges[y])
-            x, y = x[near], y[near]
-            upto = np.cumsum(groups.size[x] + groups.size[y])
-            i = 0
-            while i < len(x):  # as many pairs at a time as their sets fit
-                to = max(i + 1, int(np.searchsorted(upto, (upto[i - 1] if i else 0) + KEYS, side="right")))
-                mine, other = x[i:to], y[i:to]
-                i = to
-                apart = root[index[mine]] != root[index[other]]
-                mine, other = mine[apart], other[apart]
-                if not len(mine):
-                    continue
-                need = np.unique(index[np.append(mine, other)])
-                rows = groups.order[first[need]]
-                keys, size = _sets([tuple(p[r] for p in places) for r in rows.tolist()], shingle, held.value)
-                starts = np.cumsum(size) - size
-                spot = np.full(len(nodes), -1)
-                spot[need] = np.arange(len(need))
-                cuts = np.flatnonzero(np.diff(mine, prepend=-1))
-                for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(mine)], strict=True):
-                    seed, those = int(mine[a]), other[a:b]
-                    those = those[root[index[those]] != root[index[seed]]]  # what is joined meanwhile is passed over
-                    if not len(those):
-                        continue
-                    own = spot[index[seed]]
-                    set_ = keys[starts[own] : starts[own] + size[own]]
-                    t = spot[index[those]]
-                    b_keys = keys[ragged(starts[t], size[t])]
-                    hit = set_[np.minimum(np.searchsorted(set_, b_keys), len(set_) - 1)] == b_keys
-                    edges = np.cumsum(size[t]) - size[t]
-                    shared = np.add.reduceat(hit.astype(np.int64), edges)
-                    least = np.minimum.reduceat(np.where(hit, b_keys, np.uint64(2**64 - 1)), edges)
-                    good = (least == token[seed]) & rule.linked(size[own], size[t], shared)
-                    root = local_roots(len(nodes), np.full(int(good.sum()), index[seed]), index[those[good]], root)
-                trim()
-        joined = np.flatnonzero(root != np.arange(len(nodes)))
-        trim()
-        return pa.table({"u": pa.array(nodes[joined], pa.int64()), "v": pa.array(nodes[root[joined]], pa.int64())})
+            root = local_roots(len(nodes), index[x[near]], index[y[near]], root)
+        return _forest(nodes, root)
+
+    return run
+
+
+def _forest(nodes: np.ndarray, root: np.ndarray) -> pa.Table:
+    joined = np.flatnonzero(root != np.arange(len(nodes)))
+    trim()
+    return pa.table({"u": pa.array(nodes[joined], pa.int64()), "v": pa.array(nodes[root[joined]], pa.int64())})
+
+
+def _compared(shingle: int, rule: Rule, held):
+    """A forest of the linked sets of each cell of a bucket. Sets are read a cell at a time, and each pair is compared once, but
+    for pairs that are joined already."""
+
+    def run(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("group", "ascending"), ("row", "ascending"), ("line", "ascending"), ("file", "ascending"), ("at", "ascending")])
+        node, row, line, side = (table[c].to_numpy() for c in ("node", "row", "line", "side"))
+        group, places = table["group"].to_numpy(), list(zip(*(table[c].to_pylist() for c in ("file", "at", "length")), strict=True))
+        nodes, index = np.unique(node, return_inverse=True)
+        root = np.arange(len(nodes))
+        new = np.ones(len(node), bool)
+        new[1:] = (np.diff(group) != 0) | (np.diff(row) != 0) | (np.diff(line) != 0)
+        edges = np.append(np.flatnonzero(new), len(node))
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            mine = index[a:b]
+            if len(mine) > 1:
+                keys, size = _sets(places[a:b], shingle, held.value)
+                root = _joined(rule, mine, side[a:b] if row[a] != line[a] else None, keys, size, root)
+        return _forest(nodes, root)
 
     return run
 
 
+def _joined(rule: Rule, mine: np.ndarray, side: np.ndarray | None, keys: np.ndarray, size: np.ndarray, root: np.ndarray) -> np.ndarray:
+    """Roots after the linked ones of a cell's sets are joined; of two sides, only pairs of one and the other are looked at."""
+    starts = np.cumsum(size) - size
+    for i in range(len(mine)):
+        rest = np.arange(i + 1, len(mine)) if side is None else np.flatnonzero(side == 1) if side[i] == 0 else np.zeros(0, np.int64)
+        rest = rest[(root[mine[rest]] != root[mine[i]]) & rule.length(size[i], size[rest])]
+        for at in range(0, len(rest), 512):
+            those = rest[at : at + 512]
+            own, other = keys[starts[i] : starts[i] + size[i]], keys[ragged(starts[those], size[those])]
+            hit = own[np.minimum(np.searchsorted(own, other), len(own) - 1)] == other
+            shared = np.add.reduceat(hit.astype(np.int64), np.cumsum(size[those]) - size[those])
+            good = those[rule.linked(size[i], size[those], shared)]
+            root = local_roots(len(root), np.full(len(good), mine[i]), mine[good], root)
+    return root
+
+
+def verified(candidates: DataFrame, prefixes: DataFrame, compare) -> DataFrame:
+    """Links (u, v) that join all linked sets of each group of candidates (node, root). A group of more than PART sets or KEYS
+    keys is cut into a grid of cells of two parts each; what is sent is where texts lie."""
+    asked = prefixes.select("node", "size", "file", "at", "length").join(candidates.select("node", F.col("root").alias("group")), "node")
+    parts = candidates.join(prefixes.select("node", "size"), "node").groupBy(F.col("root").alias("group")).agg(F.greatest(F.ceil(F.count("*") / PART), F.ceil(F.sum("size") / KEYS)).cast("long").alias("parts"))
+    spot = asked.join(parts, "group").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts"))).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    cells = spot.select("group", F.least("part", "other").alias("row"), F.greatest("part", "other").alias("line"), F.when(F.col("part") < F.col("other"), 0).otherwise(1).alias("side"), "node", "file", "at", "length")
+    buckets = max(1, -(-candidates.count() // BUCKET)) * 2
+    return cells.withColumn("bucket", F.pmod(F.xxhash64("group", "row", "line"), F.lit(buckets))).groupBy("bucket").applyInArrow(compare, LINK)
+
+
 def _cells(prefixes: DataFrame, codes: np.ndarray) -> DataFrame:
     """Rows of CELL. Only keys whose counter reaches PART can have that many rows: those alone are counted exactly."""
     rows = prefixes.select("node", "size", "tokens").mapInArrow(_tokens, "token long, pos long, node long, size long")
@@ -377,8 +400,9 @@ def jaccard_components(docs: DataFrame, shingle: int = SHINGLE, percent: int = P
     prefixes = materialize(asked.groupBy("block_id").applyInArrow(_prefixes(shingle, rule, held), NODE), "jaccard-prefixes")
     n = prefixes.agg(F.sum(F.length("tokens"))).first()[0] or 0
     shared = materialize(_dealt(_cells(prefixes, codes), n // 8, ROWS).groupBy("bucket").applyInArrow(_shared(rule), CELL), "jaccard-shared")
-    found = shared.join(prefixes.select("node", "ranges", "file", "at", "length"), "node")
-    links = materialize(_dealt(found, shared.count(), CANDIDATES).groupBy("bucket").applyInArrow(_verified(shingle, rule, held), LINK), "jaccard-links")
+    near = _dealt(shared.join(prefixes.select("node", "ranges"), "node"), shared.count(), ROWS).groupBy("bucket").applyInArrow(_candidates(rule), LINK)
+    candidates = with_roots(near, "jaccard-candidates")
+    links = materialize(verified(candidates, prefixes, _compared(shingle, rule, held)), "jaccard-links")
     delete(spark, folder)
     release(shared, prefixes)
     components = component_names(nodes.select(F.col("node").alias("fp"), "least"), with_roots(links, "jaccard-edges"))

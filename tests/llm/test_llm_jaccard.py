@@ -73,7 +73,7 @@ def test_components(spark, shingle, percent):
 
 def test_cells_of_crowded_keys(spark, monkeypatch):
     """A group of near copies, far more than fit into a cell or a bucket; texts without rare shingles."""
-    for name, value in (("PART", 8), ("ROWS", 300), ("CANDIDATES", 100), ("PAIRS", 50), ("KEYS", 400)):
+    for name, value in (("PART", 8), ("ROWS", 300), ("BUCKET", 20), ("PAIRS", 50), ("KEYS", 400)):
         monkeypatch.setattr(jaccard, name, value)
     rng = np.random.default_rng(1)
     words = [f"w{i}" for i in range(80)]
@@ -83,8 +83,26 @@ def test_cells_of_crowded_keys(spark, monkeypatch):
     assert found(jaccard.jaccard_components(frame(spark, rows).repartition(4), 3, 90)) == brute(rows, 3, 90)
 
 
-def test_pairs_are_verified_once(spark, monkeypatch):
-    """Each pair passes at one key alone, however many keys its prefixes share."""
+def test_pairs_are_compared_once(monkeypatch):
+    """A pair of a cell is compared once, or not at all when it is joined already; of two sides only across."""
+    rule, compared = jaccard.Rule(90), []
+    plain = rule.linked
+    monkeypatch.setattr(rule, "linked", lambda a, b, shared: compared.extend([1] * len(b)) or plain(a, b, shared))
+    rng = np.random.default_rng(4)
+    sets = [np.unique(rng.integers(0, 2**40, 100).astype(np.uint64)) for _ in range(12)]
+    size = np.array([len(s) for s in sets])
+    root = jaccard._joined(rule, np.arange(12), None, np.concatenate(sets), size, np.arange(12))
+    assert len(compared) == 12 * 11 // 2 and (root == np.arange(12)).all()
+    compared.clear()
+    jaccard._joined(rule, np.arange(12), np.array([0] * 4 + [1] * 8), np.concatenate(sets), size, np.arange(12))
+    assert len(compared) == 4 * 8
+    compared.clear()
+    root = jaccard._joined(rule, np.arange(12), None, np.concatenate([sets[0]] * 12), np.full(12, size[0]), np.arange(12))
+    assert len(compared) == 11 and (root == 0).all()
+
+
+def test_filters_lose_no_link():
+    """A linked pair passes all filters at the first key that both have."""
     rule = jaccard.Rule(90)
     rng = np.random.default_rng(3)
     for _ in range(50):
