@@ -25,6 +25,7 @@ from lacunar.llm.textops import slices, trim
 BLOCK_BYTES = 4 << 20
 BLOCK_ROWS = 1 << 16
 BLOCKS_PER_TASK = 4
+SMALL = 256  # bytes of an answer that its row holds itself
 PLACE = "block_id long, n_rows long, n_bytes long, file string, at long, size long"
 SENT = "bucket long, block_id long, data binary"
 ANSWER = "block_id long, bucket long, data binary"
@@ -126,17 +127,28 @@ def split(bucket: np.ndarray) -> list[tuple[int, np.ndarray]]:
     return [(int(k), order[a:b]) for k, a, b in zip(keys, at, [*at[1:], len(order)], strict=True)]
 
 
-def exchange(sends: DataFrame, answer: Callable[[int, list[int], list[bytes]], list[tuple[int, int, bytes]]]) -> DataFrame:
-    """Answers (block_id, bucket, data): `answer` gets a bucket with its blocks, ascending, and what they sent."""
+def exchange(sends: DataFrame, answer: Callable[[int, list[int], list[bytes]], list[tuple[int, int, bytes]]], folder: str | None = None) -> DataFrame:
+    """Answers (block_id, bucket, data): `answer` gets a bucket with its blocks, ascending, and what they sent. With a folder,
+    what blocks are answered lies there, once, in a file of each bucket, and the table tells only where (file, at, size)."""
 
     def run(table: pa.Table) -> pa.Table:
         ids, data = table["block_id"].to_pylist(), table["data"].to_pylist()
         order = sorted(range(len(ids)), key=ids.__getitem__)
         rows = answer(table["bucket"][0].as_py(), [ids[i] for i in order], [data[i] for i in order])
+        del table, data
+        out = {"block_id": pa.array([r[0] for r in rows], pa.int64()), "bucket": pa.array([r[1] for r in rows], pa.int64())}
+        if folder is None:
+            out["data"] = pa.array([r[2] for r in rows], pa.binary())
+        else:
+            with blobs(folder) as files:
+                places = [files.add(r[2]) if len(r[2]) > SMALL and r[0] >= 0 else None for r in rows]
+            out["data"] = pa.array([None if p else r[2] for r, p in zip(rows, places, strict=True)], pa.binary())
+            for i, (name, kind) in enumerate((("file", pa.string()), ("at", pa.int64()), ("size", pa.int64()))):
+                out[name] = pa.array([p[i] if p else None for p in places], kind)
         trim()
-        return pa.table({"block_id": pa.array([r[0] for r in rows], pa.int64()), "bucket": pa.array([r[1] for r in rows], pa.int64()), "data": pa.array([r[2] for r in rows], pa.binary())})
+        return pa.table(out)
 
-    return sends.groupBy("bucket").applyInArrow(run, ANSWER)
+    return sends.groupBy("bucket").applyInArrow(run, ANSWER if folder is None else f"{ANSWER}, file string, at long, size long")
 
 
 Run = Callable[[int, bytes, dict[int, bytes]], Iterator[pa.RecordBatch]]
@@ -147,7 +159,7 @@ def over(blocks: DataFrame, n_blocks: int, run: Run, schema: str | StructType, a
     answers and the blocks' places together, in small rows; a task holds one block at a time."""
     rows = blocks.select("block_id", F.lit(None).cast("long").alias("bucket"), F.lit(None).cast("binary").alias("data"), "file", "at", "size")
     if answers is not None:
-        rows = rows.unionByName(answers.select("block_id", "bucket", "data"), allowMissingColumns=True)
+        rows = rows.unionByName(answers, allowMissingColumns=True)
     empty = _arrow(schema)
 
     def one(table: pa.Table) -> pa.Table:
@@ -156,7 +168,7 @@ def over(blocks: DataFrame, n_blocks: int, run: Run, schema: str | StructType, a
             if bucket is None:
                 place = at
             else:
-                got[bucket] = data
+                got[bucket] = read_blob(*at) if data is None else data
         block = table["block_id"][0].as_py()
         del table
         made = list(run(block, read_blob(*place), got)) if place else []

@@ -44,6 +44,7 @@ from lacunar.llm.textops import Words
 from lacunar.llm.toxicity import fold
 
 P_MIN, MIN_DIVERGENCE = 1e-4, 0.02
+MIN_COUNT, DEPTH = 20, 4
 HOT = 1e-3
 END = np.uint64(0xE3D0_0000_0000_0001)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -601,7 +602,7 @@ def _hot(answers: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return name, np.where(gain >= MIN_DIVERGENCE, followers, -followers).astype(np.int64)
 
 
-def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int = 2) -> DataFrame:
+def suffix_tree_scores(docs: DataFrame, min_count: int | None = MIN_COUNT, depth: int = DEPTH) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     if not 1 <= depth < LEVELS:
         raise ValueError(f"depth must be 1 to {LEVELS - 1}")
@@ -613,21 +614,24 @@ def suffix_tree_scores(docs: DataFrame, min_count: int | None = None, depth: int
     n_blocks = blocks.count()
     buckets = max(1, -(-n_blocks // 2))
     folder = new_path(spark, "tree-files")
-    answers = materialize(exchange(over(blocks, n_blocks, _words(buckets, f"{folder}-asked-0"), SENT), _total()), "tree-words")
+    told = new_path(spark, "tree-answers")
+    answers = materialize(exchange(over(blocks, n_blocks, _words(buckets, f"{folder}-asked-0"), SENT), _total(), told), "tree-words")
     delete(spark, hashed)
     _, v, n, _ = (float(x.sum()) for x in _reported(answers))
     plan = Plan(folder, buckets, int(n), int(v), P_MIN * n if min_count is None else min_count)
 
-    def gather(run, answer, name: str) -> DataFrame:
-        found = materialize(exchange(over(blocks, n_blocks, run, SENT, answers.where(F.col("block_id") != TALLY)), answer), name)
+    def gather(run, answer, name: str) -> tuple[DataFrame, str]:
+        folder = new_path(spark, "tree-answers")
+        found = materialize(exchange(over(blocks, n_blocks, run, SENT, answers.where(F.col("block_id") != TALLY)), answer, folder), name)
         release(answers)
-        return found
+        delete(spark, told)
+        return found, folder
 
     for d in range(1, depth + 1):
-        answers = gather(_ask(plan), _followed(buckets, plan.least, d == depth), f"tree-level-{d}")
+        answers, told = gather(_ask(plan), _followed(buckets, plan.least, d == depth), f"tree-level-{d}")
         plan.hot.append(_hot(answers))
         delete(spark, plan.asked(d - 1))
-    answers = gather(_ask_closed(plan), _closed, "tree-closed")
+    answers, told = gather(_ask_closed(plan), _closed, "tree-closed")
     delete(spark, plan.asked(depth))
     out = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return over(blocks, n_blocks, _score(plan), out, answers)

@@ -518,7 +518,7 @@ def test_suffix_tree(spark, rows, monkeypatch):
     one = {s for s in after if len(s) == 1 and diverges(s, shape(count))}
     two = {s for s in after if len(s) == 2 and s[1:] in one and diverges(s, shape(after[s[1:]]))}
     assert one and two
-    for i, r in by_id(suffix_tree.suffix_tree_scores(frame(spark, rows))).items():
+    for i, r in by_id(suffix_tree.suffix_tree_scores(frame(spark, rows), min_count=None, depth=2)).items():
         t, base, score = texts[i], 0.0, 0.0
         for k, w in enumerate(t):
             p = (count[w] + 1) / (n + v + 1)
