@@ -11,6 +11,7 @@ from lacunar.config import Despeckle, Limits
 from lacunar.functions import flags as fl
 from lacunar.operators.aggregate import with_month
 from lacunar.operators.spiral import spiral_column
+from lacunar.sources.scratch import materialize
 
 
 def _outside(low: Column, high: Column, limits: Limits) -> Column:
@@ -55,6 +56,7 @@ def despeckle(classified: DataFrame, config: Despeckle, by: Sequence[str] = ("ye
     Neighbours are those of the same date with a z, suspects among them, nearest first up to max_used of `search`.
     """
     keys = [*by, "y", "x"]
+    classified = materialize(classified, "classified")  # read for the suspects, for their neighbours and for the result
     suspects = classified.where(fl.has(F.col("flags"), fl.SPECKLE)).select(*keys, F.col("z").alias("own"), F.explode(spiral_column(config.search)).alias("o"))
     asked = suspects.select(*by, F.col("y").alias("sy"), F.col("x").alias("sx"), "own", F.col("o.k").alias("k"), (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"))
     near = classified.where("z IS NOT NULL").select(*keys, "z")

@@ -1,8 +1,10 @@
 """A1: fill a gap from the same cell in other years, adjusted by what neighbours did between the two years.
 
-`pairs` and `fill` are relational: the gaps, times the other years with a value there, times the spiral's offsets, by
-two equi-joins. They suit short searches; rows grow with gaps x years x search. For the long default search
-`tiles.fill_tiles` gives the same results with dense arrays, a tile a task.
+`pairs` and `fill` are relational. One aggregate makes a row of each cell: its values by position of their year, as a map, and its
+gaps. A gap finds the values of other years in its own row; times the spiral's offsets it meets its neighbours' rows by one
+equi-join, and they hold the values of both years. Maps hold as many values as a day has years. This suits short searches; rows
+grow with gaps x years x search. For the long default search `tiles.fill_tiles` gives the same results with dense arrays, a tile a
+task.
 """
 
 from __future__ import annotations
@@ -16,12 +18,13 @@ from lacunar.config import A1, Limits
 from lacunar.functions import flags as fl
 from lacunar.operators.grid import with_position
 from lacunar.operators.spiral import spiral_column
+from lacunar.sources.scratch import materialize
 
 
 def with_any_data(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     """df with `any_data`: the cell has a value in some year."""
-    known = df.where("value IS NOT NULL").select(*by, "y", "x").distinct().withColumn("any_data", F.lit(True))
-    return df.join(known, [*by, "y", "x"], "left").withColumn("any_data", F.coalesce("any_data", F.lit(False)))
+    cell = Window.partitionBy(*by, "y", "x")
+    return df.withColumn("any_data", F.max(F.col("value").isNotNull()).over(cell))
 
 
 def is_gap() -> Column:
@@ -35,15 +38,16 @@ def pairs(stack: DataFrame, config: A1, limits: Limits, by: Sequence[str] = (),
     cell = [*by, "y", "x"]
     df = with_position(stack, by)
     zero = limits.absolute_zero if config.ratio else 0.0
-    have = df.where("value IS NOT NULL").select(*cell, "pos", (F.col("value") - zero).alias("v"))
-    gaps = with_any_data(df, by).where(is_gap() & (F.lit(True) if targets is None else targets)).select(*cell, "pos", "year")
-    other = have.select(*cell, F.col("pos").alias("alt_pos"), F.col("v").alias("alt"))
-    here = gaps.select(*by, F.col("y").alias("gy"), F.col("x").alias("gx"), "pos", "year", F.explode(spiral_column(config.search)).alias("o"))
+    has = F.col("value").isNotNull()
+    open_ = ~has & ~fl.any_of(F.col("flags"), fl.OCEAN | fl.FAILURE) & (F.lit(True) if targets is None else targets)
+    values = F.map_from_entries(F.collect_list(F.when(has, F.struct("pos", (F.col("value") - zero).alias("v")))))
+    series = df.groupBy(*cell).agg(values.alias("values"), F.collect_list(F.when(open_, F.struct("pos", "year"))).alias("gaps"))
+    own = series.where((F.size("gaps") > 0) & (F.size("values") > 0)).select(*by, F.col("y").alias("gy"), F.col("x").alias("gx"), F.col("values").alias("alts"), F.explode("gaps").alias("gap"))
+    here = own.select("*", F.explode(spiral_column(config.search)).alias("o"))
     here = here.select("*", (F.col("gy") + F.col("o.dy")).alias("y"), (F.col("gx") + F.col("o.dx")).alias("x"))
-    # the rarer side first: neighbours with a value in the gap's own year
-    near = here.join(have.withColumnRenamed("v", "nbr"), [*cell, "pos"])
-    near = near.join(other.select(*by, F.col("y").alias("gy"), F.col("x").alias("gx"), "alt_pos", "alt"), [*by, "gy", "gx"]).where("alt_pos <> pos")
-    both = near.join(have.select(*cell, F.col("pos").alias("alt_pos"), F.col("v").alias("nbr_alt")), [*cell, "alt_pos"])
+    near = here.join(series.where(F.size("values") > 0).select(*cell, "values"), cell).withColumn("nbr", F.try_element_at("values", F.col("gap.pos"))).where("nbr IS NOT NULL")
+    both = near.select(*by, "gy", "gx", F.col("gap.pos").alias("pos"), F.col("gap.year").alias("year"), "o", "nbr", "values", F.explode("alts").alias("alt_pos", "alt"))
+    both = both.withColumn("nbr_alt", F.try_element_at("values", F.col("alt_pos"))).where("nbr_alt IS NOT NULL")
     dist = F.sqrt((F.col("o.dx") * F.col("o.dx") + F.col("o.dy") * F.col("o.dy")).cast("double"))
     if config.ratio:
         r = F.try_divide("nbr", "nbr_alt")
@@ -77,6 +81,7 @@ def fill(stack: DataFrame, config: A1, limits: Limits, by: Sequence[str] = (), t
     A cell without data in any year gets flag 2 alone. Rows that are no targets keep what they have.
     """
     keys = [*by, "year", "y", "x"]
+    stack = materialize(stack, "a1-stack")  # read for the dates, for the cells' rows and for the result
     got = combine(pairs(stack, config, limits, by, targets), config, by)
     goal = F.lit(True) if targets is None else targets
     df = with_any_data(stack, by).join(got, keys, "left").withColumn("_gap", is_gap() & goal)

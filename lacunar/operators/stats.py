@@ -29,22 +29,28 @@ def month_or_all(monthly: DataFrame, synoptic_stats: DataFrame) -> DataFrame:
     return monthly.join(s, ["y", "x"], "left").select("month", "y", "x", F.coalesce("mean", "mean_all").alias("mean"), F.coalesce("sd", "sd_all").alias("sd"))
 
 
+def merged(groups: Column) -> Column:
+    """mean, sd, n of all members of an array of groups' (mean, sd, n): merged one after another as (n, mean, sum of squares about
+    it), which cancels nothing. No members: NULL, NULL, 0."""
+    real = F.filter(groups, lambda g: F.coalesce(g["n"], F.lit(0)) > 0)
+    whole = lambda n, mean, m2: F.struct(n.cast("double").alias("n"), mean.cast("double").alias("mean"), m2.cast("double").alias("m2"))
+
+    def add(a: Column, g: Column) -> Column:
+        n, d = a["n"] + g["n"], g["mean"] - a["mean"]
+        inner = F.when(g["n"] > 1, g["sd"] * g["sd"] * (g["n"] - 1)).otherwise(0.0)
+        return whole(n, a["mean"] + d * g["n"] / n, a["m2"] + inner + d * d * a["n"] * g["n"] / n)
+
+    def finish(a: Column) -> Column:
+        n = a["n"]
+        return F.struct(F.when(n > 0, a["mean"]).alias("mean"), F.when(n > 1, F.sqrt(F.greatest(F.lit(0.0), a["m2"]) / (n - 1))).alias("sd"), n.cast("long").alias("n"))
+
+    return F.aggregate(real, whole(F.lit(0.0), F.lit(0.0), F.lit(0.0)), add, finish)
+
+
 def grand_stats(groups: DataFrame, by: Sequence[str] = ("y", "x")) -> DataFrame:
-    """mean, sd, n of all members, from groups' mean, sd, n, in one pass. No members: NULL, NULL, 0.
-
-    The squares of the group means are taken about the cell's first mean, so they don't cancel.
-    """
-    full = F.col("n") > 0
-    n, m = F.when(full, F.col("n")).otherwise(0).cast("double"), F.col("mean")
-    shift = F.min(F.when(full, F.struct("mean"))).alias("o")
-    g = groups.join(groups.groupBy(*by).agg(shift), list(by)).withColumn("d", m - F.col("o.mean"))
-    inner = F.when(full & (F.col("n") > 1), F.col("sd") * F.col("sd") * (n - 1)).otherwise(0.0)
-    sums = g.groupBy(*by).agg(F.sum(n).alias("_n"), F.sum(n * F.col("d")).alias("_d"), F.sum(n * F.col("d") * F.col("d")).alias("_dd"), F.sum(inner).alias("_in"), F.first("o").alias("o"))
-    some = F.col("_n") > 0
-    mean = F.when(some, F.col("o.mean") + F.col("_d") / F.col("_n"))
-    between = F.col("_dd") - F.col("_d") * F.col("_d") / F.col("_n")
-    sd = F.when(F.col("_n") > 1, F.sqrt(F.greatest(F.lit(0.0), F.col("_in") + between) / (F.col("_n") - 1)))
-    return sums.select(*by, mean.alias("mean"), sd.alias("sd"), F.col("_n").cast("long").alias("n"))
+    """mean, sd, n of all members, from groups' mean, sd, n. A cell's groups, such as its months, are one array: one shuffle."""
+    rows = groups.groupBy(*by).agg(F.array_sort(F.collect_list(F.struct("mean", "sd", F.col("n").cast("double").alias("n")))).alias("_groups"))
+    return rows.select(*by, merged(F.col("_groups")).alias("_all")).select(*by, "_all.mean", "_all.sd", "_all.n")
 
 
 def occlusion(hillshade: DataFrame, north_below: int, south_from: int, threshold: int = 120) -> DataFrame:
@@ -61,18 +67,17 @@ def dilate8(mask: DataFrame, value: str = "occluded", times: int = 1) -> DataFra
     return mask.join(grown, ["y", "x"], "left").withColumn(value, F.coalesce("_hit", F.lit(0))).drop("_hit")
 
 
-def _band(name: str, months: Sequence[int]) -> Column:
-    """A struct of the earlier-listed of two shoulder months with the smaller mean; NULL means count as larger."""
-    a, b = months
-    pick = lambda m: F.max(F.when(F.col("band") == m, F.struct("mean", "sd", "n")))
-    return F.struct(pick(a).alias("a"), pick(b).alias("b")).alias(name)
+def _of(bands: Column, month: int) -> Column:
+    """The struct of a month; NULL where the cell has no such band."""
+    return F.try_element_at(F.filter(bands, lambda b: b["band"] == month), F.lit(1))
 
 
-def _threshold(pair: Column, months: Sequence[int]) -> Column:
-    """mean, sd, n and source month that a cell's months are held to."""
-    a, b = pair["a"], pair["b"]
+def _threshold(bands: Column, months: Sequence[int]) -> Column:
+    """mean, sd, n and source month that a cell's months are held to: of the earlier-listed of two shoulder months with the
+    smaller mean; NULL means count as larger."""
+    a, b = (_of(bands, m) for m in months)
     none = F.struct(F.lit(0.0).alias("mean"), F.lit(0.0).alias("sd"), F.lit(0).cast("long").alias("n"), F.lit(-13).alias("source"))
-    take = lambda s, source: F.struct(s["mean"].alias("mean"), s["sd"].alias("sd"), s["n"].alias("n"), F.lit(source).alias("source"))
+    take = lambda s, source: F.struct(s["mean"].alias("mean"), s["sd"].alias("sd"), s["n"].cast("long").alias("n"), F.lit(source).alias("source"))
     am, bm = a["mean"], b["mean"]
     return F.when(am.isNull() & bm.isNull(), none).when(bm.isNull() | (am < bm), take(a, months[0])).when(am.isNull() | (bm < am), take(b, months[1])).otherwise(take(a, 13))
 
@@ -80,18 +85,24 @@ def _threshold(pair: Column, months: Sequence[int]) -> Column:
 def winter_min_cut(bands: DataFrame, occluded: DataFrame, north_to: int, south_from: int) -> DataFrame:
     """bands (band, y, x, mean, sd, n) with winter months of occluded cells held to the lower shoulder month; `source`
     is the month a replaced row came from (13: both alike, -13: neither known), else 0. Rows y <= north_to use April and
-    September, rows y >= south_from October and March. Band 13 of a changed cell is recomputed from its months."""
-    dark = occluded.where("occluded <> 0").select("y", "x", F.lit(True).alias("dark"))
-    shoulders = bands.groupBy("y", "x").agg(_band("north", NORTH_SHOULDERS), _band("south", SOUTH_SHOULDERS))
-    df = bands.join(shoulders, ["y", "x"]).join(dark, ["y", "x"], "left")
-    north = (F.col("y") <= north_to) & F.col("band").isin(*NORTH_MONTHS)
-    south = (F.col("y") > north_to) & (F.col("y") >= south_from) & F.col("band").isin(*SOUTH_MONTHS)
-    df = df.withColumn("_to", F.when(F.col("dark") & north, _threshold(F.col("north"), NORTH_SHOULDERS)).when(F.col("dark") & south, _threshold(F.col("south"), SOUTH_SHOULDERS)))
-    cut = F.coalesce(F.col("mean") > F.col("_to.mean"), F.lit(False))
-    df = df.withColumn("_cut", cut).select("band", "y", "x", *[F.when(F.col("_cut"), F.col(f"_to.{c}")).otherwise(F.col(c)).alias(c) for c in ("mean", "sd", "n")], F.when(F.col("_cut"), F.col("_to.source")).otherwise(0).alias("source"))
-    months = df.where(F.col("band") != ALL_TIME)
-    changed = months.where("source <> 0").select("y", "x").distinct()
-    again = grand_stats(months.join(changed, ["y", "x"], "left_semi")).select("y", "x", F.struct("mean", "sd", "n").alias("_all"))
-    df = df.join(again, ["y", "x"], "left")
-    use = (F.col("band") == ALL_TIME) & F.col("_all").isNotNull()
-    return df.select("band", "y", "x", *[F.when(use, F.col(f"_all.{c}")).otherwise(F.col(c)).alias(c) for c in ("mean", "sd", "n")], "source")
+    September, rows y >= south_from October and March. Band 13 of a changed cell is recomputed from its months.
+
+    A cell with its bands and its shade is one row, made by one shuffle; all else happens within it."""
+    band = F.struct("band", "mean", "sd", F.col("n").cast("long").alias("n"))
+    both = bands.select("y", "x", band.alias("b"), F.lit(None).cast("boolean").alias("d")).unionByName(occluded.select("y", "x", F.lit(None).cast(bands.select(band.alias("b")).schema["b"].dataType).alias("b"), (F.col("occluded") != 0).alias("d")))
+    cells = both.groupBy("y", "x").agg(F.array_sort(F.collect_list("b")).alias("bands"), F.coalesce(F.max("d"), F.lit(False)).alias("dark")).where(F.size("bands") > 0)
+    north, south = F.col("dark") & (F.col("y") <= north_to), F.col("dark") & (F.col("y") > north_to) & (F.col("y") >= south_from)
+    cells = cells.withColumn("_to", F.when(north, _threshold(F.col("bands"), NORTH_SHOULDERS)).when(south, _threshold(F.col("bands"), SOUTH_SHOULDERS)))
+    cells = cells.withColumn("_months", F.when(north, F.array(*map(F.lit, NORTH_MONTHS))).when(south, F.array(*map(F.lit, SOUTH_MONTHS))))
+
+    def cut(b: Column) -> Column:
+        over = F.coalesce(F.array_contains("_months", b["band"]) & (b["mean"] > F.col("_to.mean")), F.lit(False))
+        new = [F.when(over, F.col(f"_to.{c}")).otherwise(b[c]).alias(c) for c in ("mean", "sd", "n")]
+        return F.struct(b["band"].alias("band"), *new, F.when(over, F.col("_to.source")).otherwise(0).alias("source"))
+
+    cells = cells.select("y", "x", F.transform("bands", cut).alias("bands"))
+    months = F.filter("bands", lambda b: b["band"] != ALL_TIME)
+    again = F.when(F.exists(months, lambda b: b["source"] != 0), merged(months))
+    rows = cells.withColumn("_all", again).select("y", "x", "_all", F.explode("bands").alias("b"))
+    use = (F.col("b.band") == ALL_TIME) & F.col("_all").isNotNull()
+    return rows.select("b.band", "y", "x", *[F.when(use, F.col(f"_all.{c}")).otherwise(F.col(f"b.{c}")).alias(c) for c in ("mean", "sd", "n")], "b.source")

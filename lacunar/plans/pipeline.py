@@ -29,7 +29,7 @@ def fill(grid: DataFrame, stats: DataFrame, mask: DataFrame, config: Config, by:
     start = config.job.start_year
     marked = despeckle.classify(grid, stats, mask, config.limits, config.despeckle)
     if max(config.despeckle.search, config.a1.search) <= SHORT_SEARCH:
-        clean = materialize(despeckle.despeckle(marked, config.despeckle, keys), "despeckled")
+        clean = despeckle.despeckle(marked, config.despeckle, keys)
         filled = fill_a1.fill(clean, config.a1, config.limits, by, is_target(start))
     else:
         filled = tiles.fill_tiles(marked, config.despeckle, config.a1, config.limits, by, start, config.job.tile)
