@@ -2,7 +2,8 @@
 
 A text's features are the distinct hashes of its words and their stems (the first STEMS bytes of a longer word, so that
 other forms of a word are known, too), of its word pairs and of its pairs with one word between (letters and digits, A-Z
-lowered); each counts once, so a long text is not paid for its length. Rates are kept per coordinate and L1 leaves few weights other than zero: a few KB that go to every task, at most MAX_WEIGHTS of them by
+lowered); each counts once, so a long text is not paid for its length, but that one which occurs LEVELS times or more is a
+further feature for each level: what clean texts have once, toxic ones repeat. Rates are kept per coordinate and L1 leaves few weights other than zero: a few KB that go to every task, at most MAX_WEIGHTS of them by
 the size of the training sample. Labels are learned from about `train_rows` labelled documents, chosen by a hash of
 their id; every text is scored, whole.
 
@@ -25,10 +26,13 @@ from pyspark.sql import functions as F
 from lacunar.llm.textops import IS_ALNUM, Words, slices, trim
 
 TRAIN_ROWS = 12_000
-ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 20.0, 0.1, 4
-TOXIC_WEIGHT = 4.0  # of an example with label 1, as they are few
+ALPHA, BETA, L1, L2, EPOCHS = 2.0, 1.0, 20.0, 0.1, 6
+TOXIC_WEIGHT = 6.0  # of an example with label 1, as they are few
 THRESHOLD = 0.7
 STEMS = (4, 5, 6, 7)  # bytes; a longer word has its first ones as features, too, for its other forms
+LEVELS = (2, 3)  # occurrences
+LEAST_TEXTS = 2  # of the sample, that a feature occurs in
+_LEVEL = np.array([0x5BD1E995, 0x27D4EB2F], np.uint32)  # what tells the features of each level from the plain ones
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 
 
@@ -54,11 +58,20 @@ def features(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(rows), ((x * _ODD[4]) >> np.uint64(32)).astype(np.uint32)
 
 
-def train(examples: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
+def once(row: np.ndarray, f: np.ndarray, rows: int) -> list[np.ndarray]:
+    """Distinct features of each row, ascending, those of the levels among them."""
+    pairs, count = np.unique((row.astype(np.uint64) << np.uint64(32)) | f, return_counts=True)
+    more = [pairs[count >= level] ^ np.uint64(mark) for level, mark in zip(LEVELS, _LEVEL, strict=True)]
+    pairs = np.sort(np.concatenate([pairs, *more]))
+    at = np.searchsorted(pairs >> np.uint64(32), np.arange(rows + 1))
+    low = (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    return [np.unique(low[a:b]) for a, b in zip(at, at[1:], strict=False)]
+
+
+def train(examples: list[np.ndarray], labels: np.ndarray, least_texts: int = 1) -> tuple[np.ndarray, np.ndarray, float]:
     """(features with a weight, ascending; weights; bias).
 
-    While a weight is 0 its z is the sum of its gradients. Those of one text sum up to less than EPOCHS * TOXIC_WEIGHT, so
-    below L1 a feature of one text alone never gets a weight, and is left out.
+    Features of fewer than `least_texts` texts are left out: those of one text, most of all, only name it.
     """
     share = (labels.sum() + 0.5) / (len(labels) + 1)
     start = math.log(share / (1 - share))
@@ -66,7 +79,7 @@ def train(examples: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, n
     if not len(labels) or labels.min() == labels.max():
         return none
     names, counts = np.unique(np.concatenate(examples), return_counts=True)
-    names = names[counts > 1] if EPOCHS * max(1.0, TOXIC_WEIGHT) < L1 else names
+    names = names[counts >= least_texts]
     if not len(names):
         return none
     ids = []
@@ -98,14 +111,18 @@ def train(examples: list[np.ndarray], labels: np.ndarray) -> tuple[np.ndarray, n
     return names[keep], w[keep], bias
 
 
+def pieces_of(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Runs of whole rows of about a MB of text: their features take some 60 times as much."""
+    yield from slices(batch, "text", 1 << 20)
+
+
 def _examples(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for part in slices(batch, "text", 2 << 20):
+        for part in pieces_of(batch):
             row, f = features(part.column("text"))
-            pairs = np.unique((row.astype(np.uint64) << np.uint64(32)) | f)
-            at = np.searchsorted(pairs >> np.uint64(32), np.arange(len(part) + 1))
-            low = (pairs & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "toxic": part.column("toxic"), "features": [low[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]})
+            yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "toxic": part.column("toxic"), "features": [x.tobytes() for x in once(row, f, len(part))]})
+            del row, f
+            trim()
     trim()
 
 
@@ -114,30 +131,39 @@ def _fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         examples += [np.frombuffer(b, np.uint32) for b in batch.column("features").to_pylist()]
         labels += batch.column("toxic").to_pylist()
-    names, weights, bias = train(examples, np.array(labels, dtype=np.int64))
+    names, weights, bias = train(examples, np.array(labels, dtype=np.int64), LEAST_TEXTS)
     del examples
     trim()
     yield pa.RecordBatch.from_pydict({"names": [names.tobytes()], "weights": [weights.tobytes()], "bias": pa.array([bias], pa.float64())})
 
 
 class Model:
-    """Sparse weights with a bit table in front, so most features are passed over without a search."""
+    """Sparse weights with a bit table in front, so most features are passed over without a search. `base`: the plain features
+    that have a weight themselves or at a level; `each`: their weights, plain and by level."""
 
     def __init__(self, names: np.ndarray, weights: np.ndarray, bias: float):
         self.names, self.weights, self.bias = names, weights, bias
+        self.base = np.unique(np.concatenate([names, *[names ^ m for m in _LEVEL]]))
+        self.each = np.zeros((1 + len(LEVELS), len(self.base)))
+        for own, mark in zip(self.each, (np.uint32(0), *_LEVEL), strict=True):
+            at = np.minimum(np.searchsorted(names, self.base ^ mark), max(0, len(names) - 1))
+            hit = names[at] == self.base ^ mark if len(names) else np.zeros(len(self.base), bool)
+            own[hit] = weights[at[hit]]
         self.maybe = np.zeros(1 << 16, bool)
-        self.maybe[names >> np.uint32(16)] = True
+        self.maybe[self.base >> np.uint32(16)] = True
 
     def scores(self, col: pa.Array) -> np.ndarray:
         total = np.full(len(col), self.bias)
         row, f = features(col)
-        near = np.flatnonzero(self.maybe[f >> np.uint32(16)]) if len(self.names) else np.zeros(0, np.int64)
+        near = np.flatnonzero(self.maybe[f >> np.uint32(16)]) if len(self.base) else np.zeros(0, np.int64)
         if len(near):
             row, f = row[near], f[near]
-            at = np.minimum(np.searchsorted(self.names, f), len(self.names) - 1)
-            hit = self.names[at] == f
-            pairs = np.unique(row[hit] * len(self.names) + at[hit])
-            np.add.at(total, pairs // len(self.names), self.weights[pairs % len(self.names)])
+            at = np.minimum(np.searchsorted(self.base, f), len(self.base) - 1)
+            hit = self.base[at] == f
+            pairs, count = np.unique(row[hit] * len(self.base) + at[hit], return_counts=True)
+            for own, level in zip(self.each, (1, *LEVELS), strict=True):
+                often = pairs[count >= level]
+                np.add.at(total, often // len(self.base), own[often % len(self.base)])
         return 1 / (1 + np.exp(-np.clip(total, -30, 30)))
 
 
@@ -165,8 +191,10 @@ def fit(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> Mod
 def _score(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "score": pa.array(model.scores(part.column("text")))})
+            for part in pieces_of(batch):
+                found = pa.array(model.scores(part.column("text")))
+                trim()
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "held_out": part.column("held_out"), "score": found})
 
     return run
 
@@ -184,8 +212,9 @@ def keep_clean(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> D
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text", 2 << 20):
-                yield part.filter(pa.array(model.scores(part.column("text")) < threshold))
-        trim()
+            for part in pieces_of(batch):
+                keep = pa.array(model.scores(part.column("text")) < threshold)
+                trim()
+                yield part.filter(keep)
 
     return docs.mapInArrow(run, docs.schema)

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import json
 import math
+import os
 import random
 import zlib
 from pathlib import Path
@@ -669,6 +670,30 @@ def test_ftrl_by_the_plain_formulas(monkeypatch, l1):
     assert 1000 in names and (l1 > 16 or any(i > 1000 for i in names.tolist()))
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.1"), reason="no test tables")
+def test_held_out_recall(spark):
+    """Over nine tenths of the toxic documents that no label was learned from are found, and at most 6 of 1,200 clean ones."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    known = docs.join(labels.where("toxic IS NOT NULL").select("doc_id", "toxic"), "doc_id")
+    rows = toxicity.score(known, toxicity.fit(docs, labels)).join(labels.select("doc_id", "toxic"), "doc_id").where("held_out").collect()
+    toxic, clean = ([r["predicted"] for r in rows if r["toxic"] == t] for t in (1, 0))
+    assert len(toxic) > 100 and sum(toxic) > 0.9 * len(toxic) and sum(clean) <= 0.005 * len(clean)
+
+
+def test_levels_of_features():
+    """What a text repeats is a further feature, by the model as by the trainer."""
+    col = pa.array(["a b", "a b a", "a x a y a"])
+    found = toxicity.once(*toxicity.features(col), 3)
+    extra = [set(f.tolist()) for f in found]
+    a = next(iter(set(toxicity.features(pa.array(["a"]))[1].tolist())))
+    marks = [a, *(a ^ int(m) for m in toxicity._LEVEL)]
+    assert [[m in e for m in marks] for e in extra] == [[True, False, False], [True, True, False], [True, True, True]]
+    names = np.array(sorted(marks), np.uint32)
+    weights = np.array([{marks[0]: 1.0, marks[1]: 2.0, marks[2]: 4.0}[m] for m in names.tolist()])
+    logit = lambda p: np.log(p / (1 - p))
+    assert np.allclose(logit(toxicity.Model(names, weights, -3.0).scores(col)), [-2.0, 0.0, 4.0])
+
+
 def test_toxicity_without_labels(spark, rows):
     docs = frame(spark, rows)
     model = toxicity.fit(docs, spark.createDataFrame([], "doc_id long, toxic int"))
