@@ -29,6 +29,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,8 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lacunar.llm.blocks import SENT, exchange, freeze, over, pack_blocks, sent, split, thaw
+from lacunar.llm import blocks as shared
+from lacunar.llm.blocks import SENT, exchange, freeze, over, sent, split, thaw
 from lacunar.llm.files import blobs, read_blob
 from lacunar.llm.scratch import delete, materialize, new_path, release
 from lacunar.llm.textops import Words
@@ -46,6 +48,7 @@ from lacunar.llm.toxicity import fold
 P_MIN, MIN_DIVERGENCE = 1e-4, 0.02
 MIN_COUNT, DEPTH = 20, 4
 BLOCK_BYTES, BUCKET_BYTES = 6 << 20, 8 << 20  # of text in a block, and for each bucket: a block sends a key once
+pack_blocks = partial(shared.pack_blocks, limit=BLOCK_BYTES)
 HOT = 1e-3
 END = np.uint64(0xE3D0_0000_0000_0001)
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -611,7 +614,7 @@ def suffix_tree_scores(docs: DataFrame, min_count: int | None = MIN_COUNT, depth
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     docs = docs.withColumn("held_out", F.coalesce(fold(F.col("doc_id"), FOLDS) == HELD, F.lit(False)))
     hashed = new_path(spark, "tree-hashes")
-    blocks = pack_blocks(docs, "text", "doc_id", "tree-tokens", _code(hashed), BLOCK_BYTES)
+    blocks = pack_blocks(docs, "text", "doc_id", "tree-tokens", _code(hashed))
     n_blocks = blocks.count()
     buckets = max(1, -(-n_blocks * BLOCK_BYTES // BUCKET_BYTES))
     folder = new_path(spark, "tree-files")
