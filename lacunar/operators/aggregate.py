@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lacunar.functions import flags as fl
@@ -49,27 +49,63 @@ def difference(day: DataFrame, night: DataFrame, by: Sequence[str] = ("year", "d
     return day.select(*by, "y", "x", F.col("value").alias("_day")).join(n, [*by, "y", "x"]).select(*by, "y", "x", (F.col("_day") - F.col("_night")).alias("value"))
 
 
+def _bits() -> dict[str, Column]:
+    f = F.col("flags")
+    return {"cells": F.count("*"), "ocean": F.count_if(fl.has(f, fl.OCEAN)), "extreme": F.count_if(fl.has(f, fl.EXTREME)), "speckle": F.count_if(fl.has(f, fl.SPECKLE))}
+
+
+def _pairs() -> dict[str, Column]:
+    f, n = F.col("flags"), F.col("n_pairs")
+    return {
+        "gaps": F.count(n), "full": F.count_if(fl.has(f, fl.A1_FULL)), "partial": F.count_if(fl.has(f, fl.A1_FILLED) & ~fl.has(f, fl.A1_FULL)),
+        "insufficient": F.count_if((n > 0) & ~fl.has(f, fl.A1_FILLED)), "none": F.count_if(n == 0), "pairs": F.sum(n),
+    }
+
+
+def _smeared() -> dict[str, Column]:
+    f = F.col("flags")
+    return {"filled": F.count_if(fl.has(f, fl.A2_FILLED)), "left": F.count_if(fl.has(f, fl.FAILURE)), "clipped": F.count_if(fl.has(f, fl.CLIPPED))}
+
+
+def _named(columns: dict[str, Column]) -> list[Column]:
+    return [c.alias(n) for n, c in columns.items()]
+
+
 def despeckle_counts(df: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
     """Counters of a despeckled stack."""
     f = F.col("flags")
-    return df.groupBy(*by).agg(
-        F.count("*").alias("cells"), F.count_if(fl.has(f, fl.OCEAN)).alias("ocean"), F.count_if(fl.has(f, fl.FAILURE)).alias("never"), F.count_if(fl.has(f, fl.EXTREME)).alias("extreme"),
-        F.count_if(fl.has(f, fl.SPECKLE)).alias("speckle"), F.count_if(F.col("value").isNotNull()).alias("good"), F.count_if(F.col("value").isNull() & ~fl.any_of(f, fl.OCEAN | fl.FAILURE)).alias("gaps"),
-    )
+    more = {"never": F.count_if(fl.has(f, fl.FAILURE)), "good": F.count_if(F.col("value").isNotNull()), "gaps": F.count_if(F.col("value").isNull() & ~fl.any_of(f, fl.OCEAN | fl.FAILURE))}
+    return df.groupBy(*by).agg(*_named(_bits() | more))
 
 
 def a1_counts(filled: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
     """Counters of an A1 result with n_pairs. gaps = full + partial + insufficient + none."""
-    f, n = F.col("flags"), F.col("n_pairs")
-    return filled.groupBy(*by).agg(
-        F.count("*").alias("cells"), F.count(n).alias("gaps"), F.count_if(fl.has(f, fl.A1_FULL)).alias("full"), F.count_if(fl.has(f, fl.A1_FILLED) & ~fl.has(f, fl.A1_FULL)).alias("partial"),
-        F.count_if((n > 0) & ~fl.has(f, fl.A1_FILLED)).alias("insufficient"), F.count_if(n == 0).alias("none"), F.sum(n).alias("pairs"),
-    )
+    return filled.groupBy(*by).agg(F.count("*").alias("cells"), *_named(_pairs()))
 
 
 def a2_counts(df: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:
-    f = F.col("flags")
-    return df.groupBy(*by).agg(F.count_if(fl.has(f, fl.A2_FILLED)).alias("filled"), F.count_if(fl.has(f, fl.FAILURE)).alias("left"), F.count_if(fl.has(f, fl.CLIPPED)).alias("clipped"))
+    return df.groupBy(*by).agg(*_named(_smeared()))
+
+
+class Counters:
+    """Counters of a run, taken while its tables are written: no scan and no job of their own. `get` has them once that is done."""
+
+    def __init__(self) -> None:
+        self.seen: dict[str, Observation] = {}
+
+    def _watch(self, df: DataFrame, name: str, columns: dict[str, Column]) -> DataFrame:
+        self.seen[name] = Observation()
+        return df.observe(self.seen[name], *_named(columns))
+
+    def a1(self, filled: DataFrame) -> DataFrame:
+        """filled, as A1 leaves it (with n_pairs); flags of the masks and of the despeckle are on it, too."""
+        return self._watch(filled, "a1", _bits() | _pairs())
+
+    def a2(self, done: DataFrame) -> DataFrame:
+        return self._watch(done, "a2", _smeared())
+
+    def get(self) -> dict[str, dict[str, int]]:
+        return {name: {k: int(v or 0) for k, v in o.get.items()} for name, o in self.seen.items()}
 
 
 def cleared_counts(classified: DataFrame, despeckled: DataFrame, by: Sequence[str] = ("year",)) -> DataFrame:

@@ -59,12 +59,33 @@ def occlusion(hillshade: DataFrame, north_below: int, south_from: int, threshold
     return hillshade.select("y", "x", shade.cast("int").alias("occluded"))
 
 
+def _spread(bits: Column, times: int) -> Column:
+    """What a row of 64 cells, as bits, gives along the row within `times` cells: (step to the chunk, its bits), zeros left out."""
+    inside, after, before = bits, F.lit(0).cast("long"), F.lit(0).cast("long")
+    for k in range(1, times + 1):
+        inside = inside.bitwiseOR(F.shiftleft(bits, k)).bitwiseOR(F.shiftrightunsigned(bits, k))
+        after, before = after.bitwiseOR(F.shiftrightunsigned(bits, 64 - k)), before.bitwiseOR(F.shiftleft(bits, 64 - k))
+    parts = F.array(*[F.struct(F.lit(step).cast("long").alias("step"), b.alias("bits")) for step, b in ((0, inside), (1, after), (-1, before))])
+    return F.filter(parts, lambda p: p["bits"] != 0)
+
+
 def dilate8(mask: DataFrame, value: str = "occluded", times: int = 1) -> DataFrame:
-    """mask with its ones grown to their eight neighbours, `times` times. Only the ones are copied."""
-    reach = F.expr(f"sequence(-{times}, {times})")
-    grown = mask.where(F.col(value) != 0).select(F.col("y").alias("cy"), F.col("x").alias("cx"), F.explode(reach).alias("dy")).select("*", F.explode(reach).alias("dx"))
-    grown = grown.select((F.col("cy") + F.col("dy")).alias("y"), (F.col("cx") + F.col("dx")).alias("x")).distinct().withColumn("_hit", F.lit(1))
-    return mask.join(grown, ["y", "x"], "left").withColumn(value, F.coalesce("_hit", F.lit(0))).drop("_hit")
+    """mask (y, x from 0) with its ones grown to their eight neighbours, `times` times.
+
+    The square is separable. 64 cells of a row are the bits of one number; along the row it grows by shifts, what leaves it goes to
+    the chunks beside it, and each of these goes to 2 * times + 1 rows: one or two numbers a row in place of (2 * times + 1)^2
+    cells for each one. Cells meet their chunk's number at the end.
+    """
+    if times > 63:
+        return dilate8(dilate8(mask, value, 63), value, times - 63)
+    chunk = F.shiftright(F.col("x").cast("long"), 6).alias("chunk")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("x").cast("int").bitwiseAND(63))
+    rows = mask.where(F.col(value) != 0).groupBy(F.col("y").cast("long").alias("y"), chunk).agg(F.bit_or(bit).alias("bits"))
+    grown = rows.select("y", "chunk", F.explode(_spread(F.col("bits"), times)).alias("p")).select(F.explode(F.sequence(F.col("y") - times, F.col("y") + times)).alias("y"), (F.col("chunk") + F.col("p.step")).alias("chunk"), "p.bits")
+    grown = grown.groupBy(F.col("y").alias("_y"), F.col("chunk").alias("_chunk")).agg(F.bit_or("bits").alias("_bits"))
+    met = mask.join(grown, (F.col("y") == F.col("_y")) & (F.shiftright(F.col("x").cast("long"), 6) == F.col("_chunk")), "left")
+    hit = F.call_function("shiftrightunsigned", F.coalesce("_bits", F.lit(0).cast("long")), F.col("x").cast("int").bitwiseAND(63)).bitwiseAND(F.lit(1).cast("long"))
+    return met.withColumn(value, hit.cast("int")).drop("_y", "_chunk", "_bits")
 
 
 def _of(bands: Column, month: int) -> Column:

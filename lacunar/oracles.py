@@ -185,22 +185,23 @@ def pipeline() -> str:
 
 
 SWAPPED = "CASE WHEN d.flags & 16 <> 0 AND d.x % 2 = 0 THEN (d.flags - 16) + 64 ELSE d.flags END"
-COMPOSITES = """comps AS (
-  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(1 + 8 * ((dayofyear(l_shipdate) - 1) // 8) AS INTEGER) AS doy, CAST(l_partkey % 6 AS INTEGER) AS y, CAST(l_suppkey % 5 AS INTEGER) AS x,
+COMPOSITES = f"""comps AS (
+  SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(1 + 8 * ((dayofyear(l_shipdate) - 1) // 8) AS INTEGER) AS doy, CAST(l_partkey % (6 * {TIMES}) AS INTEGER) AS y, CAST(l_suppkey % (5 * {TIMES}) AS INTEGER) AS x,
     floor(avg(l_quantity) * 1000 + 0.3) / 1000 AS value, max(CASE l_returnflag WHEN 'R' THEN 16 WHEN 'A' THEN 1 ELSE 0 END) AS flags FROM lineitem GROUP BY 1, 2, 3, 4
 ), months AS (SELECT *, CAST(month(DATE '2001-01-01' + to_days(doy - 1)) AS INTEGER) AS month FROM comps)"""
 PERCENT = "(round(100 * avg(CASE WHEN flags & 112 <> 0 THEN 1.0 ELSE 0.0 END), 8) + 0.0) AS filled_percent"
-BANDS = """items AS (
-  SELECT CAST(month(l_shipdate) AS INTEGER) AS month, CAST(l_partkey % 12 AS INTEGER) AS y, CAST(l_suppkey % 10 AS INTEGER) AS x, l_quantity AS value FROM lineitem
+BANDS = f"""items AS (
+  SELECT CAST(month(l_shipdate) AS INTEGER) AS month, CAST(l_partkey % (12 * {TIMES}) AS INTEGER) AS y, CAST(l_suppkey % (10 * {TIMES}) AS INTEGER) AS x, l_quantity AS value FROM lineitem
 ), bands AS (
   SELECT band, y, x, floor(avg(value) * 1000 + 0.3) / 1000 AS mean, floor(stddev_samp(value) * 1000 + 0.3) / 1000 AS sd, count(*) AS n
   FROM (SELECT month AS band, y, x, value FROM items UNION ALL SELECT 13, y, x, value FROM items) GROUP BY band, y, x)"""
-SHADE = """shade AS (
-  SELECT CAST(a.y AS INTEGER) AS y, CAST(b.x AS INTEGER) AS x, (b.x * 31 + a.y * 17) % 256 AS north, (b.x * 13 + a.y * 29) % 256 AS south FROM range(12) a(y), range(10) b(x))"""
+SHADE = f"""shade AS (
+  SELECT CAST(l_partkey % (12 * {TIMES}) AS INTEGER) AS y, CAST(l_suppkey % (10 * {TIMES}) AS INTEGER) AS x, CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) % 256 AS north,
+    CAST(sum(CAST(l_quantity AS BIGINT) + 37 * l_linenumber) AS BIGINT) % 256 AS south FROM lineitem GROUP BY 1, 2)"""
 
 
 def occluded(threshold: int) -> str:
-    return f"{SHADE}, dark AS (SELECT y, x, CAST(CASE WHEN y < 4 THEN north < {threshold} WHEN y >= 8 THEN south < {threshold} ELSE FALSE END AS INTEGER) AS occluded FROM shade)"
+    return f"{SHADE}, dark AS (SELECT y, x, CAST(CASE WHEN y < 4 * {TIMES} THEN north < {threshold} WHEN y >= 8 * {TIMES} THEN south < {threshold} ELSE FALSE END AS INTEGER) AS occluded FROM shade)"
 
 
 GRAND = """SELECT m.y, m.x, CASE WHEN sum(n) > 0 THEN any_value(gm) END AS mean,
@@ -218,8 +219,8 @@ def _threshold(a: int, b: int) -> str:
 
 
 WINTER = f"""WITH {BANDS}, {occluded(200)}, nt AS ({_threshold(4, 9)}), st AS ({_threshold(10, 3)}), rule AS (
-  SELECT b.*, d.occluded = 1 AND ((b.y <= 4 AND band IN (1, 2, 3, 10, 11, 12)) OR (b.y >= 8 AND band IN (4, 5, 6, 7, 8, 9))) AS winter,
-    CASE WHEN b.y <= 4 THEN nt.tm ELSE st.tm END AS tm, CASE WHEN b.y <= 4 THEN nt.ts ELSE st.ts END AS ts, CASE WHEN b.y <= 4 THEN nt.tn ELSE st.tn END AS tn, CASE WHEN b.y <= 4 THEN nt.src ELSE st.src END AS src
+  SELECT b.*, d.occluded = 1 AND ((b.y <= 4 * {TIMES} AND band IN (1, 2, 3, 10, 11, 12)) OR (b.y >= 8 * {TIMES} AND band IN (4, 5, 6, 7, 8, 9))) AS winter,
+    CASE WHEN b.y <= 4 * {TIMES} THEN nt.tm ELSE st.tm END AS tm, CASE WHEN b.y <= 4 * {TIMES} THEN nt.ts ELSE st.ts END AS ts, CASE WHEN b.y <= 4 * {TIMES} THEN nt.tn ELSE st.tn END AS tn, CASE WHEN b.y <= 4 * {TIMES} THEN nt.src ELSE st.src END AS src
   FROM bands b JOIN nt USING (y, x) JOIN st USING (y, x) LEFT JOIN dark d USING (y, x)
 ), cut AS (
   SELECT band, y, x, CASE WHEN winter AND mean > tm THEN tm ELSE mean END AS mean, CASE WHEN winter AND mean > tm THEN ts ELSE sd END AS sd,
@@ -230,7 +231,7 @@ WINTER = f"""WITH {BANDS}, {occluded(200)}, nt AS ({_threshold(4, 9)}), st AS ({
 SELECT c.band, c.y, c.x, (round(CASE WHEN band = 13 AND a.y IS NOT NULL THEN a.mean ELSE c.mean END, 8) + 0.0) AS mean, (round(CASE WHEN band = 13 AND a.y IS NOT NULL THEN a.sd ELSE c.sd END, 8) + 0.0) AS sd,
   CASE WHEN band = 13 AND a.y IS NOT NULL THEN a.n ELSE c.n END AS n, source FROM cut c LEFT JOIN again a USING (y, x)"""
 
-PASSES = "passes AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_partkey % 30 AS INTEGER) AS y, CAST(l_suppkey % 24 AS INTEGER) AS x, CASE WHEN l_tax > 0.01 THEN l_quantity END AS pass_value, l_discount AS pass_dist FROM lineitem)"
+PASSES = f"passes AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_partkey % (30 * {TIMES}) AS INTEGER) AS y, CAST(l_suppkey % (24 * {TIMES}) AS INTEGER) AS x, CASE WHEN l_tax > 0.01 THEN l_quantity END AS pass_value, l_discount AS pass_dist FROM lineitem)"
 
 SQL = {
     "grid_complete": f"WITH {GRID} SELECT * FROM grid",
@@ -247,12 +248,15 @@ SELECT name, any_value(variable) AS variable, any_value(ceiling) AS ceiling, any
   ELSE 'LST.' || year(o_orderdate) || '.' || lpad(CAST(dayofyear(o_orderdate) AS VARCHAR), 3, '0') || '.mean.1km.mean.tif' END AS name FROM orders)
 SELECT o_orderkey, replace(name, 'Day', 'Night') AS name, CAST(CASE WHEN len(string_split(name, '.')) >= 6 THEN string_split(name, '.')[2] ELSE substr(name, 2, 4) END AS INTEGER) AS year,
   CAST(CASE WHEN len(string_split(name, '.')) >= 6 THEN string_split(name, '.')[3] ELSE substr(name, 6, 3) END AS INTEGER) AS doy FROM n""",
-    "doy_month_dim": "SELECT CAST(d AS INTEGER) AS doy, CAST(month(DATE '2001-01-01' + to_days(CAST(d - 1 AS INTEGER))) AS INTEGER) AS month FROM range(1, 362, 8) r(d)",
+    "doy_month_dim": """WITH o AS (SELECT CAST(1 + 8 * ((dayofyear(o_orderdate) - 1) // 8) AS INTEGER) AS doy, count(*) AS orders FROM orders GROUP BY 1)
+SELECT doy, CAST(month(DATE '2001-01-01' + to_days(doy - 1)) AS INTEGER) AS month, orders FROM o""",
     "ndv_to_null": "SELECT l_linenumber, count(*) AS cells, count(CASE WHEN l_quantity <= 40 THEN 1 END) AS present FROM lineitem GROUP BY l_linenumber",
     "ocean_neverdata_flags": f"WITH {MARKED} SELECT year, y, x, flags & 1 <> 0 AS ocean, flags & 2 <> 0 AS never, value IS NOT NULL AS present FROM marked",
     "extreme_flags": f"WITH {MARKED} SELECT year, y, x, flags, value FROM marked WHERE flags & 12 <> 0",
+    "extreme_offset": f"""WITH {MARKED.replace("SELECT g.*, s.mean, s.sd", "SELECT g.year, g.y, g.x, g.value + 1.5 AS value, s.mean + 1.5 AS mean, s.sd")}
+SELECT year, y, x, flags, (round(value, 8) + 0.0) AS value, (round(mean, 8) + 0.0) AS mean, (round(z, 8) + 0.0) AS z FROM zed""",
     "zscore": f"WITH {MARKED} SELECT year, y, x, (round(z, 8) + 0.0) AS z FROM zed WHERE z IS NOT NULL",
-    "spiral_offsets": f"WITH {spiral(60)} SELECT k, dx, dy, (round(dist, 8) + 0.0) AS dist FROM spiral",
+    "spiral_offsets": f"WITH {spiral(60)} SELECT k, dx, dy, (round(dist, 8) + 0.0) AS dist, items FROM spiral JOIN (SELECT CAST(l_partkey % 60 + 1 AS INTEGER) AS k, count(*) AS items FROM lineitem GROUP BY 1) USING (k)",
     "despeckle_stack": f"WITH {CLEAN} SELECT year, y, x, value, flags FROM clean",
     "despeckle_counts": f"""WITH {CLEAN} SELECT year, count(*) AS cells, count(*) FILTER (flags & 1 <> 0) AS ocean, count(*) FILTER (flags & 2 <> 0) AS never, count(*) FILTER (flags & 4 <> 0) AS extreme,
 count(*) FILTER (flags & 8 <> 0) AS speckle, count(value) AS good, count(*) FILTER (value IS NULL AND flags & 3 = 0) AS gaps FROM clean GROUP BY year""",
@@ -284,6 +288,13 @@ count(*) FILTER (gap AND n > 0 AND flags & 16 = 0) AS insufficient, count(*) FIL
 FROM lineitem GROUP BY 1, 2, 3, 4, 5) SELECT d.year, d.doy, d.y, d.x, (round(d.value - n.value, 8) + 0.0) AS value FROM i d JOIN i n ON n.year = d.year AND n.doy = d.doy AND n.y = d.y AND n.x = d.x WHERE d.s = 'O' AND n.s = 'F'""",
     "occlusion_mask": f"WITH {occluded(120)} SELECT y, x, occluded FROM dark",
     "dilate8": f"WITH {occluded(40)} SELECT a.y, a.x, max(b.occluded) AS occluded FROM dark a JOIN dark b ON abs(a.y - b.y) <= 2 AND abs(a.x - b.x) <= 2 GROUP BY a.y, a.x",
+    "dilate_far": f"""WITH m AS (
+  SELECT y, x, CASE WHEN (y * 7 + x) % 13 = 0 THEN o ELSE 0 END AS occluded FROM (
+    SELECT CAST(l_partkey % (40 * {TIMES}) AS INTEGER) AS y, CAST(l_orderkey % (200 * {TIMES}) AS INTEGER) AS x, max(CASE WHEN l_quantity = 50 THEN 1 ELSE 0 END) AS o FROM lineitem GROUP BY 1, 2)
+), grown AS (
+  SELECT DISTINCT y + dy AS y, x + dx AS x FROM m, range(-10, 11) a(dy), range(-10, 11) b(dx) WHERE occluded = 1
+) SELECT m.y, m.x, CAST(g.y IS NOT NULL AS INTEGER) AS occluded FROM m LEFT JOIN grown g USING (y, x)""",
+    "period_state": f"WITH {COMPOSITES} SELECT year, coalesce(month, 0) AS month, y, x, (round(avg(value), 8) + 0.0) AS value, {PERCENT} FROM months GROUP BY GROUPING SETS ((year, month, y, x), (year, y, x))",
     "winter_min_cut": WINTER,
     "grand_stats": f"WITH {BANDS}, months AS (SELECT * FROM bands WHERE band <= 12), g AS ({GRAND.format(t='months')}) SELECT y, x, (round(mean, 8) + 0.0) AS mean, (round(sd, 8) + 0.0) AS sd, n FROM g",
     "raster_window": f"""WITH i AS (SELECT CAST(year(l_shipdate) AS INTEGER) AS year, CAST(l_linenumber * 8 + 1 AS INTEGER) AS doy, CAST(l_partkey % (30 * {TIMES}) AS INTEGER) AS y, CAST(l_suppkey % (24 * {TIMES}) AS INTEGER) AS x, l_quantity FROM lineitem)

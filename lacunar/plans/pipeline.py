@@ -11,20 +11,22 @@ from pyspark.sql import functions as F
 from lacunar.config import Config
 from lacunar.functions import flags as fl
 from lacunar.operators import despeckle, fill_a1, fill_a2, tiles
+from lacunar.operators.aggregate import Counters
 from lacunar.operators.clip import clip
 from lacunar.operators.grid import RESOLUTION, clipped_transform, complete, is_target, on_days, pixel_limits, shape, tile_size, within
 from lacunar.operators.spiral import halo
 from lacunar.operators.stats import month_or_all
 from lacunar.sources import geotiff, raster
 from lacunar.sources.grids import file_date, no_data, read_obs, wrong_no_data
-from lacunar.sources.scratch import materialize
+from lacunar.sources.scratch import materialize, scope
 from lacunar.sources.sinks import write_images
 
 SHORT_SEARCH = 64  # neighbours; longer searches go by tiles of dense arrays
 
 
-def fill(grid: DataFrame, stats: DataFrame, mask: DataFrame, config: Config, by: Sequence[str] = ()) -> DataFrame:
-    """by..., year, y, x, value, dist, flags of a complete grid (by..., year, y, x, value), from the start year on."""
+def fill(grid: DataFrame, stats: DataFrame, mask: DataFrame, config: Config, by: Sequence[str] = (), counters: Counters | None = None) -> DataFrame:
+    """by..., year, y, x, value, dist, flags of a complete grid (by..., year, y, x, value), from the start year on. `counters`
+    takes the run's counters while its tables are written."""
     keys = [*by, "year"]
     start = config.job.start_year
     marked = despeckle.classify(grid, stats, mask, config.limits, config.despeckle)
@@ -36,6 +38,7 @@ def fill(grid: DataFrame, stats: DataFrame, mask: DataFrame, config: Config, by:
     filled = filled.where(is_target(start))
     if config.job.clip:
         filled = clip(filled, config.limits, fl.A1_FILLED)
+    filled = counters.a1(filled) if counters else filled
     filled = materialize(filled.select(*keys, "y", "x", "value", "flags", "dist", "mean", "sd"), "a1")
     if config.job.run_a2:
         chosen = F.col("year").isin(*config.job.a2_years) if config.job.a2_years else F.lit(True)
@@ -44,7 +47,8 @@ def fill(grid: DataFrame, stats: DataFrame, mask: DataFrame, config: Config, by:
         if config.job.clip:
             filled = clip(filled, config.limits, fl.A2_FILLED)
         filled = filled.unionByName(others)
-    return filled.select(*keys, "y", "x", "value", "dist", "flags")
+    filled = filled.select(*keys, "y", "x", "value", "dist", "flags")
+    return counters.a2(filled) if counters else filled
 
 
 def is_raster(path: str) -> bool:
@@ -90,10 +94,21 @@ def observed(spark: SparkSession, config: Config) -> tuple[DataFrame, DataFrame,
     return on_days(raster.read_archive(spark, p.data, p.variable or "data"), days), dates, list(first) if first else transform
 
 
-def run(spark: SparkSession, config: Config, height: int | None = None, width: int | None = None) -> None:
+def run(spark: SparkSession, config: Config, height: int | None = None, width: int | None = None) -> dict[str, dict[str, int]]:
     """Read, fill and write the images of a job; days are independent of each other and share one plan. The size of the
     grid is that of the mask unless it is given. `data` is a parquet archive or a pattern of GeoTIFF files, which must
-    agree on their no-data value; their transform, moved to the area, goes with what is written."""
+    agree on their no-data value; their transform, moved to the area, goes with what is written.
+
+    The counters of the run come back and are written beside the output, as rows of `<output>.counters`. Scratch tables are
+    deleted at the end, also of a run that fails."""
+    with scope(spark):
+        found = _run(spark, config, height, width)
+    rows = [(config.paths.variable or "data", step, name, value) for step, each in found.items() for name, value in each.items()]
+    spark.createDataFrame(rows, "variable string, step string, counter string, n long").coalesce(1).write.mode("overwrite").parquet(f"{config.paths.output.rstrip('/')}.counters")
+    return found
+
+
+def _run(spark: SparkSession, config: Config, height: int | None, width: int | None) -> dict[str, dict[str, int]]:
     p, job = config.paths, config.job
     obs, dates, transform = observed(spark, config)
     stats, mask, size = reference(spark, config)
@@ -110,9 +125,11 @@ def run(spark: SparkSession, config: Config, height: int | None = None, width: i
         years = dates.select("year").distinct().count()
         margin = halo(config.despeckle.search) + halo(config.a1.search)
         config = replace(config, job=replace(job, tile=tile_size(job.memory, years, margin)))
-    done = fill(grid, stats, mask, config, ("doy",)).withColumn("variable", F.lit(p.variable or "data"))
+    counters = Counters()
+    done = fill(grid, stats, mask, config, ("doy",), counters).withColumn("variable", F.lit(p.variable or "data"))
     if job.geotiff:
         done = done.withColumns({"y": F.col("y") - y0, "x": F.col("x") - x0})
         materialize(geotiff.write_geotiff(done, p.output, height, width, clipped_transform(transform, y0, x0), config.limits.ndv), "written")
     else:
         write_images(done, p.output, config.job.tile)
+    return counters.get()

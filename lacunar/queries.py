@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from lacunar.config import A1, A2, DEFAULT_LIMITS, Config, Despeckle, Job, Limits
 from lacunar.functions import flags as fl
 from lacunar.functions.calendar import composite_doy, doy_months
-from lacunar.operators import aggregate, clip, despeckle, fill_a1, fill_a2, grid, spiral, stats, tiles
+from lacunar.operators import aggregate, clip, despeckle, fill_a1, fill_a2, grid, periods, spiral, stats, tiles
 from lacunar.plans import pipeline
 from lacunar.sources import geotiff, grids, raster
 from lacunar.sources.scratch import materialize, new_path
@@ -75,20 +76,29 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 8) for c in columns})
 
 
+def _times(spark: SparkSession, sf_dir: str) -> int:
+    return _shape(spark, sf_dir)[0] // H
+
+
 def _composites(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = _table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"), composite_doy(F.col("l_shipdate")).alias("doy"), (F.col("l_partkey") % 6).cast("int").alias("y"), (F.col("l_suppkey") % 5).cast("int").alias("x"), "l_quantity", "l_returnflag", "l_linestatus")
+    t = _times(spark, sf_dir)
+    li = _table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"), composite_doy(F.col("l_shipdate")).alias("doy"), (F.col("l_partkey") % (6 * t)).cast("int").alias("y"), (F.col("l_suppkey") % (5 * t)).cast("int").alias("x"), "l_quantity", "l_returnflag", "l_linestatus")
     flag = F.max(F.when(F.col("l_returnflag") == "R", 16).when(F.col("l_returnflag") == "A", 1).otherwise(0)).cast("short")
     return li.groupBy("year", "doy", "y", "x").agg(_base(F.avg("l_quantity")).alias("value"), flag.alias("flags"))
 
 
-def _bands(spark: SparkSession, sf_dir: str, h: int = 12, w: int = 10) -> DataFrame:
+def _bands(spark: SparkSession, sf_dir: str, h: int = 0, w: int = 0) -> DataFrame:
+    t = _times(spark, sf_dir)
+    h, w = h or 12 * t, w or 10 * t
     li = _table(spark, sf_dir, "lineitem").select(F.col("l_shipdate"), (F.col("l_partkey") % h).cast("int").alias("y"), (F.col("l_suppkey") % w).cast("int").alias("x"), F.col("l_quantity").alias("value"))
     return stats.stats13(li, F.month("l_shipdate")).select("band", "y", "x", _base(F.col("mean")).alias("mean"), _base(F.col("sd")).alias("sd"), "n")
 
 
-def _hillshade(spark: SparkSession) -> DataFrame:
-    cells = spark.range(120).select((F.col("id") / 10).cast("int").alias("y"), (F.col("id") % 10).cast("int").alias("x"))
-    return cells.select("y", "x", ((F.col("x") * 31 + F.col("y") * 17) % 256).alias("north"), ((F.col("x") * 13 + F.col("y") * 29) % 256).alias("south"))
+def _hillshade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two layers of shade by a rule on the items of each cell."""
+    t = _times(spark, sf_dir)
+    li = _table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % (12 * t)).cast("int").alias("y"), (F.col("l_suppkey") % (10 * t)).cast("int").alias("x"), F.col("l_quantity").cast("long").alias("q"), F.col("l_linenumber").cast("long").alias("n"))
+    return li.groupBy("y", "x").agg((F.sum("q") % 256).alias("north"), (F.sum(F.col("q") + 37 * F.col("n")) % 256).alias("south"))
 
 
 # Queries. Each takes (spark, sf_dir).
@@ -142,7 +152,9 @@ def filename_parse(spark, sf_dir):
 
 
 def doy_month_dim(spark, sf_dir):
-    return doy_months(spark)
+    """Orders by the composite that their date falls into, with its month."""
+    o = _table(spark, sf_dir, "orders").groupBy(composite_doy(F.col("o_orderdate")).alias("doy")).agg(F.count("*").alias("orders"))
+    return o.join(F.broadcast(doy_months(spark)), "doy").select("doy", "month", "orders")
 
 
 def ndv_to_null(spark, sf_dir):
@@ -158,12 +170,20 @@ def extreme_flags(spark, sf_dir):
     return _marked(spark, sf_dir).where(fl.any_of(F.col("flags"), fl.EXTREME | fl.SPECKLE)).select("year", "y", "x", F.col("flags").cast("int").alias("flags"), "value")
 
 
+def extreme_offset(spark, sf_dir):
+    """Values and means moved by a correction offset before they are tested."""
+    marked = despeckle.classify(*_parts(spark, sf_dir), replace(LIMITS, offset=1.5), SPECKLE)
+    return _rounded(marked.select("year", "y", "x", F.col("flags").cast("int").alias("flags"), "value", "mean", "z"), "value", "mean", "z")
+
+
 def zscore(spark, sf_dir):
     return _rounded(_marked(spark, sf_dir).where("z IS NOT NULL").select("year", "y", "x", "z"), "z")
 
 
 def spiral_offsets(spark, sf_dir):
-    return _rounded(spiral.spiral_table(spark, 60), "dist")
+    """Items by the neighbour that their part names, in the order of the search."""
+    items = _table(spark, sf_dir, "lineitem").groupBy((F.col("l_partkey") % 60 + 1).cast("int").alias("k")).agg(F.count("*").alias("items"))
+    return _rounded(items.join(F.broadcast(spiral.spiral_table(spark, 60)), "k").select("k", "dx", "dy", "dist", "items"), "dist")
 
 
 def despeckle_stack(spark, sf_dir):
@@ -258,8 +278,9 @@ def a2_fill(spark, sf_dir):
 
 
 def _passes(spark, sf_dir):
+    h, w = _shape(spark, sf_dir)
     li = _table(spark, sf_dir, "lineitem")
-    return li.select(F.year("l_shipdate").alias("year"), (F.col("l_partkey") % H).cast("int").alias("y"), (F.col("l_suppkey") % W).cast("int").alias("x"), F.when(F.col("l_tax") > 0.01, F.col("l_quantity")).alias("pass_value"), F.col("l_discount").alias("pass_dist"))
+    return li.select(F.year("l_shipdate").alias("year"), (F.col("l_partkey") % h).cast("int").alias("y"), (F.col("l_suppkey") % w).cast("int").alias("x"), F.when(F.col("l_tax") > 0.01, F.col("l_quantity")).alias("pass_value"), F.col("l_discount").alias("pass_dist"))
 
 
 def a2_combine(spark, sf_dir):
@@ -298,6 +319,14 @@ def month_and_year(spark, sf_dir):
     return _rounded(aggregate.month_and_year(_composites(spark, sf_dir)), "value", "filled_percent")
 
 
+def period_state(spark, sf_dir):
+    """Months and years from a state of three batches, the last one first and one of them twice."""
+    comps, state = materialize(_composites(spark, sf_dir), "period-composites"), new_path(spark, "period-state")
+    for batch in (2, 0, 1, 0):
+        periods.put(comps.where((F.col("doy") / 8).cast("int") % 3 == batch), state, batch)
+    return _rounded(periods.images(spark, state), "value", "filled_percent")
+
+
 def diurnal_difference(spark, sf_dir):
     li = _table(spark, sf_dir, "lineitem").select(F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("doy"), (F.col("l_partkey") % 6).cast("int").alias("y"), (F.col("l_suppkey") % 5).cast("int").alias("x"), "l_quantity", "l_linestatus")
     image = lambda s: li.where(F.col("l_linestatus") == s).groupBy("year", "doy", "y", "x").agg(_base(F.avg("l_quantity")).alias("value"))
@@ -305,16 +334,27 @@ def diurnal_difference(spark, sf_dir):
 
 
 def occlusion_mask(spark, sf_dir):
-    return stats.occlusion(_hillshade(spark), 4, 8)
+    t = _times(spark, sf_dir)
+    return stats.occlusion(_hillshade(spark, sf_dir), 4 * t, 8 * t)
 
 
 def dilate8(spark, sf_dir):
-    sparse = stats.occlusion(_hillshade(spark), 4, 8, 40)
+    t = _times(spark, sf_dir)
+    sparse = stats.occlusion(_hillshade(spark, sf_dir), 4 * t, 8 * t, 40)
     return stats.dilate8(sparse, times=2)
 
 
+def dilate_far(spark, sf_dir):
+    """Ten times, over chunks of 64 cells and their neighbours, on a wide grid."""
+    t = _times(spark, sf_dir)
+    li = _table(spark, sf_dir, "lineitem").select((F.col("l_partkey") % (40 * t)).cast("int").alias("y"), (F.col("l_orderkey") % (200 * t)).cast("int").alias("x"), F.col("l_quantity").alias("q"))
+    mask = li.groupBy("y", "x").agg(F.max(F.when(F.col("q") == 50, 1).otherwise(0)).alias("occluded")).withColumn("occluded", F.when((F.col("y") * 7 + F.col("x")) % 13 == 0, F.col("occluded")).otherwise(0))
+    return stats.dilate8(mask, times=10)
+
+
 def winter_min_cut(spark, sf_dir):
-    return _rounded(stats.winter_min_cut(_bands(spark, sf_dir), stats.occlusion(_hillshade(spark), 4, 8, 200), 4, 8), "mean", "sd")
+    t = _times(spark, sf_dir)
+    return _rounded(stats.winter_min_cut(_bands(spark, sf_dir), stats.occlusion(_hillshade(spark, sf_dir), 4 * t, 8 * t, 200), 4 * t, 8 * t), "mean", "sd")
 
 
 def grand_stats(spark, sf_dir):
@@ -351,9 +391,9 @@ def flag_decode(spark, sf_dir):
 
 
 ALL = (
-    grid_complete, aoi_filter, start_filter, stack_positions, synoptic_stats, monthly_stats, limits_lookup, filename_parse, doy_month_dim, ndv_to_null, ocean_neverdata_flags, extreme_flags, zscore, spiral_offsets,
+    grid_complete, aoi_filter, start_filter, stack_positions, synoptic_stats, monthly_stats, limits_lookup, filename_parse, doy_month_dim, ndv_to_null, ocean_neverdata_flags, extreme_flags, extreme_offset, zscore, spiral_offsets,
     despeckle_stack, despeckle_counts, known_unfillable, a1_pairs, a1_fill_diff, a1_fill_trim, a1_fill_ratio, a1_start_year, a1_fill_tiles, a1_fill_default, despeckle_default, a1_counts, clip_a1, clip_a2, a2_anomaly, a2_pass, a2_fill, a2_combine,
-    a2_combine_median, fill_pipeline, fill_counts, monthly_mean, annual_mean, fill_proportion, month_and_year, diurnal_difference, occlusion_mask, dilate8, winter_min_cut, grand_stats, flag_decode, raster_window, raster_bands,
+    a2_combine_median, fill_pipeline, fill_counts, monthly_mean, annual_mean, fill_proportion, month_and_year, diurnal_difference, occlusion_mask, dilate8, dilate_far, period_state, winter_min_cut, grand_stats, flag_decode, raster_window, raster_bands,
 )
 
 

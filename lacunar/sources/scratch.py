@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,8 +28,30 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: What the innermost scope owns; None outside of any.
+_owned: ContextVar[list[str] | None] = ContextVar("owned", default=None)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/lacunar/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/lacunar/{name}-{uuid.uuid4().hex}"
+    owned = _owned.get()
+    if owned is not None:
+        owned.append(path)
+    return path
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Owns all scratch paths that are made inside, and deletes them at its end, also when it fails. What is to outlive it must be
+    written by then: a result that still reads scratch tables can't be read after it."""
+    owned: list[str] = []
+    token = _owned.set(owned)
+    try:
+        yield
+    finally:
+        _owned.reset(token)
+        for path in owned:
+            delete(spark, path)
 
 
 @contextmanager
