@@ -47,7 +47,7 @@ from lacunar.llm.toxicity import fold
 
 P_MIN, MIN_DIVERGENCE = 1e-4, 0.02
 MIN_COUNT, DEPTH = 20, 4
-BLOCK_BYTES, BUCKET_BYTES = 6 << 20, 8 << 20  # of text in a block, and for each bucket: a block sends a key once
+BLOCK_BYTES, BUCKET_BYTES = 4 << 20, 8 << 20  # of text in a block, and for each bucket
 pack_blocks = partial(shared.pack_blocks, limit=BLOCK_BYTES)
 HOT = 1e-3
 END = np.uint64(0xE3D0_0000_0000_0001)
@@ -336,6 +336,28 @@ def _closed(bucket: int, blocks: list[int], data: list[bytes]) -> list[tuple[int
     return [(block, bucket, shrink(m)) for block, m in zip(blocks, _back(mark[back], [len(x) for x in names]), strict=True)]
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys, ascending; where one of each is; which of them each key is). Faster than np.unique, whose order is stable."""
+    order = np.argsort(keys)
+    in_order = keys[order]
+    new = np.ones(len(keys), bool)
+    np.not_equal(in_order[1:], in_order[:-1], out=new[1:])
+    back = np.empty(len(keys), np.int64)
+    back[order] = np.cumsum(new) - 1
+    return in_order[new], order[new], back
+
+
+def _by_ranks(*columns: np.ndarray) -> np.ndarray:
+    """The order by columns of small whole numbers, the last first, as np.lexsort gives it: by one number where they fit into it."""
+    total, shift = np.zeros(len(columns[0]), np.int64), 0
+    for c in columns:
+        total |= c.astype(np.int64) << shift
+        shift += int(c.max(initial=0)).bit_length()
+        if shift > 62:
+            return np.lexsort(columns)
+    return np.argsort(total)
+
+
 class Plan:
     """What all passes share: sizes, thresholds, the folder of the blocks' files and the hot contexts of the known levels."""
 
@@ -357,15 +379,15 @@ class Level:
         self.mass, self.at, self.same = known.asks(d)
         *_, name = t.names(d)
         name = name[self.at]
-        keys, first, back = np.unique(_mix(name ^ (t.word[self.at] * _A)), return_index=True, return_inverse=True)
-        _, context_first, of = np.unique(name[first], return_index=True, return_inverse=True)
+        keys, first, back = _distinct(_mix(name ^ (t.word[self.at] * _A)))
+        _, context_first, of = _distinct(name[first])
         if numbers is None:  # of the contexts, in the order of their names
             before = known.contexts(d)
             numbers = before[self.at[first[context_first]]]
         self.numbers, number = numbers, numbers[of]
         hot = self.mass[self.at][first] >= plan.hot_mass
         bucket = np.where(hot, _bucket(keys, plan.buckets), number // LEVELS % plan.buckets)
-        order = np.lexsort((known.word_numbers[t.index[self.at][first]], number, hot, bucket))
+        order = _by_ranks(known.word_rank()[t.index[self.at][first]], np.unique(numbers, return_inverse=True)[1][of] if len(numbers) else number, hot.astype(np.int64), bucket)
         place = np.empty(len(order), np.int64)
         place[order] = np.arange(len(order))
         self.back, self.first = place[back], self.at[first][order]  # key of each asked token; a token of each key
@@ -383,6 +405,7 @@ class Known:
         self.t, self.plan = t, plan
         self.kept: list[list] = []  # where the levels lie
         self.order: np.ndarray | None = None
+        self.rank: np.ndarray | None = None
         none = np.zeros(len(t.index), np.int64)
         if plan.hot:
             self.kept, asked = json.loads(answers[OWN])
@@ -415,6 +438,13 @@ class Known:
             self.order = _order(self.t.before().astype(np.uint64) * np.uint64(self.t.distinct) + self.t.index.astype(np.uint64))
         return self.order
 
+    def word_rank(self) -> np.ndarray:
+        """Place of each distinct word in the order of numbers; words of one number (those that training lacks) by their index."""
+        if self.rank is None:
+            self.rank = np.empty(len(self.word_numbers), np.int64)
+            self.rank[np.argsort(self.word_numbers, kind="stable")] = np.arange(len(self.word_numbers))
+        return self.rank
+
     def mass(self, d: int) -> np.ndarray:
         """How often the context of d words before each token occurs in training."""
         out = np.zeros(len(self.t.index), np.int64)
