@@ -4,15 +4,16 @@ from __future__ import annotations
 
 import json
 from codecs import charmap_decode
+from collections.abc import Sequence
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import regex
 
-from lacunar.llm.textops import pieces, whole
+from lacunar.llm.textops import pieces, raw, whole
 
-MAX_PIECES, MAX_PARTS = 250_000, 100_000  # held by a worker; when full, the cache starts again
+MAX_PIECES, MAX_PARTS = 600_000, 50_000  # held by a worker; when full, the cache starts again
 MARKS = frozenset(".,;:!?")
 
 
@@ -54,21 +55,20 @@ class Encoder:
 
     def clear(self) -> None:
         self.slot: dict[bytes, int] = {}
-        self.parts: dict[str, list[int]] = {}
-        self.words: dict[str, list[int]] = {}
-        self.ends: dict[int, int] = {}  # where the pool holds an end id
-        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
-        self.start, self.length = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
+        self.parts: dict[str, tuple[int, ...]] = {}
+        self.ends: dict[int, int] = {}  # the slot of an end id
+        self.pool, self.edge = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)  # ids of all slots; where each begins, in bytes
+        self.used = 0
 
-    def _part(self, part: str) -> list[int]:
+    def _part(self, part: str) -> tuple[int, ...]:
         if (ids := self.parts.get(part)) is None:
-            ids = [t.id for t in self.model.tokenize(part.encode("utf-8").decode("latin-1").translate(self.table))]
+            ids = tuple([t.id for t in self.model.tokenize(charmap_decode(part.encode("utf-8"), "strict", self.signs)[0])])
             if len(self.parts) >= MAX_PARTS:
                 self.parts.clear()
             self.parts[part] = ids
         return ids
 
-    def _ids(self, piece: bytes) -> list[int]:
+    def _ids(self, piece: bytes) -> Sequence[int]:
         text = piece.decode("utf-8")
         if not self.plain or not (piece.isascii() or max(text) <= "\xff") or (60 in piece and any(s in text for s in self.special)):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -84,35 +84,40 @@ class Encoder:
             out += self._part(part)
         return out
 
-    def _all(self, distinct: list[bytes]) -> list[list[int]]:
-        """The ids of each piece. Most are a space and letters, perhaps one mark behind; all others pass `_ids`."""
+    def _all(self, distinct: list[bytes]) -> list[Sequence[int]]:
+        """The ids of each piece. Most are a space and letters, perhaps one mark behind, whose letters pass the model once a call
+        and are mapped to its signs together; all others pass `_ids`."""
         if not self.plain:
             return [self._ids(piece) for piece in distinct]
-        words, tokenize, lower, signs = self.words, self.model.tokenize, self.lower, self.signs
         marks = {m: self._part(m) for m in MARKS}
-        out = []
+        words: dict[str, int] = {}
+        out, at = [], []
         for piece in distinct:
-            word, mark = piece.decode("utf-8"), None
-            if not word[1:].isalpha() and (mark := marks.get(word[-1:])) is not None:
+            word, mark = piece.decode("utf-8"), ()
+            if not word[1:].isalpha() and (mark := marks.get(word[-1:], ())):
                 word = word[:-1]
             if word[:1] != " " or not word[1:].isalpha() or not (word.isascii() or max(word) <= "\xff"):
                 out.append(self._ids(piece))
-                continue
-            if (ids := words.get(word)) is None:
-                ids = [t.id for t in tokenize(charmap_decode((word[1:].lower() if lower else word).encode("utf-8"), "strict", signs)[0])]
-                if len(words) >= MAX_PARTS:
-                    words.clear()
-                words[word] = ids
-            out.append(ids + mark if mark else ids)
-        return out
-
-    def _put(self, ids: np.ndarray) -> int:
-        """Where the pool holds these ids from now on."""
-        while self.used + len(ids) > len(self.pool):
+                at.append(-1)
+            else:
+                out.append(mark)
+                at.append(words.setdefault(word[1:].lower() if self.lower else word, len(words)))
+        tokenize, gap = self.model.tokenize, "\n"  # no word holds one
+        signs = charmap_decode(gap.join(words).encode("utf-8"), "strict", self.signs)[0].split(self.table[ord(gap)])
+        ids = [tuple([t.id for t in tokenize(word)]) for word in signs] if words else []
+        return [tail if i < 0 else ids[i] + tail for i, tail in zip(at, out, strict=True)]
+
+    def _put(self, ids: np.ndarray, sizes: np.ndarray) -> int:
+        """The first of the new slots, of which each holds as many of these ids as `sizes` says."""
+        first, n = self.used, int(self.edge[self.used]) // 4
+        while n + len(ids) > len(self.pool):
             self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.used += len(ids)
-        return self.used - len(ids)
+        while first + len(sizes) >= len(self.edge):
+            self.edge = np.concatenate([self.edge, np.zeros_like(self.edge)])
+        self.pool[n : n + len(ids)] = ids
+        self.edge[first + 1 : first + len(sizes) + 1] = 4 * (n + np.cumsum(sizes))
+        self.used += len(sizes)
+        return first
 
     def _slots(self, distinct: list[bytes]) -> np.ndarray:
         if len(self.slot) > MAX_PIECES:
@@ -123,28 +128,23 @@ class Encoder:
         if not len(new):
             return out
         ids = self._all([distinct[i] for i in new.tolist()])
-        k = len(slot)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+        k = self._put(np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum())), sizes)
         slot.update(zip([distinct[i] for i in new.tolist()], range(k, k + len(new)), strict=True))
         out[new] = np.arange(k, k + len(new))
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32, int(sizes.sum()))
-        while k + len(new) > len(self.start):
-            self.start, self.length = (np.concatenate([a, np.zeros_like(a)]) for a in (self.start, self.length))
-        self.start[k : k + len(new)], self.length[k : k + len(new)] = self._put(flat) + np.cumsum(sizes) - sizes, sizes
         return out
 
     def encode(self, col: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all rows one after another, offsets of the rows). With `end`, each row gets that id at its end."""
         index, distinct, first = pieces(col) if self.plain else whole(col)
         slots = self._slots(distinct.to_pylist())[index] if len(index) else np.zeros(0, np.int64)
-        starts, lengths = self.start[slots], self.length[slots]
         if end is not None:  # one more piece of each row
             if end not in self.ends:
-                self.ends[end] = self._put(np.array([end], np.uint32))
-            starts, lengths = np.insert(starts, first[1:], self.ends[end]), np.insert(lengths, first[1:], 1)
+                self.ends[end] = self._put(np.array([end], np.uint32), np.ones(1, np.int64))
+            slots = np.insert(slots, first[1:], self.ends[end])
             first = first + np.arange(len(first))
-        ends = np.cumsum(lengths)
-        total, kind = int(ends[-1]) if len(ends) else 0, np.int32 if len(self.pool) < 1 << 31 else np.int64
-        at = np.repeat((starts - (ends - lengths)).astype(kind if total < 1 << 31 else np.int64), lengths)
-        at += np.arange(total, dtype=at.dtype)
-        return self.pool.take(at), np.concatenate([np.zeros(1, np.int64), ends])[first]
+        if not len(slots):
+            return np.zeros(0, np.uint32), np.zeros(len(first), np.int64)
+        held = pa.Array.from_buffers(pa.large_binary(), self.used, [None, pa.py_buffer(self.edge), pa.py_buffer(self.pool)])
+        ids, at = raw(held.take(pa.array(slots)))
+        return ids.view(np.uint32), at[first] // 4

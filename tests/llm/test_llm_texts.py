@@ -114,6 +114,25 @@ def test_plain_words_take_the_short_way(name, monkeypatch):
     assert not {(" " + w).encode() for w in plain} & set(seen)
 
 
+def test_pieces_are_encoded_once(monkeypatch):
+    """300,000 distinct words stay known to a worker: a second reading encodes none of them. Ids stay right when the cache starts again."""
+    encoder = tokens.Encoder(tokenizer_path("byte_bpe_50k.json"))
+    letters = "abcdefghij"
+    words = [" " + "".join(letters[int(d)] for d in f"{i:06d}") for i in range(300_000)]
+    texts = pa.array(["".join(words[i : i + 10_000]) for i in range(0, len(words), 10_000)])
+    seen, every = [], encoder._all
+    monkeypatch.setattr(encoder, "_all", lambda distinct: seen.append(len(distinct)) or every(distinct))
+    ids, at = encoder.encode(texts, end=1)
+    assert sum(seen) == len(words)
+    again, at2 = encoder.encode(texts, end=1)
+    assert sum(seen) == len(words) and (again == ids).all() and (at2 == at).all()
+    assert ids[at[3] : at[4]].tolist() == [*encoder.tokenizer.encode(texts[3].as_py(), add_special_tokens=False).ids, 1]
+    monkeypatch.setattr(tokens, "MAX_PIECES", 1000)
+    for end in (1, 2, None):
+        some, off = encoder.encode(texts[:2], end)
+        assert some[: off[1] - (end is not None)].tolist() == ids[: at[1] - 1].tolist() and (end is None or some[off[1] - 1] == end)
+
+
 def test_packing(spark, rows):
     got = packing.pack(frame(spark, rows), tokenizer_path("byte_bpe_50k.json"), end=1, tokens=128, with_ids=True).collect()
     tk = Encoder.of(tokenizer_path("byte_bpe_50k.json")).tokenizer
