@@ -114,6 +114,28 @@ def test_plain_words_take_the_short_way(name, monkeypatch):
     assert not {(" " + w).encode() for w in plain} & set(seen)
 
 
+def test_distinct_windows_are_sorted(monkeypatch):
+    """np.unique hashes unless it is asked for places; a block's windows and counters must not pass it that way."""
+    unique = np.unique
+
+    def placed(values, *args, **kwargs):
+        assert any(kwargs.get(k) for k in ("return_index", "return_inverse", "return_counts"))
+        return unique(values, *args, **kwargs)
+
+    assert [substrings._distinct(np.array(v, np.uint64)).tolist() for v in ([], [7], [2**64 - 1, 0, 2**64 - 1, 5, 5])] == [[], [7], [0, 5, 2**64 - 1]]
+    words = [f"w{i}" for i in range(200)]
+    texts = [" ".join(words), " ".join(words[50:150]), "short", None, " ".join(words[:20] * 3)]
+    block = blocks.freeze(pa.table({"doc_id": pa.array(range(5), pa.int64()), "text": pa.array(texts)}))
+    monkeypatch.setattr(np, "unique", placed)
+    sends = [r for batch in substrings._sketch(16, 14)(0, block, {}) for r in batch.to_pylist()]
+    assert len(sends) == 8  # two rows of four shards
+    answers = {bucket: data for r in sends for _, bucket, data in substrings._merge(14)(r["bucket"], [0, 1], [r["data"], r["data"]])}
+    sent = [r for batch in substrings._exact(16, 14, 1)(0, block, answers) for r in batch.to_pylist()]
+    assert {r["bucket"]: len(blocks.grow(r["data"])) for r in sent} == {0: 6, substrings.OWN: 1}
+    w = substrings.Windows(pa.array(texts))
+    assert len(blocks.grow(sent[0]["data"])[0]) == len(set(w.key.tolist())) < len(w.key)  # every window of two blocks, once
+
+
 def test_pieces_are_encoded_once(monkeypatch):
     """300,000 distinct words stay known to a worker: a second reading encodes none of them. Ids stay right when the cache starts again."""
     encoder = tokens.Encoder(tokenizer_path("byte_bpe_50k.json"))
