@@ -57,13 +57,13 @@ def despeckle(classified: DataFrame, config: Despeckle, by: Sequence[str] = ("ye
     """
     keys = [*by, "y", "x"]
     classified = materialize(classified, "classified")  # read for the suspects, for their neighbours and for the result
-    suspects = classified.where(fl.has(F.col("flags"), fl.SPECKLE)).select(*keys, F.col("z").alias("own"), F.explode(spiral_column(config.search)).alias("o"))
-    asked = suspects.select(*by, F.col("y").alias("sy"), F.col("x").alias("sx"), "own", F.col("o.k").alias("k"), (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"))
+    suspects = classified.where(fl.has(F.col("flags"), fl.SPECKLE)).select(*keys, F.explode(spiral_column(config.search)).alias("o"))
+    asked = suspects.select(*by, F.col("y").alias("sy"), F.col("x").alias("sx"), F.col("o.k").alias("k"), (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"))
     near = classified.where("z IS NOT NULL").select(*keys, "z")
     first = Window.partitionBy(*by, "sy", "sx").orderBy("k")
     found = asked.join(near, keys).withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= config.max_used)
-    like = found.groupBy(*by, F.col("sy").alias("y"), F.col("sx").alias("x")).agg(F.count("*").alias("n"), F.avg("z").alias("near_z"), F.first("own").alias("own"))
-    cleared = like.where((F.col("n") >= config.min_used) & (F.abs(F.col("near_z") - F.col("own")) < config.tolerance)).select(*keys, F.lit(True).alias("clear"))
-    df = classified.join(cleared, keys, "left")
+    like = found.groupBy(*by, F.col("sy").alias("y"), F.col("sx").alias("x")).agg(F.count("*").alias("n"), F.avg("z").alias("near_z"))
+    df = classified.join(like.where(F.col("n") >= config.min_used).select(*keys, "near_z"), keys, "left")
+    df = df.withColumn("clear", F.abs(F.col("near_z") - F.col("z")) < config.tolerance).drop("near_z")
     suspect = fl.has(F.col("flags"), fl.SPECKLE)
     return df.withColumn("value", F.when(~suspect | F.col("clear"), F.col("value"))).withColumn("flags", F.when(suspect & F.col("clear"), fl.drop(F.col("flags"), fl.SPECKLE)).otherwise(F.col("flags"))).drop("clear")

@@ -1,9 +1,9 @@
 """A1: fill a gap from the same cell in other years, adjusted by what neighbours did between the two years.
 
 `pairs` and `fill` are relational. One aggregate makes a row of each cell: its values by position of their year, as a map, and its
-gaps. A gap finds the values of other years in its own row; times the spiral's offsets it meets its neighbours' rows by one
-equi-join, and they hold the values of both years. Maps hold as many values as a day has years. This suits short searches; rows
-grow with gaps x years x search. For the long default search `tiles.fill_tiles` gives the same results with dense arrays, a tile a
+gaps. A cell with gaps asks the cells at the spiral's offsets, by keys alone, and gets their rows back, which hold the values of all
+years; gaps and years are paired there, behind the last shuffle. Maps hold as many values as a day has years. This suits short
+searches; what is shuffled grows with cells x search, rows within tasks with gaps x years x search. For the long default search `tiles.fill_tiles` gives the same results with dense arrays, a tile a
 task.
 """
 
@@ -42,12 +42,17 @@ def pairs(stack: DataFrame, config: A1, limits: Limits, by: Sequence[str] = (),
     open_ = ~has & ~fl.any_of(F.col("flags"), fl.OCEAN | fl.FAILURE) & (F.lit(True) if targets is None else targets)
     values = F.map_from_entries(F.collect_list(F.when(has, F.struct("pos", (F.col("value") - zero).alias("v")))))
     series = df.groupBy(*cell).agg(values.alias("values"), F.collect_list(F.when(open_, F.struct("pos", "year"))).alias("gaps"))
-    own = series.where((F.size("gaps") > 0) & (F.size("values") > 0)).select(*by, F.col("y").alias("gy"), F.col("x").alias("gx"), F.col("values").alias("alts"), F.explode("gaps").alias("gap"))
-    here = own.select("*", F.explode(spiral_column(config.search)).alias("o"))
-    here = here.select("*", (F.col("gy") + F.col("o.dy")).alias("y"), (F.col("gx") + F.col("o.dx")).alias("x"))
-    near = here.join(series.where(F.size("values") > 0).select(*cell, "values"), cell).withColumn("nbr", F.try_element_at("values", F.col("gap.pos"))).where("nbr IS NOT NULL")
-    both = near.select(*by, "gy", "gx", F.col("gap.pos").alias("pos"), F.col("gap.year").alias("year"), "o", "nbr", "values", F.explode("alts").alias("alt_pos", "alt"))
-    both = both.withColumn("nbr_alt", F.try_element_at("values", F.col("alt_pos"))).where("nbr_alt IS NOT NULL")
+    series = materialize(series.where(F.size("values") > 0), "a1-series")  # read for who asks, for who answers and for the pairs
+    own = series.where(F.size("gaps") > 0).select(*by, F.col("y").alias("gy"), F.col("x").alias("gx"), F.col("values").alias("alts"), "gaps")
+    asked = own.select(*by, "gy", "gx", F.explode(spiral_column(config.search)).alias("o"))
+    asked = asked.select("*", (F.col("gy") + F.col("o.dy")).alias("y"), (F.col("gx") + F.col("o.dx")).alias("x"))
+    # so many partitions, as pairs are made and ranked behind this shuffle: Spark would merge what is small before it
+    spark = stack.sparkSession
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
+    near = asked.join(series.select(*cell, F.col("values").alias("near")), cell).select(*by, "gy", "gx", "o", "near").repartition(n, *by, "gy", "gx")
+    pair = near.join(own, [*by, "gy", "gx"]).select("*", F.explode("gaps").alias("gap")).withColumn("nbr", F.try_element_at("near", F.col("gap.pos"))).where("nbr IS NOT NULL")
+    both = pair.select(*by, "gy", "gx", F.col("gap.pos").alias("pos"), F.col("gap.year").alias("year"), "o", "nbr", "near", F.explode("alts").alias("alt_pos", "alt"))
+    both = both.withColumn("nbr_alt", F.try_element_at("near", F.col("alt_pos"))).where("nbr_alt IS NOT NULL")
     dist = F.sqrt((F.col("o.dx") * F.col("o.dx") + F.col("o.dy") * F.col("o.dy")).cast("double"))
     if config.ratio:
         r = F.try_divide("nbr", "nbr_alt")

@@ -55,7 +55,7 @@ def _parts(spark: SparkSession, sf_dir: str, h: int | None = None, w: int | None
     """(grid, stats, mask)."""
     if h is None or w is None:
         h, w = _shape(spark, sf_dir)
-    obs = _obs(spark, sf_dir, h, w)
+    obs = materialize(_obs(spark, sf_dir, h, w), "obs")  # read for the dates, for the grid and for the statistics
     s = stats.synoptic(obs).select("y", "x", F.when((F.col("x") * 5 + F.col("y")) % 41 != 0, _base(F.col("mean"))).alias("mean"), _base(F.col("sd")).alias("sd"))
     cells = spark.range(h * w).select((F.col("id") / w).cast("int").alias("y"), (F.col("id") % w).cast("int").alias("x"))
     mask = cells.withColumn("land", F.when((F.col("x") * 7 + F.col("y") * 3) % 17 == 0, 0).otherwise(1))

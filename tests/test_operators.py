@@ -1,10 +1,12 @@
 """Relational operators on small tables, and paths against each other."""
 
+import os
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from lacunar import config
+from lacunar import config, queries
 from lacunar.config import A1, A2, Config, Despeckle, Job, Limits
 from lacunar.functions.calendar import month_of
 from lacunar.operators import clip, despeckle, fill_a1, fill_a2, grid, kernels, stats, tiles
@@ -179,3 +181,26 @@ def test_watch_refills_what_arrives(spark, stack, tmp_path):
     incremental.watch(spark, c, str(tmp_path / "cp")).awaitTermination()
     out = spark.read.parquet(str(tmp_path / "out"))
     assert out.where("year = 3").count() == stack[0].size and out.count() == stack.size
+
+
+def test_pairs_are_ranked_where_they_are_made(spark, stack):
+    """What A1 shuffles are the cells' rows and keys that ask for them: no exchange of gaps or pairs, which have a year. The
+    rows that ask carry no values."""
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.autoBroadcastJoinThreshold")}
+    try:
+        for k, v in zip(before, ("false", "-1"), strict=True):
+            spark.conf.set(k, v)
+        cells = table(spark, stack).withColumn("flags", F.lit(0).cast("short"))
+        plan = fill_a1.pairs(cells, A1(search=8, min_used=2, max_used=8, trim=False), OPEN)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    keys = [line.split("hashpartitioning(")[1].split(")")[0] for line in plan.splitlines() if "hashpartitioning(" in line]
+    assert keys and not [k for k in keys if "year#" in k]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_values_are_gathered_once(spark):
+    """Dates, grid and statistics of the queries read one table of values, none of them lineitem."""
+    for df in queries._parts(spark, "/root/testdata/sf0.001")[:2]:
+        assert df.inputFiles() and not [f for f in df.inputFiles() if "lineitem" in f]
