@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lacunar.config import Despeckle, Limits
 from lacunar.functions import flags as fl
 from lacunar.operators.aggregate import with_month
+from lacunar.operators.grid import meet
 from lacunar.operators.spiral import spiral_column
 from lacunar.sources.scratch import materialize
 
@@ -36,7 +37,7 @@ def classify(grid: DataFrame, stats: DataFrame, mask: DataFrame, limits: Limits,
         grid, on = with_month(grid), ["month", "y", "x"]
     else:
         on = ["y", "x"]
-    df = grid.join(stats, on, "left").join(mask, ["y", "x"], "left").drop("month")
+    df = meet(meet(grid, stats, on, "left"), mask, ["y", "x"], "left").drop("month")
     df = df.withColumn("value", F.col("value") + limits.offset).withColumn("mean", F.col("mean") + limits.offset)
     sd = F.when(F.col("sd") > 0, F.col("sd"))
     beyond = lambda z: (F.col("mean") - z * sd, F.col("mean") + z * sd)
@@ -61,9 +62,9 @@ def despeckle(classified: DataFrame, config: Despeckle, by: Sequence[str] = ("ye
     asked = suspects.select(*by, F.col("y").alias("sy"), F.col("x").alias("sx"), F.col("o.k").alias("k"), (F.col("y") + F.col("o.dy")).alias("y"), (F.col("x") + F.col("o.dx")).alias("x"))
     near = classified.where("z IS NOT NULL").select(*keys, "z")
     first = Window.partitionBy(*by, "sy", "sx").orderBy("k")
-    found = asked.join(near, keys).withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= config.max_used)
+    found = meet(asked, near, keys).withColumn("rn", F.row_number().over(first)).where(F.col("rn") <= config.max_used)
     like = found.groupBy(*by, F.col("sy").alias("y"), F.col("sx").alias("x")).agg(F.count("*").alias("n"), F.avg("z").alias("near_z"))
-    df = classified.join(like.where(F.col("n") >= config.min_used).select(*keys, "near_z"), keys, "left")
+    df = meet(classified, like.where(F.col("n") >= config.min_used).select(*keys, "near_z"), keys, "left")
     df = df.withColumn("clear", F.abs(F.col("near_z") - F.col("z")) < config.tolerance).drop("near_z")
     suspect = fl.has(F.col("flags"), fl.SPECKLE)
     return df.withColumn("value", F.when(~suspect | F.col("clear"), F.col("value"))).withColumn("flags", F.when(suspect & F.col("clear"), fl.drop(F.col("flags"), fl.SPECKLE)).otherwise(F.col("flags"))).drop("clear")

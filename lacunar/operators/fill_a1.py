@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lacunar.config import A1, Limits
 from lacunar.functions import flags as fl
-from lacunar.operators.grid import with_position
+from lacunar.operators.grid import meet, with_position
 from lacunar.operators.spiral import spiral_column
 from lacunar.sources.scratch import materialize
 
@@ -49,8 +49,8 @@ def pairs(stack: DataFrame, config: A1, limits: Limits, by: Sequence[str] = (),
     # so many partitions, as pairs are made and ranked behind this shuffle: Spark would merge what is small before it
     spark = stack.sparkSession
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 3 * spark.sparkContext.defaultParallelism)
-    near = asked.join(series.select(*cell, F.col("values").alias("near")), cell).select(*by, "gy", "gx", "o", "near").repartition(n, *by, "gy", "gx")
-    pair = near.join(own, [*by, "gy", "gx"]).select("*", F.explode("gaps").alias("gap")).withColumn("nbr", F.try_element_at("near", F.col("gap.pos"))).where("nbr IS NOT NULL")
+    near = meet(asked, series.select(*cell, F.col("values").alias("near")), cell).select(*by, "gy", "gx", "o", "near").repartition(n, *by, "gy", "gx")
+    pair = meet(near, own, [*by, "gy", "gx"]).select("*", F.explode("gaps").alias("gap")).withColumn("nbr", F.try_element_at("near", F.col("gap.pos"))).where("nbr IS NOT NULL")
     both = pair.select(*by, "gy", "gx", F.col("gap.pos").alias("pos"), F.col("gap.year").alias("year"), "o", "nbr", "near", F.explode("alts").alias("alt_pos", "alt"))
     both = both.withColumn("nbr_alt", F.try_element_at("near", F.col("alt_pos"))).where("nbr_alt IS NOT NULL")
     dist = F.sqrt((F.col("o.dx") * F.col("o.dx") + F.col("o.dy") * F.col("o.dy")).cast("double"))
@@ -89,7 +89,7 @@ def fill(stack: DataFrame, config: A1, limits: Limits, by: Sequence[str] = (), t
     stack = materialize(stack, "a1-stack")  # read for the dates, for the cells' rows and for the result
     got = combine(pairs(stack, config, limits, by, targets), config, by)
     goal = F.lit(True) if targets is None else targets
-    df = with_any_data(stack, by).join(got, keys, "left").withColumn("_gap", is_gap() & goal)
+    df = meet(with_any_data(stack, by), got, keys, "left").withColumn("_gap", is_gap() & goal)
     enough = F.col("_gap") & (F.coalesce("n", F.lit(0)) >= config.min_used)
     f = F.col("flags")
     dead = F.col("value").isNull() & ~fl.any_of(f, fl.OCEAN | fl.FAILURE) & ~F.col("any_data") & goal

@@ -19,6 +19,7 @@ from lacunar.config import A2, Limits
 from lacunar.functions import flags as fl
 from lacunar.operators import kernels, wavefront
 from lacunar.operators.graph import components, local_roots
+from lacunar.operators.grid import meet
 from lacunar.sources.scratch import materialize
 
 TILE = 512
@@ -61,9 +62,9 @@ def gap_components(df: DataFrame, by: Sequence[str], tile: int = TILE) -> DataFr
     rim = labels.where(edge)
     steps = F.expr("array(struct(0 as dy, 1 as dx), struct(1 as dy, -1 as dx), struct(1 as dy, 0 as dx), struct(1 as dy, 1 as dx))")
     moved = rim.select(*by, (F.col("y") + 0).alias("y0"), (F.col("x") + 0).alias("x0"), F.col("label").alias("from"), F.explode(steps).alias("s")).select(*by, (F.col("y0") + F.col("s.dy")).alias("y"), (F.col("x0") + F.col("s.dx")).alias("x"), "from")
-    links = moved.join(rim, [*by, "y", "x"]).where("from <> label").select(node(F.col("from")).alias("u"), node(F.col("label")).alias("v"))
+    links = meet(moved, rim, [*by, "y", "x"]).where("from <> label").select(node(F.col("from")).alias("u"), node(F.col("label")).alias("v"))
     roots = components(links, "gap-edges")
-    named = labels.withColumn("node", node(F.col("label"))).join(roots, "node", "left")
+    named = meet(labels.withColumn("node", node(F.col("label"))), roots, ["node"], "left")
     return named.select(*by, "y", "x", F.coalesce("root", "node").alias("component"))
 
 
@@ -86,10 +87,10 @@ def _by_component(df: DataFrame, comps: DataFrame, config: A2, limits: Limits, b
     steps = F.expr("sequence(-1, 1)")
     around = comps.select(*by, "y", "x", "component", F.explode(steps).alias("dy")).select("*", F.explode(steps).alias("dx"))
     cells = around.select(*by, (F.col("y") + F.col("dy")).alias("y"), (F.col("x") + F.col("dx")).alias("x"), "component").distinct()
-    cells = cells.join(df, [*by, "y", "x"])
+    cells = meet(cells, df, [*by, "y", "x"])
     own = comps.withColumn("own", F.lit(True))
     # rim cells that are gaps of another component are none: two such cells would be linked
-    cells = cells.join(own, [*by, "y", "x", "component"], "left").withColumn("own", F.coalesce("own", F.lit(False)))
+    cells = meet(cells, own, [*by, "y", "x", "component"], "left").withColumn("own", F.coalesce("own", F.lit(False)))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         number = lambda name, empty: pdf[name].to_numpy(dtype=np.float64, na_value=empty)
@@ -116,7 +117,7 @@ def combine(passes: DataFrame, by: Sequence[str] = ("year",), average: str = "me
 def fill(df: DataFrame, config: A2, limits: Limits, by: Sequence[str] = ("year",), tile: int = TILE) -> DataFrame:
     """df with the remaining gaps filled where a pass reaches them: flag 2 goes, 64 comes."""
     got = combine(pass_values(df, config, limits, by, tile), by, config.average)
-    df = df.join(got, [*by, "y", "x"], "left")
+    df = meet(df, got, [*by, "y", "x"], "left")
     hit = F.col("a2_value").isNotNull()
     df = df.withColumn("value", F.coalesce("a2_value", "value")).withColumn("dist", F.when(hit, F.col("a2_dist")).otherwise(F.col("dist")))
     return df.withColumn("flags", F.when(hit, fl.put(fl.drop(F.col("flags"), fl.FAILURE), fl.A2_FILLED)).otherwise(F.col("flags"))).drop("a2_value", "a2_dist", "n_passes")

@@ -13,6 +13,12 @@ RESOLUTION = 0.008333333333333
 CELLS = 1 << 22  # of a task that makes a grid
 
 
+def meet(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """The join of two tables that both grow with the cells: by a shuffle, whatever Spark takes their sizes for. It goes by the
+    bytes of files, and cells are written so small that it would broadcast millions of them, through the driver's memory."""
+    return left.join(right.hint("merge"), on, how)
+
+
 def complete(obs: DataFrame, height: int, width: int, by: Sequence[str] = ("year",), box: tuple[int, int, int, int] | None = None, dates: DataFrame | None = None) -> DataFrame:
     """obs (by..., y, x, value) with a row for every cell of every date that occurs; NULL values are gaps.
 

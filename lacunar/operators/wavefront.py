@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from lacunar.config import A2, Limits
 from lacunar.functions import flags as fl
 from lacunar.operators import kernels
+from lacunar.operators.grid import meet
 from lacunar.sources.scratch import delete, materialize, new_path, release
 
 TILE = 512
@@ -112,7 +113,7 @@ def wave_passes(df: DataFrame, gaps: DataFrame, config: A2, limits: Limits, by:
     spark, by = df.sparkSession, list(by)
     kinds = {f.name: f.dataType.simpleString() for f in df.schema}
     keys = ", ".join(f"{c} {kinds[c]}" for c in by) + ("," if by else "")
-    marked = df.select(*by, "y", "x", "value", "mean", "flags", "dist").join(gaps.select(*by, "y", "x", F.lit(True).alias("own")), [*by, "y", "x"], "left").withColumn("own", F.coalesce("own", F.lit(False)))
+    marked = meet(df.select(*by, "y", "x", "value", "mean", "flags", "dist"), gaps.select(*by, "y", "x", F.lit(True).alias("own")), [*by, "y", "x"], "left").withColumn("own", F.coalesce("own", F.lit(False)))
     active = _tiles(gaps.select(*by, "y", "x", F.lit(True).alias("own")), by, tile).where("own").select(*by, "tiling", "u", "w").distinct()
     rows = _tiles(marked, by, tile).join(active, [*by, "tiling", "u", "w"], "left_semi")
     packed = rows.groupBy(*by, "tiling", "u", "w").applyInArrow(_packed(by, config, limits, tile), f"{keys} tiling int, u long, w long, data binary")

@@ -204,3 +204,25 @@ def test_values_are_gathered_once(spark):
     """Dates, grid and statistics of the queries read one table of values, none of them lineitem."""
     for df in queries._parts(spark, "/root/testdata/sf0.001")[:2]:
         assert df.inputFiles() and not [f for f in df.inputFiles() if "lineitem" in f]
+
+
+def test_cells_are_not_broadcast(spark, stack, monkeypatch):
+    """Tables of cells meet by shuffles, as small as Spark takes them for: a broadcast goes through the driver."""
+    plans, modules = [], (despeckle, fill_a1, fill_a2, pipeline)
+
+    def written(df, name):
+        df.collect()
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    write = fill_a1.materialize
+    for m in modules:
+        monkeypatch.setattr(m, "materialize", written)
+    cells = table(spark, stack)
+    mean = stats.synoptic(cells).select("y", "x", "mean", "sd")
+    mask = cells.select("y", "x").distinct().withColumn("land", F.when((F.col("x") + F.col("y")) % 9 == 0, 0).otherwise(1))
+    done = pipeline.fill(cells, mean, mask, Config(limits=OPEN, job=Job(start_year=0), despeckle=Despeckle(8, 2, 5, 1.3, 0.7, 0.3), a1=A1(8, 2, 9, trim=True), a2=A2()))
+    assert len(done.collect()) == stack.size
+    joins = [line for plan in [*plans, done._jdf.queryExecution().executedPlan().toString()] for line in plan.splitlines() if "Join [" in line]
+    assert [j for j in joins if "SortMergeJoin" in j]
+    assert not [j for j in joins if "Broadcast" in j and ("y#" in j or "node#" in j or "component#" in j)]
