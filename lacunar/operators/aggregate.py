@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lacunar.functions import flags as fl
 from lacunar.functions.calendar import doy_months
+from lacunar.operators.grid import meet
 
 
 def filled_percent() -> Column:
@@ -46,7 +47,7 @@ def month_and_year(df: DataFrame) -> DataFrame:
 def difference(day: DataFrame, night: DataFrame, by: Sequence[str] = ("year", "doy")) -> DataFrame:
     """day minus night of the dates that both have; NULL where either is."""
     n = night.select(*by, "y", "x", F.col("value").alias("_night"))
-    return day.select(*by, "y", "x", F.col("value").alias("_day")).join(n, [*by, "y", "x"]).select(*by, "y", "x", (F.col("_day") - F.col("_night")).alias("value"))
+    return meet(day.select(*by, "y", "x", F.col("value").alias("_day")), n, [*by, "y", "x"]).select(*by, "y", "x", (F.col("_day") - F.col("_night")).alias("value"))
 
 
 def _bits() -> dict[str, Column]:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lacunar.operators import aggregate, stats
+from lacunar.operators.grid import meet
 from lacunar.plans.pipeline import is_raster
 from lacunar.sources import geotiff, raster
 from lacunar.sources.grids import read_obs
@@ -38,7 +39,7 @@ def difference(spark: SparkSession, day: str, night: str, output: str, ndv: floa
     images = [_archive(spark, p).select("year", "doy", "y", "x", "value") for p in (day, night)]
     dates = images[0].select("year", "doy").distinct().join(images[1].select("year", "doy").distinct(), ["year", "doy"])
     cells = images[0].unionByName(images[1]).select("year", "doy", "y", "x").distinct().join(F.broadcast(dates), ["year", "doy"])  # a row an image
-    whole = [cells.join(i, ["year", "doy", "y", "x"], "left") for i in images]
+    whole = [meet(cells, i, ["year", "doy", "y", "x"], "left") for i in images]
     write_differences(aggregate.difference(*whole), output, ndv)
 
 

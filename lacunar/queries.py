@@ -246,7 +246,7 @@ def a1_counts(spark, sf_dir):
 
 def _clipped(spark, sf_dir):
     filled = fill_a1.fill(_stack(spark, sf_dir), SHORT, LIMITS)
-    return filled.join(_parts(spark, sf_dir)[1], ["y", "x"], "left")
+    return grid.meet(filled, _parts(spark, sf_dir)[1], ["y", "x"], "left")
 
 
 def clip_a1(spark, sf_dir):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from lacunar import config, queries
 from lacunar.config import A1, A2, Config, Despeckle, Job, Limits
 from lacunar.functions.calendar import month_of
-from lacunar.operators import clip, despeckle, fill_a1, fill_a2, grid, kernels, stats, tiles
+from lacunar.operators import aggregate, clip, despeckle, fill_a1, fill_a2, grid, kernels, stats, tiles
 from lacunar.plans import cli, pipeline
 from lacunar.sources import grids, sinks
 from lacunar.streaming import incremental
@@ -226,3 +226,12 @@ def test_cells_are_not_broadcast(spark, stack, monkeypatch):
     joins = [line for plan in [*plans, done._jdf.queryExecution().executedPlan().toString()] for line in plan.splitlines() if "Join [" in line]
     assert [j for j in joins if "SortMergeJoin" in j]
     assert not [j for j in joins if "Broadcast" in j and ("y#" in j or "node#" in j or "component#" in j)]
+
+
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.001"), reason="no test tables")
+def test_queries_broadcast_no_cells(spark, stack):
+    """Counters of the fill, clipped cells with their statistics, differences of images: what they read at the end isn't broadcast, either."""
+    image = table(spark, stack).withColumn("doy", F.lit(1))
+    for df in (queries.fill_counts(spark, "/root/testdata/sf0.001"), queries.clip_a1(spark, "/root/testdata/sf0.001"), aggregate.difference(image, image)):
+        joins = [line for line in df._jdf.queryExecution().executedPlan().toString().splitlines() if "Join [" in line and "y#" in line]
+        assert joins and not [j for j in joins if "Broadcast" in j]
